@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 #  - trimming removes every character up to U+0020 at both ends (SQL trim
 #    only removes spaces, so tabs and control characters need a pattern).
 LINE_BREAK = r"\r\n|\r|\n"
-EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
+EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+\z"
 
 
 def col_of(c: Column | str) -> Column:

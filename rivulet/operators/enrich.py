@@ -51,13 +51,18 @@ def rename_case(df: DataFrame, case: str | None, skip: Sequence[str] = ()) -> Da
 
 def enrich(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left",
            empty_marker: str | None = None, marker_value: str = "true", case: str | None = None,
-           as_strings: bool = True, broadcast_max_rows: int | None = None) -> DataFrame:
+           as_strings: bool = True, broadcast_max_rows: int | None = None,
+           strategy: str = "split") -> DataFrame:
     """One output row per matching lookup row, carrying the record's
     columns plus the lookup's columns (as text, optionally case-renamed).
 
     ``how="left"`` keeps records without a match once, with null lookup
     columns and, when ``empty_marker`` is given, a column of that name set
     to ``marker_value`` (null on matched rows).
+
+    ``strategy="split"`` (default) plans inner join + anti join so AQE can
+    split hot keys on both sides; ``"left_outer"`` is one left outer join,
+    for streams joined to a static table.
     """
     keys = _keys(on)
     vals = [c for c in lookup.columns if c not in keys]
@@ -68,6 +73,13 @@ def enrich(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str =
     if broadcast_max_rows is not None:
         side = bounded_broadcast(side, broadcast_max_rows)
 
+    if how == "left" and strategy == "left_outer":
+        hit = side.withColumn("_hit", F.lit(True))
+        out = df.join(hit, keys, "left")
+        if empty_marker:
+            out = out.withColumn(empty_marker, F.when(F.col("_hit").isNull(), F.lit(marker_value)))
+        return out.drop("_hit")
+
     matched = df.join(side, keys, "inner")
     if empty_marker:
         matched = matched.withColumn(empty_marker, F.lit(None).cast("string"))

@@ -1,8 +1,10 @@
 """Registered queries over the driver's tables, and their DuckDB twins.
 
-Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole tables. Output columns are text, BIGINT or BOOLEAN (no floating
-point), named identically in the Spark plan and in the SQL.
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+tables. Output columns are text, INT/BIGINT or BOOLEAN (no floating point),
+named identically in the Spark plan and in the SQL. Queries that publish
+through a sink (atomic append, streams) write under the session's
+``spark.checkpoint.dir`` and return the committed data read back.
 """
 
 from __future__ import annotations
@@ -12,23 +14,75 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.functions import taxid as T
+from rivulet.functions.json import map_json, row_json
+from rivulet.operators import documents as D
 from rivulet.operators import enrich as en
-from rivulet.sources.tables import read_table
+from rivulet.operators import jsonops as J
+from rivulet.operators import lines as L
+from rivulet.operators import routing as R
+from rivulet.operators import scripts as S
+from rivulet.operators import sequences as Q
+from rivulet.operators import tokens as K
+from rivulet.operators import urlops as U
+from rivulet.operators.records import put_attributes, to_records
+from rivulet.plans import sqltext as X
+from rivulet.plans.compose import compose
+from rivulet.session import apply_runtime_conf, scratch_path
+from rivulet.sinks.atomic import append_lines, atomic_append, read_committed
+from rivulet.sinks.logs import attribute_log
+from rivulet.sources.tables import read_table, register_views, select_rows
+from rivulet.streaming.streams import append_stream, run_available_now, table_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+# Parameters of the demo queries (arguments, not data).
+SECRET = "rivulet-demo-secret"
+NOW = 1_700_000_000
+EXPIRES_S = 3600
+DIM_MAX_ROWS = 10_000      # nation/region are fixed-size dimensions; checked before broadcast
+
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_runtime_conf(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql.strip()
-        return fn
+        return run
     return deco
 
 
-# ---------------------------------------------------------------- O13, O14
+def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_table(spark, sf_dir, name)
+
+
+# ======================================================= O1, O20: bound SELECT
+
+@register("select_orders_json", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+       json_object('o_orderkey', CAST(o_orderkey AS VARCHAR), 'o_custkey', CAST(o_custkey AS VARCHAR),
+                   'o_orderstatus', o_orderstatus, 'o_orderdate', CAST(o_orderdate AS VARCHAR),
+                   'o_orderpriority', o_orderpriority) AS row_json
+FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '5-LOW'
+""")
+def q_select_orders_json(spark, sf_dir):
+    """O1 + O20: a SELECT with bound parameters; each row as a JSON object."""
+    register_views(spark, sf_dir, ["orders"])
+    rows = select_rows(
+        spark,
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority FROM orders "
+        "WHERE o_orderstatus = :status AND o_orderpriority <> :prio",
+        {"status": "F", "prio": "5-LOW"})
+    return rows.select("o_orderkey", row_json(rows).alias("row_json"))
+
+
+# ======================================================= O11, O13-O15: enrich
 
 @register("enrich_customer_orders", """
 SELECT c.c_custkey, c.c_name,
@@ -37,8 +91,688 @@ SELECT c.c_custkey, c.c_name,
        CASE WHEN o.o_orderkey IS NULL THEN 'true' END AS no_result
 FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
 """)
-def q_enrich_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    orders = read_table(spark, sf_dir, "orders").select(
+def q_enrich_customer_orders(spark, sf_dir):
+    """O13 + O14: customers enriched by their orders; none → marker."""
+    customer = t(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    orders = t(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     return en.enrich(customer, orders, "c_custkey", empty_marker="no_result")
+
+
+@register("enrich_json_nation_suppliers", """
+SELECT n.n_nationkey, n.n_name,
+       CASE WHEN s.s_suppkey IS NULL THEN '{}'
+            ELSE json_object('s_suppkey', CAST(s.s_suppkey AS VARCHAR), 's_name', s.s_name) END AS content
+FROM nation n LEFT JOIN supplier s ON n.n_nationkey = s.s_nationkey
+""")
+def q_enrich_json_nation_suppliers(spark, sf_dir):
+    """O14 content form: one JSON object per supplier of a nation, ``{}`` if none."""
+    nation = t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    supplier = t(spark, sf_dir, "supplier").select(
+        F.col("s_nationkey").alias("n_nationkey"), "s_suppkey", "s_name")
+    return en.enrich_json(nation, supplier, "n_nationkey", json_col="content")
+
+
+@register("enrich_last_order", """
+WITH ranked AS (
+  SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders)
+SELECT c.c_custkey, c.c_name,
+       CAST(r.o_orderkey AS VARCHAR) AS "O_ORDERKEY", CAST(r.o_orderdate AS VARCHAR) AS "O_ORDERDATE",
+       r.o_orderstatus AS "O_ORDERSTATUS",
+       CASE WHEN r.o_orderkey IS NULL THEN 'true' END AS no_result
+FROM customer c LEFT JOIN (SELECT * FROM ranked WHERE rn = 1) r ON c.c_custkey = r.o_custkey
+""")
+def q_enrich_last_order(spark, sf_dir):
+    """O15 + O11: last order per customer by (date, key); names upper-cased."""
+    customer = t(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    orders = t(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderdate", "o_orderstatus")
+    return en.enrich_last(customer, orders, "c_custkey", ["o_orderdate", "o_orderkey"],
+                          empty_marker="no_result", case="upper")
+
+
+# ======================================================= O7, O8, O42, O5: routing
+
+_ROUTE_SQL = """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_quantity AS BIGINT) AS qty, 'small' AS route
+FROM lineitem WHERE l_quantity < 10
+UNION ALL
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT), CAST(l_quantity AS BIGINT), 'medium'
+FROM lineitem WHERE l_quantity >= 10 AND l_quantity < 30
+UNION ALL
+SELECT l_orderkey, CAST(l_linenumber + 100 AS BIGINT), CAST(l_quantity AS BIGINT), 'rush'
+FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 20
+UNION ALL
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT), CAST(l_quantity AS BIGINT), 'unmatched'
+FROM lineitem
+WHERE NOT (COALESCE(l_quantity < 10, false) OR COALESCE(l_quantity >= 10 AND l_quantity < 30, false)
+           OR COALESCE(l_returnflag = 'R' AND l_quantity >= 20, false))
+"""
+
+
+@register("route_lineitem", _ROUTE_SQL)
+def q_route_lineitem(spark, sf_dir):
+    """O7 + O8: lineitems routed by quantity band (a row per matched route,
+    one scan); the rush route's line number is updated."""
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    q = F.col("l_quantity")
+    routed = R.route_column(li, {
+        "small": q < 10,
+        "medium": (q >= 10) & (q < 30),
+        "rush": (F.col("l_returnflag") == "R") & (q >= 20),
+    })
+    routed = R.update_when(routed, "l_linenumber", F.col("l_linenumber") + 100, F.col("route") == "rush")
+    return routed.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"),
+                         q.cast("long").alias("qty"), "route")
+
+
+LOOP_LIMIT = 5
+
+
+@register("loop_trace_lineitem", f"""
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(v - l_linenumber AS BIGINT) AS step,
+       CAST(v AS BIGINT) AS valor, CASE WHEN v < {LOOP_LIMIT} THEN 'loop' ELSE 'endloop' END AS route
+FROM (SELECT l_orderkey, l_linenumber, unnest(generate_series(l_linenumber, {LOOP_LIMIT})) AS v
+      FROM lineitem WHERE l_linenumber <= {LOOP_LIMIT})
+UNION ALL
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT), CAST(0 AS BIGINT), CAST(l_linenumber AS BIGINT), 'unmatched'
+FROM lineitem WHERE l_linenumber > {LOOP_LIMIT} OR l_linenumber IS NULL
+""")
+def q_loop_trace_lineitem(spark, sf_dir):
+    """O42 (+ O8's +1 step): the loop flow's visits, one row each."""
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    tr = R.loop_trace(li, "l_linenumber", F.lit(LOOP_LIMIT))
+    return tr.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "step", "valor", "route")
+
+
+@register("loop_end_lineitem", f"""
+SELECT l_orderkey,
+       CAST(CASE WHEN l_linenumber <= {LOOP_LIMIT} THEN {LOOP_LIMIT} ELSE l_linenumber END AS BIGINT) AS valor,
+       CAST(CASE WHEN l_linenumber <= {LOOP_LIMIT} THEN {LOOP_LIMIT} - l_linenumber ELSE 0 END AS BIGINT) AS iterations,
+       CASE WHEN l_linenumber <= {LOOP_LIMIT} THEN 'endloop' ELSE 'unmatched' END AS route
+FROM lineitem
+""")
+def q_loop_end_lineitem(spark, sf_dir):
+    """O42 end state + O5: only the chosen attributes are logged."""
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("valor"))
+    end = R.loop_end(li, "valor", F.lit(LOOP_LIMIT))
+    return attribute_log(end, ["l_orderkey", "valor", "iterations", "route"])
+
+
+# ======================================================= O9, O10: failure routes
+
+MAX_DOC_BYTES = 20_000
+
+
+@register("guard_documents", f"""
+SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes,
+       CASE WHEN strlen(text) > {MAX_DOC_BYTES} THEN 'failure' ELSE 'success' END AS route,
+       CASE WHEN strlen(text) > {MAX_DOC_BYTES} THEN 'content_too_large' END AS error_code,
+       CASE WHEN strlen(text) > {MAX_DOC_BYTES}
+            THEN 'content has ' || CAST(strlen(text) AS VARCHAR) || ' bytes, over the {MAX_DOC_BYTES} byte limit' END
+            AS error_message
+FROM documents
+""")
+def q_guard_documents(spark, sf_dir):
+    """O10 + O9: documents over a byte limit go to failure with error columns."""
+    d = t(spark, sf_dir, "documents").select("doc_id", "text")
+    g = R.guard_size(d, "text", max_bytes=MAX_DOC_BYTES)
+    return g.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "route", "error_code",
+                    "error_message")
+
+
+# ======================================================= O21-O26: JSON and attributes
+
+_EVENTS_JSON_CTE = """
+WITH e AS (SELECT event_id, event_type, user_id,
+                  CASE WHEN event_id % 13 = 0 THEN substr(props, 1, 5) ELSE props END AS props
+           FROM events)
+"""
+
+
+def _events_records(spark, sf_dir, bad_every: int | None = None, empty_every: int | None = None) -> DataFrame:
+    ev = t(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "props")
+    props = F.col("props")
+    if bad_every:
+        props = F.when(F.col("event_id") % bad_every == 0, F.substring("props", 1, 5)).otherwise(props)
+    if empty_every:
+        props = F.when(F.col("event_id") % empty_every == 0, F.lit("")).otherwise(props)
+    return to_records(ev.withColumn("props", props), "event_id", ["event_type", "user_id"], content="props")
+
+
+@register("json_to_attributes_events", _EVENTS_JSON_CTE + """
+SELECT event_id,
+       CASE WHEN json_valid(props)
+            THEN json_object('K', json_extract_string(props, '$.k'), 'event_type', event_type, 'raw', props,
+                             'user_id', CAST(user_id AS VARCHAR))
+            ELSE json_object('event_type', event_type, 'raw', props, 'user_id', CAST(user_id AS VARCHAR)) END
+         AS attributes_json,
+       json_valid(props) AS content_valid
+FROM e
+""")
+def q_json_to_attributes_events(spark, sf_dir):
+    """O24 + O25: content kept as attribute ``raw``; its JSON members become
+    upper-cased attributes; bad JSON flagged."""
+    rec = _events_records(spark, sf_dir, bad_every=13)
+    rec = J.content_to_attribute(rec, "raw")
+    out = J.json_to_attributes(rec, case="upper")
+    return out.select(F.col("record_id").alias("event_id"), map_json("attributes").alias("attributes_json"),
+                      "content_valid")
+
+
+_ENV_ATTRS = "json_object('event_type', event_type, 'user_id', CAST(user_id AS VARCHAR))"
+_ENVELOPE_SQL = f"""
+WITH e AS (SELECT event_id, event_type, user_id,
+                  CASE WHEN event_id % 17 = 0 THEN '' ELSE props END AS props FROM events)
+SELECT event_id,
+       CASE WHEN props = '' THEN '{{"attribute":' || {_ENV_ATTRS} || '}}'
+            ELSE '{{"content":' || CAST(json(props) AS VARCHAR) || ',"attribute":' || {_ENV_ATTRS} || '}}' END
+         AS envelope,
+       CASE WHEN props = ''
+            THEN json_object('event_type', event_type, 'no.attribute', 'true', 'user_id', CAST(user_id AS VARCHAR))
+            ELSE {_ENV_ATTRS} END AS attributes_json
+FROM e
+"""
+
+
+def _pack_events(rec: DataFrame) -> DataFrame:
+    p = J.pack_envelope(rec, valid_col=None)
+    return p.select(F.col("record_id").alias("event_id"), F.col("content").alias("envelope"),
+                    map_json("attributes").alias("attributes_json"))
+
+
+@register("pack_envelope_events", _ENVELOPE_SQL)
+def q_pack_envelope_events(spark, sf_dir):
+    """Content + attributes → one envelope; empty content → marker."""
+    return _pack_events(_events_records(spark, sf_dir, empty_every=17))
+
+
+@register("unpack_envelope_events", """
+WITH e AS (SELECT event_id, event_type, user_id,
+                  CASE WHEN event_id % 17 = 0 THEN '' ELSE props END AS props FROM events)
+SELECT event_id,
+       CASE WHEN props = '' THEN NULL ELSE CAST(json(props) AS VARCHAR) END AS content,
+       CASE WHEN props = ''
+            THEN json_object('event_type', event_type, 'no.attribute', 'true', 'stage', 'packed',
+                             'user_id', CAST(user_id AS VARCHAR))
+            ELSE json_object('event_type', event_type, 'stage', 'packed', 'user_id', CAST(user_id AS VARCHAR)) END
+         AS attributes_json
+FROM e
+""")
+def q_unpack_envelope_events(spark, sf_dir):
+    """Pack, change the record's attributes, unpack: the envelope's
+    attributes win, other record attributes stay, content comes back."""
+    p = J.pack_envelope(_events_records(spark, sf_dir, empty_every=17), valid_col=None)
+    p = p.withColumn("attributes", put_attributes(
+        F.col("attributes"), F.create_map(F.lit("user_id"), F.lit("x"), F.lit("stage"), F.lit("packed"))))
+    u = J.unpack_envelope(p)
+    return u.select(F.col("record_id").alias("event_id"), "content", map_json("attributes").alias("attributes_json"))
+
+
+def _customer_wide(spark, sf_dir) -> DataFrame:
+    c = t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    n = en.bounded_broadcast(t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), DIM_MAX_ROWS)
+    r = en.bounded_broadcast(t(spark, sf_dir, "region").select("r_regionkey", "r_name"), DIM_MAX_ROWS)
+    return (c.join(n, c["c_nationkey"] == n["n_nationkey"], "inner")
+            .join(r, F.col("n_regionkey") == r["r_regionkey"], "inner"))
+
+
+@register("attributes_to_json_customer", """
+SELECT c.c_custkey,
+       json_object('c_name', c.c_name, 'c_mktsegment', c.c_mktsegment, 'missing_attr', '') AS json_listed,
+       json_object('c_mktsegment', c.c_mktsegment, 'c_name', c.c_name, 'n_name', n.n_name) AS json_all
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+""")
+def q_attributes_to_json_customer(spark, sf_dir):
+    """Listed attributes (missing → "", core dropped) to an attribute;
+    all non-core attributes, key-sorted, to the content."""
+    wide = _customer_wide(spark, sf_dir)
+    rec = to_records(wide, "c_custkey", {
+        "c_name": "c_name", "c_mktsegment": "c_mktsegment", "n_name": "n_name",
+        "filename": F.concat(F.lit("cust_"), F.col("c_custkey").cast("string"), F.lit(".txt"))})
+    x = J.attributes_to_json(rec, None, destination="content")
+    x = J.attributes_to_json(x, "c_name, c_mktsegment ,missing_attr, filename", destination="attribute")
+    return x.select(F.col("record_id").alias("c_custkey"),
+                    F.element_at("attributes", F.lit(J.JSON_ATTRIBUTE)).alias("json_listed"),
+                    F.col("content").alias("json_all"))
+
+
+NEST_NAMES = ["customer.name", "customer.segment", "customer.nation.name", "customer.nation.region.name"]
+
+
+@register("nest_attributes_customer", """
+SELECT c.c_custkey,
+       CAST(json_object('customer', json_object('name', c.c_name, 'segment', c.c_mktsegment,
+            'nation', json_object('name', n.n_name, 'region', json_object('name', r.r_name)))) AS VARCHAR)
+         AS customer_json
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+""")
+def q_nest_attributes_customer(spark, sf_dir):
+    """O26 (inside an O6 group): dotted attribute names → nested JSON."""
+    wide = _customer_wide(spark, sf_dir)
+    rec = to_records(wide, "c_custkey", dict(zip(NEST_NAMES, ["c_name", "c_mktsegment", "n_name", "r_name"])))
+    group = compose(lambda d: J.nest_attributes(d, "customer", NEST_NAMES), name="customer_json")
+    out = group(rec)
+    return out.select(F.col("record_id").alias("c_custkey"), F.col("content").alias("customer_json"))
+
+
+# ======================================================= O27-O32: URL parameters
+
+_KV_CTE = r"""
+WITH p AS (SELECT page_id, url, regexp_extract(url, '\?([^#]*)', 1) AS qs FROM pages),
+pc AS (SELECT page_id, list_filter(string_split(qs, '&'), lambda x: x <> '') AS pieces FROM p),
+pp AS (SELECT page_id, unnest(pieces) AS piece, unnest(generate_series(1, len(pieces))) AS pos FROM pc),
+kv AS (SELECT page_id, pos,
+              url_decode(replace(split_part(piece, '=', 1), '+', ' ')) AS key,
+              CASE WHEN strpos(piece, '=') > 0
+                   THEN url_decode(replace(substr(piece, strpos(piece, '=') + 1), '+', ' ')) ELSE '' END AS value
+       FROM pp)
+"""
+
+
+@register("url_params_pages", _KV_CTE + """,
+last AS (SELECT page_id, key, arg_max(value, pos) AS value FROM kv GROUP BY page_id, key),
+agg AS (SELECT page_id,
+               '{' || string_agg(CAST(to_json('http.param.' || key) AS VARCHAR) || ':' || CAST(to_json(value) AS VARCHAR),
+                                 ',' ORDER BY 'http.param.' || key) || '}' AS params
+        FROM last GROUP BY page_id)
+SELECT p.page_id, COALESCE(agg.params, '{"no_params":"true"}') AS params
+FROM p LEFT JOIN agg ON p.page_id = agg.page_id
+""")
+def q_url_params_pages(spark, sf_dir):
+    """URL parameters → prefixed attributes (last duplicate wins);
+    none → ``no_params=true``."""
+    pages = t(spark, sf_dir, "pages").select("page_id", "url")
+    out = U.url_params(pages, "url", prefix="http.param.", if_empty="no_params")
+    return out.select("page_id", map_json("params").alias("params"))
+
+
+@register("url_param_rows_pages", _KV_CTE + """
+SELECT page_id, CAST(pos AS BIGINT) AS pos, key, value FROM kv
+""")
+def q_url_param_rows_pages(spark, sf_dir):
+    """One row per parameter, in order."""
+    pages = t(spark, sf_dir, "pages").select("page_id", "url")
+    return U.url_param_rows(pages, "url", ["page_id"])
+
+
+@register("url_param_multimap_pages", _KV_CTE + """
+SELECT page_id, key, CAST(to_json(list(value ORDER BY pos)) AS VARCHAR) AS values_json
+FROM kv GROUP BY page_id, key
+""")
+def q_url_param_multimap_pages(spark, sf_dir):
+    """Name → all values in order (per row, no shuffle)."""
+    pages = t(spark, sf_dir, "pages").select("page_id", "url")
+    mm = U.url_param_multimap(pages, "url")
+    return mm.select("page_id", F.explode("param_values").alias("key", "vals")).select(
+        "page_id", "key", F.to_json("vals").alias("values_json"))
+
+
+@register("url_param_first_pages", _KV_CTE + """
+SELECT p.page_id,
+       (SELECT arg_min(value, pos) FROM kv WHERE kv.page_id = p.page_id AND kv.key = 'ref') AS ref,
+       (SELECT arg_min(value, pos) FROM kv WHERE kv.page_id = p.page_id AND kv.key = 'utm_source') AS utm_source
+FROM p
+""")
+def q_url_param_first_pages(spark, sf_dir):
+    """First value of a name, else null."""
+    pages = t(spark, sf_dir, "pages").select("page_id", "url")
+    out = U.url_param_first(U.url_param_first(pages, "url", "ref"), "url", "utm_source")
+    return out.select("page_id", "ref", "utm_source")
+
+
+@register("url_rebuild_pages", _KV_CTE + """
+SELECT page_id,
+       string_agg(url_encode(key) || CASE WHEN value = '' THEN '' ELSE '=' || url_encode(value) END, '&'
+                  ORDER BY pos) AS query_string
+FROM kv GROUP BY page_id
+""")
+def q_url_rebuild_pages(spark, sf_dir):
+    """Parameters → encoded query string (pages that have any)."""
+    from rivulet.functions.urls import url_pairs
+    pages = t(spark, sf_dir, "pages").select("page_id", url_pairs("url").alias("pairs"))
+    out = U.build_query_string(pages.filter(F.size("pairs") > 0), "pairs")
+    return out.select("page_id", "query_string")
+
+
+@register("url_param_stats_pages", _KV_CTE + """
+SELECT key, count(*) AS n_occurrences, count(DISTINCT page_id) AS n_urls, count(DISTINCT value) AS n_values
+FROM kv GROUP BY key
+""")
+def q_url_param_stats_pages(spark, sf_dir):
+    """Use of each parameter name over all pages."""
+    pages = t(spark, sf_dir, "pages").select("page_id", "url")
+    return U.url_param_stats(pages, "url", "page_id")
+
+
+# ======================================================= O17: lines
+
+_LINES_CTE = r"""
+WITH l AS (SELECT doc_id,
+                  list_filter(list_transform(string_split_regex(text, '\r\n|\r|\n'),
+                                             lambda x: regexp_replace(x, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')),
+                              lambda x: x <> '') AS ls
+           FROM documents)
+"""
+
+
+@register("split_lines_documents", _LINES_CTE + """
+SELECT doc_id, sha256(CAST(doc_id AS VARCHAR)) AS fragment_identifier,
+       unnest(generate_series(1, len(ls))) AS fragment_index, CAST(len(ls) AS BIGINT) AS fragment_count,
+       unnest(ls) AS line
+FROM l
+""")
+def q_split_lines_documents(spark, sf_dir):
+    """Every document → numbered, non-blank, trimmed lines."""
+    docs = t(spark, sf_dir, "documents").select("doc_id", "text")
+    return L.split_lines(docs, "doc_id", "text")["fragments"]
+
+
+# ======================================================= O18: sequences
+
+@register("next_ids_orders", """
+SELECT o.o_orderkey, o.o_custkey,
+       CAST(row_number() OVER (PARTITION BY o.o_custkey ORDER BY o.o_orderdate, o.o_orderkey)
+            + COALESCE(c.c_nationkey, 0) AS BIGINT) AS next_id
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+""")
+def q_next_ids_orders(spark, sf_dir):
+    """Gap-free ids per customer continuing stored counters."""
+    orders = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    counters = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"),
+                                                   F.col("c_nationkey").alias("contador"))
+    ids = Q.next_ids(orders, "o_custkey", ["o_orderdate", "o_orderkey"], counters)
+    return ids.select("o_orderkey", "o_custkey", "next_id")
+
+
+@register("next_ids_counters", """
+SELECT COALESCE(c.c_custkey, u.o_custkey) AS o_custkey,
+       CAST(COALESCE(c.c_nationkey, 0) + COALESCE(u.n, 0) AS BIGINT) AS contador
+FROM customer c FULL OUTER JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) u
+  ON c.c_custkey = u.o_custkey
+""")
+def q_next_ids_counters(spark, sf_dir):
+    """The counter table after allocation."""
+    orders = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    counters = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"),
+                                                   F.col("c_nationkey").alias("contador"))
+    return Q.updated_counters(orders, "o_custkey", counters)
+
+
+# ======================================================= O19, O16, O33: iterate, scripts
+
+ITERATIONS = 5
+
+
+@register("iterate_part_sizes", "\nUNION\n".join(
+    f"SELECT p_brand, CAST(p_size % {i} AS BIGINT) AS m FROM part" for i in range(1, ITERATIONS + 1)))
+def q_iterate_part_sizes(spark, sf_dir):
+    """A SELECT run for i = 1..n and UNIONed (distinct)."""
+    part = t(spark, sf_dir, "part").select("p_brand", "p_size")
+    return S.iterate_union(part, lambda d: d.select("p_brand", (F.col("p_size") % F.col("i")).cast("long").alias("m")),
+                           ITERATIONS)
+
+
+SCRIPT_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"]
+SCRIPT_HEAD = "insert into lineitem_copy"
+
+
+@register("insert_script_lineitem", f"""
+WITH ln AS (SELECT l_orderkey, l_linenumber,
+                   '{SCRIPT_HEAD}({",".join(SCRIPT_COLS)}) values ('
+                   || {" || ',' || ".join(f"COALESCE(CAST({c} AS VARCHAR), 'null')" for c in SCRIPT_COLS)}
+                   || ');' AS line_text
+            FROM lineitem)
+SELECT l_orderkey, CAST(floor(l_linenumber / 1000) AS BIGINT) AS chunk,
+       string_agg(line_text || chr(10), '' ORDER BY l_linenumber, line_text) AS script
+FROM ln GROUP BY 1, 2
+""")
+def q_insert_script_lineitem(spark, sf_dir):
+    """O33 + O16: each lineitem as an insert line; each order's lines joined
+    in line order (in bounded chunks)."""
+    li = t(spark, sf_dir, "lineitem").select(*SCRIPT_COLS)
+    lines = S.rows_to_insert_script(li, SCRIPT_HEAD, SCRIPT_COLS, keep=["l_orderkey", "l_linenumber"])
+    return S.append_script(lines, "l_orderkey", "l_linenumber", chunk_rows=1000)
+
+
+# ======================================================= O34-O39: tax IDs
+
+def _docs_frame(spark, sf_dir) -> DataFrame:
+    c = t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    k = F.col("c_custkey")
+    cpf = T.cpf_complete(F.lpad(k.cast("string"), 9, "0"))
+    cpf = (F.when(k % 11 == 5, F.substring(cpf, 1, 10))
+           .when(k % 7 == 3, F.concat(F.substring(cpf, 1, 10),
+                                      ((F.substring(cpf, 11, 1).cast("int") + 1) % 10).cast("string")))
+           .otherwise(cpf))
+    cnpj = T.cnpj_complete(F.concat(F.lpad(k.cast("string"), 8, "0"), F.lit("0001")))
+    cnpj = F.when(k % 5 == 1, F.concat(F.substring(cnpj, 1, 13),
+                                       ((F.substring(cnpj, 14, 1).cast("int") + 1) % 10).cast("string"))).otherwise(cnpj)
+    return c.select("c_custkey", "c_mktsegment", T.cpf_format(cpf, True).alias("cpf"),
+                    T.cnpj_format(cnpj, True).alias("cnpj"))
+
+
+_CPF_RAW = X.cpf_complete_sql("lpad(CAST(c_custkey AS VARCHAR), 9, '0')")
+_CNPJ_RAW = X.cnpj_complete_sql("(lpad(CAST(c_custkey AS VARCHAR), 8, '0') || '0001')")
+_DOCS_CTE = f"""
+WITH raw AS (SELECT c_custkey, c_mktsegment, {_CPF_RAW} AS cpf0, {_CNPJ_RAW} AS cnpj0 FROM customer),
+br AS (SELECT c_custkey, c_mktsegment,
+              CASE WHEN c_custkey % 11 = 5 THEN substr(cpf0, 1, 10)
+                   WHEN c_custkey % 7 = 3 THEN substr(cpf0, 1, 10) || CAST((CAST(substr(cpf0, 11, 1) AS INTEGER) + 1) % 10 AS VARCHAR)
+                   ELSE cpf0 END AS cpf1,
+              CASE WHEN c_custkey % 5 = 1 THEN substr(cnpj0, 1, 13) || CAST((CAST(substr(cnpj0, 14, 1) AS INTEGER) + 1) % 10 AS VARCHAR)
+                   ELSE cnpj0 END AS cnpj1
+       FROM raw),
+docs AS (SELECT c_custkey, c_mktsegment,
+                regexp_replace(cpf1, '(\\d{{3}})(\\d{{3}})(\\d{{3}})(\\d{{2}})', '\\1.\\2.\\3-\\4', 'g') AS cpf,
+                regexp_replace(cnpj1, '(\\d{{2}})(\\d{{3}})(\\d{{3}})(\\d{{4}})(\\d{{2}})', '\\1.\\2.\\3/\\4-\\5', 'g') AS cnpj
+         FROM br)
+"""
+
+
+@register("documents_customer", _DOCS_CTE + f"""
+SELECT c_custkey, cpf, {X.cpf_valid_sql('cpf')} AS cpf_valid, cnpj, {X.cnpj_valid_sql('cnpj')} AS cnpj_valid
+FROM docs
+""")
+def q_documents_customer(spark, sf_dir):
+    """CPF/CNPJ per customer (some broken), masked, validated."""
+    d = _docs_frame(spark, sf_dir)
+    return d.select("c_custkey", "cpf", T.cpf_valid("cpf").alias("cpf_valid"), "cnpj",
+                    T.cnpj_valid("cnpj").alias("cnpj_valid"))
+
+
+_CPF_DIGITS = X.digits_sql("cpf")
+
+
+@register("document_quality_segment", _DOCS_CTE + f""",
+chk AS (SELECT c_mktsegment,
+               CASE WHEN {X.cpf_valid_sql('cpf')} THEN 'valid'
+                    WHEN length({_CPF_DIGITS}) <> 11 THEN 'wrong_length' ELSE 'wrong_digit' END AS p
+        FROM docs)
+SELECT c_mktsegment, count(*) AS n_docs, count_if(p = 'valid') AS n_valid,
+       count_if(p = 'wrong_length') AS n_wrong_length, count_if(p = 'wrong_digit') AS n_wrong_digit
+FROM chk GROUP BY c_mktsegment
+""")
+def q_document_quality_segment(spark, sf_dir):
+    """Share of valid / wrong-length / wrong-digit CPFs per segment."""
+    return D.document_quality(_docs_frame(spark, sf_dir), "cpf", "c_mktsegment", kind="cpf")
+
+
+@register("generate_documents_customer", """
+SELECT c_custkey, true AS cpf_ok, true AS cpf_state_ok, true AS cnpj_ok FROM customer
+""")
+def q_generate_documents_customer(spark, sf_dir):
+    """O37 + O38: one generated CPF (plain and with a state digit) and CNPJ
+    per customer; every one must validate and keep its state digit."""
+    c = t(spark, sf_dir, "customer").select("c_custkey")
+    g = D.generate_cpf(c, ["c_custkey"], seed=7)
+    g = D.generate_cpf(g, ["c_custkey"], seed=8, state=F.col("c_custkey") % 10, out="cpf_state")
+    g = D.generate_cnpj(g, ["c_custkey"], seed=9)
+    return g.select(
+        "c_custkey",
+        (T.cpf_valid("cpf") & (F.length("cpf") == 11) & ~T.all_same_digit(F.substring("cpf", 1, 9))).alias("cpf_ok"),
+        (T.cpf_valid("cpf_state")
+         & (F.substring("cpf_state", 9, 1) == (F.col("c_custkey") % 10).cast("string"))).alias("cpf_state_ok"),
+        (T.cnpj_valid("cnpj") & (F.substring("cnpj", 9, 4) == "0001")).alias("cnpj_ok"))
+
+
+# ======================================================= O40, O41: tokens
+
+_HEAD_B64 = __import__("base64").urlsafe_b64encode(K.header_json("HS256").encode()).rstrip(b"=").decode()
+_PAYLOAD_SQL = (f"CAST(json_object('sub', CAST(c_custkey AS VARCHAR), 'name', c_name, 'exp', {NOW + EXPIRES_S}) "
+                f"AS VARCHAR)")
+_SIGNED_SQL = f"""
+s0 AS (SELECT c_custkey, c_name, '{_HEAD_B64}.' || {X.b64url_sql(f'encode({_PAYLOAD_SQL})')} AS si FROM customer),
+signed AS (SELECT c_custkey, c_name, si || '.' || {X.b64url_sql(X.hmac256_sql('si', SECRET))} AS "authorization" FROM s0)
+"""
+
+
+@register("sign_customers", "WITH " + _SIGNED_SQL + 'SELECT c_custkey, "authorization" FROM signed')
+def q_sign_customers(spark, sf_dir):
+    """An HS256 token per customer with claims from its columns."""
+    c = t(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    s = K.sign_rows(c, {"sub": "c_custkey", "name": "c_name"}, SECRET, "HS256", expires_s=EXPIRES_S, now=NOW)
+    return s.select("c_custkey", "authorization")
+
+
+_OTHER_PAYLOAD_B64 = __import__("base64").urlsafe_b64encode(b'{"sub":"0","name":"intruder"}').rstrip(b"=").decode()
+_AUDIT_CTE = "WITH " + _SIGNED_SQL + f""",
+tk AS (SELECT c_custkey,
+              CASE WHEN c_custkey % 50 = 0 THEN ''
+                   WHEN c_custkey % 5 = 1 THEN split_part("authorization", '.', 1) || '.{_OTHER_PAYLOAD_B64}.'
+                                               || split_part("authorization", '.', 3)
+                   WHEN c_custkey % 5 = 2 THEN split_part("authorization", '.', 1) || '.' || split_part("authorization", '.', 2)
+                                               || '.' || reverse(split_part("authorization", '.', 3))
+                   WHEN c_custkey % 5 = 3 THEN split_part("authorization", '.', 1) || '.' || split_part("authorization", '.', 2)
+                   ELSE "authorization" END AS token,
+              {NOW} + CASE WHEN c_custkey % 5 = 4 AND c_custkey % 2 = 1 THEN 7200 ELSE 0 END AS now_s
+       FROM signed),
+pt AS (SELECT c_custkey, token, now_s, string_split(token, '.') AS parts FROM tk),
+dc AS (SELECT c_custkey, token, now_s, parts,
+              TRY(decode({X.b64url_decode_sql('parts[1]')})) AS head,
+              TRY(decode({X.b64url_decode_sql('parts[2]')})) AS payload
+       FROM pt),
+ck AS (SELECT c_custkey, token, now_s, parts, payload,
+              CASE WHEN json_valid(head) THEN json_extract_string(head, '$.alg') END AS alg,
+              CASE WHEN json_valid(payload) THEN TRY_CAST(json_extract_string(payload, '$.exp') AS BIGINT) END AS exp
+       FROM dc),
+audit AS (SELECT c_custkey,
+    CASE WHEN COALESCE(length(token), 0) = 0 THEN 'empty_token'
+         WHEN len(parts) <> 3 THEN 'wrong_number_of_segments'
+         WHEN alg IS NULL THEN 'bad_header'
+         WHEN alg <> 'HS256' THEN 'unsupported_algorithm'
+         WHEN {X.b64url_sql(X.hmac256_sql("parts[1] || '.' || parts[2]", SECRET))} <> parts[3] THEN 'invalid_signature'
+         WHEN NOT COALESCE(json_valid(payload), false) THEN 'bad_payload'
+         WHEN exp IS NOT NULL AND now_s >= exp THEN 'expired'
+    END AS token_error
+  FROM ck)
+"""
+
+
+def _audited(spark, sf_dir) -> DataFrame:
+    c = t(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    s = K.sign_rows(c, {"sub": "c_custkey", "name": "c_name"}, SECRET, "HS256", expires_s=EXPIRES_S, now=NOW)
+    a, k = F.col("authorization"), F.col("c_custkey")
+    part = lambda i: F.split_part(a, F.lit("."), F.lit(i))
+    token = (F.when(k % 50 == 0, F.lit(""))
+             .when(k % 5 == 1, F.concat(part(1), F.lit("." + _OTHER_PAYLOAD_B64 + "."), part(3)))
+             .when(k % 5 == 2, F.concat(part(1), F.lit("."), part(2), F.lit("."), F.reverse(part(3))))
+             .when(k % 5 == 3, F.concat(part(1), F.lit("."), part(2)))
+             .otherwise(a))
+    now = F.lit(NOW) + F.when((k % 5 == 4) & (k % 2 == 1), F.lit(7200)).otherwise(F.lit(0))
+    logged = s.select("c_custkey", token.alias("token"), now.alias("now_s"))
+    return K.audit_tokens(logged, "token", SECRET, F.col("now_s"))
+
+
+@register("audit_tokens_customer", _AUDIT_CTE + """
+SELECT c_custkey, token_error IS NULL AS token_valid, token_error FROM audit
+""")
+def q_audit_tokens_customer(spark, sf_dir):
+    """A token log (some altered, truncated, expired) audited."""
+    return _audited(spark, sf_dir).select("c_custkey", "token_valid", "token_error")
+
+
+@register("audit_token_counts", _AUDIT_CTE + """
+SELECT COALESCE(token_error, 'valid') AS outcome, count(*) AS n_tokens FROM audit GROUP BY 1
+""")
+def q_audit_token_counts(spark, sf_dir):
+    """Tokens per outcome."""
+    return K.audit_counts(_audited(spark, sf_dir))
+
+
+# ======================================================= O3, O4: atomic append
+
+@register("atomic_append_orders", """
+SELECT CASE WHEN o_orderstatus = 'F' THEN 'closed' ELSE 'open' END AS target, o_orderkey, o_orderstatus, o_custkey
+FROM orders
+""")
+def q_atomic_append_orders(spark, sf_dir):
+    """O3: orders split over two targets, appended all-or-nothing (the batch
+    written twice, as a retry would: nothing doubles), read back through
+    the manifest."""
+    orders = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    closed = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    root = scratch_path(spark, "atomic_orders")
+    for _ in range(2):
+        res = atomic_append(spark, {"closed": orders.filter(closed), "open": orders.filter(~closed)}, root, 1)
+        if not res["success"]:
+            raise RuntimeError(f"append failed: {res['error_code']} {res['error_message']}")
+    return (read_committed(spark, root, "closed").withColumn("target", F.lit("closed"))
+            .unionByName(read_committed(spark, root, "open").withColumn("target", F.lit("open")))
+            .select("target", "o_orderkey", "o_orderstatus", "o_custkey"))
+
+
+@register("append_lines_documents", _LINES_CTE + """
+SELECT CASE WHEN length(line) < 40 THEN 'short' ELSE 'long' END AS target, doc_id, count(*) AS n_lines
+FROM (SELECT doc_id, unnest(ls) AS line FROM l) GROUP BY 1, 2
+""")
+def q_append_lines_documents(spark, sf_dir):
+    """Document lines as data rows, routed to two targets and appended
+    all-or-nothing; counted back from the committed data."""
+    docs = t(spark, sf_dir, "documents").select("doc_id", "text")
+    root = scratch_path(spark, "append_lines")
+    res = append_lines(spark, docs, "text", {
+        "short": lambda ls: ls.filter(F.length("line") < 40),
+        "long": lambda ls: ls.filter(F.length("line") >= 40),
+    }, root, 1, keep=("doc_id",))
+    if not res["success"]:
+        raise RuntimeError(f"append failed: {res['error_code']} {res['error_message']}")
+    back = (read_committed(spark, root, "short").withColumn("target", F.lit("short"))
+            .unionByName(read_committed(spark, root, "long").withColumn("target", F.lit("long"))))
+    return back.groupBy("target", "doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+# ======================================================= O2, O43, O44: streams
+
+@register("stream_pack_envelope_events", _ENVELOPE_SQL)
+def q_stream_pack_envelope_events(spark, sf_dir):
+    """O2 + O43: the events table read as a stream, packed per micro-batch
+    (the same operator as the batch query), appended through foreachBatch."""
+    stream = table_stream(spark, sf_dir, "events")
+    props = F.when(F.col("event_id") % 17 == 0, F.lit("")).otherwise(F.col("props"))
+    rec = to_records(stream.withColumn("props", props), "event_id", ["event_type", "user_id"], content="props")
+    packed = _pack_events(rec)
+    root = scratch_path(spark, "stream_envelopes")
+    q = append_stream(packed, lambda b: {"envelopes": b}, root, checkpoint=f"{root}/_checkpoint")
+    run_available_now(q)
+    return read_committed(spark, root, "envelopes").select("event_id", "envelope", "attributes_json")
+
+
+@register("stream_enrich_events", """
+SELECT e.event_id, e.user_id, c.c_name, c.c_mktsegment, 'events' AS source,
+       CASE WHEN c.c_custkey IS NULL THEN 'true' END AS no_result
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+""")
+def q_stream_enrich_events(spark, sf_dir):
+    """Event stream × customer table (stream-static join), appended
+    all-or-nothing per micro-batch."""
+    stream = table_stream(spark, sf_dir, "events", fixed={"source": "events"}).select("event_id", "user_id", "source")
+    customers = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_name", "c_mktsegment")
+    enriched = en.enrich(stream, customers, "user_id", empty_marker="no_result", strategy="left_outer")
+    root = scratch_path(spark, "stream_enrich")
+    q = append_stream(enriched, lambda b: {"enriched": b}, root, checkpoint=f"{root}/_checkpoint")
+    run_available_now(q)
+    return read_committed(spark, root, "enriched").select("event_id", "user_id", "c_name", "c_mktsegment", "source",
+                                                          "no_result")
