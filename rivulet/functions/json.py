@@ -25,7 +25,7 @@ def row_json(df: DataFrame, cols: Iterable[str] | None = None, keep_nulls: bool
 
 def sorted_map(m: Column | str) -> Column:
     """Map with its entries in key order, so its JSON text is stable."""
-    return F.map_from_entries(F.array_sort(F.map_entries(col_of(m))))
+    return F.map_from_entries(F.sort_array(F.map_entries(col_of(m))))
 
 
 def map_json(m: Column | str, sort_keys: bool = True) -> Column:

@@ -64,21 +64,25 @@ def pair_keys(pairs: Column) -> Column:
 
 
 def last_wins_map(pairs: Column, prefix: str = "", suffix: str = "") -> Column:
-    """Pairs → map; a repeated name keeps its last value (independent of the
-    session's map-key dedup policy)."""
-    keys = pair_keys(F.filter(pairs, lambda p: p["key"].isNotNull()))
-    vals = F.transform(keys, lambda k: F.element_at(F.filter(pairs, lambda p: p["key"] == k), -1)["value"])
+    """Pairs → map; a repeated name keeps its last value (``map_from_entries``
+    under ``spark.sql.mapKeyDedupPolicy=LAST_WIN``, set by the operators);
+    pairs with a null name are left out."""
+    pairs = F.filter(pairs, lambda p: p["key"].isNotNull())
     if prefix or suffix:
-        keys = F.transform(keys, lambda k: F.concat(F.lit(prefix), k, F.lit(suffix)))
-    return F.map_from_arrays(keys, vals)
+        pairs = F.transform(pairs, lambda p: F.struct(F.concat(F.lit(prefix), p["key"], F.lit(suffix)).alias("key"),
+                                                      p["value"].alias("value")))
+    return F.map_from_entries(pairs)
 
 
 def multimap(pairs: Column) -> Column:
-    """Pairs → map name → all its values in order."""
-    keys = pair_keys(F.filter(pairs, lambda p: p["key"].isNotNull()))
-    vals = F.transform(keys, lambda k: F.transform(F.filter(pairs, lambda p: p["key"] == k),
-                                                   lambda p: p["value"]))
-    return F.map_from_arrays(keys, vals)
+    """Pairs → map name → all its values in order (a fold)."""
+    start = F.create_map().cast("map<string,array<string>>")
+    return F.aggregate(
+        pairs, start,
+        lambda acc, p: F.when(p["key"].isNull(), acc).otherwise(
+            F.map_zip_with(acc, F.create_map(p["key"], F.array(p["value"])),
+                           lambda k, a, b: F.concat(F.coalesce(a, F.array().cast("array<string>")),
+                                                    F.coalesce(b, F.array().cast("array<string>"))))))
 
 
 def first_value(pairs: Column, key: str) -> Column:

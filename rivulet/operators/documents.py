@@ -39,29 +39,48 @@ def cpf_base(seed: int, by: Sequence[str | Column], state: int | Column | None =
     return F.when(T.all_same_digit(base), bumped).otherwise(base)
 
 
+def with_check_digits(df: DataFrame, base: Column, out: str, kind: str = "cpf") -> DataFrame:
+    """``out`` = base + its two check digits, in staged projections (base,
+    then first digit, then second), so each step reads plain columns."""
+    base_len, _, weights_of = T._KINDS[kind]
+    df = df.withColumn("_base", base)
+    df = df.withColumn("_d1", T.check_digit(F.col("_base"), weights_of(base_len)).cast("string"))
+    df = df.withColumn("_b1", F.concat(F.col("_base"), F.col("_d1")))
+    df = df.withColumn(out, F.concat(F.col("_b1"), T.check_digit(F.col("_b1"), weights_of(base_len + 1)).cast("string")))
+    return df.drop("_base", "_d1", "_b1")
+
+
+def with_validity(df: DataFrame, doc: str, out: str, kind: str = "cpf", problem: bool = False) -> DataFrame:
+    """O34/O35 over a frame: ``out`` = validity (or the problem text), with
+    the digits staged once per row."""
+    df = df.withColumn("_digits", T.digits_only(doc))
+    d = F.col("_digits")
+    return df.withColumn(out, T.problem_digits(d, kind) if problem else T.valid_digits(d, kind)).drop("_digits")
+
+
 def generate_cpf(df: DataFrame, by: Sequence[str], seed: int = 0, state: int | Column | None = None,
                  out: str = "cpf") -> DataFrame:
     """One valid CPF per row, repeatable from (seed, ``by`` columns).
     A state outside 0..9 is ignored, as in the reference."""
     if isinstance(state, int) and not 0 <= state <= 9:
         state = None
-    return df.withColumn(out, T.cpf_complete(cpf_base(seed, by, state)))
+    df = df.withColumn("_draw", cpf_base(seed, by, state))
+    return with_check_digits(df, F.col("_draw"), out, "cpf").drop("_draw")
 
 
 def generate_cnpj(df: DataFrame, by: Sequence[str], seed: int = 0, out: str = "cnpj") -> DataFrame:
     """One valid CNPJ per row (head office ``0001``)."""
     num = _draw(seed, by, CNPJ_RANGE)
     base = F.lpad(F.concat(num.cast("string"), F.lit(T.CNPJ_HEAD_OFFICE)), T.CNPJ_BASE_LEN, "0")
-    return df.withColumn(out, T.cnpj_complete(base))
+    return with_check_digits(df, base, out, "cnpj")
 
 
 def document_quality(df: DataFrame, doc: str, by: str | Sequence[str], kind: str = "cpf") -> DataFrame:
     """Per group, documents checked and how many are valid, of wrong
     length, or with a wrong check digit (partial aggregation map-side)."""
-    problem = T.cpf_problem(doc) if kind == "cpf" else T.cnpj_problem(doc)
     keys = [by] if isinstance(by, str) else list(by)
-    return (df.select(*keys, problem.alias("_p"))
-            .groupBy(*keys).agg(
+    checked = with_validity(df.select(*keys, doc), doc, "_p", kind, problem=True)
+    return (checked.groupBy(*keys).agg(
                 F.count(F.lit(1)).alias("n_docs"),
                 F.count_if(F.col("_p") == "valid").alias("n_valid"),
                 F.count_if(F.col("_p") == "wrong_length").alias("n_wrong_length"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.json import json_string_literal, map_json
 from rivulet.functions.text import col_of
-from rivulet.operators.records import MAP_TYPE, last_wins_entries, put_attribute, put_attributes
+from rivulet.operators.records import MAP_TYPE, last_win, put_attribute, put_attributes, staged
 
 # Fixed values that must equal the reference's: the record host's core
 # attribute names, and the default names used by the JSON operators.
@@ -40,6 +40,7 @@ def attributes_to_json(df: DataFrame, names: str | Sequence[str] | None = None,
     set, in key order. Non-empty content is added under ``content_name``.
     Output to ``content`` (plus ``mime.type``) or to attribute
     ``JSONAttributes``."""
+    df = last_win(df)
     attrs = F.col(attributes)
     removed = () if include_core else tuple(core)
     if names is not None and (not isinstance(names, str) or names.strip()):
@@ -86,9 +87,10 @@ def pack_envelope(df: DataFrame, content: str = "content", attributes: str = "at
     ``attribute`` member. Content that is not JSON is flagged in
     ``valid_col`` (false) and its envelope is null.
     """
+    df = last_win(df)
     c, a = F.col(content), F.col(attributes)
     has_c = _nonempty(c)
-    inner = minify_json(c)
+    df, inner = staged(df, "_inner", minify_json(c))
     has_a = F.coalesce(F.size(a) > 0, F.lit(False))
     members = F.concat_ws(",",
                           F.when(has_c, F.concat(F.lit('"content":'), inner)),
@@ -99,30 +101,34 @@ def pack_envelope(df: DataFrame, content: str = "content", attributes: str = "at
         content: F.when(ok, env),
         attributes: F.when(has_c, a).otherwise(put_attribute(a, marker, F.lit("true"))),
     })
-    return out.withColumn(valid_col, ok) if valid_col else out
+    out = out.withColumn(valid_col, ok) if valid_col else out
+    return out.drop("_inner")
 
 
 def unpack_envelope(df: DataFrame, content: str = "content", attributes: str = "attributes",
                     marker: str = NO_ATTRIBUTE) -> DataFrame:
     """The envelope's attributes are merged over the record's (envelope
     wins); content becomes the inner JSON. Empty content → marker."""
+    df = last_win(df)
     c, a = F.col(content), F.col(attributes)
     has_c = _nonempty(c)
-    inner = F.get_json_object(c, "$.content")
-    v = F.try_variant_get(F.try_parse_json(c), "$.content", "variant")
-    inner = F.when(F.schema_of_variant(v) == F.lit("STRING"), json_string_literal(inner)).otherwise(inner)
-    env_attrs = F.coalesce(F.from_json(F.get_json_object(c, "$.attribute"), MAP_TYPE),
-                           F.create_map().cast(MAP_TYPE))
-    return df.withColumns({
+    df, env = staged(df, "_env", F.when(has_c, F.try_parse_json(c)))
+    df, inner = staged(df, "_inner", F.get_json_object(c, "$.content"))
+    is_text = F.schema_of_variant(F.try_variant_get(env, "$.content", "variant")) == F.lit("STRING")
+    inner = F.when(is_text, json_string_literal(inner)).otherwise(inner)
+    env_attrs = F.from_json(F.get_json_object(c, "$.attribute"), MAP_TYPE)
+    out = df.withColumns({
         content: F.when(has_c, inner).otherwise(c),
         attributes: F.when(has_c, put_attributes(a, env_attrs)).otherwise(put_attribute(a, marker, F.lit("true"))),
     })
+    return out.drop("_env", "_inner")
 
 
 def content_to_attribute(df: DataFrame, name: str, if_empty: str | None = None, content: str = "content",
                          attributes: str = "attributes") -> DataFrame:
     """Content becomes attribute ``name``; empty content gives
     ``if_empty`` instead."""
+    df = last_win(df)
     c = F.col(content)
     val = F.when(_nonempty(c), c).otherwise(F.lit(if_empty))
     return df.withColumn(attributes, F.when(val.isNotNull(), put_attribute(F.col(attributes), name, val))
@@ -137,21 +143,20 @@ def json_to_attributes(df: DataFrame, case: str = "default", empty_marker: str =
     JSON text). ``{}`` → attribute ``empty_marker`` holding the content;
     zero-length content → nothing; text that is not a JSON object is flagged
     in ``valid_col`` and adds nothing."""
+    if case not in ("default", "lower", "upper"):
+        raise ValueError("case must be default, lower or upper")
+    df = last_win(df)
     c = F.col(content)
-    parsed = F.when(_nonempty(c), F.from_json(c, MAP_TYPE))
+    df, parsed = staged(df, "_parsed", F.when(_nonempty(c), F.from_json(c, MAP_TYPE)))
     ok = ~_nonempty(c) | parsed.isNotNull()
-    keys, vals = F.map_keys(parsed), F.map_values(parsed)
-    if case == "lower":
-        keys = F.transform(keys, F.lower)
-    elif case == "upper":
-        keys = F.transform(keys, F.upper)
-    elif case != "default":
-        raise ValueError("case must be default, lower or upper")
-    new = F.when(F.size(parsed) > 0, last_wins_entries(keys, vals)).when(
-        parsed.isNotNull(), F.create_map(F.lit(empty_marker), c))
-    out = df.withColumn(attributes, F.when(new.isNotNull(), put_attributes(F.col(attributes), new))
-                        .otherwise(F.col(attributes)))
-    return out.withColumn(valid_col, ok) if valid_col else out
+    named = parsed
+    if case != "default":
+        f = F.lower if case == "lower" else F.upper
+        named = F.map_from_arrays(F.transform(F.map_keys(parsed), f), F.map_values(parsed))
+    new = F.when(F.size(parsed) > 0, named).when(parsed.isNotNull(), F.create_map(F.lit(empty_marker), c))
+    out = df.withColumn(attributes, put_attributes(F.col(attributes), new))
+    out = out.withColumn(valid_col, ok) if valid_col else out
+    return out.drop("_parsed")
 
 
 # ---------------------------------------------------------------- O26
@@ -201,6 +206,7 @@ def nest_attributes(df: DataFrame, root: str, names: Sequence[str], attributes:
     values are strings; groups with no present leaf are left out. A record
     with none of the names keeps its content and gets attribute
     ``no_attribute`` (= its own name)."""
+    df = last_win(df)
     tree = _name_tree(root, names)
     body = _tree_struct(tree, F.col(attributes)) if tree else F.lit(None)
     text = F.to_json(F.struct(body.alias(root)))

@@ -15,14 +15,17 @@ MAP_TYPE = "map<string,string>"
 
 def attribute_map(cols: Mapping[str, Column | str] | Sequence[str]) -> Column:
     """Columns → MAP<STRING,STRING>; null values are left out (an attribute
-    is either present with a text value or absent)."""
+    is either present with a text value or absent). Built with
+    ``map_concat`` of one-entry maps, which stays inside codegen."""
     items = cols.items() if isinstance(cols, Mapping) else [(c, c) for c in cols]
-    flat = []
+    empty = F.create_map().cast(MAP_TYPE)
+    parts = []
     for name, c in items:
-        flat += [F.lit(name), col_of(c).cast("string")]
-    if not flat:
-        return F.create_map().cast(MAP_TYPE)
-    return F.map_filter(F.create_map(*flat), lambda k, v: v.isNotNull())
+        v = col_of(c).cast("string")
+        parts.append(F.when(v.isNotNull(), F.create_map(F.lit(name), v)).otherwise(empty))
+    if not parts:
+        return empty
+    return parts[0] if len(parts) == 1 else F.map_concat(*parts)
 
 
 def to_records(df: DataFrame, id_col: str, attributes: Mapping[str, Column | str] | Sequence[str],
@@ -38,19 +41,26 @@ def to_wide(df: DataFrame, names: Iterable[str], attributes: str = "attributes")
     return df.withColumns({n: F.element_at(F.col(attributes), F.lit(n)) for n in names})
 
 
+def last_win(df: DataFrame) -> DataFrame:
+    """Operators that merge maps rely on a later duplicate key replacing the
+    earlier one (``spark.sql.mapKeyDedupPolicy=LAST_WIN``, a run-time
+    setting read when the plan executes); set it on the frame's session."""
+    df.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    return df
+
+
 def put_attributes(m: Column, new: Column) -> Column:
-    """Map merge where ``new`` wins, independent of the session's dedup
-    policy: old entries whose key is in ``new`` are dropped first."""
-    return F.map_concat(F.map_filter(m, lambda k, v: ~F.array_contains(F.map_keys(new), k)), new)
+    """Map merge where ``new`` wins (``map_concat`` under LAST_WIN, inside
+    codegen); a null ``new`` leaves ``m`` as it is."""
+    return F.map_concat(m, F.coalesce(new, F.create_map().cast(MAP_TYPE)))
 
 
 def put_attribute(m: Column, name: str | Column, value: Column) -> Column:
     return put_attributes(m, F.create_map(name if isinstance(name, Column) else F.lit(name), value))
 
 
-def last_wins_entries(keys: Column, values: Column) -> Column:
-    """Parallel key/value arrays → map; a repeated key keeps its last value."""
-    pairs = F.filter(F.arrays_zip(keys.alias("k"), values.alias("v")), lambda p: p["k"].isNotNull())
-    uniq = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
-    vals = F.transform(uniq, lambda k: F.element_at(F.filter(pairs, lambda p: p["k"] == k), -1)["v"])
-    return F.map_from_arrays(uniq, vals)
+def staged(df: DataFrame, name: str, expr: Column) -> tuple[DataFrame, Column]:
+    """Add ``expr`` as a hidden column so later expressions read it instead
+    of recomputing it (callers reference it more than once, which keeps
+    Catalyst from inlining it back)."""
+    return df.withColumn(name, expr), F.col(name)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions import urls as U
 from rivulet.functions.text import col_of
+from rivulet.operators.records import last_win, staged
 
 
 def url_params(df: DataFrame, url: str, prefix: str = "", suffix: str = "", if_empty: str | None = None,
@@ -17,12 +18,13 @@ def url_params(df: DataFrame, url: str, prefix: str = "", suffix: str = "", if_e
     name keeps its last value). No parameters and ``if_empty`` set → map
     ``{if_empty: "true"}``. A malformed URL (or a bad escape) is flagged in
     ``failed_col`` and gets a null map."""
-    pairs = U.url_pairs(url)
+    df = last_win(df)
+    df, pairs = staged(df, "_pairs", U.url_pairs(url))
     m = U.last_wins_map(pairs, prefix, suffix)
     if if_empty:
         m = F.when(F.size(pairs) > 0, m).otherwise(F.create_map(F.lit(if_empty), F.lit("true")))
     failed = U.url_malformed(url) | F.exists(pairs, lambda p: p["key"].isNull() | p["value"].isNull())
-    return df.withColumns({out: F.when(~failed, m), failed_col: failed})
+    return df.withColumns({out: F.when(~failed, m), failed_col: failed}).drop("_pairs")
 
 
 def url_param_rows(df: DataFrame, url: str, keep: Sequence[str]) -> DataFrame:
@@ -35,7 +37,8 @@ def url_param_rows(df: DataFrame, url: str, keep: Sequence[str]) -> DataFrame:
 
 def url_param_multimap(df: DataFrame, url: str, out: str = "param_values") -> DataFrame:
     """Map name → all its values in order (per row, no shuffle)."""
-    return df.withColumn(out, U.multimap(U.url_pairs(url)))
+    df, pairs = staged(df, "_pairs", U.url_pairs(url))
+    return df.withColumn(out, F.when(pairs.isNotNull(), U.multimap(pairs))).drop("_pairs")
 
 
 def url_param_first(df: DataFrame, url: str, key: str, out: str | None = None) -> DataFrame:

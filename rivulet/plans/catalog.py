@@ -542,12 +542,13 @@ def q_insert_script_lineitem(spark, sf_dir):
 def _docs_frame(spark, sf_dir) -> DataFrame:
     c = t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     k = F.col("c_custkey")
-    cpf = T.cpf_complete(F.lpad(k.cast("string"), 9, "0"))
+    c = D.with_check_digits(c, F.lpad(k.cast("string"), 9, "0"), "cpf0", "cpf")
+    c = D.with_check_digits(c, F.concat(F.lpad(k.cast("string"), 8, "0"), F.lit("0001")), "cnpj0", "cnpj")
+    cpf, cnpj = F.col("cpf0"), F.col("cnpj0")
     cpf = (F.when(k % 11 == 5, F.substring(cpf, 1, 10))
            .when(k % 7 == 3, F.concat(F.substring(cpf, 1, 10),
                                       ((F.substring(cpf, 11, 1).cast("int") + 1) % 10).cast("string")))
            .otherwise(cpf))
-    cnpj = T.cnpj_complete(F.concat(F.lpad(k.cast("string"), 8, "0"), F.lit("0001")))
     cnpj = F.when(k % 5 == 1, F.concat(F.substring(cnpj, 1, 13),
                                        ((F.substring(cnpj, 14, 1).cast("int") + 1) % 10).cast("string"))).otherwise(cnpj)
     return c.select("c_custkey", "c_mktsegment", T.cpf_format(cpf, True).alias("cpf"),
@@ -579,8 +580,9 @@ FROM docs
 def q_documents_customer(spark, sf_dir):
     """CPF/CNPJ per customer (some broken), masked, validated."""
     d = _docs_frame(spark, sf_dir)
-    return d.select("c_custkey", "cpf", T.cpf_valid("cpf").alias("cpf_valid"), "cnpj",
-                    T.cnpj_valid("cnpj").alias("cnpj_valid"))
+    d = D.with_validity(d, "cpf", "cpf_valid", "cpf")
+    d = D.with_validity(d, "cnpj", "cnpj_valid", "cnpj")
+    return d.select("c_custkey", "cpf", "cpf_valid", "cnpj", "cnpj_valid")
 
 
 _CPF_DIGITS = X.digits_sql("cpf")
@@ -610,12 +612,14 @@ def q_generate_documents_customer(spark, sf_dir):
     g = D.generate_cpf(c, ["c_custkey"], seed=7)
     g = D.generate_cpf(g, ["c_custkey"], seed=8, state=F.col("c_custkey") % 10, out="cpf_state")
     g = D.generate_cnpj(g, ["c_custkey"], seed=9)
+    g = D.with_validity(g, "cpf", "_v1", "cpf")
+    g = D.with_validity(g, "cpf_state", "_v2", "cpf")
+    g = D.with_validity(g, "cnpj", "_v3", "cnpj")
     return g.select(
         "c_custkey",
-        (T.cpf_valid("cpf") & (F.length("cpf") == 11) & ~T.all_same_digit(F.substring("cpf", 1, 9))).alias("cpf_ok"),
-        (T.cpf_valid("cpf_state")
-         & (F.substring("cpf_state", 9, 1) == (F.col("c_custkey") % 10).cast("string"))).alias("cpf_state_ok"),
-        (T.cnpj_valid("cnpj") & (F.substring("cnpj", 9, 4) == "0001")).alias("cnpj_ok"))
+        (F.col("_v1") & (F.length("cpf") == 11) & ~T.all_same_digit(F.substring("cpf", 1, 9))).alias("cpf_ok"),
+        (F.col("_v2") & (F.substring("cpf_state", 9, 1) == (F.col("c_custkey") % 10).cast("string"))).alias("cpf_state_ok"),
+        (F.col("_v3") & (F.substring("cnpj", 9, 4) == "0001")).alias("cnpj_ok"))
 
 
 # ======================================================= O40, O41: tokens
