@@ -97,12 +97,13 @@ def pack_envelope(df: DataFrame, content: str = "content", attributes: str = "at
                           F.when(has_a, F.concat(F.lit('"attribute":'), F.to_json(a))))
     env = F.concat(F.lit("{"), members, F.lit("}"))
     ok = ~has_c | inner.isNotNull()
-    out = df.withColumns({
+    cols = {
         content: F.when(ok, env),
         attributes: F.when(has_c, a).otherwise(put_attribute(a, marker, F.lit("true"))),
-    })
-    out = out.withColumn(valid_col, ok) if valid_col else out
-    return out.drop("_inner")
+    }
+    if valid_col:
+        cols[valid_col] = ok
+    return df.withColumns(cols).drop("_inner")
 
 
 def unpack_envelope(df: DataFrame, content: str = "content", attributes: str = "attributes",
@@ -154,9 +155,10 @@ def json_to_attributes(df: DataFrame, case: str = "default", empty_marker: str =
         f = F.lower if case == "lower" else F.upper
         named = F.map_from_arrays(F.transform(F.map_keys(parsed), f), F.map_values(parsed))
     new = F.when(F.size(parsed) > 0, named).when(parsed.isNotNull(), F.create_map(F.lit(empty_marker), c))
-    out = df.withColumn(attributes, put_attributes(F.col(attributes), new))
-    out = out.withColumn(valid_col, ok) if valid_col else out
-    return out.drop("_parsed")
+    cols = {attributes: put_attributes(F.col(attributes), new)}
+    if valid_col:
+        cols[valid_col] = ok
+    return df.withColumns(cols).drop("_parsed")
 
 
 # ---------------------------------------------------------------- O26

@@ -101,13 +101,17 @@ def loop_trace(df: DataFrame, value: str, limit: str | Column, step_col: str = "
     ``sequence`` counts down when start > stop, so it is only used under the
     ``value <= limit`` guard.
     """
-    v, lim = col_of(value).cast("long"), col_of(limit).cast("long")
+    staged = df.withColumns({"_v": col_of(value).cast("long"), "_lim": col_of(limit).cast("long")})
+    if value_col in df.columns:
+        staged = staged.drop(value_col)  # the trace value replaces it
+    v, lim = F.col("_v"), F.col("_lim")
     runs = v.isNotNull() & lim.isNotNull() & (v <= lim)
     seq = F.when(runs, F.sequence(v, lim)).otherwise(F.array(v))
-    out = df.select("*", F.posexplode(seq).alias("_pos", value_col))
+    out = staged.select("*", F.posexplode(seq).alias("_pos", value_col))
     route = (F.when(~runs, F.lit(UNMATCHED))
              .when(F.col(value_col) < lim, F.lit("loop")).otherwise(F.lit("endloop")))
-    return out.withColumn(step_col, F.col("_pos").cast("long")).withColumn(route_col, route).drop("_pos")
+    return (out.withColumn(step_col, F.col("_pos").cast("long")).withColumn(route_col, route)
+            .drop("_pos", "_v", "_lim"))
 
 
 def loop_end(df: DataFrame, value: str, limit: str | Column, route_col: str = "route",

@@ -4,17 +4,20 @@
 of a key in one task; a key holding a third of the table would then be one
 task's work. Instead:
 
-1. range-partition on (key, order): the sampled bounds split a hot key's
-   rows over many partitions, in order;
-2. number rows inside each (partition, key) slice — a slice is never larger
-   than one range partition;
-3. count rows per (partition, key) (a small table), and turn those counts
-   into per-slice offsets with a running sum over partitions of the key,
-   plus the key's stored counter;
-4. id = offset + local number.
-
-Both uses of the range-partitioned frame share one exchange (one sampling,
-one shuffle), which ``explain`` shows as a reused exchange.
+1. range-partition on (key, order) and sort within partitions: the sampled
+   bounds split a hot key's rows over many partitions, in order;
+2. tag each row once with its partition id and its position in the sorted
+   partition (``monotonically_increasing_id`` counts rows of a partition
+   one by one), and cut the lineage there by writing the tagged rows as a
+   Parquet table under ``spark.checkpoint.dir`` — so every later use sees
+   the same tags, even if executors are lost and work is redone;
+3. per (partition, key): row count and first position (a small table);
+   a running sum of counts over the key's partitions, plus the stored
+   counter, gives each slice's offset;
+4. id = offset + (position - first position + 1).
+
+No window runs over the big data, and no task holds more than one range
+partition.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.session import materialize
+
 
 def _cols(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -39,17 +44,20 @@ def next_ids(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[
     ks, os_ = _cols(keys), _cols(order_by)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *ks, *os_).withColumn("_pid", F.spark_partition_id())
+    tagged = (df.repartitionByRange(n, *ks, *os_).sortWithinPartitions(*ks, *os_)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_pos", F.monotonically_increasing_id()))
+    tagged = materialize(tagged, "next_ids")
 
-    local = ranged.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid", *ks).orderBy(*os_)))
-    counts = ranged.groupBy("_pid", *ks).agg(F.count(F.lit(1)).alias("_n"))
+    slices = tagged.groupBy("_pid", *ks).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     before = Window.partitionBy(*ks).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    offsets = slices.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     if counters is not None:
         base = counters.select(*ks, F.coalesce(F.col(counter_col), F.lit(0)).cast("long").alias("_base"))
         offsets = offsets.join(base, ks, "left").withColumn("_off", F.col("_off") + F.coalesce("_base", F.lit(0)))
-    out = local.join(offsets.select("_pid", *ks, "_off"), ["_pid", *ks], "inner")
-    return out.withColumn(id_col, (F.col("_off") + F.col("_lrn")).cast("long")).drop("_pid", "_lrn", "_off")
+    out = tagged.join(offsets.select("_pid", *ks, "_off", "_first"), ["_pid", *ks], "inner")
+    ids = F.col("_off") + (F.col("_pos") - F.col("_first")) + F.lit(1)
+    return out.withColumn(id_col, ids.cast("long")).drop("_pid", "_pos", "_off", "_first")
 
 
 def updated_counters(df: DataFrame, keys: str | Sequence[str], counters: DataFrame | None = None,

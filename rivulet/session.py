@@ -67,3 +67,13 @@ def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
     return f"{root}/rivulet/{leaf}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as a Parquet table under the shared
+    checkpoint folder and reading it back (one job; columnar; survives lost
+    executors, since later stages read the files, not recomputed tasks)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
