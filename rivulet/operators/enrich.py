@@ -12,8 +12,11 @@ would then sit in one task. So ``enrich`` is planned as
     UNION ALL
     left-anti join against the lookup's *distinct* keys (pre-aggregated
     map-side, so a hot key is one row per map task)
+    UNION ALL
+    records whose key is null (they cannot match)
 
-which gives the left-join result with no unsplittable skew.
+which gives the left-join result with no unsplittable skew; the records'
+shuffle is shared by both joins.
 """
 
 from __future__ import annotations
@@ -80,7 +83,14 @@ def enrich(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str =
             out = out.withColumn(empty_marker, F.when(F.col("_hit").isNull(), F.lit(marker_value)))
         return out.drop("_hit")
 
-    matched = df.join(side, keys, "inner")
+    # Records with a null key never match. Splitting them off first makes
+    # both joins below read the same filtered input, so its shuffle is done
+    # once and reused (the null-key scan is a pushed-down filter).
+    has_key = F.lit(True)
+    for k in keys:
+        has_key = has_key & F.col(k).isNotNull()
+    keyed = df.where(has_key)
+    matched = keyed.join(side.where(has_key), keys, "inner")
     if empty_marker:
         matched = matched.withColumn(empty_marker, F.lit(None).cast("string"))
     if how == "inner":
@@ -88,8 +98,8 @@ def enrich(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str =
     if how != "left":
         raise ValueError("how must be 'left' or 'inner'")
 
-    hit_keys = lookup.select(*keys).where(F.coalesce(*[F.col(k).isNotNull() for k in keys])).distinct()
-    missed = df.join(hit_keys, keys, "left_anti")
+    hit_keys = lookup.select(*keys).where(has_key).distinct()
+    missed = keyed.join(hit_keys, keys, "left_anti").unionByName(df.where(~has_key))
     types = dict(side.dtypes)
     missed = missed.select(*df.columns, *[F.lit(None).cast(types[c]).alias(c) for c in out_vals])
     if empty_marker:
