@@ -26,9 +26,25 @@ def split_lines(c: Column | str) -> Column:
     return F.split(col_of(c), LINE_BREAK)
 
 
+# Inside a line, "blank" is any character up to U+0020 other than the
+# line breaks themselves.
+_IN_LINE_BLANK = r"[\x00-\x09\x0B\x0C\x0E-\x20]"
+# (?m): ^ and $ at every line; (?d): only \n ends a line.
+_LINE_EDGES = rf"(?md)^{_IN_LINE_BLANK}+|{_IN_LINE_BLANK}+$"
+
+
 def non_blank_trimmed_lines(c: Column | str) -> Column:
-    """Text → array of trimmed, non-blank lines, in order."""
-    return F.filter(F.transform(split_lines(c), java_trim), lambda x: x != F.lit(""))
+    """Text → array of trimmed, non-blank lines, in order.
+
+    Three whole-text regex passes instead of a per-line lambda (lambdas run
+    outside whole-stage codegen): unify line breaks to ``\n``, trim every
+    line, collapse runs of empty lines; then one ``split``.
+    """
+    t = F.regexp_replace(col_of(c), r"\r\n|\r", "\n")
+    t = F.regexp_replace(t, _LINE_EDGES, "")
+    t = F.regexp_replace(t, r"\n{2,}", "\n")
+    t = F.regexp_replace(t, r"^\n|\n$", "")
+    return F.when(t == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(t, "\n"))
 
 
 def is_blank(c: Column | str) -> Column:

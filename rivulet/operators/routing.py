@@ -35,12 +35,19 @@ def route_column(df: DataFrame, routes: Mapping[str, Column], multi: bool = True
                  unmatched: str = UNMATCHED, name: str = "route") -> DataFrame:
     """O7 in one scan: a row per (record, matched route), with the route's
     name in column ``name``; a record matching none gets ``unmatched``."""
-    hits = F.filter(F.array(*[F.when(F.coalesce(p, F.lit(False)), F.lit(n)) for n, p in routes.items()]),
-                    lambda x: x.isNotNull())
+    preds = [(n, F.coalesce(p, F.lit(False))) for n, p in routes.items()]
     if not multi:
-        hits = F.slice(hits, 1, 1)
-    hits = F.when(F.size(hits) > 0, hits).otherwise(F.array(F.lit(unmatched)))
-    return df.withColumn(name, F.explode(hits))
+        first = F.lit(unmatched)
+        for n, p in reversed(preds):
+            first = F.when(p, F.lit(n)).otherwise(first)
+        return df.withColumn(name, first)
+    any_hit = F.lit(False)
+    for _, p in preds:
+        any_hit = any_hit | p
+    # one entry per route (null when it does not match) plus "unmatched";
+    # nulls are dropped after the explode, which stays inside codegen
+    entries = F.array(*[F.when(p, F.lit(n)) for n, p in preds], F.when(~any_hit, F.lit(unmatched)))
+    return df.withColumn(name, F.explode(entries)).where(F.col(name).isNotNull())
 
 
 def update_when(df: DataFrame, col: str, expr: Column, condition: Column | None = None) -> DataFrame:

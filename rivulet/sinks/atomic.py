@@ -20,6 +20,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -93,8 +94,11 @@ def read_committed(spark: SparkSession, root: str, name: str, schema=None, fmt:
     if schema is not None:
         reader = reader.schema(schema)
     data = reader.load(f"{root.rstrip('/')}/{name}")
-    ok = committed_batches(spark, root)
-    return (data.join(ok, F.col(BATCH_COL).cast("string") == ok["batch_id_value"], "left_semi"))
+    batch_type = data.schema[BATCH_COL].dataType
+    ok = committed_batches(spark, root).select(F.col("batch_id_value").cast(batch_type).alias("_committed"))
+    # the cast is on the manifest side, so the partition column is compared
+    # as it is and dynamic partition pruning can skip uncommitted folders
+    return data.join(ok, data[BATCH_COL] == ok["_committed"], "left_semi")
 
 
 def result_frame(spark: SparkSession, results: list[dict]) -> DataFrame:
@@ -113,5 +117,12 @@ def append_lines(spark: SparkSession, records: DataFrame, content: str,
     schema) from the frame of lines; all targets are then appended
     all-or-nothing."""
     lines = records.select(*keep, F.explode(non_blank_trimmed_lines(content)).alias("line"))
-    frames = {name: fn(lines) for name, fn in targets.items()}
-    return atomic_append(spark, frames, root, batch_id)
+    # every target reads the same lines: split the content once (kept in
+    # memory or on local disk while the batch is written; a lost block is
+    # recomputed from its lineage, which is deterministic)
+    lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        frames = {name: fn(lines) for name, fn in targets.items()}
+        return atomic_append(spark, frames, root, batch_id)
+    finally:
+        lines.unpersist()
