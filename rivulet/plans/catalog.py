@@ -133,6 +133,28 @@ def q_enrich_last_order(spark, sf_dir):
                           empty_marker="no_result", case="upper")
 
 
+# ======================================================= O12: templates
+
+LOOKUP_TEMPLATE = ("select * from lineitem where l_orderkey = ${o_orderkey} "
+                   "and l_returnflag <> '${o_orderstatus:toLower()}' -- next ${o_custkey:plus(1)}")
+
+
+@register("render_order_lookup_sql", """
+SELECT o_orderkey,
+       'select * from lineitem where l_orderkey = ' || CAST(o_orderkey AS VARCHAR)
+       || ' and l_returnflag <> ' || chr(39) || COALESCE(lower(o_orderstatus), '') || chr(39) || ' -- next '
+       || COALESCE(CAST(o_custkey + 1 AS VARCHAR), '') AS sql_text,
+       o_orderstatus = 'F' AS is_final
+FROM orders
+""")
+def q_render_order_lookup_sql(spark, sf_dir):
+    """A ``${...}`` template rendered per order (and a predicate)."""
+    from rivulet.functions.templates import predicate, render
+    orders = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return orders.select("o_orderkey", render(LOOKUP_TEMPLATE).alias("sql_text"),
+                         predicate("${o_orderstatus:equals('F')}").alias("is_final"))
+
+
 # ======================================================= O7, O8, O42, O5: routing
 
 _ROUTE_SQL = """

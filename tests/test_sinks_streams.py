@@ -58,3 +58,43 @@ def test_stream_equals_batch(spark, sf_small):
     q2 = append_stream(out, lambda b: {"attrs": b}, root, checkpoint=f"{root}/_checkpoint")
     run_available_now(q2)
     assert read_committed(spark, root, "attrs").count() == want.count()
+
+
+def _run_stream(spark, frame, name):
+    root = scratch_path(spark, f"t_{name}")
+    q = append_stream(frame, lambda b: {name: b}, root, checkpoint=f"{root}/_checkpoint")
+    run_available_now(q)
+    return read_committed(spark, root, name).drop("batch_id")
+
+
+def _same(a, b):
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stateless_operators_on_streams(spark, sf_small):
+    from rivulet.functions.json import map_json
+    from rivulet.operators import lines as L
+    from rivulet.operators import tokens as K
+    from rivulet.operators import urlops as U
+
+    def urls(df):
+        out = U.url_params(df.select("page_id", "url"), "url", prefix="q.", if_empty="none")
+        out = U.url_param_first(out, "url", "page")
+        return out.select("page_id", map_json("params").alias("params"), "page", "url_failed")
+
+    _same(_run_stream(spark, urls(table_stream(spark, sf_small, "pages")), "urls"),
+          urls(spark.read.parquet(f"{sf_small}/pages.parquet")))
+
+    def frags(df):
+        return L.split_lines(df.select("doc_id", "text"), "doc_id", "text")["fragments"]
+
+    _same(_run_stream(spark, frags(table_stream(spark, sf_small, "documents")), "frags"),
+          frags(spark.read.parquet(f"{sf_small}/documents.parquet")))
+
+    def signed(df):
+        return K.sign_rows(df.select("c_custkey", "c_name"), ["c_custkey", "c_name"], "k", "HS384",
+                           expires_s=10, now=5)
+
+    _same(_run_stream(spark, signed(table_stream(spark, sf_small, "customer")), "signed"),
+          signed(spark.read.parquet(f"{sf_small}/customer.parquet")))
