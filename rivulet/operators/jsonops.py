@@ -109,20 +109,30 @@ def pack_envelope(df: DataFrame, content: str = "content", attributes: str = "at
 def unpack_envelope(df: DataFrame, content: str = "content", attributes: str = "attributes",
                     marker: str = NO_ATTRIBUTE) -> DataFrame:
     """The envelope's attributes are merged over the record's (envelope
-    wins); content becomes the inner JSON. Empty content → marker."""
+    wins); content becomes the inner JSON (an envelope without a content
+    member gives empty content). Empty content → marker."""
     df = last_win(df)
     c, a = F.col(content), F.col(attributes)
     has_c = _nonempty(c)
-    df, env = staged(df, "_env", F.when(has_c, F.try_parse_json(c)))
     df, inner = staged(df, "_inner", F.get_json_object(c, "$.content"))
-    is_text = F.schema_of_variant(F.try_variant_get(env, "$.content", "variant")) == F.lit("STRING")
+    # get_json_object gives a JSON string member unquoted, so string content
+    # must be re-quoted. With "content" as the first member (as packed) the
+    # next character tells; other layouts ask the parsed variant.
+    first = r'^\s*\{\s*"content"\s*:'
+    is_text = F.when(c.rlike(first), c.rlike(first + r'\s*"')).otherwise(
+        F.schema_of_variant(F.try_variant_get(F.try_parse_json(c), "$.content", "variant")) == F.lit("STRING"))
     inner = F.when(is_text, json_string_literal(inner)).otherwise(inner)
+    # a JSON null member comes back as the text null; no member (empty
+    # content was packed) comes back as empty content
+    inner = (F.when(inner.isNotNull(), inner)
+             .when(F.array_contains(F.json_object_keys(c), F.lit("content")), F.lit("null"))
+             .otherwise(F.lit("")))
     env_attrs = F.from_json(F.get_json_object(c, "$.attribute"), MAP_TYPE)
     out = df.withColumns({
         content: F.when(has_c, inner).otherwise(c),
         attributes: F.when(has_c, put_attributes(a, env_attrs)).otherwise(put_attribute(a, marker, F.lit("true"))),
     })
-    return out.drop("_env", "_inner")
+    return out.drop("_inner")
 
 
 def content_to_attribute(df: DataFrame, name: str, if_empty: str | None = None, content: str = "content",

@@ -315,7 +315,7 @@ def q_pack_envelope_events(spark, sf_dir):
 WITH e AS (SELECT event_id, event_type, user_id,
                   CASE WHEN event_id % 17 = 0 THEN '' ELSE props END AS props FROM events)
 SELECT event_id,
-       CASE WHEN props = '' THEN NULL ELSE CAST(json(props) AS VARCHAR) END AS content,
+       CASE WHEN props = '' THEN '' ELSE CAST(json(props) AS VARCHAR) END AS content,
        CASE WHEN props = ''
             THEN json_object('event_type', event_type, 'no.attribute', 'true', 'stage', 'packed',
                              'user_id', CAST(user_id AS VARCHAR))
