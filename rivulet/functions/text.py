@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 #  - trimming removes every character up to U+0020 at both ends (SQL trim
 #    only removes spaces, so tabs and control characters need a pattern).
 LINE_BREAK = r"\r\n|\r|\n"
-EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+\z"
+TRIM_CHARS = "".join(chr(i) for i in range(0x21))   # U+0000 .. U+0020
 
 
 def col_of(c: Column | str) -> Column:
@@ -18,7 +18,8 @@ def col_of(c: Column | str) -> Column:
 
 
 def java_trim(c: Column | str) -> Column:
-    return F.regexp_replace(col_of(c), EDGE_CONTROL, "")
+    """Remove every character up to U+0020 from both ends (``btrim``)."""
+    return F.btrim(col_of(c), F.lit(TRIM_CHARS))
 
 
 def split_lines(c: Column | str) -> Column:
@@ -26,25 +27,14 @@ def split_lines(c: Column | str) -> Column:
     return F.split(col_of(c), LINE_BREAK)
 
 
-# Inside a line, "blank" is any character up to U+0020 other than the
-# line breaks themselves.
-_IN_LINE_BLANK = r"[\x00-\x09\x0B\x0C\x0E-\x20]"
-# (?m): ^ and $ at every line; (?d): only \n ends a line.
-_LINE_EDGES = rf"(?md)^{_IN_LINE_BLANK}+|{_IN_LINE_BLANK}+$"
-
-
 def non_blank_trimmed_lines(c: Column | str) -> Column:
     """Text → array of trimmed, non-blank lines, in order.
 
-    Three whole-text regex passes instead of a per-line lambda (lambdas run
-    outside whole-stage codegen): unify line breaks to ``\n``, trim every
-    line, collapse runs of empty lines; then one ``split``.
+    ``split`` on the line breaks, ``btrim`` each line (it scans inwards from
+    both ends only; a trim pattern would be tried at every character of long
+    texts), then ``array_remove`` the empty ones.
     """
-    t = F.regexp_replace(col_of(c), r"\r\n|\r", "\n")
-    t = F.regexp_replace(t, _LINE_EDGES, "")
-    t = F.regexp_replace(t, r"\n{2,}", "\n")
-    t = F.regexp_replace(t, r"^\n|\n$", "")
-    return F.when(t == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(t, "\n"))
+    return F.array_remove(F.transform(split_lines(c), java_trim), "")
 
 
 def is_blank(c: Column | str) -> Column:
