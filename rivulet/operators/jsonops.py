@@ -23,6 +23,7 @@ MIME_TYPE = "mime.type"
 APPLICATION_JSON = "application/json"
 NO_ATTRIBUTE = "no.attribute"
 JSON_EMPTY = "json.empty"
+ENVELOPE_SCHEMA = "struct<content:string,attribute:map<string,string>>"
 
 
 def _nonempty(c: Column) -> Column:
@@ -68,9 +69,10 @@ def attributes_to_json(df: DataFrame, names: str | Sequence[str] | None = None,
 
 
 def minify_json(c: Column | str) -> Column:
-    """Compact JSON text with key order and number text kept: objects and
-    arrays are re-printed by ``get_json_object(c, '$')``; scalars are
-    trimmed. Null when the text is not JSON."""
+    """Compact JSON text with key order kept: objects and arrays are
+    re-printed by ``get_json_object(c, '$')`` (numbers as the JSON writer
+    prints them, e.g. ``2.50`` → ``2.5``); scalars are trimmed. Null when the
+    text is not JSON."""
     c = col_of(c)
     t = F.trim(c)
     first = F.substring(t, 1, 1)
@@ -114,7 +116,10 @@ def unpack_envelope(df: DataFrame, content: str = "content", attributes: str = "
     df = last_win(df)
     c, a = F.col(content), F.col(attributes)
     has_c = _nonempty(c)
-    df, inner = staged(df, "_inner", F.get_json_object(c, "$.content"))
+    # one parse: a string-typed field receives an object/array member as its
+    # JSON text, and the attributes as a map
+    df, env = staged(df, "_env", F.when(has_c, F.from_json(c, ENVELOPE_SCHEMA)))
+    inner = env["content"]
     # get_json_object gives a JSON string member unquoted, so string content
     # must be re-quoted. With "content" as the first member (as packed) the
     # next character tells; other layouts ask the parsed variant.
@@ -127,12 +132,12 @@ def unpack_envelope(df: DataFrame, content: str = "content", attributes: str = "
     inner = (F.when(inner.isNotNull(), inner)
              .when(F.array_contains(F.json_object_keys(c), F.lit("content")), F.lit("null"))
              .otherwise(F.lit("")))
-    env_attrs = F.from_json(F.get_json_object(c, "$.attribute"), MAP_TYPE)
+    env_attrs = env["attribute"]
     out = df.withColumns({
         content: F.when(has_c, inner).otherwise(c),
         attributes: F.when(has_c, put_attributes(a, env_attrs)).otherwise(put_attribute(a, marker, F.lit("true"))),
     })
-    return out.drop("_inner")
+    return out.drop("_env")
 
 
 def content_to_attribute(df: DataFrame, name: str, if_empty: str | None = None, content: str = "content",
