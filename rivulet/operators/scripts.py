@@ -55,9 +55,11 @@ def append_script(lines: DataFrame, key: str | Sequence[str], order_by: str, lin
     keys = [key] if isinstance(key, str) else list(key)
     chunk = F.floor(F.col(order_by) / F.lit(chunk_rows)).cast("long")
     staged = lines.select(*keys, chunk.alias("chunk"), F.struct(F.col(order_by).alias("o"), F.col(line).alias("l")).alias("_e"))
+    # sort_array orders the (order, line) structs; .l takes the lines out;
+    # every line is followed by a newline
+    ordered = F.sort_array(F.collect_list("_e")).getField("l")
     scripts = staged.groupBy(*keys, "chunk").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("_e")), lambda e: F.concat(e["l"], F.lit(SCRIPT_NEWLINE))),
-                     "").alias("script"))
+        F.concat(F.array_join(ordered, SCRIPT_NEWLINE), F.lit(SCRIPT_NEWLINE)).alias("script"))
     if old_content is not None:
         old = old_content.select(*keys, F.lit(-1).cast("long").alias("chunk"),
                                  F.concat(col_of(content), F.lit(SCRIPT_NEWLINE)).alias("script"))
