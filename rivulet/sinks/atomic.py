@@ -55,6 +55,8 @@ def atomic_append(spark: SparkSession, targets: Mapping[str, DataFrame], root: s
     """
     done, rows = 0, {}
     try:
+        if not targets or next(iter(targets.values())) is None:
+            raise ValueError("the first target is required")
         for name, df in targets.items():
             if df is None:
                 continue  # blank statement slot: skipped

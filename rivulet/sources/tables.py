@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Mapping
 from typing import Any
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -51,6 +52,24 @@ def select_rows(spark: SparkSession, sql: str, args: Mapping[str, Any] | None =
     return all_as_strings(df) if as_strings else df
 
 
+def run_statement(spark: SparkSession, sql: str, args: Mapping[str, Any] | None = None,
+                  as_strings: bool = True) -> tuple[DataFrame | None, dict | None]:
+    """O1 + O9 for one whole statement: ``(rows, None)`` when Spark accepts
+    it, else ``(None, failure)`` with ``error_code`` = ``SqlErrCod[<SQLSTATE>] ``
+    and ``error_message`` = the statement text with ``'`` replaced by ``"``
+    (what the reference reports). Parse and analysis errors surface here;
+    errors while running surface at the action (use ``try_*`` functions for
+    per-row problems so one bad row never fails the job)."""
+    try:
+        df = select_rows(spark, sql, args, as_strings)
+        df.schema  # noqa: B018 - forces analysis now
+        return df, None
+    except PySparkException as e:
+        state = e.getSqlState() or e.getCondition() or "UNKNOWN"
+        return None, {"error_code": f"SqlErrCod[{state}] ", "error_message": sql.replace("'", '"'),
+                      "error_condition": e.getCondition()}
+
+
 def jdbc_rows(spark: SparkSession, url: str, query: str, properties: Mapping[str, str] | None = None,
               query_timeout: int = 0, partition_column: str | None = None,
               lower_bound: int | None = None, upper_bound: int | None = None,
