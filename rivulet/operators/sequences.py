@@ -43,7 +43,10 @@ def next_ids(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[
     ids."""
     ks, os_ = _cols(keys), _cols(order_by)
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # As many range partitions as the input has splits (at least the shuffle
+    # default), so each is about one input split (maxPartitionBytes) however
+    # large the input is; AQE cannot split range partitions later.
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
     tagged = (df.repartitionByRange(n, *ks, *os_).sortWithinPartitions(*ks, *os_)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))
