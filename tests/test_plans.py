@@ -58,3 +58,40 @@ def test_row_operators_do_not_shuffle(spark, sf_small, name):
 def test_scans_are_pruned(spark, sf_small):
     plan = executed_plan(se.queries()["route_lineitem"](spark, sf_small))
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double,l_returnflag:string>" in plan
+
+
+def test_enrich_hot_key_is_split_by_aqe(spark):
+    from pyspark.sql import functions as F
+
+    from rivulet.operators import enrich as en
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    # small thresholds stand in for cluster-sized partitions
+    for k, v in zip(keys, ["-1", "-1", "64k", "2", "64k", "false", "16"]):
+        spark.conf.set(k, v)
+    try:
+        n = 300_000  # key 0 holds a third of the records and a third of the lookup rows
+        recs = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
+        look = spark.range(30).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") * 11).alias("k"),
+                                      F.col("id").alias("v"))
+        out = en.enrich(recs, look, "k", empty_marker="none")
+        agg = out.groupBy(F.col("none").isNull().alias("hit")).count()
+        got = {r.hit: r["count"] for r in agg.collect()}
+        hot = (n // 3) * 10                      # 100,000 records x 10 lookup rows
+        others = sum(1 for i in range(1, 30) if i % 3 and (11 * i) % 3 and 11 * i < n)
+        assert got == {True: hot + others, False: n - n // 3 - others}
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            agg.explain()
+        plan = buf.getvalue().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
