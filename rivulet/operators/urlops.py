@@ -41,9 +41,14 @@ def url_param_multimap(df: DataFrame, url: str, out: str = "param_values") -> Da
     return df.withColumn(out, F.when(pairs.isNotNull(), U.multimap(pairs))).drop("_pairs")
 
 
-def url_param_first(df: DataFrame, url: str, key: str, out: str | None = None) -> DataFrame:
-    """The first value of ``key``, else null."""
-    return df.withColumn(out or key, U.first_value(U.url_pairs(url), key))
+def url_param_first(df: DataFrame, url: str, key: str | Sequence[str], out: str | None = None) -> DataFrame:
+    """The first value of ``key`` (or of each of several keys, one
+    column each, from one parse of the URL), else null."""
+    keys = [key] if isinstance(key, str) else list(key)
+    if len(keys) == 1:
+        return df.withColumn(out or keys[0], U.first_value(U.url_pairs(url), keys[0]))
+    df, pairs = staged(df, "_pairs", U.url_pairs(url))
+    return df.withColumns({k: U.first_value(pairs, k) for k in keys}).drop("_pairs")
 
 
 def build_query_string(df: DataFrame, pairs: str, out: str = "query_string") -> DataFrame:

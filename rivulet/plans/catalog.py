@@ -441,7 +441,7 @@ FROM p
 def q_url_param_first_pages(spark, sf_dir):
     """First value of a name, else null."""
     pages = t(spark, sf_dir, "pages").select("page_id", "url")
-    out = U.url_param_first(U.url_param_first(pages, "url", "ref"), "url", "utm_source")
+    out = U.url_param_first(pages, "url", ["ref", "utm_source"])
     return out.select("page_id", "ref", "utm_source")
 
 
