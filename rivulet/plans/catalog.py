@@ -786,6 +786,25 @@ def q_stream_pack_envelope_events(spark, sf_dir):
     return read_committed(spark, root, "envelopes").select("event_id", "envelope", "attributes_json")
 
 
+@register("stream_loop_events", """
+SELECT event_id, CAST(v AS BIGINT) AS step, CAST(v AS BIGINT) AS valor,
+       CASE WHEN v < 10 THEN 'loop' ELSE 'endloop' END AS route
+FROM (SELECT event_id, unnest(generate_series(0, 10)) AS v FROM events)
+""")
+def q_stream_loop_events(spark, sf_dir):
+    """O2 + O42 + O5 as the loop flow runs: each event from the stream gets
+    the fixed attributes valor=0, repeticao=10, loops to 10, and only the
+    chosen attributes are logged, per micro-batch."""
+    stream = table_stream(spark, sf_dir, "events", fixed={"valor": 0, "repeticao": 10}).select(
+        "event_id", "valor", "repeticao")
+    trace = R.loop_trace(stream, "valor", F.col("repeticao"))
+    logged = attribute_log(trace, ["event_id", "step", "valor", "route"])
+    root = scratch_path(spark, "stream_loop")
+    q = append_stream(logged, lambda b: {"loop_log": b}, root, checkpoint=f"{root}/_checkpoint")
+    run_available_now(q)
+    return read_committed(spark, root, "loop_log").select("event_id", "step", "valor", "route")
+
+
 @register("stream_enrich_events", """
 SELECT e.event_id, e.user_id, c.c_name, c.c_mktsegment, 'events' AS source,
        CASE WHEN c.c_custkey IS NULL THEN 'true' END AS no_result
