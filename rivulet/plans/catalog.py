@@ -32,7 +32,7 @@ from rivulet.session import apply_runtime_conf, scratch_path
 from rivulet.sinks.atomic import append_lines, atomic_append, read_committed
 from rivulet.sinks.logs import attribute_log
 from rivulet.sources.tables import read_table, register_views, select_rows
-from rivulet.streaming.streams import append_stream, run_available_now, table_stream
+from rivulet.streaming.streams import allocate_stream, append_stream, run_available_now, table_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -805,6 +805,26 @@ def q_stream_loop_events(spark, sf_dir):
     return read_committed(spark, root, "loop_log").select("event_id", "step", "valor", "route")
 
 
+@register("stream_next_ids_orders", """
+SELECT o.o_orderkey, o.o_custkey,
+       CAST(row_number() OVER (PARTITION BY o.o_custkey ORDER BY o.o_orderdate, o.o_orderkey)
+            + COALESCE(c.c_nationkey, 0) AS BIGINT) AS next_id
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+""")
+def q_stream_next_ids_orders(spark, sf_dir):
+    """O18 on a stream: orders arriving as a stream get per-customer ids that
+    continue the stored counters; ids and counters are published together
+    per micro-batch."""
+    stream = table_stream(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    counters = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"),
+                                                   F.col("c_nationkey").alias("contador"))
+    root = scratch_path(spark, "stream_ids")
+    q = allocate_stream(stream, "o_custkey", ["o_orderdate", "o_orderkey"], root, f"{root}/_checkpoint",
+                        initial_counters=counters)
+    run_available_now(q)
+    return read_committed(spark, root, "ids").select("o_orderkey", "o_custkey", "next_id")
+
+
 @register("stream_enrich_events", """
 SELECT e.event_id, e.user_id, c.c_name, c.c_mktsegment, 'events' AS source,
        CASE WHEN c.c_custkey IS NULL THEN 'true' END AS no_result

@@ -1,4 +1,4 @@
-"""The same operators on streaming frames.
+"""The same operators on streaming frames.
 
 Stateless operators are plain projections/filters, so they apply to a
 ``readStream`` frame unchanged (O43). A stream enriched by a static table is
@@ -12,9 +12,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rivulet.sinks.atomic import atomic_append
+from rivulet.operators.sequences import allocate
+from rivulet.sinks.atomic import BATCH_COL, atomic_append, read_committed
 from rivulet.sources.tables import stream_source
 
 
@@ -51,3 +53,42 @@ def run_available_now(query: StreamingQuery, timeout_s: float | None = None) ->
     query.awaitTermination(timeout_s)
     if query.exception():
         raise query.exception()
+
+
+def latest_committed(spark: SparkSession, root: str, name: str, before: int | None = None):
+    """The newest committed batch of ``name`` (with id < ``before``), or None.
+    Only one number (the batch id) comes to the driver."""
+    try:
+        data = read_committed(spark, root, name)
+    except Exception:  # noqa: BLE001 - nothing written yet
+        return None
+    if before is not None:
+        data = data.where(F.col(BATCH_COL) < F.lit(before))
+    last = data.agg(F.max(BATCH_COL).alias("b")).first().b
+    if last is None:
+        return None
+    return data.where(F.col(BATCH_COL) == F.lit(last)).drop(BATCH_COL)
+
+
+def allocate_stream(stream: DataFrame, keys, order_by, root: str, checkpoint: str,
+                    initial_counters: DataFrame | None = None, counter_col: str = "contador",
+                    id_col: str = "next_id", processing_time: str | None = None) -> StreamingQuery:
+    """O18 on a stream: every micro-batch continues the counters committed by
+    the batches before it, and publishes its ids (target ``ids``) and the new
+    counter snapshot (target ``counters``) all-or-nothing under its batch id.
+    A replayed batch reads the same earlier snapshot, so it writes the same
+    ids over its own folder."""
+    spark = stream.sparkSession
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        prev = latest_committed(spark, root, "counters", before=batch_id)
+        if prev is None:
+            prev = initial_counters
+        ids, counters = allocate(batch, keys, order_by, prev, counter_col, id_col)
+        res = atomic_append(spark, {"ids": ids, "counters": counters}, root, batch_id)
+        if not res["success"]:
+            raise RuntimeError(f"batch {batch_id} failed: {res['error_code']} {res['error_message']}")
+
+    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
+    return w.start()

@@ -98,3 +98,36 @@ def test_stateless_operators_on_streams(spark, sf_small):
 
     _same(_run_stream(spark, signed(table_stream(spark, sf_small, "customer")), "signed"),
           signed(spark.read.parquet(f"{sf_small}/customer.parquet")))
+
+
+def test_ids_over_micro_batches(spark):
+    import tempfile
+
+    from rivulet.sinks.atomic import read_committed
+    from rivulet.streaming.streams import allocate_stream
+
+    src = tempfile.mkdtemp(prefix="rivulet-src-")
+    rows, ts = [], 0
+    for part in range(3):  # three files → three micro-batches
+        chunk = []
+        for i in range(40):
+            ts += 1
+            chunk.append(("hot" if i % 2 else f"k{i % 5}", ts))
+        rows += chunk
+        spark.createDataFrame(chunk, "loja string, ts long").coalesce(1).write.parquet(f"{src}/p{part}")
+    stream = spark.readStream.schema("loja string, ts long").option("maxFilesPerTrigger", "1") \
+        .option("recursiveFileLookup", "true").parquet(src)
+    initial = spark.createDataFrame([("hot", 5)], "loja string, contador long")
+    root = scratch_path(spark, "t_ids_stream")
+    q = allocate_stream(stream, "loja", "ts", root, f"{root}/_checkpoint", initial_counters=initial)
+    run_available_now(q)
+    got = read_committed(spark, root, "ids").collect()
+    assert len(got) == len(rows)
+    by = {}
+    for r in got:
+        by.setdefault(r.loja, []).append((r.ts, r.next_id))
+    for k, pairs in by.items():
+        pairs.sort()
+        start = 6 if k == "hot" else 1
+        assert [i for _, i in pairs] == list(range(start, start + len(pairs))), k
+    assert len({r.batch_id for r in got}) == 3
