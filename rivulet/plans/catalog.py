@@ -66,9 +66,9 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @register("select_orders_json", """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
-       json_object('o_orderkey', CAST(o_orderkey AS VARCHAR), 'o_custkey', CAST(o_custkey AS VARCHAR),
-                   'o_orderstatus', o_orderstatus, 'o_orderdate', CAST(o_orderdate AS VARCHAR),
-                   'o_orderpriority', o_orderpriority) AS row_json
+       CAST(json_object('o_orderkey', CAST(o_orderkey AS VARCHAR), 'o_custkey', CAST(o_custkey AS VARCHAR),
+                        'o_orderstatus', o_orderstatus, 'o_orderdate', CAST(o_orderdate AS VARCHAR),
+                        'o_orderpriority', o_orderpriority) AS VARCHAR) AS row_json
 FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '5-LOW'
 """)
 def q_select_orders_json(spark, sf_dir):
@@ -102,7 +102,8 @@ def q_enrich_customer_orders(spark, sf_dir):
 @register("enrich_json_nation_suppliers", """
 SELECT n.n_nationkey, n.n_name,
        CASE WHEN s.s_suppkey IS NULL THEN '{}'
-            ELSE json_object('s_suppkey', CAST(s.s_suppkey AS VARCHAR), 's_name', s.s_name) END AS content
+            ELSE CAST(json_object('s_suppkey', CAST(s.s_suppkey AS VARCHAR), 's_name', s.s_name) AS VARCHAR)
+       END AS content
 FROM nation n LEFT JOIN supplier s ON n.n_nationkey = s.s_nationkey
 """)
 def q_enrich_json_nation_suppliers(spark, sf_dir):
@@ -266,11 +267,11 @@ def _events_records(spark, sf_dir, bad_every: int | None = None, empty_every: in
 
 @register("json_to_attributes_events", _EVENTS_JSON_CTE + """
 SELECT event_id,
-       CASE WHEN json_valid(props)
+       CAST(CASE WHEN json_valid(props)
             THEN json_object('K', json_extract_string(props, '$.k'), 'event_type', event_type, 'raw', props,
                              'user_id', CAST(user_id AS VARCHAR))
             ELSE json_object('event_type', event_type, 'raw', props, 'user_id', CAST(user_id AS VARCHAR)) END
-         AS attributes_json,
+         AS VARCHAR) AS attributes_json,
        json_valid(props) AS content_valid
 FROM e
 """)
@@ -292,9 +293,9 @@ SELECT event_id,
        CASE WHEN props = '' THEN '{{"attribute":' || {_ENV_ATTRS} || '}}'
             ELSE '{{"content":' || CAST(json(props) AS VARCHAR) || ',"attribute":' || {_ENV_ATTRS} || '}}' END
          AS envelope,
-       CASE WHEN props = ''
+       CAST(CASE WHEN props = ''
             THEN json_object('event_type', event_type, 'no.attribute', 'true', 'user_id', CAST(user_id AS VARCHAR))
-            ELSE {_ENV_ATTRS} END AS attributes_json
+            ELSE {_ENV_ATTRS} END AS VARCHAR) AS attributes_json
 FROM e
 """
 
@@ -316,11 +317,11 @@ WITH e AS (SELECT event_id, event_type, user_id,
                   CASE WHEN event_id % 17 = 0 THEN '' ELSE props END AS props FROM events)
 SELECT event_id,
        CASE WHEN props = '' THEN '' ELSE CAST(json(props) AS VARCHAR) END AS content,
-       CASE WHEN props = ''
+       CAST(CASE WHEN props = ''
             THEN json_object('event_type', event_type, 'no.attribute', 'true', 'stage', 'packed',
                              'user_id', CAST(user_id AS VARCHAR))
             ELSE json_object('event_type', event_type, 'stage', 'packed', 'user_id', CAST(user_id AS VARCHAR)) END
-         AS attributes_json
+         AS VARCHAR) AS attributes_json
 FROM e
 """)
 def q_unpack_envelope_events(spark, sf_dir):
@@ -343,8 +344,10 @@ def _customer_wide(spark, sf_dir) -> DataFrame:
 
 @register("attributes_to_json_customer", """
 SELECT c.c_custkey,
-       json_object('c_name', c.c_name, 'c_mktsegment', c.c_mktsegment, 'missing_attr', '') AS json_listed,
-       json_object('c_mktsegment', c.c_mktsegment, 'c_name', c.c_name, 'n_name', n.n_name) AS json_all
+       CAST(json_object('c_name', c.c_name, 'c_mktsegment', c.c_mktsegment, 'missing_attr', '') AS VARCHAR)
+         AS json_listed,
+       CAST(json_object('c_mktsegment', c.c_mktsegment, 'c_name', c.c_name, 'n_name', n.n_name) AS VARCHAR)
+         AS json_all
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
 """)
 def q_attributes_to_json_customer(spark, sf_dir):
@@ -615,8 +618,9 @@ chk AS (SELECT c_mktsegment,
                CASE WHEN {X.cpf_valid_sql('cpf')} THEN 'valid'
                     WHEN length({_CPF_DIGITS}) <> 11 THEN 'wrong_length' ELSE 'wrong_digit' END AS p
         FROM docs)
-SELECT c_mktsegment, count(*) AS n_docs, count_if(p = 'valid') AS n_valid,
-       count_if(p = 'wrong_length') AS n_wrong_length, count_if(p = 'wrong_digit') AS n_wrong_digit
+SELECT c_mktsegment, count(*) AS n_docs, CAST(count_if(p = 'valid') AS BIGINT) AS n_valid,
+       CAST(count_if(p = 'wrong_length') AS BIGINT) AS n_wrong_length,
+       CAST(count_if(p = 'wrong_digit') AS BIGINT) AS n_wrong_digit
 FROM chk GROUP BY c_mktsegment
 """)
 def q_document_quality_segment(spark, sf_dir):
