@@ -72,16 +72,27 @@ def enrich(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str =
     side = lookup.select(*keys, *[(F.col(f"`{c}`").cast("string") if as_strings else F.col(f"`{c}`")).alias(c)
                                   for c in vals])
     side = rename_case(side, case, skip=keys)
-    out_vals = [c for c in side.columns if c not in keys]
+    # A lookup column named like a record column overwrites it on matched
+    # rows (result attributes replace the record's); records without a match
+    # keep their own value. The lookup copy travels under a temporary name so
+    # the record side's input (and its shuffle) stays the same in both joins.
+    overlap = [c for c in side.columns if c not in keys and c in df.columns]
+    side = side.toDF(*[f"_lk_{c}" if c in overlap else c for c in side.columns])
+    new_vals = [c for c in side.columns if c not in keys and not c.startswith("_lk_")]
+    out_cols = [F.col(f"_lk_{c}").alias(c) if c in overlap else F.col(f"`{c}`") for c in df.columns]
+    out_cols += [F.col(f"`{c}`") for c in new_vals]
     if broadcast_max_rows is not None:
         side = bounded_broadcast(side, broadcast_max_rows)
 
     if how == "left" and strategy == "left_outer":
         hit = side.withColumn("_hit", F.lit(True))
-        out = df.join(hit, keys, "left")
+        joined = df.join(hit, keys, "left")
+        cols = [F.when(F.col("_hit").isNotNull(), F.col(f"_lk_{c}")).otherwise(F.col(f"`{c}`")).alias(c)
+                if c in overlap else F.col(f"`{c}`") for c in df.columns]
+        cols += [F.col(f"`{c}`") for c in new_vals]
         if empty_marker:
-            out = out.withColumn(empty_marker, F.when(F.col("_hit").isNull(), F.lit(marker_value)))
-        return out.drop("_hit")
+            cols.append(F.when(F.col("_hit").isNull(), F.lit(marker_value)).alias(empty_marker))
+        return joined.select(*cols)
 
     # Records with a null key never match. Splitting them off first makes
     # both joins below read the same filtered input, so its shuffle is done
@@ -90,7 +101,7 @@ def enrich(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str =
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
     keyed = df.where(has_key)
-    matched = keyed.join(side.where(has_key), keys, "inner")
+    matched = keyed.join(side.where(has_key), keys, "inner").select(*out_cols)
     if empty_marker:
         matched = matched.withColumn(empty_marker, F.lit(None).cast("string"))
     if how == "inner":
@@ -101,7 +112,8 @@ def enrich(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str =
     hit_keys = lookup.select(*keys).where(has_key).distinct()
     missed = keyed.join(hit_keys, keys, "left_anti").unionByName(df.where(~has_key))
     types = dict(side.dtypes)
-    missed = missed.select(*df.columns, *[F.lit(None).cast(types[c]).alias(c) for c in out_vals])
+    missed = missed.select(*[F.col(f"`{c}`") for c in df.columns],
+                           *[F.lit(None).cast(types[c]).alias(c) for c in new_vals])
     if empty_marker:
         missed = missed.withColumn(empty_marker, F.lit(marker_value))
     return matched.select(*missed.columns).unionByName(missed)

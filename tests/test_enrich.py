@@ -35,3 +35,15 @@ def test_bounded_broadcast(spark):
     big = spark.range(100)
     assert "hint broadcast" in str(en.bounded_broadcast(small, 10)._jdf.queryExecution().logical()).lower()
     assert "hint" not in str(en.bounded_broadcast(big, 10)._jdf.queryExecution().logical()).lower()
+
+
+def test_lookup_columns_overwrite_record_columns(spark):
+    recs = spark.createDataFrame([(1, "old", "x"), (2, "keep", "y")], "k long, status string, other string")
+    look = spark.createDataFrame([(1, "new", "v1")], "k long, status string, extra string")
+    for strategy in ("split", "left_outer"):
+        out = en.enrich(recs, look, "k", empty_marker="none", strategy=strategy)
+        assert out.columns == ["k", "status", "other", "extra", "none"]
+        got = sorted(map(repr, out.collect()))
+        assert got == sorted(map(repr, [
+            out.sparkSession.createDataFrame([(1, "new", "x", "v1", None), (2, "keep", "y", None, "true")],
+                                             out.schema).collect()[i] for i in range(2)]))
