@@ -67,3 +67,13 @@ def test_iterate_union_and_scripts(spark):
     assert scripts[1] == "insert into t(n,s) values (1,null);\ninsert into t(n,s) values (2,a);\n"
     small = {(r.k, r.chunk): r.script for r in S.append_script(lines, "k", "n", chunk_rows=1).collect()}
     assert set(small) == {(1, 1), (1, 2), (2, 1)}
+
+
+def test_append_script_keeps_old_content_first(spark):
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "k long, n long, s string")
+    lines = S.rows_to_insert_script(rows, "insert into t", ["s"], keep=["k", "n"])
+    old = spark.createDataFrame([(1, "previous text")], "k long, content string")
+    parts = sorted((r.chunk, r.script) for r in S.append_script(lines, "k", "n", old_content=old).collect())
+    assert "".join(p for _, p in parts) == ("previous text\n" "insert into t(s) values (a);\n"
+                                            "insert into t(s) values (b);\n")
+    assert parts[0][0] == -1
