@@ -131,3 +131,23 @@ def test_ids_over_micro_batches(spark):
         start = 6 if k == "hot" else 1
         assert [i for _, i in pairs] == list(range(start, start + len(pairs))), k
     assert len({r.batch_id for r in got}) == 3
+
+
+def test_processing_time_trigger(spark, sf_small):
+    """The loop flow's periodic source: fixed attributes, a processing-time
+    trigger; stopped once everything available has been processed."""
+    from rivulet.operators import routing as R
+
+    stream = table_stream(spark, sf_small, "events", fixed={"valor": 0, "repeticao": 3}).select(
+        "event_id", "valor", "repeticao")
+    out = R.loop_end(stream, "valor", F.col("repeticao")).select("event_id", "valor", "iterations", "route")
+    root = scratch_path(spark, "t_periodic")
+    q = append_stream(out, lambda b: {"ends": b}, root, checkpoint=f"{root}/_checkpoint", processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = read_committed(spark, root, "ends")
+    n = spark.read.parquet(f"{sf_small}/events.parquet").count()
+    assert got.count() == n
+    assert got.where("valor = 3 AND iterations = 3 AND route = 'endloop'").count() == n
