@@ -117,7 +117,8 @@ def append_lines(spark: SparkSession, records: DataFrame, content: str,
     """Each non-blank trimmed line of the content is one data row; each
     target's function picks and parses its lines (e.g. ``from_csv`` with a
     schema) from the frame of lines; all targets are then appended
-    all-or-nothing."""
+    all-or-nothing. As every line is one statement in content mode, the
+    reported ``insert_successfully_done`` is the number of rows written."""
     lines = records.select(*keep, F.explode(non_blank_trimmed_lines(content)).alias("line"))
     # every target reads the same lines: split the content once (kept in
     # memory or on local disk while the batch is written; a lost block is
@@ -125,6 +126,9 @@ def append_lines(spark: SparkSession, records: DataFrame, content: str,
     lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         frames = {name: fn(lines) for name, fn in targets.items()}
-        return atomic_append(spark, frames, root, batch_id)
+        res = atomic_append(spark, frames, root, batch_id)
+        if res["success"]:
+            res["insert_successfully_done"] = sum(res["rows"].values())
+        return res
     finally:
         lines.unpersist()

@@ -33,7 +33,7 @@ def test_append_lines(spark):
         "bad": lambda ls: ls.select("id", "line", F.from_csv("line", "name string, n int").alias("r"))
                             .filter("r.n is null").select("id", "line"),
     }, root, 7, keep=("id",))
-    assert res["success"] and res["rows"] == {"good": 3, "bad": 1}
+    assert res["success"] and res["rows"] == {"good": 3, "bad": 1} and res["insert_successfully_done"] == 4
     got = sorted((r.id, r.name, r.n) for r in read_committed(spark, root, "good").collect())
     assert got == [(1, "a", 1), (1, "b", 2), (2, "d", 4)]
 
