@@ -26,8 +26,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import non_blank_trimmed_lines
+from rivulet.operators.enrich import bounded_broadcast
 
 MANIFEST = "manifest"
+MANIFEST_BROADCAST_MAX_ROWS = 1_000_000   # batches; beyond this the filter join shuffles
 BATCH_COL = "batch_id"
 RESULT_SCHEMA = ("batch_id string, success boolean, insert_successfully_done bigint, "
                  "rows map<string,bigint>, error_code string, error_message string")
@@ -89,17 +91,19 @@ def committed_batches(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_committed(spark: SparkSession, root: str, name: str, schema=None, fmt: str = "parquet") -> DataFrame:
-    """A target as readers see it: only batches named in the manifest. The
-    semi-join on the partition column lets dynamic partition pruning skip
-    uncommitted folders."""
+    """A target as readers see it: only batches named in the manifest (a
+    semi-join on the partition column against the broadcast manifest)."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     data = reader.load(f"{root.rstrip('/')}/{name}")
     batch_type = data.schema[BATCH_COL].dataType
     ok = committed_batches(spark, root).select(F.col("batch_id_value").cast(batch_type).alias("_committed"))
-    # the cast is on the manifest side, so the partition column is compared
-    # as it is and dynamic partition pruning can skip uncommitted folders
+    # One manifest row per committed batch: broadcast it once that bound is
+    # checked, so the target data is never shuffled for this filter. The
+    # cast is on the manifest side, so the partition column is compared as
+    # it is.
+    ok = bounded_broadcast(ok, MANIFEST_BROADCAST_MAX_ROWS)
     return data.join(ok, data[BATCH_COL] == ok["_committed"], "left_semi")
 
 
