@@ -36,11 +36,13 @@ def _keys(on: str | Sequence[str]) -> list[str]:
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
 
-    The check is a ``limit(max_rows + 1).count()``, which stops reading once
-    the bound is passed; beyond the bound the frame is returned as is and
-    the join shuffles.
+    The check is ``take(max_rows + 1)`` of a constant column: Spark scans
+    partitions a few at a time and stops once the bound is passed (a
+    ``limit().count()`` would start a task on every input split). At most
+    ``max_rows + 1`` one-value rows reach the driver. Beyond the bound the
+    frame is returned as is and the join shuffles.
     """
-    n = df.limit(max_rows + 1).count()
+    n = len(df.select(F.lit(1).alias("_one")).take(max_rows + 1))
     return F.broadcast(df) if n <= max_rows else df
 
 

@@ -29,7 +29,7 @@ from rivulet.functions.text import non_blank_trimmed_lines
 from rivulet.operators.enrich import bounded_broadcast
 
 MANIFEST = "manifest"
-MANIFEST_BROADCAST_MAX_ROWS = 1_000_000   # batches; beyond this the filter join shuffles
+MANIFEST_BROADCAST_MAX_ROWS = 100_000   # batches; beyond this the filter join shuffles
 BATCH_COL = "batch_id"
 RESULT_SCHEMA = ("batch_id string, success boolean, insert_successfully_done bigint, "
                  "rows map<string,bigint>, error_code string, error_message string")

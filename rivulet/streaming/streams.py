@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators.sequences import allocate
-from rivulet.sinks.atomic import BATCH_COL, atomic_append, read_committed
+from rivulet.sinks.atomic import BATCH_COL, atomic_append, committed_batches
 from rivulet.sources.tables import stream_source
 
 
@@ -57,17 +57,15 @@ def run_available_now(query: StreamingQuery, timeout_s: float | None = None) ->
 
 def latest_committed(spark: SparkSession, root: str, name: str, before: int | None = None):
     """The newest committed batch of ``name`` (with id < ``before``), or None.
-    Only one number (the batch id) comes to the driver."""
-    try:
-        data = read_committed(spark, root, name)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return None
+    The batch id comes from the manifest (one row per batch; one number
+    reaches the driver), and only that batch's folder is read."""
+    batches = committed_batches(spark, root).select(F.col("batch_id_value").try_cast("long").alias("b"))
     if before is not None:
-        data = data.where(F.col(BATCH_COL) < F.lit(before))
-    last = data.agg(F.max(BATCH_COL).alias("b")).first().b
+        batches = batches.where(F.col("b") < F.lit(before))
+    last = batches.agg(F.max("b").alias("b")).first().b
     if last is None:
         return None
-    return data.where(F.col(BATCH_COL) == F.lit(last)).drop(BATCH_COL)
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}/{BATCH_COL}={last}")
 
 
 def allocate_stream(stream: DataFrame, keys, order_by, root: str, checkpoint: str,
