@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,7 +38,16 @@ def append_stream(stream: DataFrame, split: Callable[[DataFrame], Mapping[str, D
     spark = stream.sparkSession
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        res = atomic_append(spark, split(batch), root, batch_id)
+        targets = split(batch)
+        # several targets read the same micro-batch: compute it once
+        cached = len(targets) > 1
+        if cached:
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            res = atomic_append(spark, targets, root, batch_id)
+        finally:
+            if cached:
+                batch.unpersist()
         if on_result:
             on_result(res)
         if not res["success"]:
@@ -82,8 +92,12 @@ def allocate_stream(stream: DataFrame, keys, order_by, root: str, checkpoint: st
         prev = latest_committed(spark, root, "counters", before=batch_id)
         if prev is None:
             prev = initial_counters
-        ids, counters = allocate(batch, keys, order_by, prev, counter_col, id_col)
-        res = atomic_append(spark, {"ids": ids, "counters": counters}, root, batch_id)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)  # read for the ids and for the counters
+        try:
+            ids, counters = allocate(batch, keys, order_by, prev, counter_col, id_col)
+            res = atomic_append(spark, {"ids": ids, "counters": counters}, root, batch_id)
+        finally:
+            batch.unpersist()
         if not res["success"]:
             raise RuntimeError(f"batch {batch_id} failed: {res['error_code']} {res['error_message']}")
 
