@@ -29,6 +29,7 @@ from rivulet.functions.text import non_blank_trimmed_lines
 from rivulet.operators.enrich import bounded_broadcast
 
 MANIFEST = "manifest"
+MANIFEST_SCHEMA = "batch_id_value string, targets array<string>, rows map<string,bigint>, committed_at bigint"
 MANIFEST_BROADCAST_MAX_ROWS = 100_000   # batches; beyond this the filter join shuffles
 BATCH_COL = "batch_id"
 RESULT_SCHEMA = ("batch_id string, success boolean, insert_successfully_done bigint, "
@@ -67,9 +68,7 @@ def atomic_append(spark: SparkSession, targets: Mapping[str, DataFrame], root: s
                 _target_path(root, name, batch_id))
             rows[name] = int(obs.get["n"])
             done += 1
-        manifest = spark.createDataFrame(
-            [(str(batch_id), list(rows), rows, int(time.time()))],
-            "batch_id_value string, targets array<string>, rows map<string,bigint>, committed_at bigint")
+        manifest = spark.createDataFrame([(str(batch_id), list(rows), rows, int(time.time()))], MANIFEST_SCHEMA)
         manifest.coalesce(1).write.mode("overwrite").json(_target_path(root, MANIFEST, batch_id))
         return {"batch_id": str(batch_id), "success": True, "insert_successfully_done": done,
                 "rows": rows, "error_code": None, "error_message": None}
@@ -79,12 +78,17 @@ def atomic_append(spark: SparkSession, targets: Mapping[str, DataFrame], root: s
                 "rows": rows, "error_code": code, "error_message": msg}
 
 
+def ensure_manifest(spark: SparkSession, root: str) -> None:
+    """Create the manifest location (no rows) so readers find it before the
+    first batch commits. Appending nothing is idempotent."""
+    spark.createDataFrame([], MANIFEST_SCHEMA).write.mode("append").json(f"{root.rstrip('/')}/{MANIFEST}")
+
+
 def committed_batches(spark: SparkSession, root: str) -> DataFrame:
     """Batch ids whose manifest was published (one row per batch)."""
     path = f"{root.rstrip('/')}/{MANIFEST}"
     try:
-        m = spark.read.schema("batch_id_value string, targets array<string>, rows map<string,bigint>, "
-                              "committed_at bigint").json(path)
+        m = spark.read.schema(MANIFEST_SCHEMA).json(path)
     except Exception:  # noqa: BLE001 - no batch committed yet
         return spark.createDataFrame([], "batch_id_value string")
     return m.select("batch_id_value").distinct()

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators.sequences import allocate
-from rivulet.sinks.atomic import BATCH_COL, atomic_append, committed_batches
+from rivulet.sinks.atomic import BATCH_COL, atomic_append, committed_batches, ensure_manifest
 from rivulet.sources.tables import stream_source
 
 
@@ -53,6 +53,7 @@ def append_stream(stream: DataFrame, split: Callable[[DataFrame], Mapping[str, D
         if not res["success"]:
             raise RuntimeError(f"batch {batch_id} failed: {res['error_code']} {res['error_message']}")
 
+    ensure_manifest(spark, root)
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
     return w.start()
@@ -101,6 +102,7 @@ def allocate_stream(stream: DataFrame, keys, order_by, root: str, checkpoint: st
         if not res["success"]:
             raise RuntimeError(f"batch {batch_id} failed: {res['error_code']} {res['error_message']}")
 
+    ensure_manifest(spark, root)
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
     return w.start()
