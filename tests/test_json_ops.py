@@ -105,3 +105,15 @@ def test_map_json_sorted(spark):
     df = spark.createDataFrame([({"b": "1", "a": "2"},)], "m map<string,string>")
     assert df.select(map_json("m")).first()[0] == '{"a":"2","b":"1"}'
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_nest_group_wins_over_leaf_in_either_order(spark):
+    attrs = {"u.a": "leaf", "u.a.b": "deep", "u.c": "x"}
+    df = spark.createDataFrame([(1, None, attrs)], REC)
+    for names in (["u.a", "u.a.b", "u.c"], ["u.a.b", "u.a", "u.c"]):
+        got = json.loads(J.nest_attributes(df, "root", names).first().content)
+        assert got == {"root": {"u": {"a": {"b": "deep"}, "c": "x"}}}, names
+    # segments equal to the root are skipped anywhere; siblings match case-insensitively
+    df2 = spark.createDataFrame([(1, None, {"root.P.name": "n", "p.root.age": "3"})], REC)
+    got = json.loads(J.nest_attributes(df2, "root", ["root.P.name", "p.root.age"]).first().content)
+    assert got == {"root": {"P": {"name": "n", "age": "3"}}}
