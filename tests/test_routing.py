@@ -77,3 +77,11 @@ def test_append_script_keeps_old_content_first(spark):
     assert "".join(p for _, p in parts) == ("previous text\n" "insert into t(s) values (a);\n"
                                             "insert into t(s) values (b);\n")
     assert parts[0][0] == -1
+
+
+def test_insert_script_quoting(spark):
+    rows = spark.createDataFrame([(1, "O'Brien"), (2, None)], "id long, name string")
+    plain = sorted(r.line for r in S.rows_to_insert_script(rows, "insert into t", ["id", "name"]).collect())
+    assert plain == ["insert into t(id,name) values (1,O'Brien);", "insert into t(id,name) values (2,null);"]
+    quoted = sorted(r.line for r in S.rows_to_insert_script(rows, "insert into t", ["id", "name"], quote=True).collect())
+    assert quoted == ["insert into t(id,name) values ('1','O''Brien');", "insert into t(id,name) values ('2',null);"]
