@@ -34,14 +34,9 @@ def _cols(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def next_ids(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str],
-             counters: DataFrame | None = None, counter_col: str = "contador",
-             id_col: str = "next_id", partitions: int | None = None) -> DataFrame:
-    """``df`` plus ``id_col``: for each key, ``counter + 1, counter + 2, ...``
-    in ``order_by`` order (a missing or zero counter starts at 1).
-    ``keys`` + ``order_by`` must be a total order so re-runs give the same
-    ids."""
-    ks, os_ = _cols(keys), _cols(order_by)
+def _tag(df: DataFrame, ks: list[str], os_: list[str], partitions: int | None) -> DataFrame:
+    """Range-partition, sort, tag each row with (_pid, _pos), and write the
+    tagged rows as a table (so every later read sees the same tags)."""
     spark = df.sparkSession
     # As many range partitions as the input has splits (at least the shuffle
     # default), so each is about one input split (maxPartitionBytes) however
@@ -50,9 +45,16 @@ def next_ids(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[
     tagged = (df.repartitionByRange(n, *ks, *os_).sortWithinPartitions(*ks, *os_)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))
-    tagged = materialize(tagged, "next_ids")
+    return materialize(tagged, "next_ids")
+
 
-    slices = tagged.groupBy("_pid", *ks).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+def _slices(tagged: DataFrame, ks: list[str]) -> DataFrame:
+    """Rows and first position per (range partition, key): a small table."""
+    return tagged.groupBy("_pid", *ks).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+
+
+def _with_ids(tagged: DataFrame, slices: DataFrame, ks: list[str], counters: DataFrame | None,
+              counter_col: str, id_col: str) -> DataFrame:
     before = Window.partitionBy(*ks).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     if counters is not None:
@@ -63,6 +65,27 @@ def next_ids(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[
     return out.withColumn(id_col, ids.cast("long")).drop("_pid", "_pos", "_off", "_first")
 
 
+def _merge_counters(used: DataFrame, ks: list[str], counters: DataFrame | None, counter_col: str) -> DataFrame:
+    """``used`` = (keys, _n) rows allocated now → the new counter table."""
+    if counters is None:
+        return used.select(*ks, F.col("_n").cast("long").alias(counter_col))
+    old = counters.select(*ks, F.col(counter_col).cast("long").alias("_old"))
+    both = old.join(used, ks, "full_outer")
+    return both.select(*ks, (F.coalesce("_old", F.lit(0)) + F.coalesce("_n", F.lit(0))).alias(counter_col))
+
+
+def next_ids(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str],
+             counters: DataFrame | None = None, counter_col: str = "contador",
+             id_col: str = "next_id", partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``id_col``: for each key, ``counter + 1, counter + 2, ...``
+    in ``order_by`` order (a missing or zero counter starts at 1).
+    ``keys`` + ``order_by`` must be a total order so re-runs give the same
+    ids."""
+    ks, os_ = _cols(keys), _cols(order_by)
+    tagged = _tag(df, ks, os_, partitions)
+    return _with_ids(tagged, _slices(tagged, ks), ks, counters, counter_col, id_col)
+
+
 def updated_counters(df: DataFrame, keys: str | Sequence[str], counters: DataFrame | None = None,
                      counter_col: str = "contador") -> DataFrame:
     """The counter table after allocating ids for ``df``: existing keys are
@@ -70,21 +93,25 @@ def updated_counters(df: DataFrame, keys: str | Sequence[str], counters: DataFra
     kept. ``count`` is a partial aggregate (hot keys reduced map-side)."""
     ks = _cols(keys)
     used = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n"))
-    if counters is None:
-        return used.select(*ks, F.col("_n").alias(counter_col))
-    old = counters.select(*ks, F.col(counter_col).cast("long").alias("_old"))
-    both = old.join(used, ks, "full_outer")
-    return both.select(*ks, (F.coalesce("_old", F.lit(0)) + F.coalesce("_n", F.lit(0))).alias(counter_col))
+    return _merge_counters(used, ks, counters, counter_col)
 
 
 def allocate(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str],
              counters: DataFrame | None = None, counter_col: str = "contador",
-             id_col: str = "next_id") -> tuple[DataFrame, DataFrame]:
+             id_col: str = "next_id", partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(``df`` with ids, new counter table). Publish both with
     ``sinks.atomic.atomic_append`` so a batch's ids and counters become
-    visible together."""
-    return (next_ids(df, keys, order_by, counters, counter_col, id_col),
-            updated_counters(df, keys, counters, counter_col))
+    visible together.
+
+    Both come from one pass over the input: the per-(partition, key) counts
+    that place the ids are written once as a small table, and the new
+    counters are their per-key sums, so the input is not scanned again."""
+    ks, os_ = _cols(keys), _cols(order_by)
+    tagged = _tag(df, ks, os_, partitions)
+    slices = materialize(_slices(tagged, ks), "next_ids_slices")
+    used = slices.groupBy(*ks).agg(F.sum("_n").alias("_n"))
+    return (_with_ids(tagged, slices, ks, counters, counter_col, id_col),
+            _merge_counters(used, ks, counters, counter_col))
 
 
 def order_key(*cols: str | Column) -> Column:

@@ -93,12 +93,9 @@ def allocate_stream(stream: DataFrame, keys, order_by, root: str, checkpoint: st
         prev = latest_committed(spark, root, "counters", before=batch_id)
         if prev is None:
             prev = initial_counters
-        batch.persist(StorageLevel.MEMORY_AND_DISK)  # read for the ids and for the counters
-        try:
-            ids, counters = allocate(batch, keys, order_by, prev, counter_col, id_col)
-            res = atomic_append(spark, {"ids": ids, "counters": counters}, root, batch_id)
-        finally:
-            batch.unpersist()
+        # allocate reads the batch once (ids and counters come from its tags)
+        ids, counters = allocate(batch, keys, order_by, prev, counter_col, id_col)
+        res = atomic_append(spark, {"ids": ids, "counters": counters}, root, batch_id)
         if not res["success"]:
             raise RuntimeError(f"batch {batch_id} failed: {res['error_code']} {res['error_message']}")
 
