@@ -70,13 +70,31 @@ def append_script(lines: DataFrame, key: str | Sequence[str], order_by: str, lin
 def iterate_union(df: DataFrame, select: Callable[[DataFrame], DataFrame], n: int | str,
                   token: str = "i") -> DataFrame:
     """``select`` run for i = 1..n (column ``token``), results UNIONed,
-    i.e. distinct over all iterations. n < 1 counts as 1; a non-number is an
-    error. One scan: each row is repeated by ``explode(sequence(1, n))``
+    i.e. distinct over all iterations (one iteration is the plain SELECT,
+    duplicates kept, as there is no UNION). n < 1 counts as 1; a non-number
+    is an error. One scan: each row is repeated by ``explode(sequence(1, n))``
     (no join, no n plan branches); ``distinct`` is partial-aggregated."""
     try:
         count = int(n)
     except (TypeError, ValueError) as e:
         raise ValueError(f"iteration count is not a number: {n!r}") from e
     count = max(count, 1)
+    if count == 1:  # a single SELECT: no UNION, so duplicates stay
+        return select(df.withColumn(token, F.lit(1)))
     expanded = df.withColumn(token, F.explode(F.sequence(F.lit(1), F.lit(count))))
     return select(expanded).distinct()
+
+
+def iterate_sql(spark, sql: str, n: int | str, token: str = "#{iterate}",
+                args: dict | None = None) -> DataFrame:
+    """O19 when the token names a table (or otherwise cannot be a column):
+    the SELECT text is repeated for i = 1..n with the token replaced and the
+    copies are glued with ``UNION`` (distinct), as the reference does. Each
+    copy is its own plan branch, so prefer ``iterate_union`` whenever the
+    token is a value. n < 1 counts as 1; a non-number is an error."""
+    try:
+        count = max(int(n), 1)
+    except (TypeError, ValueError) as e:
+        raise ValueError(f"iteration count is not a number: {n!r}") from e
+    text = " UNION ".join(f"({sql.replace(token, str(i))})" for i in range(1, count + 1))
+    return spark.sql(text, args=args)

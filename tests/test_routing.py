@@ -59,7 +59,7 @@ def test_iterate_union_and_scripts(spark):
     df = spark.createDataFrame([(7,), (8,)], "v int")
     out = S.iterate_union(df, lambda d: d.select((F.col("v") % F.col("i")).alias("m")), 3)
     assert sorted(r.m for r in out.collect()) == [0, 1, 2]
-    assert S.iterate_union(df, lambda d: d.select("i"), 0).count() == 1
+    assert S.iterate_union(df, lambda d: d.select("i"), 0).count() == 2  # one SELECT: no UNION
     rows = spark.createDataFrame([(1, 2, "a"), (1, 1, None), (2, 1, "c")], "k long, n long, s string")
     lines = S.rows_to_insert_script(rows, "insert into t", ["n", "s"], keep=["k", "n"])
     assert sorted(r.line for r in lines.collect())[0] == "insert into t(n,s) values (1,c);"
@@ -85,3 +85,15 @@ def test_insert_script_quoting(spark):
     assert plain == ["insert into t(id,name) values (1,O'Brien);", "insert into t(id,name) values (2,null);"]
     quoted = sorted(r.line for r in S.rows_to_insert_script(rows, "insert into t", ["id", "name"], quote=True).collect())
     assert quoted == ["insert into t(id,name) values ('1','O''Brien');", "insert into t(id,name) values ('2',null);"]
+
+
+def test_iterate_sql_over_table_names(spark):
+    for i in (1, 2, 3):
+        spark.range(i * 10, i * 10 + 3).selectExpr("id % 2 AS v").createOrReplaceTempView(f"part_{i}")
+    out = S.iterate_sql(spark, "SELECT v FROM part_#{iterate}", 3)
+    assert sorted(r.v for r in out.collect()) == [0, 1]
+    # one iteration is the plain SELECT (no UNION, duplicates stay)
+    assert S.iterate_sql(spark, "SELECT v FROM part_#{iterate}", "0").count() == 3
+    import pytest
+    with pytest.raises(ValueError):
+        S.iterate_sql(spark, "SELECT 1", "x")
