@@ -50,15 +50,19 @@ def get_session(master: str | None = None, app: str = "rivulet",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) do we make one.
+    A cluster must name it: a folder of the driver's machine is not seen by
+    the executors. Only a local session without one gets a temporary folder
+    (tests). A checkpoint folder that the user has set is left alone.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="rivulet-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
     return path
 
 
