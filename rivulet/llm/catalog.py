@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import bpe, exact_dedup, packing, sharding, substring_dedup
+from rivulet.llm import bpe, chat, exact_dedup, fingerprint, lm_score, near_dedup, packing, sharding, substring_dedup, toxicity
 from rivulet.session import apply_runtime_conf
 from rivulet.sources.tables import read_table
 
@@ -34,6 +34,18 @@ def op1(spark, sf_dir):
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+@register("op2_lm_scoring")
+def op2(spark, sf_dir):
+    """Base and model log10 probability of every document."""
+    return lm_score.lm_scores(read_table(spark, sf_dir, "documents"))
+
+
+@register("op3_fingerprints")
+def op3(spark, sf_dir):
+    """Fingerprints of every document and of its edited text."""
+    return fingerprint.document_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 @register("op4_exact_dedup", """
 WITH n AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
@@ -47,6 +59,12 @@ def op4(spark, sf_dir):
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
+@register("op5_chat_formatting")
+def op5(spark, sf_dir):
+    """Turns recovered from the raw transcript of every conversation."""
+    return chat.formatted(read_table(spark, sf_dir, "conversations"))
+
+
 @register("op6_packing")
 def op6(spark, sf_dir):
     """All documents' ids in sequences of 1024."""
@@ -72,7 +90,19 @@ def op7(spark, sf_dir):
     return substring_dedup.kept_digests(read_table(spark, sf_dir, "documents"))
 
 
+@register("op8_near_dedup")
+def op8(spark, sf_dir):
+    """Class of near copies of every document."""
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 @register("op9_byte_bpe")
 def op9(spark, sf_dir):
     """Every document encoded to byte-level BPE ids and decoded again."""
     return bpe.bpe_digests(read_table(spark, sf_dir, "documents"))
+
+
+@register("op10_toxicity")
+def op10(spark, sf_dir):
+    """Toxicity score of every document."""
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

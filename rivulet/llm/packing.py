@@ -16,7 +16,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.llm.blocks import texts_of
@@ -134,6 +134,16 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     )
 
 
+def ids_array(ids: Column) -> Column:
+    """A piece's ids as array<int>."""
+
+    @F.arrow_udf("array<int>")
+    def unpacked(rows: pa.Array) -> pa.Array:
+        return pa.array([np.frombuffer(r, "<u4").astype(np.int32) for r in rows.to_pylist()], pa.list_(pa.int32()))
+
+    return unpacked(ids)
+
+
 def packed_digests(docs: DataFrame) -> DataFrame:
     """The pieces of ``documents`` with the CRC of their ids."""
     return pack(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
