@@ -22,6 +22,7 @@ FOLD[65:91] += 32
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD1342543DE82EF95
 BLOCK_BYTES = 4 << 20
+STRETCH = 1 << 18
 
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -50,13 +51,22 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def range_hashes(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of values[s:e] for every (s, e), from one prefix sum; equal
-    ranges have equal hashes wherever they stand."""
-    n = len(values)
-    up, down = _powers(base, n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hash of values[s:e] for every (s, e), from prefix sums; equal
+    ranges have equal hashes wherever they stand. ``starts`` must ascend; long
+    arrays are worked off in stretches, which bounds the memory."""
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        lo = starts[i]
+        j = int(np.searchsorted(starts, lo + STRETCH)) if len(values) > STRETCH else len(starts)
+        part = values[lo:ends[i:j].max()].astype(np.uint64) + np.uint64(1)
+        up, down = _powers(base, len(part) + 1)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * up[:len(part)], out=sums[1:])
+        s, e = starts[i:j] - lo, ends[i:j] - lo
+        out[i:j] = (sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)
+        i = j
+    return mix(out)
 
 
 def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,6 +86,13 @@ def spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[::2], at[1::2]
 
 
+def small_batches(spark) -> None:
+    """Arrow batches of a few MB, so that a Python worker's memory follows its
+    blocks and not 10,000 rows of whole texts (a setting of the session)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def texts_of(column) -> list[bytes]:
     """UTF-8 bytes of a text column; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -1,12 +1,13 @@
 """Byte-level BPE by a lazily determinised finite-state transducer.
 
-The transducer reads one byte at a time. Its state holds, for every point
-from which a token may still be running, the tokens that encode the text up
-to that point, less what all those points agree on: what they agree on can
-never change again and has been emitted. A token can run for as many bytes as
-the longest one in the vocabulary, so the lookahead is bounded and the states
-are finite. A state's transitions are worked out the first time they are
-taken and looked up from then on.
+The transducer reads one byte at a time. Its state holds every point from
+which a token may still be running: the bytes read since, and the last token
+before. A transition gives the token that ends the text up to its byte; tokens
+are emitted where the paths of all running points have joined, since no later
+byte can change them. A token can run for as many bytes as the longest one in
+the vocabulary, so the lookahead is bounded and the states are finite. A
+state's transitions are worked out the first time they are taken and looked up
+from then on.
 
 Which token ends a prefix is decided by one rule: a sequence of tokens is the
 BPE encoding of its bytes exactly when each pair of neighbours is the encoding
@@ -26,20 +27,22 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rivulet.llm.blocks import small_batches
 from rivulet.llm.packing import rank_file
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-MEMO_WORDS = 400_000
-MEMO_STATES = 2_000_000
+MEMO_WORDS = 250_000     # words whose ids a worker remembers
+MEMO_STEPS = 400_000     # transitions that it remembers
+SETTLE = 4096            # bytes of one word after which settled tokens are emitted
 
 
-def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+def merge_bytes(word: bytes, ranks: dict[bytes, int], below: int = 1 << 60) -> list[int]:
     """BPE of one word by its definition: join the pair of lowest rank,
-    leftmost first, until no pair is a token."""
+    leftmost first, until no pair is a token (of a rank under ``below``)."""
     parts = [word[i:i + 1] for i in range(len(word))]
     while len(parts) > 1:
         low, at = min((ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-        if low == 1 << 60:
+        if low >= below:
             break
         parts[at:at + 2] = [parts[at] + parts[at + 1]]
     return [ranks[p] for p in parts]
@@ -48,66 +51,135 @@ def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Transducer:
     """BPE of single words by lazily built transitions."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], memo: int = MEMO_STEPS):
+        self.ranks, self.limit = ranks, memo
         self.bytes_of = {i: t for t, i in ranks.items()}
-        self.prefixes = {t[:k] for t in ranks for k in range(1, len(t))}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.length = {i: len(t) for t, i in ranks.items()}
+        # The tokens as a tree of bytes: node and byte to the next node.
+        self.child: dict[int, int] = {}
+        self.ends: list[int] = [-1]        # the token that ends in a node
+        self.inner: set[int] = {0}
+        for token, i in ranks.items():
+            node = 0
+            for byte in token:
+                self.inner.add(node)
+                key = node << 8 | byte
+                node = self.child.get(key, -1)
+                if node < 0:
+                    node = self.child[key] = len(self.ends)
+                    self.ends.append(-1)
+            self.ends[node] = i
+        self.made_of: dict[int, tuple[int, int] | None] = {}
         self.reset()
 
     def reset(self) -> None:
-        # A state: the running points, oldest first, as (bytes read since,
-        # tokens up to that point that are not emitted yet).
-        start = ((b"", ()),)
-        self.states = [start]
-        self.number = {start: 0}
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.ends: dict[int, tuple[int, ...]] = {}
+        """Forget all transitions (a bound on memory, not on texts)."""
+        # A state: the points from which a token may be running, oldest first,
+        # as (node of the bytes read since, last token before; -1 for none).
+        # It is known by its table: byte to (next state's table, token).
+        start = ((0, -1),)
+        self.start: dict = {None: start}
+        self.tables = {start: self.start}
+        self.pairs: dict[int, bool] = {}
+        self.taken = 0
+
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose join makes ``token``; None for a single byte
+        (and for a token that no joins lead to)."""
+        got = self.made_of.get(token, 0)
+        if got == 0:
+            parts = merge_bytes(self.bytes_of[token], self.ranks, token)
+            got = self.made_of[token] = (parts[0], parts[1]) if len(parts) == 2 else None
+        return got
 
     def neighbours(self, a: int, b: int) -> bool:
-        got = self.pairs.get((a, b))
+        """Whether BPE leaves ``a`` and ``b`` apart when they meet. Joins are
+        undone from the latest on, on either side of the border; the two are
+        torn apart by a join across it that comes before what was undone."""
+        key = a << 20 | b
+        got = self.pairs.get(key)
         if got is None:
-            if len(self.pairs) >= MEMO_STATES:
-                self.pairs.clear()
-            got = self.pairs[a, b] = merge_bytes(self.bytes_of[a] + self.bytes_of[b], self.ranks) == [a, b]
+            got = self.pairs[key] = self.apart(a, b)
+        return got
+
+    def apart(self, a: int, b: int) -> bool:
+        now = 1 << 60   # joins from this rank on (left of the border: with it) are undone
+        while True:
+            across = self.ranks.get(self.bytes_of[a] + self.bytes_of[b])
+            if across is not None and across < now:
+                return False
+            left, right = self.halves(a), self.halves(b)
+            if left is None and right is None:
+                return True
+            # Equal ranks: the left one was joined first.
+            if right is None or left is not None and a > b:
+                now, a = a, left[1]
+            else:
+                now, b = b + 1, right[0]
+
+    def step(self, table: dict, byte: int) -> tuple[dict, int]:
+        """Work out one transition: the next state's table and the token that
+        ends the text up to here."""
+        running, here = [], -1
+        for node, last in table[None]:
+            node = self.child.get(node << 8 | byte, -1)
+            if node < 0:
+                continue
+            token = self.ends[node]
+            if here < 0 and token >= 0 and (last < 0 or self.neighbours(last, token)):
+                here = token
+            if node in self.inner:
+                running.append((node, last))
+        running.append((0, here))
+        state = tuple(running)
+        to = self.tables.get(state)
+        if to is None:
+            to = self.tables[state] = {None: state}
+        got = table[byte] = (to, here)
+        self.taken += 1
         return got
 
-    def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Work out one transition: the next state and the tokens emitted."""
-        running, here = [], None
-        for since, tokens in self.states[state]:
-            word = since + bytes([byte])
-            last = self.ranks.get(word)
-            if here is None and last is not None and (not tokens or self.neighbours(tokens[-1], last)):
-                here = (*tokens, last)
-            if word in self.prefixes:
-                running.append((word, tokens))
-        running.append((b"", here))
-        # All points share their first tokens up to here. The last of them
-        # stays, since the next token must get along with it.
-        common = min(len(t) for _, t in running)
-        while common and any(t[:common] != here[:common] for _, t in running):
-            common -= 1
-        out = max(0, common - 1)
-        after = tuple((w, t[out:]) for w, t in running)
-        if after not in self.number:
-            self.number[after] = len(self.states)
-            self.states.append(after)
-        return self.number[after], here[:out]
-
-    def encode(self, word: bytes) -> tuple[int, ...]:
-        if len(self.states) > MEMO_STATES:
+    def encode(self, word: bytes) -> list[int]:
+        if self.taken > self.limit:
             self.reset()
-        state, out, steps = 0, (), self.steps
-        for byte in word:
-            key = state << 8 | byte
-            got = steps.get(key)
-            if got is None:
-                got = steps[key] = self.step(state, byte)
-            state, emitted = got
-            if emitted:
-                out += emitted
-        return out + self.states[state][-1][1]
+        table, ending, out = self.start, [], []
+        for a in range(0, len(word), SETTLE):
+            for byte in word[a:a + SETTLE]:
+                got = table.get(byte)
+                if got is None:
+                    got = self.step(table, byte)
+                table, token = got
+                ending.append(token)
+            if a + SETTLE < len(word):  # emit what no later byte can change
+                settled = self.settled(table[None], ending)
+                out += self.path(ending[:settled])
+                del ending[:settled]
+        return out + self.path(ending) if out else self.path(ending)
+
+    def path(self, ending: list[int]) -> list[int]:
+        """The tokens of a text, from the token that ends each prefix."""
+        out, i = [], len(ending)
+        while i > 0:
+            out.append(ending[i - 1])
+            i -= self.length[ending[i - 1]]
+        return out[::-1]
+
+    def settled(self, state: tuple, ending: list[int]) -> int:
+        """Bytes whose tokens no later byte can change: up to where the paths
+        of all running points join."""
+        at = [len(ending) - self.depth(node) for node, _ in state]
+        while len(set(at)) > 1:
+            far = max(at)
+            back = far - self.length[ending[far - 1]]
+            at = [back if x == far else x for x in at]
+        return at[0]
+
+    def depth(self, node: int) -> int:
+        if not hasattr(self, "depths"):
+            self.depths = {0: 0}
+            for key, to in self.child.items():  # parents come first
+                self.depths[to] = self.depths[key >> 8] + 1
+        return self.depths[node]
 
 
 class Codec:
@@ -126,7 +198,7 @@ class Codec:
             if ids is None:
                 if len(memo) >= MEMO_WORDS:
                     memo.clear()
-                ids = memo[word] = self.machine.encode(word.encode())
+                ids = memo[word] = tuple(self.machine.encode(word.encode()))
             out += ids
         return out
 
@@ -217,6 +289,7 @@ def decode_column(ids: Column, path: str = RANKS) -> Column:
 
 def round_trip(docs, id_col: str = "doc_id", text_col: str = "text", path: str = RANKS):
     """Every document encoded and decoded: id, ids, decoded."""
+    small_batches(docs.sparkSession)
     return (
         docs.select(id_col, encode_column(F.col(text_col), path).alias("ids"))
         .withColumn("decoded", decode_column(F.col("ids"), path))

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rivulet.llm.blocks import small_batches
 from rivulet.session import materialize
 
 ROWS_PER_SALT = 20_000
@@ -64,6 +65,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     id stays only in a group without any other id. Of rows that repeat the
     staying id, exactly one is kept. An empty table gives an empty table.
     """
+    small_batches(docs.sparkSession)
     big = keep == "largest"
     salts = max(LEAST_SALTS, -(-docs.count() // ROWS_PER_SALT))
     rows = (

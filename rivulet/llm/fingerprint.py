@@ -95,9 +95,9 @@ def selected(buf: np.ndarray, first: np.ndarray, rank: np.ndarray) -> tuple[np.n
     starts = np.concatenate([at[chosen], first[short]])
     ends = np.concatenate([at[chosen] + WINDOW, first[short + 1]])
     owner = np.concatenate([text[chosen], short])
-    hashes = B.range_hashes(buf, FEATURE_BASE, starts, ends)
-    order = np.lexsort((starts, owner))
-    return owner[order], starts[order], hashes[order]
+    order = np.argsort(starts, kind="stable")
+    owner, starts, ends = owner[order], starts[order], ends[order]
+    return owner, starts, B.range_hashes(buf, FEATURE_BASE, starts, ends)
 
 
 def digest(hashes: np.ndarray) -> np.ndarray:
@@ -241,6 +241,7 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     "0:", like each other's only). A single document is its own next one. An
     empty table gives an empty table.
     """
+    B.small_batches(docs.sparkSession)
     rank = docs.sparkSession.sparkContext.broadcast(entropy_ranks(docs, text_col))  # SCALE + 1 numbers
 
     def work(batches):

@@ -11,8 +11,7 @@ than losing n-grams.
 A word's probability interpolates the pair's frequency with the word's own:
 L c(vw) / c(v) + (1 - L) (c(w) + 1) / (N + V + 1), all counts being probes. The
 weight L depends on the level of c(v) and is learnt by deleted interpolation:
-each training token, taken out of the counts, votes for the estimate that is
-higher without it. Texts are turned once into blocks of word numbers with the block's own
+it makes the training tokens, each taken out of the counts, likeliest. Texts are turned once into blocks of word numbers with the block's own
 vocabulary; only the vocabularies and pair counts of blocks are shuffled, never
 a row per word.
 """
@@ -35,6 +34,7 @@ LOG_BASE = 1.5             # of the count levels
 BITS_PER_ITEM = 12
 MAX_BYTES = 128 << 20      # of the broadcast filter
 PROBES = 6
+GRID = (0.0, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.65, 0.8, 0.95)  # weights to choose from
 BLOCK_BYTES = 16 << 20     # text of a block
 RANGE_BYTES = 24 << 20     # text whose counts one range of hashes holds
 END = np.uint64(0x243F6A8885A308D3)   # the end token's hash
@@ -262,29 +262,30 @@ def probes(block: Block, filt: Filter) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return word, before, np.minimum(filt.counts(keys)[place], np.minimum(before, word))
 
 
-def weights(blocks: DataFrame, shared, n: int) -> np.ndarray:
-    """Weight of the pair estimate by level of the count before."""
+def weights(blocks: DataFrame, shared, n: int, v: int) -> np.ndarray:
+    """Weight of the pair estimate by level of the count before: the one of
+    GRID under which the training tokens, each taken out of the counts, are
+    likeliest."""
 
     def vote(batches):
-        total = np.zeros((2, len(MIDDLE)), np.int64)
+        total = np.zeros((len(GRID), len(MIDDLE)))
         for batch in batches:
             for row in batch.to_pylist():
                 b = Block(row["ids"], row["train"], row["first"], row["vocabulary"], row["words"])
-                word, before, pair = (x[b.learnt] for x in probes(b, shared.value))
-                higher = (pair - 1) * max(n - 1, 1) > (word - 1) * np.maximum(before - 1, 1)
-                at = np.where(before > 0, levels(before), 0)
-                for side in (0, 1):
-                    total[side] += np.bincount(at[higher == side], minlength=len(MIDDLE))
+                word, before, pair = (np.maximum(x[b.learnt] - 1, 0) for x in probes(b, shared.value))
+                at = levels(before)
+                two, one = pair / np.maximum(before, 1), (word + 1.0) / (n + v + 1.0)
+                for i, share in enumerate(GRID):
+                    total[i] += np.bincount(at, np.log(share * two + (1 - share) * one), len(MIDDLE))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(MIDDLE))), pa.array(total[0]), pa.array(total[1])], ["level", "word", "pair"])
+            [pa.array(np.arange(len(MIDDLE))), pa.array(list(total.T), pa.list_(pa.float64()))], ["level", "fit"])
 
-    got = blocks.mapInArrow(vote, "level long, word long, pair long").groupBy("level") \
-        .agg(F.sum("word").alias("word"), F.sum("pair").alias("pair")).toArrow()  # one row per level
-    out = np.zeros(len(MIDDLE))
-    pair, word = got["pair"].to_numpy(), got["word"].to_numpy()
-    out[got["level"].to_numpy()] = np.where(pair + word > 0, (pair + 0.5) / (pair + word + 1.0), 0.0)
-    out[0] = 0.0
-    return np.minimum(out, 0.99)
+    table = (blocks.mapInArrow(vote, "level long, fit array<double>")
+             .select("level", F.posexplode("fit").alias("i", "fit"))
+             .groupBy("level", "i").agg(F.sum("fit").alias("fit")).toArrow())  # levels x GRID rows
+    fit = np.zeros((len(MIDDLE), len(GRID)))
+    fit[table["level"].to_numpy(), table["i"].to_numpy()] = table["fit"].to_numpy()
+    return np.array(GRID)[fit.argmax(1)]
 
 
 def scored(block: Block, counts: np.ndarray, filt: Filter, lam: np.ndarray, n: int, v: int) -> tuple[np.ndarray, ...]:
@@ -309,6 +310,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     learnt from) one by one. An empty table gives an empty table.
     """
     spark = docs.sparkSession
+    B.small_batches(spark)
     size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     ranges = max(8, -(-size // RANGE_BYTES))
     blocks = encoded_blocks(docs, id_col, text_col, in_training(id_col) if train is None else train)
@@ -318,7 +320,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     got = {r["block"]: bytes(r["packed"]) for r in counts.where("kind = 1").select("block", "packed").toLocalIterator()}
     shared = spark.sparkContext.broadcast(Filter([got.get(r, bytes(8)) for r in range(ranges)]))  # MAX_BYTES at most
     del got
-    lam = weights(blocks, shared, n)
+    lam = weights(blocks, shared, n, v)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[list] = [[], [], [], [], [], []]

@@ -241,6 +241,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     class that has another id. One row of a class is kept: its smallest id,
     once if that id repeats. An empty table gives an empty table.
     """
+    B.small_batches(docs.sparkSession)
     salts = max(LEAST_SALTS, -(-docs.count() // ROWS_PER_SALT))
     signed = materialize(_signed(docs, id_col, text_col, words, bands, rows).withColumn("salt", _salt(salts, "id")), "near_rows")
 

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.blocks import texts_of
+from rivulet.llm.blocks import small_batches
 from rivulet.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -94,6 +94,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     give the end id alone; a text of any length is cut at every window. Rows
     that repeat an id are separate documents. An empty table gives no piece.
     """
+    small_batches(docs.sparkSession)
     table = token_table(docs, id_col, text_col, tokenizer, end_id)
     id_type = docs.schema[id_col].dataType.simpleString()
     width = 4 if _encoder(tokenizer).n_vocab > 1 << 16 else 2

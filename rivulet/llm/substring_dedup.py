@@ -31,10 +31,11 @@ from pyspark.sql import functions as F
 from rivulet.llm import blocks as B
 
 K = 20                        # words in a window
-M = 4                         # words in a gram
+M = 3                         # words in a gram
 BUCKET_BYTES = 12 << 20       # packed text that one bucket gets
 DOC_BUCKET_BYTES = 12 << 20   # text of the documents that are put together again at once
-BLOCK_BYTES = 8 << 20         # text whose super-k-mers are merged and sent at once
+BLOCK_BYTES = 6 << 20         # text whose super-k-mers are merged and sent at once
+LEVEL = 3                     # of zstd
 LEAST_CELLS = 1 << 16         # counters of frequent minimisers; 16 a bucket if that is more
 NULL_ID = -(1 << 63)          # a null id sorts before all others
 
@@ -119,7 +120,7 @@ def _packed(parts: list[bytes], *arrays: np.ndarray) -> bytes:
     """One compressed value of strings and columns of (sorted) numbers."""
     body = b"\n".join(parts)
     head = np.array([len(body), len(arrays[0]), len(arrays)], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(
+    return zstandard.ZstdCompressor(level=LEVEL).compress(
         head + body + b"".join(np.diff(x, prepend=x.dtype.type(0)).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
                                for x in arrays))
 
@@ -258,6 +259,7 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ordered by a hash of the text. An empty table gives an empty table.
     """
     spark = docs.sparkSession
+    B.small_batches(spark)
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tie"),
@@ -290,6 +292,11 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def home_of(ids: pa.Array, ties: pa.Array) -> pa.Array:
         return pa.array(_home(ids.fill_null(NULL_ID).to_numpy(zero_copy_only=False), ties.to_numpy(zero_copy_only=False), n_docs))
 
+    @F.arrow_udf("binary")
+    def packed_text(texts: pa.Array) -> pa.Array:
+        pack = zstandard.ZstdCompressor(level=LEVEL).compress
+        return pa.array([pack(t) for t in B.texts_of(texts)], pa.binary())
+
     extra = [f for f in rows.schema.fields if f.name.startswith("x_")]
     schema = "id long, n_words long, n_removed long, kept_text string" + "".join(
         f", `{f.name}` {f.dataType.simpleString()}" for f in extra)
@@ -303,7 +310,8 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         want = left["id"].combine_chunks().fill_null(NULL_ID).to_numpy(zero_copy_only=False)
         lo, hi = np.searchsorted(ids, want), np.searchsorted(ids, want, side="right")
         n_words, n_removed, kept = [], [], []
-        for i, (t, tie) in enumerate(zip(B.texts_of(left["text"]), left["tie"].to_pylist(), strict=True)):
+        for i, (t, tie) in enumerate(zip(left["packed"].to_pylist(), left["tie"].to_pylist(), strict=True)):
+            t = zstandard.ZstdDecompressor().decompress(t)
             own = ties[lo[i]:hi[i]] == tie
             spans = starts[lo[i]:hi[i]][own], length[lo[i]:hi[i]][own]
             words, stay = _stay(t, *spans, k)
@@ -316,7 +324,7 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         ], ["id", "n_words", "n_removed", "kept_text", *[f.name for f in extra]])
 
     return (
-        rows.withColumn("home", home_of("id", "tie")).groupBy("home")
+        rows.withColumn("home", home_of("id", "tie")).withColumn("packed", packed_text("text")).drop("text").groupBy("home")
         .cogroup(runs.groupBy("home")).applyInArrow(put_together, schema)
         .withColumnRenamed("id", id_col)
     )

@@ -1,0 +1,430 @@
+"""LM scoring, fingerprints, chat formatting, near dedup, toxicity and the
+pipeline against brute force."""
+
+import hashlib
+import itertools
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from rivulet.llm import chat, fingerprint, lm_score, near_dedup, toxicity
+from rivulet.llm import blocks as B
+from tests.llm.conftest import SCHEMA, prose
+
+FOLD = bytes(B.FOLD)
+
+
+# 2. LM scoring
+
+def tokens(text):
+    return [*(text or "").encode().translate(FOLD).split(), b"\n"]
+
+
+def trained(i):
+    return i is not None and zlib.crc32(str(i).encode()) % 7 != 2
+
+
+@pytest.fixture(params=["docs", "odd"])
+def both(request):
+    return request.getfixturevalue(request.param)
+
+
+def test_base_score_is_exact(both):
+    rows = [(r.doc_id, r.text) for r in both.collect()]
+    count = Counter(t for i, x in rows if trained(i) for t in tokens(x))
+    n, v = sum(count.values()), len(count)
+    want = Counter((i, not trained(i), len(t := tokens(x)), sum(w in count for w in t), n,
+                    round(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in t), 6)) for i, x in rows)
+    got = lm_score.lm_scores(both).collect()
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
+    assert all(r.score <= 0 for r in got)
+
+
+def test_model_score_follows_exact_counts(docs):
+    """The model's score against the same formula on exact pair counts."""
+    rows = {r.doc_id: tokens(r.text) for r in docs.collect()}
+    uni, bi = Counter(), Counter()
+    for i, t in rows.items():
+        if trained(i):
+            uni.update(t)
+            bi.update(zip([b"\n", *t[:-1]], t, strict=True))
+    n, v = sum(uni.values()), len(uni)
+    got = lm_score.lm_scores(docs).collect()
+    level = lambda c: int(lm_score.levels(np.array([c]))[0])
+    fit = defaultdict(lambda: np.zeros(len(lm_score.GRID)))
+    grid = np.array(lm_score.GRID)
+    for (a, w), c in bi.items():
+        before = max(uni[a] - 1, 0)
+        fit[level(before)] += c * np.log(grid * (c - 1) / max(before, 1) + (1 - grid) * uni[w] / (n + v + 1))
+    lam = {q: grid[x.argmax()] for q, x in fit.items()}
+
+    def exact(t):
+        total = 0
+        for a, w in zip([b"\n", *t[:-1]], t, strict=True):
+            share = lam.get(level(uni[a]), 0) if uni[a] else 0
+            total += math.log10(share * bi[a, w] / max(uni[a], 1) + (1 - share) * (uni[w] + 1) / (n + v + 1))
+        return total / len(t)
+
+    off = [abs(exact(rows[r.doc_id]) - r.score / r.n_tokens) for r in got]
+    assert np.median(off) < 0.2 and np.quantile(off, 0.95) < 0.8  # levels and false positives
+    assert np.mean([(r.score - r.base_score) / r.n_tokens for r in got if r.held_out]) > 0
+
+
+def test_filter_counts_never_fall_short():
+    rng = np.random.default_rng(1)
+    items = np.unique(rng.integers(0, 1 << 48, 20000, dtype=np.uint64))
+    counts = rng.zipf(1.5, len(items)).clip(1, 10 ** 6)
+    f = lm_score.Filter([lm_score.build_segment([(items, counts)], 1).tobytes()])
+    got, want = f.counts(items), lm_score.MIDDLE[lm_score.levels(counts)]
+    assert (got >= want).all() and (got == want).mean() > 0.97
+    other = rng.integers(0, 1 << 48, 20000, dtype=np.uint64)
+    assert (f.counts(np.setdiff1d(other, items)) > 0).mean() < 0.02
+
+
+def test_lm_of_nothing(none, spark):
+    assert lm_score.lm_scores(none).count() == 0
+    one = spark.createDataFrame([(None, "a b", "en", "s", 3)], SCHEMA)  # no training row
+    r = lm_score.lm_scores(one).first()
+    assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (3, 0, 0, 0.0)
+
+
+# 3. fingerprints
+
+def test_entropies_against_counting():
+    rng = random.Random(3)
+    texts = [bytes(rng.choice(b"abcde fghij\xc3") for _ in range(rng.randrange(0, 300))) for _ in range(12)] + [b"x" * 200, b""]
+    at, got = fingerprint.entropies(*fingerprint._ended(texts))
+    want, base = {}, 0
+    for t in texts:
+        for i in range(len(t) - 63):
+            c = Counter(t[i:i + 64]).values()
+            want[base + i] = -sum(x / 64 * math.log2(x / 64) for x in c) * 1000 / 6
+        base += len(t)
+    assert at.tolist() == sorted(want)
+    assert all(abs(g - want[a]) <= 1.01 for a, g in zip(at.tolist(), got.tolist(), strict=True))
+
+
+def test_selected_features_against_loops():
+    rng = random.Random(4)
+    rank = np.random.default_rng(1).permutation(1001)
+    texts = [" ".join(prose(i, rng.randrange(1, 60)).split()).encode() for i in range(15)] + [b"", b"short", b"y" * 64]
+    owner, start, _ = fingerprint.selected(*fingerprint._ended(texts), rank)
+    base = 0
+    for k, t in enumerate(texts):
+        at, e = fingerprint.entropies(*fingerprint._ended([t]))
+        votes = Counter()
+        r = rank[e]
+        for i in range(max(0, len(at) - 63)):
+            votes[min(range(i, i + 64), key=lambda j: (r[j], j))] += 1
+        if 0 < len(at) < 64:
+            votes[min(range(len(at)), key=lambda j: (r[j], j))] = 64
+        want = sorted(j for j, n in votes.items() if n >= 16) if len(t) >= 64 else [0] if t else []
+        assert (start[owner == k] - base).tolist() == want
+        base += len(t)
+
+
+def test_fingerprints_of_documents(docs, odd):
+    for df in (docs, odd.where("doc_id is not null").dropDuplicates(["doc_id"])):
+        rows = sorted(((r.doc_id, r.text or "") for r in df.collect()), reverse=True)
+        got = {r.doc_id: r for r in fingerprint.document_fingerprints(df).collect()}
+        assert len(got) == len(rows)
+        prints = {}
+        for (i, t), (j, u) in zip(rows, rows[1:] + rows[:1], strict=True):
+            half = len(t) // 2
+            edited = t[:len(t) - half] + u[:half]
+            assert got[i].n_chars == len(t)
+            assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+            assert prints.setdefault(t, got[i].fingerprint) == got[i].fingerprint
+            assert prints.setdefault(edited, got[i].edited_fingerprint) == got[i].edited_fingerprint
+            assert got[i].near_next == pytest.approx(fingerprint.likeness(
+                fingerprint.read(got[i].fingerprint), fingerprint.read(got[j].fingerprint)))
+            assert 0 <= got[i].near_edited <= 1 and 0 <= got[i].near_next <= 1
+        if df is docs:
+            long = [r for r in got.values() if r.n_chars > 500]
+            assert np.mean([r.near_edited for r in long]) > 0.4 and np.mean([r.near_next for r in long]) < 0.1
+            assert np.mean([r.near_edited > r.near_next for r in long]) > 0.97
+
+
+def test_fingerprints_of_odd_tables(odd, none, spark):
+    assert fingerprint.document_fingerprints(odd).count() == odd.count()
+    assert fingerprint.document_fingerprints(none).count() == 0
+    one = fingerprint.document_fingerprints(spark.createDataFrame([(1, prose(1, 50), "en", "s", 1)], SCHEMA)).collect()
+    assert len(one) == 1 and one[0].near_next == 1.0
+    assert fingerprint.likeness(fingerprint.read("0:"), fingerprint.read("0:")) == 1.0
+    assert fingerprint.likeness(fingerprint.read("0:"), fingerprint.read(one[0].fingerprint)) == 0.0
+
+
+# 5. chat formatting
+
+def brute_viterbi(obs):
+    """Best path by dynamic programming in one piece."""
+    if not len(obs):
+        return []
+    score, back = chat.START + chat.EMIT[:, obs[0]], []
+    for o in obs[1:]:
+        step = score[:, None] + chat.TRANS
+        back.append(step.argmax(0))
+        score = step.max(0) + chat.EMIT[:, o]
+    out = [int(score.argmax())]
+    for b in reversed(back):
+        out.append(int(b[out[-1]]))
+    return out[::-1], float(score.max())
+
+
+def path_score(obs, states):
+    total = chat.START[states[0]] + chat.EMIT[states[0], obs[0]]
+    for i in range(1, len(obs)):
+        total += chat.TRANS[states[i - 1], states[i]] + chat.EMIT[states[i], obs[i]]
+    return float(total)
+
+
+def test_blocks_find_the_best_path():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        obs = rng.integers(0, chat.SYMBOLS, rng.integers(1, 40))
+        cuts = np.sort(rng.integers(0, len(obs) + 1, 3))
+        parts = np.split(obs, cuts)
+        ends = chat.chain([chat.block_matrix(p) if len(p) else None for p in parts])
+        states = np.concatenate([chat.path(p, a, z) for p, (a, z) in zip(parts, ends, strict=True)])
+        assert path_score(obs, states.tolist()) == pytest.approx(brute_viterbi(obs)[1])
+    obs = rng.integers(0, chat.SYMBOLS, 5)   # against every path
+    best = max(path_score(obs, s) for s in itertools.product(range(chat.STATES), repeat=5))
+    assert brute_viterbi(obs)[1] == pytest.approx(best)
+
+
+def test_roles_are_recovered(spark, sf_small):
+    conv = spark.read.parquet(f"{sf_small}/conversations.parquet")
+    given = defaultdict(list)
+    for r in conv.orderBy("conv_id", "turn").collect():
+        given[r.conv_id].append((r.role, r.text))
+    got = chat.formatted(conv).collect()
+    assert len(got) == len(given)
+    for r in got:
+        assert r.roles == [role for role, _ in given[r.conv_id]]
+        want = "\n".join(x for role, text in given[r.conv_id] for x in (f"<|{role}|>", *[s for s in text.split("\n") if s.strip()]))
+        assert r.text == want
+
+
+def test_long_conversation_in_blocks(spark):
+    rows = [(1, t, ["user", "assistant"][t % 2], prose(t, 5)) for t in range(1000)]
+    got = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).orderBy("block").collect()
+    assert [r.block for r in got] == [0, 1, 2, 3]
+    assert [x for r in got for x in r.roles] == [r[2] for r in rows]
+
+
+def test_markers_are_told_from_text(spark):
+    lines = "Human: hello\nNote: this is text\n\nmore of it\nAI: **Answer**: 42\nlast\n[USER] thanks"
+    out = chat.parse_transcripts(spark.createDataFrame([(1, 0, lines)], "k long, o long, t string"), "k", "o", "t").first()
+    assert out.roles == ["user", "assistant", "user"]
+    assert out.text == "<|user|>\nhello\nNote: this is text\nmore of it\n<|assistant|>\n**Answer**: 42\nlast\n<|user|>\nthanks"
+
+
+def test_chat_odd_rows(spark):
+    schema = "conv_id long, turn long, role string, text string"
+    rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (2, None, None, None), (None, 3, "user", "x"), (None, None, "assistant", ""), (3, 0, "user", " \n ")]
+    got = chat.formatted(spark.createDataFrame(rows, schema)).collect()
+    assert Counter(r.conv_id for r in got) == Counter([1, 2, 2, None, None, 3]) - Counter([2])
+    assert chat.formatted(spark.createDataFrame([], schema)).count() == 0
+
+
+# 8. near dedup
+
+def brute_classes(rows):
+    by = defaultdict(list)
+    for i, t in rows:
+        by[b" ".join((t or "").encode().translate(FOLD).split())].append(i)
+    texts = list(by)
+    sets = [near_dedup.shingles_of(t, 5) for t in texts]
+    up = list(range(len(texts)))
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    where = defaultdict(set)
+    for j, s in enumerate(sets):
+        for q in s:
+            where[q].add(j)
+    for a, b in {(a, b) for js in where.values() for a in js for b in js if a < b}:
+        if near_dedup.probability_jaccard(sets[a], sets[b]) >= 0.8:
+            up[max(top(a), top(b))] = min(top(a), top(b))
+    classes = defaultdict(list)
+    for j, t in enumerate(texts):
+        classes[top(j)] += by[t]
+    return sorted(sorted((i is None, i or 0) for i in c) for c in classes.values())
+
+
+def grouped(df):
+    out = defaultdict(list)
+    for r in df.collect():
+        out[r.class_id].append((r.doc_id is None, r.doc_id or 0))
+    return sorted(sorted(c) for c in out.values())
+
+
+def near_rows():
+    """Chains of texts that change step by step, and a large group of near
+    copies of one text."""
+    rng = random.Random(7)
+    rows = []
+    for c in range(12):
+        words = prose(c, 120).split()
+        for step in range(6):
+            rows.append((" ".join(words),))
+            words[rng.randrange(20) * 6 % 120] += f"x{step}"
+    base = prose(77, 200).split()
+    for j in range(60):
+        w = list(base)
+        w[rng.randrange(200)] = f"z{j}"
+        rows.append((" ".join(w),))
+    rows += [(prose(1000 + j, 90),) for j in range(60)]
+    return [(i, *r, "en", "s", 1) for i, r in enumerate(rows)]
+
+
+def test_near_against_brute_force(docs, odd, spark):
+    for df in (docs, odd, spark.createDataFrame(near_rows(), SCHEMA)):
+        got = near_dedup.near_duplicates(df)
+        assert grouped(got) == brute_classes([(r.doc_id, r.text) for r in df.collect()])
+        kept = Counter(r.class_id for r in got.where("kept").collect())
+        assert set(kept) == {r.class_id for r in got.collect()} and set(kept.values()) == {1}
+        assert got.where("kept and doc_id is not null and doc_id != class_id").count() == 0
+
+
+def test_signature_estimates_probability_jaccard():
+    a, b = near_dedup.shingle_counts(prose(1, 400).encode(), 1), near_dedup.shingle_counts((prose(1, 400) + " " + prose(2, 150)).encode(), 1)
+    exact = near_dedup.probability_jaccard(Counter(dict(zip(*[x.tolist() for x in a], strict=True))), Counter(dict(zip(*[x.tolist() for x in b], strict=True))))
+    sa, sb = (near_dedup.signature(*x, 4000) for x in (a, b))
+    assert (sa == sb).mean() == pytest.approx(exact, abs=0.035)
+    assert (near_dedup.signature(a[0], a[1] * 3, 500) == near_dedup.signature(a[0], a[1], 500)).mean() > 0.3  # scale alone changes nothing in law
+
+
+def test_probability_jaccard_by_definition():
+    rng = random.Random(2)
+    for _ in range(50):
+        a = Counter(rng.choice("abcdefg") for _ in range(12))
+        b = Counter(rng.choice("abcdefg") for _ in range(9))
+        want = sum(1 / sum(max(a[e] / a[d], b[e] / b[d]) for e in a.keys() | b.keys()) for d in a.keys() & b.keys())
+        assert near_dedup.probability_jaccard(a, b) == pytest.approx(want)
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 200)] + [(500, 300), (301, 500)], "a long, b long")
+    got = {r.node: r["class"] for r in near_dedup.components(edges, 4).collect()}
+    assert got == {**{i: 1 for i in range(1, 201)}, 300: 300, 301: 300, 500: 300}
+
+
+def test_near_drop(odd, none):
+    out = near_dedup.drop_near_duplicates(odd)
+    assert out.columns == odd.columns
+    assert out.count() == len(brute_classes([(r.doc_id, r.text) for r in odd.collect()]))
+    assert near_dedup.drop_near_duplicates(none).count() == 0
+
+
+# 10. toxicity
+
+def toxic_table(spark, n=400):
+    rng = random.Random(3)
+    rows, labels = [], []
+    for i in range(n):
+        words = prose(i + 5000, rng.randrange(5, 120)).split()
+        bad = rng.random() < 0.25
+        if bad:
+            for _ in range(1 + len(words) // 40):
+                words.insert(rng.randrange(len(words) + 1), "grubbel" + rng.choice(["", "t", "ing", "er"]))
+        rows.append((i, " ".join(words), rng.choice(["en", "de"]), "s", 1))
+        labels.append((i, 1, int(bad)))
+    return spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = toxic_table(spark, 900)
+    got = toxicity.toxicity_scores(docs, labels).join(labels, "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    held = [r for r in got if r.held_out]
+    assert np.mean([r.predicted == r.toxic for r in held]) > 0.95
+    assert all(r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for r in got)
+
+
+def test_scores_depend_on_the_text_alone(spark):
+    docs, labels = toxic_table(spark)
+    model = toxicity.fitted(docs, labels)
+    a = toxicity.score(docs, model).orderBy("doc_id").select("score").collect()
+    moved = docs.select("doc_id", "text", F.lit("xx").alias("lang"), F.lit(None).cast("string").alias("source"), F.lit(1).alias("score"))
+    assert a == toxicity.score(moved, model).orderBy("doc_id").select("score").collect()
+    texts = [r.text.encode() for r in docs.collect()]
+    assert np.allclose(model.scores(texts), [model.scores([t])[0] for t in texts])  # no text sees another
+
+
+def test_held_out_labels_are_never_read(spark):
+    docs, labels = toxic_table(spark)
+    other = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert (toxicity.toxicity_scores(docs, labels).select("score").orderBy("doc_id").collect()
+            == toxicity.toxicity_scores(docs, other).select("score").orderBy("doc_id").collect())
+
+
+def test_toxicity_odd_rows(odd, none, spark):
+    labels = spark.createDataFrame([(1, 1, 0), (None, 1, 1), (7, None, None), (8, 0, 1), (8, 0, 1)], "doc_id long, quality int, toxic int")
+    got = toxicity.toxicity_scores(odd, labels)
+    assert got.count() == odd.count() and got.where("score is null or isnan(score)").count() == 0
+    assert toxicity.toxicity_scores(odd, labels.where("false")).where("predicted = 1").count() == 0
+    assert toxicity.toxicity_scores(none, labels).count() == 0
+    out = toxicity.drop_toxic(odd.withColumn("predicted", F.lit("x")), labels)
+    assert out.columns == [*odd.columns, "predicted"]
+
+
+# the pipeline
+
+def test_pipeline_stages(spark, sf_small, tmp_path):
+    """Each stage against brute force on its own input."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "exact_dedup", "near_dedup", "substring_dedup", "packing"]
+    tables = {"documents": docs}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, sf_small).write.parquet(str(tmp_path / name))
+        docs = tables[name] = spark.read.parquet(str(tmp_path / name))
+    cols = tables["documents"].columns
+    assert all(tables[n].columns == cols for n in names[:-1])
+    rows = {n: {r.doc_id: r for r in t.collect()} for n, t in tables.items() if n != "packing"}
+
+    labels = spark.read.parquet(f"{sf_small}/labels.parquet")
+    flagged = {r.doc_id for r in toxicity.toxicity_scores(tables["documents"], labels).where("predicted = 1").collect()}
+    assert set(rows["toxicity"]) == set(rows["documents"]) - flagged
+
+    first = {}
+    for i in sorted(rows["toxicity"]):
+        first.setdefault(rows["toxicity"][i].text.encode().translate(FOLD), i)
+    assert set(rows["exact_dedup"]) == set(first.values())
+
+    classes = brute_classes([(i, r.text) for i, r in rows["exact_dedup"].items()])
+    assert set(rows["near_dedup"]) == {c[0][1] for c in classes}
+
+    from tests.llm.test_ops_a import brute_substring
+
+    want = brute_substring([(i, r.text) for i, r in rows["near_dedup"].items()])
+    for i, r in rows["near_dedup"].items():
+        _, gone, kept = want[i, r.text]
+        now = rows["substring_dedup"][i]
+        assert (now.text, now.n_chars) == ((kept, len(kept)) if gone else (r.text, r.n_chars))
+
+    packed = defaultdict(list)
+    for p in tables["packing"].collect():
+        packed[p.doc_id].append((p.start, p.ids))
+    from tests.llm.test_ops_a import _json_tokenizer
+
+    for i, r in rows["substring_dedup"].items():
+        assert [x for _, ids in sorted(packed[i]) for x in ids] == [*_json_tokenizer().encode(r.text).ids, 0]
+    assert corpus_pipeline.run(spark, sf_small).count() == tables["packing"].count()
+
+
+def test_pipeline_of_nothing(spark, none, sf_small):
+    df = none
+    for _, stage in corpus_pipeline.STAGES:
+        df = stage(spark, df, sf_small)
+    assert df.count() == 0
