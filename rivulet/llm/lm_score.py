@@ -32,10 +32,10 @@ from rivulet.session import materialize
 
 LOG_BASE = 1.5             # of the count levels
 BITS_PER_ITEM = 12
-MAX_BYTES = 128 << 20      # of the broadcast filter
+MAX_BYTES = 96 << 20      # of the broadcast filter
 PROBES = 6
 GRID = (0.0, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.65, 0.8, 0.95)  # weights to choose from
-BLOCK_BYTES = 16 << 20     # text of a block
+BLOCK_BYTES = 6 << 20      # text of a block
 RANGE_BYTES = 24 << 20     # text whose counts one range of hashes holds
 END = np.uint64(0x243F6A8885A308D3)   # the end token's hash
 PAIR = np.uint64(0x9E6C63D0876A9A47)

@@ -35,8 +35,9 @@ from rivulet.session import materialize
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS = 25
-ROWS = 5        # a pair at 0.8 shares no band with probability (1 - 0.8 ** 5) ** 25 = 5e-5
+BANDS = 32
+ROWS = 7        # a pair at 0.8 shares no band with probability (1 - 0.8 ** 7) ** 32 = 5e-4; at 0.85 4e-6
+BLOCK_BYTES = 1 << 20
 ROUNDS = 2      # at least so many rounds of centres
 NULL_NODES = 1 << 62
 LEAST_SALTS = 64
@@ -45,17 +46,29 @@ SHINGLE_BASE = 0x8EBC6AF09C88C6E3
 _FOLD = bytes(B.FOLD)
 
 
-def shingle_counts(text: bytes, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of a text's shingles and how often each occurs. A text of fewer
-    words has one shingle, all of it; an empty one has none."""
-    buf = B.FOLD[np.frombuffer(text, np.uint8)]
+def shingle_hashes(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of a block of texts, and each one's text. A text
+    of fewer words has one shingle, all of it; an empty one has none."""
+    raw, first = B.joined(texts)
+    buf = B.FOLD[raw]
     start, end = B.word_spans(buf)
-    if not len(start):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     h = B.range_hashes(buf, B.BYTE_BASE, start, end)
-    n = max(1, len(h) - words + 1)
-    at = np.arange(n)
-    return np.unique(B.range_hashes(h, SHINGLE_BASE, at, np.minimum(at + words, len(h))), return_counts=True)
+    edge = np.searchsorted(start, first)
+    text = np.repeat(np.arange(len(texts)), np.diff(edge))
+    at = np.arange(len(h))
+    stop = np.minimum(at + words, edge[1:][text])
+    whole = (stop - at == words) | (at == edge[:-1][text])
+    at, stop = at[whole], stop[whole]
+    return B.range_hashes(h, SHINGLE_BASE, at, stop), text[whole]
+
+
+def weighted(keys: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (key, text) pairs and how often each occurs."""
+    both = B.mix(keys + text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(both)
+    both = both[order]
+    new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
+    return keys[order[new]], text[order[new]], np.diff(np.append(new, len(both)))
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -63,28 +76,52 @@ def _uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0 ** -53
 
 
-def signature(keys: np.ndarray, weights: np.ndarray, registers: int) -> np.ndarray:
-    """ProbMinHash signature: the key of the first arrival in each register."""
-    rate = weights.astype(np.float64)
-    horizon = registers * (np.log(registers) + 3.0) / rate.sum()
-    while True:
-        first = np.full(registers, np.inf)
-        owner = np.zeros(registers, np.uint64)
-        live, time, j = np.arange(len(keys)), np.zeros(len(keys)), 0
+def signatures(keys: np.ndarray, text: np.ndarray, weights: np.ndarray, n_texts: int, registers: int) -> np.ndarray:
+    """ProbMinHash signatures (n_texts rows): the key of the first arrival in
+    each register. All texts of a block go on together, arrival by arrival;
+    rows of texts without shingles stay 0."""
+    owner = np.zeros((n_texts, registers), np.uint64)
+    total = np.bincount(text, weights, n_texts)
+    todo = np.flatnonzero(total > 0)
+    horizon = registers * (np.log(registers) + 3.0) / np.maximum(total, 1)
+    while len(todo):
+        mine = np.zeros(n_texts, bool)
+        mine[todo] = True
+        live = np.flatnonzero(mine[text])
+        first = np.full(n_texts * registers, np.inf)
+        who = np.zeros(n_texts * registers, np.uint64)
+        time, j = np.zeros(len(live)), 0
         while len(live):
             j += 1
             draw = B.mix(keys[live] + np.uint64((j * 0x9E3779B97F4A7C15) % (1 << 64)))
-            time = time - np.log(_uniform(draw)) / rate[live]
-            early = time < horizon  # later arrivals cannot be the first anywhere
+            time = time - np.log(_uniform(draw)) / weights[live]
+            early = time < horizon[text[live]]  # later arrivals cannot be the first anywhere
             live, time = live[early], time[early]
             slot = (B.mix(draw[early] ^ np.uint64(0xC2B2AE3D27D4EB4F)) % np.uint64(registers)).astype(np.int64)
-            order = np.argsort(-time, kind="stable")  # of several, the earliest is written last
-            s, t, k = slot[order], time[order], keys[live][order]
-            better = t < first[s]
-            first[s[better]], owner[s[better]] = t[better], k[better]
-        if np.isfinite(first).all():
-            return owner
-        horizon *= 2.0
+            slot += text[live] * registers
+            np.minimum.at(first, slot, time)
+            won = time == first[slot]
+            who[slot[won]] = keys[live[won]]
+        full = np.isfinite(first).reshape(n_texts, registers).all(1)
+        done = todo[full[todo]]
+        owner[done] = who.reshape(n_texts, registers)[done]
+        todo = todo[~full[todo]]
+        horizon = horizon * 2.0
+    return owner
+
+
+def band_keys(texts: list[bytes], words: int, bands: int, rows: int) -> list[np.ndarray]:
+    """For each text a key per band of its signature; none without words."""
+    out: list[np.ndarray] = []
+    at = np.arange(bands) * rows
+    for a, b in B.text_blocks(texts, BLOCK_BYTES):
+        keys, text, weights = weighted(*shingle_hashes(texts[a:b], words))
+        has = np.bincount(text, minlength=b - a) > 0
+        sig = signatures(keys, text, weights, b - a, bands * rows)
+        start = (np.arange(b - a)[:, None] * (bands * rows) + at).ravel()
+        found = B.range_hashes(sig.ravel(), SHINGLE_BASE, start, start + rows).reshape(b - a, bands) + at.astype(np.uint64)
+        out += [found[i].view(np.int64) if has[i] else np.zeros(0, np.int64) for i in range(b - a)]
+    return out
 
 
 def probability_jaccard(a: Counter, b: Counter) -> float:
@@ -138,28 +175,16 @@ def _key_column(texts: pa.Array) -> pa.Array:
     return pa.array([_words_key(t) for t in B.texts_of(texts)], pa.binary())
 
 
-def band_keys(text: bytes, words: int, bands: int, rows: int) -> np.ndarray:
-    """A key per band of the signature; none for a text without words."""
-    keys, weights = shingle_counts(text, words)
-    if not len(keys):
-        return np.zeros(0, np.int64)
-    sig, at = signature(keys, weights, bands * rows), np.arange(bands) * rows
-    return (B.range_hashes(sig, SHINGLE_BASE, at, at + rows) + at.astype(np.uint64)).view(np.int64)
-
-
 def _signed(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> DataFrame:
     """(id, key, bands) of every row; texts stay where they are."""
 
     def sign(batches):
-        memo: dict[bytes, np.ndarray] = {}  # copies of one batch are signed once
         for batch in batches:
-            memo.clear()
-            keys, out = [], []
-            for text in B.texts_of(batch.column(1)):
-                keys.append(_words_key(text))
-                if keys[-1] not in memo:
-                    memo[keys[-1]] = band_keys(text, words, bands, rows)
-                out.append(memo[keys[-1]])
+            texts = B.texts_of(batch.column(1))
+            keys = [_words_key(t) for t in texts]
+            distinct = dict(zip(keys, texts, strict=True))  # copies in a batch are signed once
+            signed = dict(zip(distinct, band_keys(list(distinct.values()), words, bands, rows), strict=True))
+            out = [signed[k] for k in keys]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(keys, pa.binary()), pa.array(out, pa.list_(pa.int64()))], ["id", "key", "bands"])
 
@@ -227,6 +252,25 @@ def components(edges: DataFrame, salts: int, name: str = "components") -> DataFr
             return label
 
 
+def _merged(label: DataFrame | None, nodes: DataFrame, found: DataFrame, salts: int) -> DataFrame:
+    """(node, class) after new links: components over the classes that the
+    links join, which are far fewer than the nodes after the first round."""
+    if label is None:
+        known = components(found, salts, "near")
+        out = nodes.join(known, "node", "left").select("node", F.coalesce("class", F.col("node")).alias("class"))
+    else:
+        ends = (found.withColumn("salt", _salt(salts, "b"))
+                .transform(_one_per_key, label.select(F.col("node").alias("a"), F.col("class").alias("ca")), "a")
+                .withColumn("salt", _salt(salts, "a"))
+                .transform(_one_per_key, label.select(F.col("node").alias("b"), F.col("class").alias("cb")), "b"))
+        known = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")), salts, "near") \
+            .select(F.col("node").alias("class"), F.col("class").alias("new"))
+        moved = (label.withColumn("salt", _salt(salts, "node"))
+                 .transform(_one_per_key, label.select("class").distinct().join(known, "class", "left"), "class"))
+        out = moved.select("node", F.coalesce("new", "class").alias("class"))
+    return materialize(out, "near_classes")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE,
                     threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``docs``: id, class_id, n_links (distinct other
@@ -259,33 +303,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = known.where("first").select("id", "key", "node")
 
     # All members of buckets with two texts or more.
-    exploded = (
+    members = materialize(
         signed.select("id", "key", "bands").withColumn("rid", _row_id())
         .join(reps.withColumn("rid", _row_id()).select("key", "rid", "node"), ["key", "rid"])
-        .select("node", F.explode("bands").alias("band")).distinct()
-    )
-    exploded = materialize(exploded, "near_bands")
-    shared = exploded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    members = materialize(_one_per_key(exploded.withColumn("salt", _salt(salts, "node")), shared, "band").drop("salt"), "near_members")
+        .groupBy("node").agg(F.first("bands").alias("bands"))
+        .select("node", F.explode("bands").alias("band")), "near_bands")
+    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
+    members = materialize(_one_per_key(members.withColumn("salt", _salt(salts, "node")), shared, "band").drop("salt"), "near_members")
     nodes = members.select("node").distinct()
     texts = materialize(
         _documents_of(docs, id_col, text_col, reps.join(nodes, "node"), ()).select("node", "text"), "near_candidates")
 
-    links, tried, turn = None, None, 0
-    label = nodes.withColumn("class", F.col("node"))
+    links, tried, turn, label = None, None, 0, None
     while True:
         # Buckets that hold several classes; the centre of each is its least
-        # member in this round's order.
-        held = (members.withColumn("salt", F.pmod(F.xxhash64("band"), F.lit(salts))).transform(_one_per_key, label, "node")
-                .withColumn("salt", _salt(salts, "node")))
+        # member in this round's order. Buckets of one class are done with.
+        held = members.withColumn("class", F.col("node")) if label is None else members.join(label, "node")
+        held = held.withColumn("salt", _salt(salts, "node"))
         order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
         centre = (held.groupBy("band").agg(F.min(F.struct(order.alias("o"), "node", "class")).alias("c"),
                                            F.min("class").alias("lo"), F.max("class").alias("hi"))
-                  .where("lo != hi").select("band", "c"))
-        pairs = (
-            _one_per_key(held, centre, "band").where("class != c.class")
-            .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
-        )
+                  .where("lo != hi").select("band", F.col("c.node").alias("centre"), F.col("c.class").alias("centre_class")))
+        active = materialize(_one_per_key(held, centre, "band").drop("salt"), "near_active")
+        members = active.select("node", "band")
+        pairs = (active.where("class != centre_class")
+                 .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "near_pairs")
@@ -294,9 +336,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         turn += 1
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
-            label = materialize(
-                nodes.join(components(links, salts, "near"), "node", "left")
-                .select("node", F.coalesce("class", F.col("node")).alias("class")), "near_classes")
+            label = _merged(label, nodes, found, salts)
         elif turn >= ROUNDS:
             break
 

@@ -297,11 +297,17 @@ def test_near_against_brute_force(docs, odd, spark):
 
 
 def test_signature_estimates_probability_jaccard():
-    a, b = near_dedup.shingle_counts(prose(1, 400).encode(), 1), near_dedup.shingle_counts((prose(1, 400) + " " + prose(2, 150)).encode(), 1)
-    exact = near_dedup.probability_jaccard(Counter(dict(zip(*[x.tolist() for x in a], strict=True))), Counter(dict(zip(*[x.tolist() for x in b], strict=True))))
-    sa, sb = (near_dedup.signature(*x, 4000) for x in (a, b))
-    assert (sa == sb).mean() == pytest.approx(exact, abs=0.035)
-    assert (near_dedup.signature(a[0], a[1] * 3, 500) == near_dedup.signature(a[0], a[1], 500)).mean() > 0.3  # scale alone changes nothing in law
+    texts = [prose(1, 400).encode(), (prose(1, 400) + " " + prose(2, 150)).encode(), b"", b"one two"]
+    keys, text, weights = near_dedup.weighted(*near_dedup.shingle_hashes(texts, 1))
+    bags = [Counter(dict(zip(keys[text == i].tolist(), weights[text == i].tolist(), strict=True))) for i in (0, 1)]
+    assert sorted(bags[0].values()) == sorted(Counter(texts[0].split()).values())
+    exact = near_dedup.probability_jaccard(*bags)
+    sig = near_dedup.signatures(keys, text, weights, 4, 4000)
+    assert (sig[0] == sig[1]).mean() == pytest.approx(exact, abs=0.035)
+    assert not sig[2].any() and len(set(sig[3].tolist())) == 2
+    assert near_dedup.band_keys(texts, 5, 4, 3)[2].tolist() == []
+    alone = [near_dedup.band_keys([t], 5, 4, 3)[0].tolist() for t in texts]  # no text sees another
+    assert alone == [b.tolist() for b in near_dedup.band_keys(texts, 5, 4, 3)]
 
 
 def test_probability_jaccard_by_definition():
