@@ -31,8 +31,8 @@ from rivulet.llm.blocks import small_batches
 from rivulet.llm.packing import rank_file
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-MEMO_WORDS = 250_000     # words whose ids a worker remembers
-MEMO_STEPS = 400_000     # transitions that it remembers
+MEMO_WORDS = 500_000     # words whose ids a worker remembers
+MEMO_STEPS = 1_200_000   # transitions that it remembers
 SETTLE = 4096            # bytes of one word after which settled tokens are emitted
 
 
