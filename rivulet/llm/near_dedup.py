@@ -39,6 +39,7 @@ BANDS = 32
 ROWS = 7        # a pair at 0.8 shares no band with probability (1 - 0.8 ** 7) ** 32 = 5e-4; at 0.85 4e-6
 BLOCK_BYTES = 1 << 20
 ROUNDS = 2      # at least so many rounds of centres
+CENTRES = 3     # of a bucket, from the second round on
 NULL_NODES = 1 << 62
 LEAST_SALTS = 64
 ROWS_PER_SALT = 20_000
@@ -208,12 +209,12 @@ def _documents_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame
             .withColumn("rn", F.row_number().over(one)).where("rn = 1").drop("rn", "rid"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float, salts: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
     """The pairs (a, b) whose exact similarity reaches the threshold."""
-    both = _one_per_key(pairs.withColumn("salt", _salt(salts, "b")),
-                        texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-    both = _one_per_key(both.withColumn("salt", _salt(salts, "a")),
-                        texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+    # Both sides of each join are plain shuffles, so a centre with very many
+    # partners is split by Spark's own skew handling.
+    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"))
 
     def compare(batches):
         for batch in batches:
@@ -224,50 +225,39 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float,
     return both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long")
 
 
-def components(edges: DataFrame, salts: int, name: str = "components") -> DataFrame:
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, class): the smallest node that each node of ``edges`` (a, b) is
-    linked with. Each round points every node at the smallest label among its
-    neighbours and then at that label's own label; rounds go on until no label
-    changes, so chains shrink by doubling."""
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = materialize(both.where("a != b"), f"{name}_links")
-    label = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("class"))
-                        .withColumnRenamed("a", "node"), f"{name}_labels")
+    linked with. Each round points every node at the smallest label around it
+    and then at that label's own label, so the way a label has come doubles;
+    rounds go on until no label changes (labels only fall, so their sum tells).
+    """
+    links = edges.where("a != b")
+    links = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), f"{name}_links")
+    label = links.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("class")).withColumnRenamed("a", "node")
+    label, total = materialize(label, f"{name}_labels"), None
     while True:
-        # hook: the smallest label around a node also goes to the node's own label
-        seen = _one_per_key(both.withColumn("salt", _salt(salts, "a")),
-                            label.select(F.col("node").alias("b"), "class"), "b")
-        near = seen.groupBy("a").agg(F.min("class").alias("near")).withColumnRenamed("a", "node")
-        offer = label.join(near, "node").select("node", "class", F.least("class", "near").alias("new"))
-        hooked = (offer.select("node", "new")
-                  .unionByName(offer.select(F.col("class").alias("node"), "new"))
-                  .groupBy("node").agg(F.min("new").alias("class")))
-        # jump: the label of one's label
-        jumped = _one_per_key(hooked.withColumn("salt", _salt(salts, "node")).withColumnRenamed("class", "up"),
-                              hooked.select(F.col("node").alias("up"), F.col("class").alias("class")), "up")
-        after = materialize(jumped.select("node", F.least("up", "class").alias("class")), f"{name}_labels")
-        changed = after.join(label.withColumnRenamed("class", "was"), "node").where("class != was").isEmpty()
-        label = after
-        if changed:
+        near = links.join(label.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "class")
+        low = materialize(near.unionByName(label).groupBy("node").agg(F.min("class").alias("class")), f"{name}_low")
+        up = low.select(F.col("node").alias("class"), F.col("class").alias("up"))
+        label = materialize(low.join(up, "class").select("node", F.col("up").alias("class")), f"{name}_labels")
+        now = label.agg(F.sum(F.col("class").cast("decimal(38,0)"))).first()[0]
+        if now == total:
             return label
+        total = now
 
 
-def _merged(label: DataFrame | None, nodes: DataFrame, found: DataFrame, salts: int) -> DataFrame:
+def _merged(label: DataFrame | None, nodes: DataFrame, found: DataFrame) -> DataFrame:
     """(node, class) after new links: components over the classes that the
     links join, which are far fewer than the nodes after the first round."""
     if label is None:
-        known = components(found, salts, "near")
+        known = components(found, "near")
         out = nodes.join(known, "node", "left").select("node", F.coalesce("class", F.col("node")).alias("class"))
     else:
-        ends = (found.withColumn("salt", _salt(salts, "b"))
-                .transform(_one_per_key, label.select(F.col("node").alias("a"), F.col("class").alias("ca")), "a")
-                .withColumn("salt", _salt(salts, "a"))
-                .transform(_one_per_key, label.select(F.col("node").alias("b"), F.col("class").alias("cb")), "b"))
-        known = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")), salts, "near") \
+        ends = (found.join(label.select(F.col("node").alias("a"), F.col("class").alias("ca")), "a")
+                .join(label.select(F.col("node").alias("b"), F.col("class").alias("cb")), "b"))
+        known = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "near") \
             .select(F.col("node").alias("class"), F.col("class").alias("new"))
-        moved = (label.withColumn("salt", _salt(salts, "node"))
-                 .transform(_one_per_key, label.select("class").distinct().join(known, "class", "left"), "class"))
-        out = moved.select("node", F.coalesce("new", "class").alias("class"))
+        out = label.join(known, "class", "left").select("node", F.coalesce("new", "class").alias("class"))
     return materialize(out, "near_classes")
 
 
@@ -309,34 +299,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .groupBy("node").agg(F.first("bands").alias("bands"))
         .select("node", F.explode("bands").alias("band")), "near_bands")
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    members = materialize(_one_per_key(members.withColumn("salt", _salt(salts, "node")), shared, "band").drop("salt"), "near_members")
-    nodes = members.select("node").distinct()
+    members = materialize(members.join(materialize(shared, "near_shared"), "band"), "near_members")
+    nodes = materialize(members.select("node").distinct(), "near_nodes")
     texts = materialize(
         _documents_of(docs, id_col, text_col, reps.join(nodes, "node"), ()).select("node", "text"), "near_candidates")
 
     links, tried, turn, label = None, None, 0, None
     while True:
-        # Buckets that hold several classes; the centre of each is its least
-        # member in this round's order. Buckets of one class are done with.
+        # Buckets that hold several classes: each has the member of least id
+        # as its centre, in later rounds those of least hash under several
+        # hashes. Buckets of one class are done with.
         held = members.withColumn("class", F.col("node")) if label is None else members.join(label, "node")
-        held = held.withColumn("salt", _salt(salts, "node"))
-        order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-        centre = (held.groupBy("band").agg(F.min(F.struct(order.alias("o"), "node", "class")).alias("c"),
-                                           F.min("class").alias("lo"), F.max("class").alias("hi"))
-                  .where("lo != hi").select("band", F.col("c.node").alias("centre"), F.col("c.class").alias("centre_class")))
-        active = materialize(_one_per_key(held, centre, "band").drop("salt"), "near_active")
+        orders = [F.col("node")] if turn == 0 else [F.xxhash64("node", F.lit(CENTRES * turn + i)) for i in range(CENTRES)]
+        least = [F.min(F.struct(o.alias("o"), "node", "class")) for o in orders]
+        centres = materialize(
+            held.groupBy("band").agg(F.array(*[F.struct(c["node"].alias("centre"), c["class"].alias("centre_class")) for c in least])
+                                     .alias("centres"), F.min("class").alias("lo"), F.max("class").alias("hi"))
+            .where("lo != hi").select("band", "centres"), "near_centres")
+        active = materialize(held.join(centres, "band"), "near_active")
         members = active.select("node", "band")
-        pairs = (active.where("class != centre_class")
+        pairs = (active.select("node", "class", F.inline("centres")).where("class != centre_class")
                  .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "near_pairs")
-        found = materialize(_verified(pairs, texts, words, threshold, salts), "near_links")
+        found = materialize(_verified(pairs, texts, words, threshold), "near_links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         turn += 1
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
-            label = _merged(label, nodes, found, salts)
+            label = _merged(label, nodes, found)
         elif turn >= ROUNDS:
             break
 

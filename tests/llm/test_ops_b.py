@@ -321,7 +321,7 @@ def test_probability_jaccard_by_definition():
 
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 200)] + [(500, 300), (301, 500)], "a long, b long")
-    got = {r.node: r["class"] for r in near_dedup.components(edges, 4).collect()}
+    got = {r.node: r["class"] for r in near_dedup.components(edges).collect()}
     assert got == {**{i: 1 for i in range(1, 201)}, 300: 300, 301: 300, 500: 300}
 
 
