@@ -31,7 +31,7 @@ FEATURES = 160        # that one filter holds
 HASHES = 5
 SCALE = 1000
 FEATURE_BASE = 0xD6E8FEB86659FD93
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 18
 RANGES = 3            # ranges of ids per task
 NULL_ID = -(1 << 63)  # a null id is the smallest
 
@@ -55,12 +55,13 @@ def entropies(buf: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     at = np.flatnonzero(text[: max(0, n - WINDOW + 1)] == text[WINDOW - 1:]) if n >= WINDOW else np.zeros(0, np.int64)
     if not len(at):
         return at, np.zeros(0, np.int64)
-    order = np.argsort(buf, kind="stable")
-    key = buf[order].astype(np.int64) * (n + 2 * WINDOW) + order   # sorted: by byte, then place
+    kind = np.int32 if n < 1 << 22 else np.int64
+    order = np.argsort(buf, kind="stable").astype(kind)
+    key = buf[order].astype(kind) * kind(n + 2 * WINDOW) + order   # sorted: by byte, then place
     i = np.arange(n)
-    ahead, behind = np.empty(n, np.int64), np.empty(n, np.int64)
-    behind[order] = i - np.searchsorted(key, key - (WINDOW - 1)) + 1
-    ahead[order] = np.searchsorted(key, key + (WINDOW - 1), side="right") - i
+    ahead, behind = np.empty(n, np.int32), np.empty(n, np.int32)
+    behind[order] = i - np.searchsorted(key, key - kind(WINDOW - 1)) + 1
+    ahead[order] = np.searchsorted(key, key + kind(WINDOW - 1), side="right") - i
     enter = np.concatenate([[0], np.cumsum(_STEP[behind])])
     leave = np.concatenate([[0], np.cumsum(_STEP[ahead])])
     # A window from a: all that entered up to its end, less all that had left

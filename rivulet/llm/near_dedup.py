@@ -39,7 +39,7 @@ BANDS = 32
 ROWS = 7        # a pair at 0.8 shares no band with probability (1 - 0.8 ** 7) ** 32 = 5e-4; at 0.85 4e-6
 BLOCK_BYTES = 1 << 20
 ROUNDS = 2      # at least so many rounds of centres
-CENTRES = 3     # of a bucket, from the second round on
+CENTRES = 12    # of a bucket, from the second round on
 NULL_NODES = 1 << 62
 LEAST_SALTS = 64
 ROWS_PER_SALT = 20_000
@@ -298,7 +298,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(reps.withColumn("rid", _row_id()).select("key", "rid", "node"), ["key", "rid"])
         .groupBy("node").agg(F.first("bands").alias("bands"))
         .select("node", F.explode("bands").alias("band")), "near_bands")
-    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
+    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = materialize(members.join(materialize(shared, "near_shared"), "band"), "near_members")
     nodes = materialize(members.select("node").distinct(), "near_nodes")
     texts = materialize(
@@ -306,11 +306,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     links, tried, turn, label = None, None, 0, None
     while True:
-        # Buckets that hold several classes: each has the member of least id
-        # as its centre, in later rounds those of least hash under several
-        # hashes. Buckets of one class are done with.
-        held = members.withColumn("class", F.col("node")) if label is None else members.join(label, "node")
-        orders = [F.col("node")] if turn == 0 else [F.xxhash64("node", F.lit(CENTRES * turn + i)) for i in range(CENTRES)]
+        # Buckets that hold several classes: each has as its centre the member
+        # that meets most others over all its buckets (the text that a group of
+        # near copies was made from lies nearer to each than they to each
+        # other); in later rounds, under several hashes, a member of the
+        # class of least hash, so a small class in a bucket meets all of a
+        # large one. Buckets of one class are done with.
+        if turn == 0:
+            hub = members.groupBy("node").agg(F.sum("n").alias("met"))
+            held, orders = members.join(hub, "node").withColumn("class", F.col("node")), [F.struct(-F.col("met"), "node")]
+        else:
+            held = members.withColumn("class", F.col("node")) if label is None else members.join(label, "node")
+        orders = orders if turn == 0 else [
+            F.struct(F.xxhash64("class", F.lit(seed)), F.xxhash64("node", F.lit(seed)))
+            for seed in range(CENTRES * turn, CENTRES * (turn + 1))]
         least = [F.min(F.struct(o.alias("o"), "node", "class")) for o in orders]
         centres = materialize(
             held.groupBy("band").agg(F.array(*[F.struct(c["node"].alias("centre"), c["class"].alias("centre_class")) for c in least])
@@ -325,6 +334,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = materialize(pairs, "near_pairs")
         found = materialize(_verified(pairs, texts, words, threshold), "near_links")
         tried = pairs if tried is None else tried.unionByName(pairs)
+        if turn == 0:  # a bucket whose members are all linked with its centre is done with
+            refused = materialize(pairs.join(found, ["a", "b"], "left_anti"), "near_refused")
+            met = active.select("band", "node", F.inline("centres")).select(
+                "band", F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+            left = materialize(met.join(refused, ["a", "b"], "left_semi").select("band").distinct(), "near_open")
+            members = materialize(members.join(left, "band", "left_semi"), "near_members")
         turn += 1
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
