@@ -34,8 +34,13 @@ def map_json(m: Column | str, sort_keys: bool = True) -> Column:
 
 
 def is_json(c: Column | str) -> Column:
-    """True when the text parses as JSON (any element)."""
-    return F.try_parse_json(col_of(c)).isNotNull()
+    """True when the text is one JSON element, of any size and with repeated
+    names or not: it must be a single element of an array and the single
+    member of an object (so brackets in the text cannot close the wrapping)."""
+    c = col_of(c)
+    in_array = F.json_array_length(F.concat(F.lit("["), c, F.lit("]"))) == 1
+    in_object = F.size(F.json_object_keys(F.concat(F.lit('{"v":'), c, F.lit("}")))) == 1
+    return F.coalesce(in_array & in_object, F.lit(False))
 
 
 def json_string_literal(c: Column | str) -> Column:

@@ -21,7 +21,8 @@ def raw_query(url: Column | str) -> Column:
 def url_malformed(url: Column | str) -> Column:
     """True when the text is not a URI (bad escape, illegal character...)."""
     u = col_of(url)
-    parts = [F.try_parse_url(u, F.lit(p)) for p in ("PROTOCOL", "PATH", "HOST", "QUERY", "REF")]
+    # every URI has a path, if an empty one, or else (opaque) a scheme
+    parts = [F.try_parse_url(u, F.lit(p)) for p in ("PATH", "PROTOCOL")]
     return u.isNotNull() & F.coalesce(*parts).isNull() & (u != F.lit(""))
 
 
@@ -58,11 +59,6 @@ def url_pairs(url: Column | str) -> Column:
         "array<struct<key:string,value:string>>"))
 
 
-def pair_keys(pairs: Column) -> Column:
-    """Distinct names in order of first appearance."""
-    return F.array_distinct(F.transform(pairs, lambda p: p["key"]))
-
-
 def last_wins_map(pairs: Column, prefix: str = "", suffix: str = "") -> Column:
     """Pairs → map; a repeated name keeps its last value (``map_from_entries``
     under ``spark.sql.mapKeyDedupPolicy=LAST_WIN``, set by the operators);

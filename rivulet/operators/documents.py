@@ -20,8 +20,10 @@ CNPJ_RANGE = 99_999_999
 
 
 def _draw(seed: int, by: Sequence[str | Column], modulus: int) -> Column:
-    """A repeatable draw in 0..modulus-1 per row, from the row's identity."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[col_of(c) for c in by]), F.lit(modulus))
+    """A repeatable draw in 0..modulus-1 per row: 60 bits of the MD5 of the
+    seed and the row's identity."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(col_of(c).cast("string"), F.lit("")) for c in by])
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long"), F.lit(modulus))
 
 
 def cpf_base(seed: int, by: Sequence[str | Column], state: int | Column | None = None) -> Column:
@@ -32,11 +34,15 @@ def cpf_base(seed: int, by: Sequence[str | Column], state: int | Column | None =
         base = F.lpad(num.cast("string"), T.CPF_BASE_LEN, "0")
         bumped = F.lpad((num + 1).cast("string"), T.CPF_BASE_LEN, "0")
     else:
-        st = (state if isinstance(state, Column) else F.lit(state)).cast("string")
+        st = state if isinstance(state, Column) else F.lit(state)
+        digit = F.coalesce(st.between(0, 9), F.lit(False))  # any other state is ignored
+        plain = cpf_base(seed, by)
+        st = st.cast("string")
         num = _draw(seed, by, CPF_STATE_RANGE)
         base = F.lpad(F.concat(num.cast("string"), st), T.CPF_BASE_LEN, "0")
         bumped = F.lpad(F.concat((num + 1).cast("string"), st), T.CPF_BASE_LEN, "0")
-    return F.when(T.all_same_digit(base), bumped).otherwise(base)
+    base = F.when(T.all_same_digit(base), bumped).otherwise(base)
+    return base if state is None else F.when(digit, base).otherwise(plain)
 
 
 def with_check_digits(df: DataFrame, base: Column, out: str, kind: str = "cpf") -> DataFrame:

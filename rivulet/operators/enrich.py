@@ -4,19 +4,11 @@ The reference runs one bound SELECT per record. Over a table that is a join;
 Catalyst picks broadcast or sort-merge from table statistics, and AQE
 re-plans at run time (a small side becomes a broadcast, hot keys are split).
 
-Skew: a left outer join lets AQE split hot partitions of the *left* side
-only. A lookup with a hot key (one customer holding a third of the orders)
-would then sit in one task. So ``enrich`` is planned as
-
-    inner join (AQE may split either side)
-    UNION ALL
-    left-anti join against the lookup's *distinct* keys (pre-aggregated
-    map-side, so a hot key is one row per map task)
-    UNION ALL
-    records whose key is null (they cannot match)
-
-which gives the left-join result with no unsplittable skew; the records'
-shuffle is shared by both joins.
+One lookup is one left outer join with a hit flag, so the records are planned
+once however many lookups follow each other. AQE splits a hot key on the
+record side. A hot key on the lookup side (one customer holding a third of the
+orders) is split by ``hot_rows``: keys with more lookup rows than that are
+dealt into so many pieces, and their records meet each piece.
 """
 
 from __future__ import annotations
@@ -33,17 +25,11 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The check is ``take(max_rows + 1)`` of a constant column: Spark scans
-    partitions a few at a time and stops once the bound is passed (a
-    ``limit().count()`` would start a task on every input split). At most
-    ``max_rows + 1`` one-value rows reach the driver. Beyond the bound the
-    frame is returned as is and the join shuffles.
-    """
-    n = len(df.select(F.lit(1).alias("_one")).take(max_rows + 1))
-    return F.broadcast(df) if n <= max_rows else df
+def small_side(df: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
+    """``df`` with a broadcast hint if its plan's size estimate is within
+    ``max_bytes`` (no job runs); else as it is, for Spark to decide."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def rename_case(df: DataFrame, case: str | None, skip: Sequence[str] = ()) -> DataFrame:
@@ -56,79 +42,84 @@ def rename_case(df: DataFrame, case: str | None, skip: Sequence[str] = ()) -> Da
 
 def enrich(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left",
            empty_marker: str | None = None, marker_value: str = "true", case: str | None = None,
-           as_strings: bool = True, broadcast_max_rows: int | None = None,
-           strategy: str = "split") -> DataFrame:
+           as_strings: bool = True, hot_rows: int | None = None) -> DataFrame:
     """One output row per matching lookup row, carrying the record's
     columns plus the lookup's columns (as text, optionally case-renamed).
 
     ``how="left"`` keeps records without a match once, with null lookup
     columns and, when ``empty_marker`` is given, a column of that name set
-    to ``marker_value`` (null on matched rows).
-
-    ``strategy="split"`` (default) plans inner join + anti join so AQE can
-    split hot keys on both sides; ``"left_outer"`` is one left outer join,
-    for streams joined to a static table.
+    to ``marker_value`` (null on matched rows). A lookup column named like a
+    record column overwrites it on matched rows. ``hot_rows`` splits lookup
+    keys with more rows than that (at the price of counting them first).
     """
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
     keys = _keys(on)
     vals = [c for c in lookup.columns if c not in keys]
     side = lookup.select(*keys, *[(F.col(f"`{c}`").cast("string") if as_strings else F.col(f"`{c}`")).alias(c)
                                   for c in vals])
-    side = rename_case(side, case, skip=keys)
-    # A lookup column named like a record column overwrites it on matched
-    # rows (result attributes replace the record's); records without a match
-    # keep their own value. The lookup copy travels under a temporary name so
-    # the record side's input (and its shuffle) stays the same in both joins.
-    overlap = [c for c in side.columns if c not in keys and c in df.columns]
-    side = side.toDF(*[f"_lk_{c}" if c in overlap else c for c in side.columns])
-    new_vals = [c for c in side.columns if c not in keys and not c.startswith("_lk_")]
-    out_cols = [F.col(f"_lk_{c}").alias(c) if c in overlap else F.col(f"`{c}`") for c in df.columns]
-    out_cols += [F.col(f"`{c}`") for c in new_vals]
-    if broadcast_max_rows is not None:
-        side = bounded_broadcast(side, broadcast_max_rows)
-
-    if how == "left" and strategy == "left_outer":
-        hit = side.withColumn("_hit", F.lit(True))
-        joined = df.join(hit, keys, "left")
-        cols = [F.when(F.col("_hit").isNotNull(), F.col(f"_lk_{c}")).otherwise(F.col(f"`{c}`")).alias(c)
-                if c in overlap else F.col(f"`{c}`") for c in df.columns]
-        cols += [F.col(f"`{c}`") for c in new_vals]
-        if empty_marker:
-            cols.append(F.when(F.col("_hit").isNull(), F.lit(marker_value)).alias(empty_marker))
-        return joined.select(*cols)
-
-    # Records with a null key never match. Splitting them off first makes
-    # both joins below read the same filtered input, so its shuffle is done
-    # once and reused (the null-key scan is a pushed-down filter).
-    has_key = F.lit(True)
-    for k in keys:
-        has_key = has_key & F.col(k).isNotNull()
-    keyed = df.where(has_key)
-    matched = keyed.join(side.where(has_key), keys, "inner").select(*out_cols)
-    if empty_marker:
-        matched = matched.withColumn(empty_marker, F.lit(None).cast("string"))
-    if how == "inner":
-        return matched
-    if how != "left":
-        raise ValueError("how must be 'left' or 'inner'")
-
-    hit_keys = lookup.select(*keys).where(has_key).distinct()
-    missed = keyed.join(hit_keys, keys, "left_anti").unionByName(df.where(~has_key))
-    types = dict(side.dtypes)
-    missed = missed.select(*[F.col(f"`{c}`") for c in df.columns],
-                           *[F.lit(None).cast(types[c]).alias(c) for c in new_vals])
-    if empty_marker:
-        missed = missed.withColumn(empty_marker, F.lit(marker_value))
-    return matched.select(*missed.columns).unionByName(missed)
+    side = _overwriting(rename_case(side, case, skip=keys), keys, df.columns).withColumn("_hit", F.lit(True))
+    by = list(keys)
+    if hot_rows:
+        # At most |lookup| / hot_rows keys; their records always match, so a
+        # piece without a row of its own must not count as "no match".
+        hot = (lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+               .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces")))
+        value = [F.col(f"`{c}`") for c in side.columns if c not in ("_hit", *keys)]
+        side = (side.join(hot, keys, "left")
+                .withColumn("_piece", F.pmod(F.xxhash64(*value), F.coalesce("_pieces", F.lit(1))).cast("int")).drop("_pieces"))
+        df = (df.join(hot, keys, "left")
+              .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))))
+        by.append("_piece")
+    joined = df.join(side, by, how)
+    if hot_rows:
+        joined = joined.where(F.col("_hit").isNotNull() | F.col("_pieces").isNull()).drop("_pieces", "_piece")
+        df = df.drop("_pieces", "_piece")
+    return _result(joined, df.columns, [c for c in side.columns if c not in by], empty_marker if how == "left" else None, marker_value)
+
+
+def _overwriting(side: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Lookup columns named like record columns travel as ``_lk_<name>``."""
+    return side.toDF(*[f"_lk_{c}" if c not in keys and c in columns else c for c in side.columns])
+
+
+def _result(joined: DataFrame, columns: Sequence[str], side: Sequence[str], marker: str | None, value: str) -> DataFrame:
+    hit = F.col("_hit").isNotNull()
+    cols = [F.when(hit, F.col(f"_lk_{c}")).otherwise(F.col(f"`{c}`")).alias(c) if f"_lk_{c}" in side
+            else F.col(f"`{c}`") for c in columns]
+    cols += [F.col(f"`{c}`") for c in side if c != "_hit" and not c.startswith("_lk_")]
+    if marker:
+        cols.append(F.when(~hit, F.lit(value)).alias(marker))
+    return joined.select(*cols)
+
+
+def enrich_where(df: DataFrame, lookup: DataFrame, predicate: Column, how: str = "left",
+                 empty_marker: str | None = None, marker_value: str = "true", case: str | None = None,
+                 as_strings: bool = True) -> DataFrame:
+    """O13 for any bound SELECT: ``predicate`` is over the lookup's columns
+    and the record's, these written ``F.col(name).outer()``. Spark takes the
+    lateral join apart into a join on the predicate, so with an equality in it
+    the rest (ranges, inequalities) is a condition of a keyed join; without
+    any equality every record meets every lookup row, as the SELECT would."""
+    # one select: the outer names resolve in the join only, so nothing may ask
+    # this frame for its columns before
+    named = {c: {"lower": c.lower(), "upper": c.upper()}.get(case, c) for c in lookup.columns}
+    named = {c: f"_lk_{n}" if n in df.columns else n for c, n in named.items()}
+    side = lookup.where(predicate).select(
+        *[(F.col(f"`{c}`").cast("string") if as_strings else F.col(f"`{c}`")).alias(n) for c, n in named.items()],
+        F.lit(True).alias("_hit"))
+    joined = df.lateralJoin(side, how=how)
+    return _result(joined, df.columns, [*named.values(), "_hit"], empty_marker if how == "left" else None, marker_value)
 
 
 def enrich_json(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], json_col: str = "content",
-                default: str = "{}", broadcast_max_rows: int | None = None) -> DataFrame:
+                default: str = "{}", hot_rows: int | None = None) -> DataFrame:
     """O14 content form: one JSON object per matching lookup row (values as
     text, nulls left out); a record without match gets ``default``."""
     keys = _keys(on)
     vals = [c for c in lookup.columns if c not in keys]
     side = lookup.select(*keys, row_json(lookup, vals).alias(json_col))
-    out = enrich(df, side, keys, how="left", as_strings=False, broadcast_max_rows=broadcast_max_rows)
+    out = enrich(df, side, keys, how="left", as_strings=False, hot_rows=hot_rows)
     return out.withColumn(json_col, F.coalesce(F.col(json_col), F.lit(default)))
 
 

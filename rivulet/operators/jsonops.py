@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.json import json_string_literal, map_json
+from rivulet.functions.json import is_json, json_string_literal, map_json
 from rivulet.functions.text import col_of
 from rivulet.operators.records import MAP_TYPE, last_win, put_attribute, put_attributes, staged
 
@@ -76,8 +76,7 @@ def minify_json(c: Column | str) -> Column:
     c = col_of(c)
     t = F.trim(c)
     first = F.substring(t, 1, 1)
-    valid = F.try_parse_json(c).isNotNull()
-    return F.when(valid, F.when(first.isin("{", "["), F.get_json_object(c, "$")).otherwise(t))
+    return F.when(is_json(c), F.when(first.isin("{", "["), F.get_json_object(c, "$")).otherwise(t))
 
 
 def pack_envelope(df: DataFrame, content: str = "content", attributes: str = "attributes",
@@ -87,7 +86,7 @@ def pack_envelope(df: DataFrame, content: str = "content", attributes: str = "at
     Empty content → no ``content`` member, and attribute ``marker`` = true on
     the record (not inside the envelope). Empty attributes → no
     ``attribute`` member. Content that is not JSON is flagged in
-    ``valid_col`` (false) and its envelope is null.
+    ``valid_col`` (false) and stays as it is.
     """
     df = last_win(df)
     c, a = F.col(content), F.col(attributes)
@@ -100,7 +99,7 @@ def pack_envelope(df: DataFrame, content: str = "content", attributes: str = "at
     env = F.concat(F.lit("{"), members, F.lit("}"))
     ok = ~has_c | inner.isNotNull()
     cols = {
-        content: F.when(ok, env),
+        content: F.when(ok, env).otherwise(c),
         attributes: F.when(has_c, a).otherwise(put_attribute(a, marker, F.lit("true"))),
     }
     if valid_col:

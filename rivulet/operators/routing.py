@@ -99,10 +99,13 @@ def guard_size(df: DataFrame, content: str | Column = "content", max_bytes: int
                        route_col=route_col)
 
 
+TRACE_BLOCK = 1000   # visits of a record that are made at once
+
+
 def loop_trace(df: DataFrame, value: str, limit: str | Column, step_col: str = "step",
-               value_col: str = "valor", route_col: str = "route") -> DataFrame:
-    """O42 as trace rows: the loop flow routes ``valor < repeticao`` to
-    ``loop`` (then +1) and ``valor = repeticao`` to ``endloop``; one row per
+               value_col: str = "loop_value", route_col: str = "route") -> DataFrame:
+    """O42 as trace rows: the loop flow routes ``loop_value < loop_limit`` to
+    ``loop`` (then +1) and ``loop_value = loop_limit`` to ``endloop``; one row per
     visit of the router. A start above the limit, or null, is ``unmatched``.
 
     ``sequence`` counts down when start > stop, so it is only used under the
@@ -113,12 +116,17 @@ def loop_trace(df: DataFrame, value: str, limit: str | Column, step_col: str = "
         staged = staged.drop(value_col)  # the trace value replaces it
     v, lim = F.col("_v"), F.col("_lim")
     runs = v.isNotNull() & lim.isNotNull() & (v <= lim)
-    seq = F.when(runs, F.sequence(v, lim)).otherwise(F.array(v))
-    out = staged.select("*", F.posexplode(seq).alias("_pos", value_col))
+    # blocks of visits first, then the visits of each: no array is longer
+    # than a block, except the list of blocks
+    blocks = F.when(runs, F.sequence(v, lim, F.lit(TRACE_BLOCK))).otherwise(F.array(v))
+    out = staged.select("*", F.explode(blocks).alias("_from"))
+    visits = F.when(runs, F.sequence(F.col("_from"), F.least(F.col("_from") + (TRACE_BLOCK - 1), lim))).otherwise(F.array("_from"))
+    out = out.select("*", F.explode(visits).alias(value_col))
+    out = out.withColumn("_pos", F.when(runs, F.col(value_col) - v).otherwise(F.lit(0)))
     route = (F.when(~runs, F.lit(UNMATCHED))
              .when(F.col(value_col) < lim, F.lit("loop")).otherwise(F.lit("endloop")))
     return (out.withColumn(step_col, F.col("_pos").cast("long")).withColumn(route_col, route)
-            .drop("_pos", "_v", "_lim"))
+            .drop("_pos", "_from", "_v", "_lim"))
 
 
 def loop_end(df: DataFrame, value: str, limit: str | Column, route_col: str = "route",

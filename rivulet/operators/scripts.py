@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import col_of
+from rivulet.operators.sequences import next_ids
 
 # Fixed text pieces of one script line: head(c1,c2) values (v1,v2);
 SCRIPT_SEP = ","
 SCRIPT_VALUES = " values "
 SCRIPT_END = ";"
 SCRIPT_NEWLINE = "\n"
+MAX_SQL_COPIES = 200   # plan branches that iterate_sql makes at most
 
 
 def insert_line(df: DataFrame, head: str | Column, cols: Sequence[str] | None = None, quote: bool = False) -> Column:
@@ -39,34 +41,50 @@ def rows_to_insert_script(df: DataFrame, head: str | Column, cols: Sequence[str]
     return df.select(*keep, insert_line(df, head, cols, quote).alias(out))
 
 
-def append_script(lines: DataFrame, key: str | Sequence[str], order_by: str, line: str = "line",
+def append_script(lines: DataFrame, key: str | Sequence[str], order_by: str | Sequence[str], line: str = "line",
                   chunk_rows: int = 1000, old_content: DataFrame | None = None,
-                  content: str = "content") -> DataFrame:
+                  content: str = "content", reset: bool = False) -> DataFrame:
     """Each record's script = its lines in ``order_by`` order, each
-    followed by a newline (with ``old_content`` the old text and a newline
-    come first, as chunk -1).
-
-    The text is returned in chunks of at most ``chunk_rows`` lines per row
-    (``key``, ``chunk``, ``script``; chunk = ``order_by`` div ``chunk_rows``
-    for an integral, per-key unique ``order_by``), so no group larger than a
-    chunk is ever gathered in one task. Concatenating a key's chunks in
-    ``chunk`` order gives the record's content.
+    followed by a newline. With ``old_content`` (and no ``reset``) the old text
+    and a newline come first, as chunk -1; a null or empty old text adds
+    nothing.
+
+    The text is returned in chunks of exactly ``chunk_rows`` lines (the last:
+    the rest), by the lines' position in their record, whatever the type of
+    ``order_by``; null comes first. No group larger than a chunk is ever
+    gathered in one task. A key's chunks in order give the record's content.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    chunk = F.floor(F.col(order_by) / F.lit(chunk_rows)).cast("long")
-    staged = lines.select(*keys, chunk.alias("chunk"), F.struct(F.col(order_by).alias("o"), F.col(line).alias("l")).alias("_e"))
-    # sort_array orders the (order, line) structs; .l takes the lines out;
-    # every line is followed by a newline
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    staged = next_ids(lines.select(*dict.fromkeys([*keys, *order, line])), keys, [*order, line], id_col="_pos")
+    chunk = F.floor((F.col("_pos") - 1) / F.lit(chunk_rows)).cast("long")
+    entry = F.struct(F.col("_pos").alias("p"), F.coalesce(col_of(line), F.lit("")).alias("l")).alias("_e")
     ordered = F.sort_array(F.collect_list("_e")).getField("l")
-    scripts = staged.groupBy(*keys, "chunk").agg(
+    scripts = staged.select(*keys, chunk.alias("chunk"), entry).groupBy(*keys, "chunk").agg(
         F.concat(F.array_join(ordered, SCRIPT_NEWLINE), F.lit(SCRIPT_NEWLINE)).alias("script"))
-    if old_content is not None:
-        old = old_content.select(*keys, F.lit(-1).cast("long").alias("chunk"),
-                                 F.concat(col_of(content), F.lit(SCRIPT_NEWLINE)).alias("script"))
+    if old_content is not None and not reset:
+        old = old_content.where(F.length(col_of(content)) > 0).select(
+            *keys, F.lit(-1).cast("long").alias("chunk"), F.concat(col_of(content), F.lit(SCRIPT_NEWLINE)).alias("script"))
         scripts = scripts.unionByName(old)
     return scripts
 
 
+def script_into_content(records: DataFrame, lines: DataFrame, key: str, order_by: str | Sequence[str],
+                        line: str = "line", content: str = "content", reset: bool = False) -> DataFrame:
+    """O16 as the record carries it: ``records`` with the script appended to
+    their content (or in its place, with ``reset``). A record's content is one
+    value, so its chunks are joined; a record without lines keeps its content.
+    A null key matches the lines of the null key."""
+    chunks = append_script(lines, key, order_by, line)
+    whole = chunks.groupBy(key).agg(
+        F.array_join(F.sort_array(F.collect_list(F.struct("chunk", "script"))).getField("script"), "").alias("_script"))
+    whole = whole.withColumnRenamed(key, "_key")
+    old = F.lit("") if reset else F.when(F.length(col_of(content)) > 0, F.concat(col_of(content), F.lit(SCRIPT_NEWLINE))).otherwise(F.lit(""))
+    out = records.join(whole, records[key].eqNullSafe(whole["_key"]), "left")
+    text = F.when(F.col("_script").isNotNull(), F.concat(old, "_script")).otherwise(F.col(content))
+    return out.withColumn(content, text).select(*records.columns)
+
+
 def iterate_union(df: DataFrame, select: Callable[[DataFrame], DataFrame], n: int | str,
                   token: str = "i") -> DataFrame:
     """``select`` run for i = 1..n (column ``token``), results UNIONed,
@@ -91,10 +109,13 @@ def iterate_sql(spark, sql: str, n: int | str, token: str = "#{iterate}",
     the SELECT text is repeated for i = 1..n with the token replaced and the
     copies are glued with ``UNION`` (distinct), as the reference does. Each
     copy is its own plan branch, so prefer ``iterate_union`` whenever the
-    token is a value. n < 1 counts as 1; a non-number is an error."""
+    token is a value; more than MAX_SQL_COPIES copies are refused. n < 1
+    counts as 1; a non-number is an error."""
     try:
         count = max(int(n), 1)
     except (TypeError, ValueError) as e:
         raise ValueError(f"iteration count is not a number: {n!r}") from e
+    if count > MAX_SQL_COPIES:
+        raise ValueError(f"{count} copies of a SELECT; at most {MAX_SQL_COPIES} (use iterate_union)")
     text = " UNION ".join(f"({sql.replace(token, str(i))})" for i in range(1, count + 1))
     return spark.sql(text, args=args)

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.signing import ALGORITHMS, b64url, b64url_decode_text, b64url_text, hmac_sha2
+from rivulet.functions.json import is_json
 from rivulet.functions.text import col_of
+from rivulet.operators.records import staged
 
 # Reasons an audited token is refused (our names; the reference passes the
 # library's exception text through).
@@ -64,33 +66,33 @@ def sign_rows(df: DataFrame, claims: Mapping[str, Column | str] | Sequence[str],
     return df.withColumn(out, sign(claims_json(claims, exp), secret, alg))
 
 
-def token_check(token: Column | str, secret: str, now: int | Column) -> Column:
-    """Null when the token is valid, else the reason it is refused."""
-    t = col_of(token)
-    parts = F.split(t, r"\.", -1)
-    head_txt = b64url_decode_text(F.get(parts, 0))
-    alg = F.get_json_object(head_txt, "$.alg")
-    signing_input = F.concat(F.get(parts, 0), F.lit("."), F.get(parts, 1))
-    expected = F.lit(None).cast("string")
+def audit_tokens(df: DataFrame, token: str, secret: str, now: int | Column,
+                 valid_col: str = "token_valid", reason_col: str = "token_error") -> DataFrame:
+    """Each token checked → ``valid_col`` and the refusal reason (null
+    when the token is valid). Parts, header, signature and payload are staged,
+    each worked out once per row. An expiry that is not a number is a bad
+    payload."""
+    names = list(df.columns)
+    df, parts = staged(df, "_parts", F.split(col_of(token), r"\.", -1))
+    df, alg = staged(df, "_alg", F.get_json_object(b64url_decode_text(F.get(parts, 0)), "$.alg"))
+    signed = F.concat(F.get(parts, 0), F.lit("."), F.get(parts, 1))
+    want = F.lit(None).cast("string")
     for name, bits in reversed(list(ALGORITHMS.items())):
-        expected = F.when(alg == F.lit(name), b64url(hmac_sha2(signing_input, secret, bits))).otherwise(expected)
-    payload = b64url_decode_text(F.get(parts, 1))
-    exp = F.get_json_object(payload, "$.exp").try_cast("long")
+        want = F.when(alg == F.lit(name), b64url(hmac_sha2(signed, secret, bits))).otherwise(want)
+    df, expected = staged(df, "_expected", want)
+    df, payload = staged(df, "_payload", b64url_decode_text(F.get(parts, 1)))
+    df, exp_text = staged(df, "_exp", F.get_json_object(payload, "$.exp"))
+    exp, t = exp_text.try_cast("decimal(38,6)"), col_of(token)
     now_c = now if isinstance(now, Column) else F.lit(int(now))
-    return (F.when(F.coalesce(F.length(t), F.lit(0)) == 0, F.lit(REASON_EMPTY))
+    reason = (F.when(F.coalesce(F.length(t), F.lit(0)) == 0, F.lit(REASON_EMPTY))
             .when(F.size(parts) != 3, F.lit(REASON_SEGMENTS))
             .when(alg.isNull(), F.lit(REASON_HEADER))
             .when(expected.isNull(), F.lit(REASON_ALGORITHM))
             .when(expected != F.get(parts, 2), F.lit(REASON_SIGNATURE))
-            .when(F.try_parse_json(payload).isNull(), F.lit(REASON_PAYLOAD))
+            .when(~is_json(payload) | (exp_text.isNotNull() & exp.isNull()), F.lit(REASON_PAYLOAD))
             .when(exp.isNotNull() & (now_c.cast("long") >= exp), F.lit(REASON_EXPIRED)))
-
-
-def audit_tokens(df: DataFrame, token: str, secret: str, now: int | Column,
-                 valid_col: str = "token_valid", reason_col: str = "token_error") -> DataFrame:
-    """Each token checked → ``valid_col`` and the refusal reason."""
-    reason = token_check(token, secret, now)
-    return df.withColumns({reason_col: reason}).withColumn(valid_col, F.col(reason_col).isNull())
+    return (df.withColumn(reason_col, reason).withColumn(valid_col, F.col(reason_col).isNull())
+            .select(*names, reason_col, valid_col))
 
 
 def audit_counts(audited: DataFrame, reason_col: str = "token_error") -> DataFrame:

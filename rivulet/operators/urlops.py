@@ -58,12 +58,17 @@ def build_query_string(df: DataFrame, pairs: str, out: str = "query_string") ->
 
 def url_param_stats(df: DataFrame, url: str, id_col: str, exact: bool = True) -> DataFrame:
     """Use of each parameter name over the table: occurrences, rows
-    (URLs) using it, distinct values. Partial aggregation map-side, so a hot
-    name costs one row per map task before the shuffle."""
-    rows = url_param_rows(df, url, [id_col])
+    (URLs) using it, distinct values. A name's first place in its row counts
+    the row, so only the values need a distinct. Partial aggregation map-side:
+    a hot name costs one row per map task and value before the shuffle."""
+    df, pairs = staged(df.select(id_col, url), "_pairs", U.url_pairs(url))
+    names = F.transform(pairs, lambda p: p["key"])
+    rows = df.select(names.alias("_names"), F.posexplode(pairs).alias("_pos", "_p")).select(
+        F.col("_p.key").alias("key"), F.col("_p.value").alias("value"),
+        (F.array_position("_names", F.col("_p.key")) == F.col("_pos") + 1).alias("_first"))
     distinct = F.count_distinct if exact else F.approx_count_distinct
     return rows.groupBy("key").agg(
         F.count(F.lit(1)).alias("n_occurrences"),
-        distinct(id_col).alias("n_urls"),
+        F.count_if("_first").alias("n_urls"),
         distinct("value").alias("n_values"),
     )

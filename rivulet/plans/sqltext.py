@@ -3,48 +3,51 @@ digits, HMAC, base64url). Used only to write the oracle SQL."""
 
 from __future__ import annotations
 
-from rivulet.functions import taxid as T
-from rivulet.functions.signing import key_pads
+# Written out here, not taken from the library that the SQL checks.
+CPF_1 = (10, 9, 8, 7, 6, 5, 4, 3, 2)
+CPF_2 = (11, 10, 9, 8, 7, 6, 5, 4, 3, 2)
+CNPJ_1 = (5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2)
+CNPJ_2 = (6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2)
 
 
-def check_digit_sql(d: str, weights: list[int], threshold: int = T.CHECK_MOD_THRESHOLD) -> str:
+def check_digit_sql(d: str, weights: tuple[int, ...]) -> str:
     s = " + ".join(f"TRY_CAST(substr({d}, {i + 1}, 1) AS INTEGER) * {w}" for i, w in enumerate(weights))
-    return f"(CASE WHEN ({s}) % 11 > {threshold} THEN 11 - ({s}) % 11 ELSE 0 END)"
+    return f"(CASE WHEN ({s}) % 11 > 2 THEN 11 - ({s}) % 11 ELSE 0 END)"
 
 
-def complete_sql(base: str, n: int, weights_of) -> str:
-    d1 = check_digit_sql(base, weights_of(n))
-    with_d1 = f"({base} || CAST({d1} AS VARCHAR))"
-    d2 = check_digit_sql(with_d1, weights_of(n + 1))
-    return f"({with_d1} || CAST({d2} AS VARCHAR))"
+def complete_sql(base: str, first: tuple[int, ...], second: tuple[int, ...]) -> str:
+    with_d1 = f"({base} || CAST({check_digit_sql(base, first)} AS VARCHAR))"
+    return f"({with_d1} || CAST({check_digit_sql(with_d1, second)} AS VARCHAR))"
 
 
 def cpf_complete_sql(base9: str) -> str:
-    return complete_sql(base9, T.CPF_BASE_LEN, T.cpf_weights)
+    return complete_sql(base9, CPF_1, CPF_2)
 
 
 def cnpj_complete_sql(base12: str) -> str:
-    return complete_sql(base12, T.CNPJ_BASE_LEN, T.cnpj_weights)
+    return complete_sql(base12, CNPJ_1, CNPJ_2)
 
 
 def digits_sql(c: str) -> str:
     return f"COALESCE(regexp_replace({c}, '[^0-9]', '', 'g'), '')"
 
 
-def valid_sql(c: str, base_len: int, full_len: int, weights_of) -> str:
-    d = digits_sql(c)
-    d1 = check_digit_sql(d, weights_of(base_len))
-    d2 = check_digit_sql(d, weights_of(base_len + 1))
-    return (f"COALESCE(length({d}) = {full_len} AND TRY_CAST(substr({d}, {base_len + 1}, 1) AS INTEGER) = {d1} "
-            f"AND TRY_CAST(substr({d}, {base_len + 2}, 1) AS INTEGER) = {d2}, false)")
+def valid_sql(c: str, first: tuple[int, ...], second: tuple[int, ...]) -> str:
+    d, n = digits_sql(c), len(first)
+    return (f"COALESCE(length({d}) = {n + 2} AND TRY_CAST(substr({d}, {n + 1}, 1) AS INTEGER) = {check_digit_sql(d, first)} "
+            f"AND TRY_CAST(substr({d}, {n + 2}, 1) AS INTEGER) = {check_digit_sql(d, second)}, false)")
 
 
 def cpf_valid_sql(c: str) -> str:
-    return valid_sql(c, T.CPF_BASE_LEN, T.CPF_LEN, T.cpf_weights)
+    return valid_sql(c, CPF_1, CPF_2)
 
 
 def cnpj_valid_sql(c: str) -> str:
-    return valid_sql(c, T.CNPJ_BASE_LEN, T.CNPJ_LEN, T.cnpj_weights)
+    return valid_sql(c, CNPJ_1, CNPJ_2)
+
+
+def draw_sql(seed: int, key: str, modulus: int) -> str:
+    return f"(CAST('0x' || substr(md5('{seed}|' || CAST({key} AS VARCHAR)), 1, 15) AS BIGINT) % {modulus})"
 
 
 def b64url_sql(blob: str) -> str:
@@ -57,6 +60,7 @@ def b64url_decode_sql(text: str) -> str:
 
 
 def hmac256_sql(msg_text: str, secret: str) -> str:
-    ipad, opad = key_pads(secret, 256)
+    key = secret.encode().ljust(64, b"\0")  # secrets of at most a block
+    ipad, opad = bytes(x ^ 0x36 for x in key), bytes(x ^ 0x5C for x in key)
     inner = f"unhex(sha256(unhex('{ipad.hex()}') || encode({msg_text})))"
     return f"unhex(sha256(unhex('{opad.hex()}') || {inner}))"

@@ -3,79 +3,111 @@
 Spark files have no multi-table transaction, so visibility is what is made
 atomic:
 
-1. each target frame is written to ``root/<target>/batch_id=<id>/``
-   (overwrite of that one folder, so a retried batch replaces its own
-   partial output and never doubles it);
-2. only when every write succeeded is one manifest row published to
-   ``root/manifest/batch_id=<id>/`` — the single, last, visible step;
-3. readers (``read_committed``) keep only batches listed in the manifest.
-
-A failure at any target leaves no manifest row: the batch's staged files
-are invisible, as after a rollback. Row counts come from ``observe`` on the
-write itself, not from a second pass.
+1. each attempt writes its targets to folders of its own
+   (``root/<target>/batch_id=<id>/attempt=<name>/``), never over another's;
+2. only when every write succeeded is one manifest row published, which names
+   the batch and the attempt — the single, last, visible step;
+3. readers (``read_committed``) keep only attempts that the manifest names.
+
+A batch that the manifest lists is done: appending it again changes nothing.
+A failure at any target leaves no manifest row, so whatever was staged stays
+invisible and what was committed before stays as it is. Row counts come from
+``observe`` on the write itself, not from a second pass.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark import StorageLevel
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import non_blank_trimmed_lines
-from rivulet.operators.enrich import bounded_broadcast
+from rivulet.operators.routing import mark_failed, sql_error_code
 
 MANIFEST = "manifest"
-MANIFEST_SCHEMA = "batch_id_value string, targets array<string>, rows map<string,bigint>, committed_at bigint"
-MANIFEST_BROADCAST_MAX_ROWS = 100_000   # batches; beyond this the filter join shuffles
+MANIFEST_SCHEMA = ("batch_id_value string, attempt_value string, stream string, seq bigint, targets array<string>, "
+                   "rows map<string,bigint>, committed_at bigint")
 BATCH_COL = "batch_id"
+ATTEMPT_COL = "attempt"
 RESULT_SCHEMA = ("batch_id string, success boolean, insert_successfully_done bigint, "
-                 "rows map<string,bigint>, error_code string, error_message string")
+                 "rows map<string,bigint>, failed_target string, error_code string, error_message string")
 
 
-def _target_path(root: str, name: str, batch_id) -> str:
-    return f"{root.rstrip('/')}/{name}/{BATCH_COL}={batch_id}"
+def _target_path(root: str, name: str, batch_id, attempt: str) -> str:
+    return f"{root.rstrip('/')}/{name}/{BATCH_COL}={batch_id}/{ATTEMPT_COL}={attempt}"
 
 
 def _error(e: Exception) -> tuple[str, str]:
-    if isinstance(e, PySparkException):
-        code = e.getCondition() or e.getSqlState() or type(e).__name__
-    else:
-        code = type(e).__name__
-    return str(code), str(e).split("\n")[0].replace("'", '"')[:1000]
+    """Code and whole message of a failure, as the failure record has them."""
+    code = (e.getSqlState() or e.getCondition()) if isinstance(e, PySparkException) else None
+    return sql_error_code(code or type(e).__name__), str(e).replace("'", '"')
+
+
+def _read_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """The manifest's rows; none before the first commit. Any other error
+    (storage, rights) is raised, since it does not mean "nothing committed"."""
+    try:
+        return spark.read.schema(MANIFEST_SCHEMA).json(f"{root.rstrip('/')}/{MANIFEST}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+
+
+def committed_attempts(spark: SparkSession, root: str) -> DataFrame:
+    """One manifest row per committed batch: of attempts that raced for the
+    same batch, the first one published counts."""
+    m = _read_manifest(spark, root)
+    row = F.struct("attempt_value", "stream", "seq", "rows", "committed_at")
+    first = F.min_by(row, F.struct("committed_at", "attempt_value")).alias("m")
+    return m.groupBy("batch_id_value").agg(first).select("batch_id_value", "m.*")
+
+
+def committed_batches(spark: SparkSession, root: str) -> DataFrame:
+    """Batch ids whose manifest row was published (one row per batch)."""
+    return committed_attempts(spark, root).select("batch_id_value")
 
 
 def atomic_append(spark: SparkSession, targets: Mapping[str, DataFrame], root: str, batch_id,
-                  fmt: str = "parquet") -> dict:
-    """Write every target for ``batch_id``, then publish the manifest.
+                  fmt: str = "parquet", stream: str | None = None, seq: int | None = None) -> dict:
+    """Write every target for ``batch_id``, then publish the manifest row.
 
-    Returns ``{batch_id, success, insert_successfully_done, rows, error_code,
-    error_message}``; ``insert_successfully_done`` is the number of targets
-    written (the true count, see SURVEY 2.10).
+    Returns ``{batch_id, success, insert_successfully_done, rows,
+    failed_target, error_code, error_message}``; ``insert_successfully_done``
+    is the number of targets written (the true count, see SURVEY 2.10). A
+    batch that is committed already is left alone and reported as it was.
     """
-    done, rows = 0, {}
+    out = {"batch_id": str(batch_id), "success": True, "insert_successfully_done": 0, "rows": {},
+           "failed_target": None, "error_code": None, "error_message": None}
+    rows: dict[str, int] = {}
+    name = MANIFEST
     try:
+        done = committed_attempts(spark, root).where(F.col("batch_id_value") == str(batch_id)).first()
+        if done is not None:
+            return out | {"insert_successfully_done": len(done["rows"]), "rows": dict(done["rows"])}
         if not targets or next(iter(targets.values())) is None:
             raise ValueError("the first target is required")
+        attempt = "a" + uuid.uuid4().hex[:16]
         for name, df in targets.items():
             if df is None:
                 continue  # blank statement slot: skipped
-            obs = Observation(f"rows_{name}_{batch_id}")
-            df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format(fmt).save(
-                _target_path(root, name, batch_id))
+            obs = Observation(f"rows_{name}_{attempt}")
+            df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").format(fmt).save(
+                _target_path(root, name, batch_id, attempt))
             rows[name] = int(obs.get["n"])
-            done += 1
-        manifest = spark.createDataFrame([(str(batch_id), list(rows), rows, int(time.time()))], MANIFEST_SCHEMA)
-        manifest.coalesce(1).write.mode("overwrite").json(_target_path(root, MANIFEST, batch_id))
-        return {"batch_id": str(batch_id), "success": True, "insert_successfully_done": done,
-                "rows": rows, "error_code": None, "error_message": None}
+        name = MANIFEST
+        manifest = spark.createDataFrame(
+            [(str(batch_id), attempt, stream, seq, list(rows), rows, time.time_ns())], MANIFEST_SCHEMA)
+        manifest.coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/{MANIFEST}")
+        return out | {"insert_successfully_done": len(rows), "rows": rows}
     except Exception as e:  # noqa: BLE001 - any failure is routed, like a rollback
         code, msg = _error(e)
-        return {"batch_id": str(batch_id), "success": False, "insert_successfully_done": 0,
-                "rows": rows, "error_code": code, "error_message": msg}
+        return out | {"success": False, "rows": rows, "failed_target": name, "error_code": code, "error_message": msg}
 
 
 def ensure_manifest(spark: SparkSession, root: str) -> None:
@@ -84,39 +116,34 @@ def ensure_manifest(spark: SparkSession, root: str) -> None:
     spark.createDataFrame([], MANIFEST_SCHEMA).write.mode("append").json(f"{root.rstrip('/')}/{MANIFEST}")
 
 
-def committed_batches(spark: SparkSession, root: str) -> DataFrame:
-    """Batch ids whose manifest was published (one row per batch)."""
-    path = f"{root.rstrip('/')}/{MANIFEST}"
-    try:
-        m = spark.read.schema(MANIFEST_SCHEMA).json(path)
-    except Exception:  # noqa: BLE001 - no batch committed yet
-        return spark.createDataFrame([], "batch_id_value string")
-    return m.select("batch_id_value").distinct()
-
-
 def read_committed(spark: SparkSession, root: str, name: str, schema=None, fmt: str = "parquet") -> DataFrame:
-    """A target as readers see it: only batches named in the manifest (a
-    semi-join on the partition column against the broadcast manifest)."""
+    """A target as readers see it: only the attempts that the manifest names
+    (a semi-join on the partition columns, so uncommitted folders are pruned;
+    Spark decides by the manifest's size whether to broadcast it)."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     data = reader.load(f"{root.rstrip('/')}/{name}")
-    batch_type = data.schema[BATCH_COL].dataType
-    ok = committed_batches(spark, root).select(F.col("batch_id_value").cast(batch_type).alias("_committed"))
-    # One manifest row per committed batch: broadcast it once that bound is
-    # checked, so the target data is never shuffled for this filter. The
-    # cast is on the manifest side, so the partition column is compared as
-    # it is.
-    ok = bounded_broadcast(ok, MANIFEST_BROADCAST_MAX_ROWS)
-    return data.join(ok, data[BATCH_COL] == ok["_committed"], "left_semi")
+    # The casts are on the manifest's side: partition columns are compared as they are.
+    ok = committed_attempts(spark, root).select(
+        F.col("batch_id_value").cast(data.schema[BATCH_COL].dataType).alias("_batch"), F.col("attempt_value").alias("_attempt"))
+    on = (data[BATCH_COL] == ok["_batch"]) & (data[ATTEMPT_COL] == ok["_attempt"])
+    return data.join(ok, on, "left_semi").drop(ATTEMPT_COL)
 
 
 def result_frame(spark: SparkSession, results: list[dict]) -> DataFrame:
     """Outcome rows of ``atomic_append`` calls as a DataFrame (success and
     failure routes are ``filter(success)`` / ``filter(!success)``)."""
-    return spark.createDataFrame(
-        [(r["batch_id"], r["success"], r["insert_successfully_done"], r["rows"], r["error_code"],
-          r["error_message"]) for r in results], RESULT_SCHEMA)
+    names = [c.split()[0] for c in RESULT_SCHEMA.replace("map<string,bigint>", "map").split(", ")]
+    return spark.createDataFrame([tuple(r[n] for n in names) for r in results], RESULT_SCHEMA)
+
+
+def route_outcome(records: DataFrame, result: Mapping, statement: str | None = None) -> DataFrame:
+    """O9 for a whole append: the input records with ``route``; on failure
+    also ``error_code`` (``SqlErrCod[<code>] ``) and ``error_message``: the
+    statement (or the target that failed) and the error, as data."""
+    said = f"{statement or result['failed_target']}: {result['error_message']}"
+    return mark_failed(records, F.lit(bool(result["success"])), result["error_code"] or "", F.lit(said))
 
 
 def append_lines(spark: SparkSession, records: DataFrame, content: str,

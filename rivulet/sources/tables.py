@@ -114,7 +114,7 @@ def stream_source(spark: SparkSession, path: str, schema: StructType | str,
     """O2: a stream of records from new Parquet files under ``path``.
 
     The period is the caller's ``trigger(processingTime=...)``; fixed
-    attributes (``valor=0, repeticao=10`` in the loop flow) are literals.
+    attributes (``loop_value=0, loop_limit=10`` in the loop flow) are literals.
     """
     reader = spark.readStream.schema(schema)
     if file_glob:

@@ -3,12 +3,14 @@
 Stateless operators are plain projections/filters, so they apply to a
 ``readStream`` frame unchanged (O43). A stream enriched by a static table is
 a stream-static join (O44), and the transactional append is ``foreachBatch``
-calling ``atomic_append`` keyed by the micro-batch id: a replayed batch
-rewrites its own folder and manifest row, so it adds nothing twice.
+calling ``atomic_append`` with the stream's own id and the micro-batch number:
+a replayed batch is listed already and changes nothing, and a stream with a
+new checkpoint (or another stream on the same root) has batches of its own.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping
 
 from pyspark import StorageLevel
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators.sequences import allocate
-from rivulet.sinks.atomic import BATCH_COL, atomic_append, committed_batches, ensure_manifest
+from rivulet.sinks.atomic import ATTEMPT_COL, BATCH_COL, atomic_append, committed_attempts, ensure_manifest
 from rivulet.sources.tables import stream_source
 
 
@@ -29,6 +31,31 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trig
                          max_files_per_trigger=max_files_per_trigger)
 
 
+def _start(stream: DataFrame, each: Callable[[DataFrame, int, str], None], checkpoint: str,
+           processing_time: str | None) -> StreamingQuery:
+    """Start ``each(batch, number, stream id)`` per micro-batch. The id is the
+    one in the checkpoint: it outlives restarts, and a new checkpoint has
+    another."""
+    known: dict[str, str] = {}
+    ready = threading.Event()
+
+    def run(batch: DataFrame, number: int) -> None:
+        if not ready.wait(60):
+            raise RuntimeError("the stream's id is not known")
+        each(batch, number, known["id"])
+
+    w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
+    query = w.start()
+    known["id"] = str(query.id)
+    ready.set()
+    return query
+
+
+def _append(spark: SparkSession, targets: Mapping[str, DataFrame], root: str, stream_id: str, number: int) -> dict:
+    return atomic_append(spark, targets, root, f"{stream_id[:13]}-{number}", stream=stream_id, seq=number)
+
+
 def append_stream(stream: DataFrame, split: Callable[[DataFrame], Mapping[str, DataFrame]], root: str,
                   checkpoint: str, processing_time: str | None = None,
                   on_result: Callable[[dict], None] | None = None) -> StreamingQuery:
@@ -37,26 +64,24 @@ def append_stream(stream: DataFrame, split: Callable[[DataFrame], Mapping[str, D
     stream stops and replays that batch id on restart."""
     spark = stream.sparkSession
 
-    def each(batch: DataFrame, batch_id: int) -> None:
+    def each(batch: DataFrame, number: int, stream_id: str) -> None:
         targets = split(batch)
         # several targets read the same micro-batch: compute it once
         cached = len(targets) > 1
         if cached:
             batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            res = atomic_append(spark, targets, root, batch_id)
+            res = _append(spark, targets, root, stream_id, number)
         finally:
             if cached:
                 batch.unpersist()
         if on_result:
             on_result(res)
         if not res["success"]:
-            raise RuntimeError(f"batch {batch_id} failed: {res['error_code']} {res['error_message']}")
+            raise RuntimeError(f"batch {number} failed: {res['error_code']} {res['error_message']}")
 
     ensure_manifest(spark, root)
-    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
-    return w.start()
+    return _start(stream, each, checkpoint, processing_time)
 
 
 def run_available_now(query: StreamingQuery, timeout_s: float | None = None) -> None:
@@ -66,40 +91,39 @@ def run_available_now(query: StreamingQuery, timeout_s: float | None = None) ->
         raise query.exception()
 
 
-def latest_committed(spark: SparkSession, root: str, name: str, before: int | None = None):
-    """The newest committed batch of ``name`` (with id < ``before``), or None.
-    The batch id comes from the manifest (one row per batch; one number
-    reaches the driver), and only that batch's folder is read."""
-    batches = committed_batches(spark, root).select(F.col("batch_id_value").try_cast("long").alias("b"))
+def latest_committed(spark: SparkSession, root: str, name: str, stream_id: str | None = None, before: int | None = None):
+    """The newest committed batch of ``name``, or None; of the stream
+    ``stream_id`` only batches under number ``before`` count. The batch comes
+    from the manifest (one row per batch; one row reaches the driver), and
+    only that attempt's folder is read."""
+    rows = committed_attempts(spark, root).where(F.map_contains_key("rows", F.lit(name)))
     if before is not None:
-        batches = batches.where(F.col("b") < F.lit(before))
-    last = batches.agg(F.max("b").alias("b")).first().b
+        rows = rows.where(~F.col("stream").eqNullSafe(F.lit(stream_id)) | (F.col("seq") < before))
+    last = rows.orderBy(F.col("committed_at").desc()).select("batch_id_value", "attempt_value").first()
     if last is None:
         return None
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}/{BATCH_COL}={last}")
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}/{BATCH_COL}={last[0]}/{ATTEMPT_COL}={last[1]}")
 
 
 def allocate_stream(stream: DataFrame, keys, order_by, root: str, checkpoint: str,
-                    initial_counters: DataFrame | None = None, counter_col: str = "contador",
+                    initial_counters: DataFrame | None = None, counter_col: str = "counter",
                     id_col: str = "next_id", processing_time: str | None = None) -> StreamingQuery:
     """O18 on a stream: every micro-batch continues the counters committed by
     the batches before it, and publishes its ids (target ``ids``) and the new
     counter snapshot (target ``counters``) all-or-nothing under its batch id.
-    A replayed batch reads the same earlier snapshot, so it writes the same
-    ids over its own folder."""
+    A stream with a new checkpoint goes on from the newest snapshot on the
+    root, so no id is given twice."""
     spark = stream.sparkSession
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        prev = latest_committed(spark, root, "counters", before=batch_id)
+    def each(batch: DataFrame, number: int, stream_id: str) -> None:
+        prev = latest_committed(spark, root, "counters", stream_id, before=number)
         if prev is None:
             prev = initial_counters
         # allocate reads the batch once (ids and counters come from its tags)
         ids, counters = allocate(batch, keys, order_by, prev, counter_col, id_col)
-        res = atomic_append(spark, {"ids": ids, "counters": counters}, root, batch_id)
+        res = _append(spark, {"ids": ids, "counters": counters}, root, stream_id, number)
         if not res["success"]:
-            raise RuntimeError(f"batch {batch_id} failed: {res['error_code']} {res['error_message']}")
+            raise RuntimeError(f"batch {number} failed: {res['error_code']} {res['error_message']}")
 
     ensure_manifest(spark, root)
-    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
-    return w.start()
+    return _start(stream, each, checkpoint, processing_time)

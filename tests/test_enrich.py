@@ -16,7 +16,7 @@ def test_left_enrich_with_marker_null_keys_and_hot_key(spark):
     assert {type(r.N) for r in got if r.N is not None} == {str}
     inner = en.enrich(recs, look, "k", how="inner")
     assert inner.count() == 501
-    lo = en.enrich(recs, look, "k", empty_marker="NORESULT", case="upper", strategy="left_outer")
+    lo = en.enrich(recs, look, "k", empty_marker="NORESULT", case="upper", hot_rows=40)  # key 1 in 13 pieces
     assert sorted(map(repr, lo.collect())) == sorted(map(repr, out.select(*lo.columns).collect()))
 
 
@@ -30,18 +30,16 @@ def test_enrich_json_and_last(spark):
     assert sorted((r.k, r.v, r.none) for r in last.collect()) == [(1, "q", None), (2, None, "true")]
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    assert "hint broadcast" in str(en.bounded_broadcast(small, 10)._jdf.queryExecution().logical()).lower()
-    assert "hint" not in str(en.bounded_broadcast(big, 10)._jdf.queryExecution().logical()).lower()
+def test_small_side(spark):
+    hinted = lambda df, n: "hint broadcast" in str(en.small_side(df, n)._jdf.queryExecution().logical()).lower()
+    assert hinted(spark.range(10), 1000) and not hinted(spark.range(100000), 1000)
 
 
 def test_lookup_columns_overwrite_record_columns(spark):
     recs = spark.createDataFrame([(1, "old", "x"), (2, "keep", "y")], "k long, status string, other string")
     look = spark.createDataFrame([(1, "new", "v1")], "k long, status string, extra string")
-    for strategy in ("split", "left_outer"):
-        out = en.enrich(recs, look, "k", empty_marker="none", strategy=strategy)
+    for hot_rows in (None, 1):
+        out = en.enrich(recs, look, "k", empty_marker="none", hot_rows=hot_rows)
         assert out.columns == ["k", "status", "other", "extra", "none"]
         got = sorted(map(repr, out.collect()))
         assert got == sorted(map(repr, [

@@ -17,7 +17,7 @@ def test_oracle_keys_are_queries():
 
 
 def _norm(v):
-    return None if v is None else str(v)
+    return "<null>" if v is None else str(v)
 
 
 @pytest.mark.parametrize("name", sorted(se.oracle_sql()))

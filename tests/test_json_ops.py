@@ -25,7 +25,7 @@ def test_envelope_round_trip(spark):
     assert json.loads(p[3].content) == {"content": "just text"}
     assert json.loads(p[4].content) == {"attribute": {"x": "4"}} and p[4].attributes["no.attribute"] == "true"
     assert "no.attribute" not in json.loads(p[4].content)["attribute"]
-    assert p[6].content_valid is False and p[6].content is None
+    assert p[6].content_valid is False and p[6].content == '{bad json'
     back = {r.record_id: r for r in J.unpack_envelope(packed.filter("content_valid").drop("content_valid")).collect()}
     assert json.loads(back[1].content) == {"a": 1, "b": {"c": [1, 2]}}
     assert back[1].content == '{"a":1,"b":{"c":[1,2]}}'
@@ -82,23 +82,23 @@ def test_attributes_to_json(spark):
 
 
 def test_nest_attributes_tree(spark):
-    attrs = {"user.person.name": "Ann", "user.person.lastname": "Lee",
-             "user.person.address.name": "Main", "user.person.address.number": "10",
-             "user.person.address.postalCode": "123", "other": "x"}
-    names = ["user.person.name", "user.person.lastname", "user.person.address.name",
-             "user.person.address.number", "user.person.address.postalCode"]
+    attrs = {"order.buyer.name": "Ann", "order.buyer.family": "Lee",
+             "order.buyer.place.name": "Main", "order.buyer.place.number": "10",
+             "order.buyer.place.zip": "123", "other": "x"}
+    names = ["order.buyer.name", "order.buyer.family", "order.buyer.place.name",
+             "order.buyer.place.number", "order.buyer.place.zip"]
     df = spark.createDataFrame([(1, None, attrs), (2, "keep", {"other": "y"})], REC)
-    r = {x.record_id: x for x in J.nest_attributes(df, "user", names).collect()}
-    assert json.loads(r[1].content) == {"user": {"person": {"name": "Ann", "lastname": "Lee", "address": {
-        "name": "Main", "number": "10", "postalCode": "123"}}}}
+    r = {x.record_id: x for x in J.nest_attributes(df, "order", names).collect()}
+    assert json.loads(r[1].content) == {"order": {"buyer": {"name": "Ann", "family": "Lee", "place": {
+        "name": "Main", "number": "10", "zip": "123"}}}}
     assert r[2].content == "keep" and r[2].attributes["no.attribute"] == "no.attribute"
     # names without the root prefix give the same tree; partial groups vanish
-    short = [n[len("user."):] for n in names]
-    attrs2 = {k[len("user."):]: v for k, v in attrs.items() if k.startswith("user.")}
-    del attrs2["person.address.name"], attrs2["person.address.number"], attrs2["person.address.postalCode"]
+    short = [n[len("order."):] for n in names]
+    attrs2 = {k[len("order."):]: v for k, v in attrs.items() if k.startswith("order.")}
+    del attrs2["buyer.place.name"], attrs2["buyer.place.number"], attrs2["buyer.place.zip"]
     df2 = spark.createDataFrame([(1, None, attrs2)], REC)
-    got = json.loads(J.nest_attributes(df2, "user", short).first().content)
-    assert got == {"user": {"person": {"name": "Ann", "lastname": "Lee"}}}
+    got = json.loads(J.nest_attributes(df2, "order", short).first().content)
+    assert got == {"order": {"buyer": {"name": "Ann", "family": "Lee"}}}
 
 
 def test_map_json_sorted(spark):

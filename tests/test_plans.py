@@ -30,21 +30,33 @@ def no_broadcast(spark):
             spark.conf.set(k, v)
 
 
-def test_enrich_shares_the_records_shuffle(spark, sf_small, no_broadcast):
-    plan = executed_plan(se.queries()["enrich_customer_orders"](spark, sf_small))
-    assert "SortMergeJoin" in plan and "LeftAnti" in plan
-    assert "ReusedExchange" in plan
-    # the lookup side of the anti join reads only the key column
-    assert "ReadSchema: struct<o_custkey:bigint>" in plan
-
-
-def test_next_ids_has_no_window_over_the_input(spark, sf_small, no_broadcast):
-    plan = executed_plan(se.queries()["next_ids_orders"](spark, sf_small))
-    # the only window runs over the per-(partition, key) counts: its input is an aggregate
-    window_lines = [ln for ln in plan.splitlines() if "Window [" in ln]
-    assert len(window_lines) == 1
-    below = plan.split(window_lines[0], 1)[1]
-    assert below.index("HashAggregate") < below.index("Scan")
+def test_chained_lookups_read_the_records_once(spark, sf_small, no_broadcast):
+    from pyspark.sql import functions as F
+
+    from rivulet.operators import enrich as en
+
+    out = spark.read.parquet(f"{sf_small}/customer.parquet").select("c_custkey", "c_name")
+    orders = spark.read.parquet(f"{sf_small}/orders.parquet")
+    for i in range(4):
+        look = orders.where(F.col("o_orderkey") % 4 == i).groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias(f"n{i}"))
+        out = en.enrich(out, look, "c_custkey", empty_marker=f"none{i}")
+    plan = executed_plan(out)
+    assert plan.count("FileScan parquet") == 5
+
+
+def test_next_ids_shuffles_the_rows_once(spark, sf_small, no_broadcast):
+    from rivulet.operators import sequences as Q
+
+    orders = spark.read.parquet(f"{sf_small}/orders.parquet")
+    seen = []
+    real, Q.materialize = Q.materialize, lambda df, name: (seen.append(executed_plan(df)), real(df, name))[1]
+    try:
+        out = Q.next_ids(orders, "o_custkey", ["o_orderdate", "o_orderkey"])
+    finally:
+        Q.materialize = real
+    assert seen[0].count("Exchange rangepartitioning") == 1 and "Window" not in seen[0]
+    plan = executed_plan(out)
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
 
 
 @pytest.mark.parametrize("name", ["url_params_pages", "url_param_multimap_pages", "json_to_attributes_events",

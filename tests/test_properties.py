@@ -69,10 +69,10 @@ def test_ids_gap_free_over_batches(spark, batches):
         for k in keys:
             ts += 1
             rows.append((k, ts))
-        df = spark.createDataFrame(rows, "loja string, ts long")
-        ids, counters = Q.allocate(df, "loja", "ts", counters)
+        df = spark.createDataFrame(rows, "store string, ts long")
+        ids, counters = Q.allocate(df, "store", "ts", counters)
         for r in ids.collect():
-            seen.setdefault(r.loja, []).append((r.ts, r.next_id))
+            seen.setdefault(r.store, []).append((r.ts, r.next_id))
     for k, pairs in seen.items():
         pairs.sort()
         assert [i for _, i in pairs] == list(range(1, len(pairs) + 1)), k

@@ -20,26 +20,26 @@ def test_route_multi_and_unmatched(spark):
 
 
 def test_loop_flow_records(spark):
-    df = spark.createDataFrame([(0, 10), (10, 10), (11, 10), (None, 10)], "valor int, repeticao int")
-    trace = R.loop_trace(df.withColumn("start", F.col("valor")), "start", F.col("repeticao"))
+    df = spark.createDataFrame([(0, 10), (10, 10), (11, 10), (None, 10)], "loop_value int, loop_limit int")
+    trace = R.loop_trace(df.withColumn("start", F.col("loop_value")), "start", F.col("loop_limit"))
     by = {}
     for r in trace.collect():
-        by.setdefault(r.start, []).append((r.step, r.valor, r.route))
+        by.setdefault(r.start, []).append((r.step, r.loop_value, r.route))
     assert sorted(by[0]) == [(i, i, "loop") for i in range(10)] + [(10, 10, "endloop")]
     assert by[10] == [(0, 10, "endloop")]
     assert by[11] == [(0, 11, "unmatched")]
     assert by[None] == [(0, None, "unmatched")]
-    end = {(r.iterations, r.route, r.valor) for r in R.loop_end(df, "valor", F.col("repeticao")).collect()}
+    end = {(r.iterations, r.route, r.loop_value) for r in R.loop_end(df, "loop_value", F.col("loop_limit")).collect()}
     assert end == {(10, "endloop", 10), (0, "endloop", 10), (0, "unmatched", 11), (0, "unmatched", None)}
 
 
 def test_update_when_and_templates(spark):
-    df = spark.createDataFrame([("0", "10"), (None, "10"), ("10", "10")], "valor string, repeticao string")
-    upd = R.update_when(df, "valor", render("${valor:plus(1)}"), predicate("${valor:notNull()}"))
-    assert [r.valor for r in upd.collect()] == ["1", None, "11"]
-    flags = df.select(predicate("${valor:lt(${repeticao})}").alias("lt"),
-                      predicate("${valor:equals(${repeticao})}").alias("eq"),
-                      render("select * from t where a = '${valor}' and b = ${repeticao}").alias("sql")).collect()
+    df = spark.createDataFrame([("0", "10"), (None, "10"), ("10", "10")], "loop_value string, loop_limit string")
+    upd = R.update_when(df, "loop_value", render("${loop_value:plus(1)}"), predicate("${loop_value:notNull()}"))
+    assert [r.loop_value for r in upd.collect()] == ["1", None, "11"]
+    flags = df.select(predicate("${loop_value:lt(${loop_limit})}").alias("lt"),
+                      predicate("${loop_value:equals(${loop_limit})}").alias("eq"),
+                      render("select * from t where a = '${loop_value}' and b = ${loop_limit}").alias("sql")).collect()
     assert [(r.lt, r.eq) for r in flags] == [(True, False), (None, None), (False, True)]
     assert flags[1].sql == "select * from t where a = '' and b = 10"
 
@@ -66,7 +66,7 @@ def test_iterate_union_and_scripts(spark):
     scripts = {r.k: r.script for r in S.append_script(lines, "k", "n").collect()}
     assert scripts[1] == "insert into t(n,s) values (1,null);\ninsert into t(n,s) values (2,a);\n"
     small = {(r.k, r.chunk): r.script for r in S.append_script(lines, "k", "n", chunk_rows=1).collect()}
-    assert set(small) == {(1, 1), (1, 2), (2, 1)}
+    assert set(small) == {(1, 0), (1, 1), (2, 0)}
 
 
 def test_append_script_keeps_old_content_first(spark):

@@ -114,18 +114,18 @@ def test_ids_over_micro_batches(spark):
             ts += 1
             chunk.append(("hot" if i % 2 else f"k{i % 5}", ts))
         rows += chunk
-        spark.createDataFrame(chunk, "loja string, ts long").coalesce(1).write.parquet(f"{src}/p{part}")
-    stream = spark.readStream.schema("loja string, ts long").option("maxFilesPerTrigger", "1") \
+        spark.createDataFrame(chunk, "store string, ts long").coalesce(1).write.parquet(f"{src}/p{part}")
+    stream = spark.readStream.schema("store string, ts long").option("maxFilesPerTrigger", "1") \
         .option("recursiveFileLookup", "true").parquet(src)
-    initial = spark.createDataFrame([("hot", 5)], "loja string, contador long")
+    initial = spark.createDataFrame([("hot", 5)], "store string, counter long")
     root = scratch_path(spark, "t_ids_stream")
-    q = allocate_stream(stream, "loja", "ts", root, f"{root}/_checkpoint", initial_counters=initial)
+    q = allocate_stream(stream, "store", "ts", root, f"{root}/_checkpoint", initial_counters=initial)
     run_available_now(q)
     got = read_committed(spark, root, "ids").collect()
     assert len(got) == len(rows)
     by = {}
     for r in got:
-        by.setdefault(r.loja, []).append((r.ts, r.next_id))
+        by.setdefault(r.store, []).append((r.ts, r.next_id))
     for k, pairs in by.items():
         pairs.sort()
         start = 6 if k == "hot" else 1
@@ -138,9 +138,9 @@ def test_processing_time_trigger(spark, sf_small):
     trigger; stopped once everything available has been processed."""
     from rivulet.operators import routing as R
 
-    stream = table_stream(spark, sf_small, "events", fixed={"valor": 0, "repeticao": 3}).select(
-        "event_id", "valor", "repeticao")
-    out = R.loop_end(stream, "valor", F.col("repeticao")).select("event_id", "valor", "iterations", "route")
+    stream = table_stream(spark, sf_small, "events", fixed={"loop_value": 0, "loop_limit": 3}).select(
+        "event_id", "loop_value", "loop_limit")
+    out = R.loop_end(stream, "loop_value", F.col("loop_limit")).select("event_id", "loop_value", "iterations", "route")
     root = scratch_path(spark, "t_periodic")
     q = append_stream(out, lambda b: {"ends": b}, root, checkpoint=f"{root}/_checkpoint", processing_time="1 second")
     try:
@@ -150,4 +150,4 @@ def test_processing_time_trigger(spark, sf_small):
     got = read_committed(spark, root, "ends")
     n = spark.read.parquet(f"{sf_small}/events.parquet").count()
     assert got.count() == n
-    assert got.where("valor = 3 AND iterations = 3 AND route = 'endloop'").count() == n
+    assert got.where("loop_value = 3 AND iterations = 3 AND route = 'endloop'").count() == n

@@ -37,4 +37,4 @@ def test_timeout_cancels_the_job(spark):
 
 def test_first_target_required(spark):
     res = atomic_append(spark, {"a": None, "b": spark.range(1)}, scratch_path(spark, "t_req"), 1)
-    assert not res["success"] and res["error_code"] == "ValueError"
+    assert not res["success"] and res["error_code"] == "SqlErrCod[ValueError] "

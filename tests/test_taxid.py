@@ -7,12 +7,11 @@ from rivulet.operators import documents as D
 
 
 def py_digit(num: str, cnpj: bool) -> int:
-    n = len(num)
-    first = n - 8
-    total = 0
-    for i, ch in enumerate(num):
-        w = (first + 1 - i) if (cnpj and i < first) else (n + 1 - i)
+    """From the right: weights 2, 3, 4, ...; for a CNPJ 2 again after 9."""
+    total, w = 0, 2
+    for ch in reversed(num):
         total += int(ch) * w
+        w = 2 if cnpj and w == 9 else w + 1
     m = total % 11
     return 11 - m if m > 2 else 0
 
