@@ -12,8 +12,9 @@ long the text is.
 
 Registers are banded; documents that agree in all registers of a band share a
 bucket. A bucket is a star, not all pairs: each member meets one centre, so a
-bucket costs as many comparisons as it has members. Comparisons are exact
-(both shingle multisets). Members of a bucket that are still in different
+bucket costs as many comparisons as it has members. Pairs whose signatures
+estimate a similarity well below the threshold are left out, the others are
+compared exactly (both shingle multisets). Members of a bucket that are still in different
 classes meet other centres in further rounds, until a round finds no link.
 Copies of one text are one document from the start.
 """
@@ -111,9 +112,11 @@ def signatures(keys: np.ndarray, text: np.ndarray, weights: np.ndarray, n_texts:
     return owner
 
 
-def band_keys(texts: list[bytes], words: int, bands: int, rows: int) -> list[np.ndarray]:
-    """For each text a key per band of its signature; none without words."""
+def band_keys(texts: list[bytes], words: int, bands: int, rows: int) -> tuple[list[np.ndarray], list[bytes]]:
+    """For each text a key per band of its signature (none without words) and
+    a byte of each register."""
     out: list[np.ndarray] = []
+    marks: list[bytes] = []
     at = np.arange(bands) * rows
     for a, b in B.text_blocks(texts, BLOCK_BYTES):
         keys, text, weights = weighted(*shingle_hashes(texts[a:b], words))
@@ -122,7 +125,22 @@ def band_keys(texts: list[bytes], words: int, bands: int, rows: int) -> list[np.
         start = (np.arange(b - a)[:, None] * (bands * rows) + at).ravel()
         found = B.range_hashes(sig.ravel(), SHINGLE_BASE, start, start + rows).reshape(b - a, bands) + at.astype(np.uint64)
         out += [found[i].view(np.int64) if has[i] else np.zeros(0, np.int64) for i in range(b - a)]
-    return out
+        marks += [row.tobytes() for row in (B.mix(sig) & np.uint64(255)).astype(np.uint8)]
+    return out, marks
+
+
+def _plausible(threshold: float, registers: int):
+    """Column function: whether two signatures' bytes agree in so many
+    registers as a similarity of ``threshold`` leaves out once in 30,000."""
+    least = threshold - 4 * (threshold * (1 - threshold) / registers) ** 0.5
+
+    @F.arrow_udf("boolean")
+    def plausible(a: pa.Array, b: pa.Array) -> pa.Array:
+        x = np.frombuffer(b"".join(a.to_pylist()), np.uint8).reshape(-1, registers)
+        y = np.frombuffer(b"".join(b.to_pylist()), np.uint8).reshape(-1, registers)
+        return pa.array((x == y).mean(1) >= least)
+
+    return plausible
 
 
 def probability_jaccard(a: Counter, b: Counter) -> float:
@@ -177,20 +195,21 @@ def _key_column(texts: pa.Array) -> pa.Array:
 
 
 def _signed(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> DataFrame:
-    """(id, key, bands) of every row; texts stay where they are."""
+    """(id, key, bands, mark) of every row; texts stay where they are."""
 
     def sign(batches):
         for batch in batches:
             texts = B.texts_of(batch.column(1))
             keys = [_words_key(t) for t in texts]
             distinct = dict(zip(keys, texts, strict=True))  # copies in a batch are signed once
-            signed = dict(zip(distinct, band_keys(list(distinct.values()), words, bands, rows), strict=True))
-            out = [signed[k] for k in keys]
+            signed = dict(zip(distinct, zip(*band_keys(list(distinct.values()), words, bands, rows), strict=True), strict=True))
+            out, marks = [signed[k][0] for k in keys], [signed[k][1] for k in keys]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(out, pa.list_(pa.int64()))], ["id", "key", "bands"])
+                [batch.column(0), pa.array(keys, pa.binary()), pa.array(out, pa.list_(pa.int64())),
+                 pa.array(marks, pa.binary())], ["id", "key", "bands", "mark"])
 
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-            .mapInArrow(sign, "id long, key binary, bands array<long>"))
+            .mapInArrow(sign, "id long, key binary, bands array<long>, mark binary"))
 
 
 def _row_id() -> Column:
@@ -294,10 +313,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # All members of buckets with two texts or more.
     members = materialize(
-        signed.select("id", "key", "bands").withColumn("rid", _row_id())
+        signed.select("id", "key", "bands", "mark").withColumn("rid", _row_id())
         .join(reps.withColumn("rid", _row_id()).select("key", "rid", "node"), ["key", "rid"])
-        .groupBy("node").agg(F.first("bands").alias("bands"))
-        .select("node", F.explode("bands").alias("band")), "near_bands")
+        .groupBy("node").agg(F.first("bands").alias("bands"), F.first("mark").alias("mark")), "near_signatures")
+    marks, members = members.select("node", "mark"), members.select("node", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = materialize(members.join(materialize(shared, "near_shared"), "band"), "near_members")
     nodes = materialize(members.select("node").distinct(), "near_nodes")
@@ -305,6 +324,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _documents_of(docs, id_col, text_col, reps.join(nodes, "node"), ()).select("node", "text"), "near_candidates")
 
     links, tried, turn, label = None, None, 0, None
+    plausible = _plausible(threshold, bands * rows)
     while True:
         # Buckets that hold several classes: each has as its centre the member
         # that meets most others over all its buckets (the text that a group of
@@ -314,20 +334,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # large one. Buckets of one class are done with.
         if turn == 0:
             hub = members.groupBy("node").agg(F.sum("n").alias("met"))
-            held, orders = members.join(hub, "node").withColumn("class", F.col("node")), [F.struct(-F.col("met"), "node")]
+            held, orders = hub.join(marks, "node").withColumn("class", F.col("node")), [F.struct(-F.col("met"), "node")]
         else:
-            held = members.withColumn("class", F.col("node")) if label is None else members.join(label, "node")
+            held = (nodes.withColumn("class", F.col("node")) if label is None else label).join(marks, "node")
+        held = (members.groupBy("node").agg(F.collect_list("band").alias("bands"))  # of one node: BANDS at most
+                .join(materialize(held, "near_held"), "node").select("*", F.explode("bands").alias("band")).drop("bands"))
         orders = orders if turn == 0 else [
             F.struct(F.xxhash64("class", F.lit(seed)), F.xxhash64("node", F.lit(seed)))
             for seed in range(CENTRES * turn, CENTRES * (turn + 1))]
-        least = [F.min(F.struct(o.alias("o"), "node", "class")) for o in orders]
+        least = [F.min(F.struct(o.alias("o"), "node", "class", "mark")) for o in orders]
         centres = materialize(
-            held.groupBy("band").agg(F.array(*[F.struct(c["node"].alias("centre"), c["class"].alias("centre_class")) for c in least])
+            held.groupBy("band").agg(F.array(*[F.struct(c["node"].alias("centre"), c["class"].alias("centre_class"),
+                                                          c["mark"].alias("centre_mark")) for c in least])
                                      .alias("centres"), F.min("class").alias("lo"), F.max("class").alias("hi"))
             .where("lo != hi").select("band", "centres"), "near_centres")
         active = materialize(held.join(centres, "band"), "near_active")
         members = active.select("node", "band")
-        pairs = (active.select("node", "class", F.inline("centres")).where("class != centre_class")
+        pairs = (active.select("node", "class", "mark", F.inline("centres")).where("class != centre_class")
+                 .where(plausible("mark", "centre_mark"))
                  .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -335,10 +359,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = materialize(_verified(pairs, texts, words, threshold), "near_links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         if turn == 0:  # a bucket whose members are all linked with its centre is done with
-            refused = materialize(pairs.join(found, ["a", "b"], "left_anti"), "near_refused")
-            met = active.select("band", "node", F.inline("centres")).select(
+            met = active.select("band", "node", F.inline("centres")).where("node != centre").select(
                 "band", F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-            left = materialize(met.join(refused, ["a", "b"], "left_semi").select("band").distinct(), "near_open")
+            left = materialize(met.join(found, ["a", "b"], "left_anti").select("band").distinct(), "near_open")
             members = materialize(members.join(left, "band", "left_semi"), "near_members")
         turn += 1
         if not found.isEmpty():

@@ -305,9 +305,10 @@ def test_signature_estimates_probability_jaccard():
     sig = near_dedup.signatures(keys, text, weights, 4, 4000)
     assert (sig[0] == sig[1]).mean() == pytest.approx(exact, abs=0.035)
     assert not sig[2].any() and len(set(sig[3].tolist())) == 2
-    assert near_dedup.band_keys(texts, 5, 4, 3)[2].tolist() == []
-    alone = [near_dedup.band_keys([t], 5, 4, 3)[0].tolist() for t in texts]  # no text sees another
-    assert alone == [b.tolist() for b in near_dedup.band_keys(texts, 5, 4, 3)]
+    keys, marks = near_dedup.band_keys(texts, 5, 4, 3)
+    assert keys[2].tolist() == [] and all(len(m) == 12 for m in marks)
+    alone = [near_dedup.band_keys([t], 5, 4, 3)[0][0].tolist() for t in texts]  # no text sees another
+    assert alone == [b.tolist() for b in keys]
 
 
 def test_probability_jaccard_by_definition():
