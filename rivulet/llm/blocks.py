@@ -7,6 +7,7 @@ in every task, on every machine.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -93,8 +94,20 @@ def small_batches(spark) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+_libc = ctypes.CDLL(None)
+
+
+def release() -> None:
+    """Give freed memory back to the system: a Python worker lives on after
+    its task, and what it holds is missing to the executor's other work."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def texts_of(column) -> list[bytes]:
     """UTF-8 bytes of a text column; null is empty."""
+    release()  # of the batch before
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 

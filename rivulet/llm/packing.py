@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.blocks import small_batches
+from rivulet.llm.blocks import release, small_batches
 from rivulet.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,6 +65,7 @@ def token_table(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end
     def encode(batches):
         enc, before, part = _encoder(tokenizer), 0, TaskContext.get().partitionId()
         for batch in batches:
+            release()
             ids, counts, starts = [], [], []
             for t in batch.column(1).to_pylist():
                 got = enc.encode_to_numpy(t or "", allowed_special="all")
@@ -106,6 +107,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
 
     def cut(batches):
         for batch in batches:
+            release()
             out: dict[str, list] = {k: [] for k in ("row", "start", "length", "ids", "n", "seq", "off")}
             where, ids = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for i, (at, raw) in enumerate(zip(where, ids, strict=True)):

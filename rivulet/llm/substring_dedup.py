@@ -176,6 +176,7 @@ def _send(batches, k: int, m: int, hot_cells: np.ndarray, n_buckets: int):
                 yield flushed(texts, ids, ties)
                 texts, ids, ties, size = [], [], [], 0
     yield flushed(texts, ids, ties)
+    B.release()
 
 
 class _Packed(Windows):
@@ -274,6 +275,7 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         yield from _send(batches, k, m, shared.value, n_buckets)
 
     def first(table: pa.Table) -> pa.Table:
+        B.release()
         found = _first_occurrences(table["packed"].to_pylist(), k, m)
         home = _home(found[0], found[1], n_docs)
         order = np.lexsort((found[2], found[1], found[0], home))
