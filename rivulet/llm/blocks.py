@@ -22,7 +22,7 @@ FOLD[65:91] += 32
 
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD1342543DE82EF95
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 STRETCH = 1 << 18
 
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -91,7 +91,7 @@ def small_batches(spark) -> None:
     """Arrow batches of a few MB, so that a Python worker's memory follows its
     blocks and not 10,000 rows of whole texts (a setting of the session)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 _libc = ctypes.CDLL(None)

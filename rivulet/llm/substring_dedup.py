@@ -34,7 +34,7 @@ K = 20                        # words in a window
 M = 3                         # words in a gram
 BUCKET_BYTES = 12 << 20       # packed text that one bucket gets
 DOC_BUCKET_BYTES = 12 << 20   # text of the documents that are put together again at once
-BLOCK_BYTES = 6 << 20         # text whose super-k-mers are merged and sent at once
+BLOCK_BYTES = 3 << 20         # text whose super-k-mers are merged and sent at once
 LEVEL = 3                     # of zstd
 LEAST_CELLS = 1 << 16         # counters of frequent minimisers; 16 a bucket if that is more
 NULL_ID = -(1 << 63)          # a null id sorts before all others
