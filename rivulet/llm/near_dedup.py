@@ -40,7 +40,8 @@ BANDS = 32
 ROWS = 7        # a pair at 0.8 shares no band with probability (1 - 0.8 ** 7) ** 32 = 5e-4; at 0.85 4e-6
 BLOCK_BYTES = 1 << 20
 ROUNDS = 2      # at least so many rounds of centres
-CENTRES = 12    # of a bucket, from the second round on
+CENTRES = 24    # of a bucket, from the second round on
+ROWS_PER_FILE = 50_000  # of the small tables of links and labels
 NULL_NODES = 1 << 62
 LEAST_SALTS = 64
 ROWS_PER_SALT = 20_000
@@ -252,13 +253,18 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """
     links = edges.where("a != b")
     links = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), f"{name}_links")
+    files = 1 + links.count() // ROWS_PER_FILE
+
+    def written(df: DataFrame, part: str) -> DataFrame:  # few links need few tasks and files
+        return materialize(df.coalesce(files), f"{name}_{part}")
+
     label = links.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("class")).withColumnRenamed("a", "node")
-    label, total = materialize(label, f"{name}_labels"), None
+    label, total = written(label, "labels"), None
     while True:
         near = links.join(label.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "class")
-        low = materialize(near.unionByName(label).groupBy("node").agg(F.min("class").alias("class")), f"{name}_low")
+        low = written(near.unionByName(label).groupBy("node").agg(F.min("class").alias("class")), "low")
         up = low.select(F.col("node").alias("class"), F.col("class").alias("up"))
-        label = materialize(low.join(up, "class").select("node", F.col("up").alias("class")), f"{name}_labels")
+        label = written(low.join(up, "class").select("node", F.col("up").alias("class")), "labels")
         now = label.agg(F.sum(F.col("class").cast("decimal(38,0)"))).first()[0]
         if now == total:
             return label
@@ -296,34 +302,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     B.small_batches(docs.sparkSession)
     salts = max(LEAST_SALTS, -(-docs.count() // ROWS_PER_SALT))
-    signed = materialize(_signed(docs, id_col, text_col, words, bands, rows).withColumn("salt", _salt(salts, "id")), "near_rows")
+    # The row number is fixed once the table is written.
+    signed = materialize(_signed(docs, id_col, text_col, words, bands, rows).withColumn("salt", _salt(salts, "id"))
+                         .withColumn("uid", F.monotonically_increasing_id()), "near_rows")
 
     # Copies of one text: the smallest id stands for them, null comes last.
-    one = Window.partitionBy("key", "salt").orderBy(F.col("id").asc_nulls_last())
-    rep = (signed.groupBy("key", "salt").agg(F.min("id").alias("rep"))
-           .select("key", "salt", F.min("rep").over(Window.partitionBy("key")).alias("rep")))
-    known = (
-        signed.select("id", "key", "salt").withColumn("rn", F.row_number().over(one)).join(rep, ["key", "salt"])
-        .withColumn("first", (F.col("rn") == 1) & (F.col("salt") == _salt(salts, "rep")))
-        .withColumn("node", F.coalesce("rep", F.lit(NULL_NODES) + F.pmod(F.xxhash64("key"), F.lit(NULL_NODES))))
-        .select("id", "key", "salt", "first", "node")
-    )
-    known = materialize(known, "near_known")
-    reps = known.where("first").select("id", "key", "node")
+    # They have the same bands, so they are merged before the shuffle.
+    reps = materialize(
+        signed.groupBy("key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("rep"),
+                                  F.first("bands").alias("bands"), F.first("mark").alias("mark"))
+        .select("rep.id", "key", "rep.uid", "bands", "mark")
+        .withColumn("node", F.coalesce("id", F.lit(NULL_NODES) + F.pmod(F.xxhash64("key"), F.lit(NULL_NODES)))), "near_signatures")
 
     # All members of buckets with two texts or more.
-    members = materialize(
-        signed.select("id", "key", "bands", "mark").withColumn("rid", _row_id())
-        .join(reps.withColumn("rid", _row_id()).select("key", "rid", "node"), ["key", "rid"])
-        .groupBy("node").agg(F.first("bands").alias("bands"), F.first("mark").alias("mark")), "near_signatures")
-    marks, members = members.select("node", "mark"), members.select("node", F.explode("bands").alias("band"))
+    marks, members = reps.select("node", "mark"), reps.select("node", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = materialize(members.join(materialize(shared, "near_shared"), "band"), "near_members")
-    nodes = materialize(members.select("node").distinct(), "near_nodes")
+    nodes = materialize(members.groupBy("node").agg(F.sum("n").alias("met"), F.collect_list("band").alias("bands"))  # BANDS a text
+                        .join(marks, "node"), "near_nodes")
     texts = materialize(
-        _documents_of(docs, id_col, text_col, reps.join(nodes, "node"), ()).select("node", "text"), "near_candidates")
+        _documents_of(docs, id_col, text_col, reps.select("id", "key", "node").join(nodes.select("node"), "node"), ()).select("node", "text"), "near_candidates")
 
-    links, tried, turn, label = None, None, 0, None
+    links = tried = label = open_nodes = None
+    turn = 0
     plausible = _plausible(threshold, bands * rows)
     while True:
         # Buckets that hold several classes: each has as its centre the member
@@ -333,23 +334,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # class of least hash, so a small class in a bucket meets all of a
         # large one. Buckets of one class are done with.
         if turn == 0:
-            hub = members.groupBy("node").agg(F.sum("n").alias("met"))
-            held, orders = hub.join(marks, "node").withColumn("class", F.col("node")), [F.struct(-F.col("met"), "node")]
+            held, orders = nodes.withColumn("class", F.col("node")), [F.struct(-F.col("met"), "node")]
         else:
-            held = (nodes.withColumn("class", F.col("node")) if label is None else label).join(marks, "node")
-        held = (members.groupBy("node").agg(F.collect_list("band").alias("bands"))  # of one node: BANDS at most
-                .join(materialize(held, "near_held"), "node").select("*", F.explode("bands").alias("band")).drop("bands"))
-        orders = orders if turn == 0 else [
-            F.struct(F.xxhash64("class", F.lit(seed)), F.xxhash64("node", F.lit(seed)))
-            for seed in range(CENTRES * turn, CENTRES * (turn + 1))]
+            held = open_nodes.withColumn("class", F.col("node")) if label is None else open_nodes.join(label, "node")
+            orders = [F.struct(F.xxhash64("class", F.lit(seed)), F.xxhash64("node", F.lit(seed)))
+                      for seed in range(CENTRES * turn, CENTRES * (turn + 1))]
+            held = materialize(held, "near_held")
+        held = held.select("*", F.explode("bands").alias("band")).drop("bands")
         least = [F.min(F.struct(o.alias("o"), "node", "class", "mark")) for o in orders]
         centres = materialize(
             held.groupBy("band").agg(F.array(*[F.struct(c["node"].alias("centre"), c["class"].alias("centre_class"),
                                                           c["mark"].alias("centre_mark")) for c in least])
                                      .alias("centres"), F.min("class").alias("lo"), F.max("class").alias("hi"))
             .where("lo != hi").select("band", "centres"), "near_centres")
-        active = materialize(held.join(centres, "band"), "near_active")
-        members = active.select("node", "band")
+        active = held.join(centres, "band")
         pairs = (active.select("node", "class", "mark", F.inline("centres")).where("class != centre_class")
                  .where(plausible("mark", "centre_mark"))
                  .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
@@ -362,7 +360,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             met = active.select("band", "node", F.inline("centres")).where("node != centre").select(
                 "band", F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
             left = materialize(met.join(found, ["a", "b"], "left_anti").select("band").distinct(), "near_open")
-            members = materialize(members.join(left, "band", "left_semi"), "near_members")
+            open_nodes = materialize(
+                members.join(left, "band", "left_semi").groupBy("node").agg(F.collect_list("band").alias("bands"))
+                .join(marks, "node"), "near_open_nodes")
         turn += 1
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
@@ -371,17 +371,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
 
     if links is None:
-        classes = reps.select("key", "node", F.col("node").alias("class"), F.lit(0).cast("long").alias("n_links"))
+        classes = reps.select("key", "uid", "node", F.col("node").alias("class"), F.lit(0).cast("long").alias("n_links"))
     else:
-        degree = (links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
-                  .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
+        degree = (links.select(F.col("a").alias("node"), F.col("b").alias("other"))
+                  .unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("other")))
+                  .groupBy("node").agg(F.count_distinct("other").alias("n_links")))
         classes = (reps.join(label, "node", "left").join(degree, "node", "left")
-                   .select("key", "node", F.coalesce("class", F.col("node")).alias("class"),
+                   .select("key", "uid", "node", F.coalesce("class", F.col("node")).alias("class"),
                            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
     return (
-        _one_per_key(known.drop("node"), classes, "key")
+        _one_per_key(signed.select("id", "key", "salt", F.col("uid").alias("row")), classes, "key")
         .select(F.col("id").alias(id_col), F.col("class").alias("class_id"), "n_links",
-                (F.col("first") & (F.col("node") == F.col("class"))).alias("kept"), F.hex("key").alias("text_key"))
+                ((F.col("row") == F.col("uid")) & (F.col("node") == F.col("class"))).alias("kept"), F.hex("key").alias("text_key"))
     )
 
 
