@@ -11,11 +11,13 @@ a time that fills all registers, which takes about K log K arrivals however
 long the text is.
 
 Registers are banded; documents that agree in all registers of a band share a
-bucket. A bucket is a star, not all pairs: each member meets one centre, so a
-bucket costs as many comparisons as it has members. Pairs whose signatures
-estimate a similarity well below the threshold are left out, the others are
-compared exactly (both shingle multisets). Members of a bucket that are still in different
-classes meet other centres in further rounds, until a round finds no link.
+bucket. Not all pairs of a bucket are taken: in a round each member takes the
+two members of other classes whose signatures agree with its own most, unless
+they estimate a similarity well below the threshold, and the pairs taken are
+compared exactly (both shingle multisets). A round at least halves the classes
+that are linked; pairs once taken are not taken again, and rounds go on until
+one finds no link. Members meet inside blocks of a bounded size, which a
+large bucket is dealt into anew in each round.
 Copies of one text are one document from the start.
 """
 
@@ -39,8 +41,10 @@ THRESHOLD = 0.8
 BANDS = 32
 ROWS = 7        # a pair at 0.8 shares no band with probability (1 - 0.8 ** 7) ** 32 = 5e-4; at 0.85 4e-6
 BLOCK_BYTES = 1 << 20
-ROUNDS = 2      # at least so many rounds of centres
-CENTRES = 24    # of a bucket, from the second round on
+ROUNDS = 2      # at least
+BLOCK = 512     # members of a bucket that meet in a round, about
+PARTNERS = 2    # that a member takes in a block
+WIDE = 32       # members from which a block is compared register by register
 ROWS_PER_FILE = 50_000  # of the small tables of links and labels
 NULL_NODES = 1 << 62
 LEAST_SALTS = 64
@@ -130,18 +134,63 @@ def band_keys(texts: list[bytes], words: int, bands: int, rows: int) -> tuple[li
     return out, marks
 
 
-def _plausible(threshold: float, registers: int):
-    """Column function: whether two signatures' bytes agree in so many
-    registers as a similarity of ``threshold`` leaves out once in 30,000."""
-    least = threshold - 4 * (threshold * (1 - threshold) / registers) ** 0.5
-
-    @F.arrow_udf("boolean")
-    def plausible(a: pa.Array, b: pa.Array) -> pa.Array:
-        x = np.frombuffer(b"".join(a.to_pylist()), np.uint8).reshape(-1, registers)
-        y = np.frombuffer(b"".join(b.to_pylist()), np.uint8).reshape(-1, registers)
-        return pa.array((x == y).mean(1) >= least)
-
-    return plausible
+def agreements(marks: np.ndarray) -> np.ndarray:
+    """In how many registers each two rows agree."""
+    n, registers = marks.shape
+    if n < WIDE:
+        return (marks[:, None] == marks[None]).sum(2, dtype=np.int32)
+    out = np.zeros((n, n), np.int32)
+    for x in np.ascontiguousarray(marks.T):
+        out += x[:, None] == x
+    return out
+
+
+def partners(node: np.ndarray, label: np.ndarray, marks: np.ndarray, tried: list, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places (taker, taken) of the pairs that the members of a block take:
+    each its PARTNERS best ones of other classes that agree in ``least``
+    registers or more (ties: the smaller node). A pair taken from both sides
+    is there once; pairs of ``tried`` (a list of nodes per member, or None)
+    are left out."""
+    order = np.argsort(node)
+    node, label, marks = node[order], label[order], marks[order]
+    agree = agreements(marks)
+    agree[label[:, None] == label] = -1
+    for i, j in enumerate(order.tolist()):
+        if tried[j] is not None:
+            at = np.flatnonzero(np.isin(node, tried[j]))
+            agree[i, at] = agree[at, i] = -1
+    best = np.argsort(-agree, axis=1, kind="stable")[:, :PARTNERS]
+    taker = np.repeat(np.arange(len(node)), best.shape[1])
+    taken = best.ravel()
+    good = agree[taker, taken] >= max(least, 0)
+    taker, taken = taker[good], taken[good]
+    _, one = np.unique(np.minimum(taker, taken) * len(node) + np.maximum(taker, taken), return_index=True)
+    return order[taker[one]], order[taken[one]]
+
+
+def _taken(blocks: DataFrame, threshold: float, registers: int) -> DataFrame:
+    """(node, partner) of the pairs taken in blocks (column members: array of
+    node, class, mark, tried). Pairs that agree in fewer registers than a
+    similarity of ``threshold`` leaves out once in 30,000 are not taken."""
+    least = registers * (threshold - 4 * (threshold * (1 - threshold) / registers) ** 0.5)
+
+    def take(batches):
+        for batch in batches:
+            members = batch.column(0)
+            flat, ends = members.flatten(), np.cumsum(members.value_lengths().to_numpy(zero_copy_only=False))
+            node, label = (flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            marks = np.frombuffer(b"".join(flat.field(2).to_pylist()), np.uint8).reshape(-1, registers)
+            tried, a = flat.field(3).to_pylist(), 0
+            got = [np.zeros((2, 0), np.int64)]
+            for z in ends.tolist():
+                if (label[a:z] != label[a]).any():
+                    x, y = partners(node[a:z], label[a:z], marks[a:z], tried[a:z], least)
+                    got.append(np.stack([node[a + x], node[a + y]]))
+                a = z
+            pairs = np.concatenate(got, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["node", "partner"])
+
+    return blocks.select("members").mapInArrow(take, "node long, partner long")
 
 
 def probability_jaccard(a: Counter, b: Counter) -> float:
@@ -271,7 +320,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         total = now
 
 
-def _merged(label: DataFrame | None, nodes: DataFrame, found: DataFrame) -> DataFrame:
+def _merged(label: DataFrame | None, nodes: DataFrame, found: DataFrame, files: int) -> DataFrame:
     """(node, class) after new links: components over the classes that the
     links join, which are far fewer than the nodes after the first round."""
     if label is None:
@@ -283,7 +332,7 @@ def _merged(label: DataFrame | None, nodes: DataFrame, found: DataFrame) -> Data
         known = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "near") \
             .select(F.col("node").alias("class"), F.col("class").alias("new"))
         out = label.join(known, "class", "left").select("node", F.coalesce("new", "class").alias("class"))
-    return materialize(out, "near_classes")
+    return materialize(out.select("node", "class").coalesce(files), "near_classes")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE,
@@ -314,59 +363,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("rep.id", "key", "rep.uid", "bands", "mark")
         .withColumn("node", F.coalesce("id", F.lit(NULL_NODES) + F.pmod(F.xxhash64("key"), F.lit(NULL_NODES)))), "near_signatures")
 
-    # All members of buckets with two texts or more.
-    marks, members = reps.select("node", "mark"), reps.select("node", F.explode("bands").alias("band"))
+    # The buckets of two texts or more that each text is in (BANDS at most).
+    members = reps.select("node", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = materialize(members.join(materialize(shared, "near_shared"), "band"), "near_members")
-    nodes = materialize(members.groupBy("node").agg(F.sum("n").alias("met"), F.collect_list("band").alias("bands"))  # BANDS a text
-                        .join(marks, "node"), "near_nodes")
+    nodes = materialize(members.join(materialize(shared, "near_shared"), "band").groupBy("node")
+                        .agg(F.collect_list(F.struct("band", "n")).alias("buckets"))
+                        .join(reps.select("node", "mark"), "node"), "near_nodes")
+    files = 1 + nodes.count() // ROWS_PER_FILE
     texts = materialize(
         _documents_of(docs, id_col, text_col, reps.select("id", "key", "node").join(nodes.select("node"), "node"), ()).select("node", "text"), "near_candidates")
 
-    links = tried = label = open_nodes = None
+    links = tried = label = None
     turn = 0
-    plausible = _plausible(threshold, bands * rows)
     while True:
-        # Buckets that hold several classes: each has as its centre the member
-        # that meets most others over all its buckets (the text that a group of
-        # near copies was made from lies nearer to each than they to each
-        # other); in later rounds, under several hashes, a member of the
-        # class of least hash, so a small class in a bucket meets all of a
-        # large one. Buckets of one class are done with.
-        if turn == 0:
-            held, orders = nodes.withColumn("class", F.col("node")), [F.struct(-F.col("met"), "node")]
+        if label is None:
+            held = nodes.withColumn("class", F.col("node"))
         else:
-            held = open_nodes.withColumn("class", F.col("node")) if label is None else open_nodes.join(label, "node")
-            orders = [F.struct(F.xxhash64("class", F.lit(seed)), F.xxhash64("node", F.lit(seed)))
-                      for seed in range(CENTRES * turn, CENTRES * (turn + 1))]
-            held = materialize(held, "near_held")
-        held = held.select("*", F.explode("bands").alias("band")).drop("bands")
-        least = [F.min(F.struct(o.alias("o"), "node", "class", "mark")) for o in orders]
-        centres = materialize(
-            held.groupBy("band").agg(F.array(*[F.struct(c["node"].alias("centre"), c["class"].alias("centre_class"),
-                                                          c["mark"].alias("centre_mark")) for c in least])
-                                     .alias("centres"), F.min("class").alias("lo"), F.max("class").alias("hi"))
-            .where("lo != hi").select("band", "centres"), "near_centres")
-        active = held.join(centres, "band")
-        pairs = (active.select("node", "class", "mark", F.inline("centres")).where("class != centre_class")
-                 .where(plausible("mark", "centre_mark"))
-                 .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            held = nodes.join(label, "node")
+        if tried is None:
+            held = held.withColumn("tried", F.lit(None).cast("array<long>"))
+        else:  # a member takes at most BANDS * PARTNERS others a round
+            held = held.join(tried.groupBy("node").agg(F.collect_list("partner").alias("tried")), "node", "left")
+        if label is not None:  # buckets of one class are done with
+            held = materialize(held.coalesce(files), "near_held")
+            several = (held.select("class", F.explode("buckets.band").alias("band")).groupBy("band")
+                       .agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("band"))
+            several = materialize(several.coalesce(files), "near_several")
+        blocks = held.select("node", "class", "mark", "tried", F.inline("buckets"))
+        if label is not None:
+            blocks = blocks.join(several, "band", "left_semi")
+        blocks = (blocks.groupBy("band", F.pmod(F.xxhash64("node", "band", F.lit(turn)), F.ceil(F.col("n") / BLOCK)).alias("block"))
+                  .agg(F.collect_list(F.struct("node", "class", "mark", "tried")).alias("members")))  # about BLOCK
+        pairs = (_taken(blocks, threshold, bands * rows)
+                 .groupBy(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b"))
+                 .agg(F.min_by("partner", "node").alias("partner"), F.min("node").alias("node")))
+        if tried is not None:  # two members can take each other in different rounds
+            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         pairs = materialize(pairs, "near_pairs")
         found = materialize(_verified(pairs, texts, words, threshold), "near_links")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        if turn == 0:  # a bucket whose members are all linked with its centre is done with
-            met = active.select("band", "node", F.inline("centres")).where("node != centre").select(
-                "band", F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-            left = materialize(met.join(found, ["a", "b"], "left_anti").select("band").distinct(), "near_open")
-            open_nodes = materialize(
-                members.join(left, "band", "left_semi").groupBy("node").agg(F.collect_list("band").alias("bands"))
-                .join(marks, "node"), "near_open_nodes")
         turn += 1
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
-            label = _merged(label, nodes, found)
+            label = _merged(label, nodes, found, files)
         elif turn >= ROUNDS:
             break
 
