@@ -40,6 +40,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 32
 ROWS = 7        # a pair at 0.8 shares no band with probability (1 - 0.8 ** 7) ** 32 = 5e-4; at 0.85 4e-6
+MARKS = 2       # registers are so many times what the bands take; the others serve the estimate alone
 BLOCK_BYTES = 1 << 20
 ROUNDS = 2      # at least
 BLOCK = 512     # members of a bucket that meet in a round, about
@@ -117,21 +118,23 @@ def signatures(keys: np.ndarray, text: np.ndarray, weights: np.ndarray, n_texts:
     return owner
 
 
-def band_keys(texts: list[bytes], words: int, bands: int, rows: int) -> tuple[list[np.ndarray], list[bytes]]:
+def band_keys(texts: list[bytes], words: int, bands: int, rows: int, marks: int = 1) -> tuple[list[np.ndarray], list[bytes]]:
     """For each text a key per band of its signature (none without words) and
-    a byte of each register."""
+    a byte of each register; there are ``marks`` times as many registers as
+    the bands take."""
+    registers = bands * rows * marks
     out: list[np.ndarray] = []
-    marks: list[bytes] = []
+    codes: list[bytes] = []
     at = np.arange(bands) * rows
     for a, b in B.text_blocks(texts, BLOCK_BYTES):
         keys, text, weights = weighted(*shingle_hashes(texts[a:b], words))
         has = np.bincount(text, minlength=b - a) > 0
-        sig = signatures(keys, text, weights, b - a, bands * rows)
-        start = (np.arange(b - a)[:, None] * (bands * rows) + at).ravel()
+        sig = signatures(keys, text, weights, b - a, registers)
+        start = (np.arange(b - a)[:, None] * registers + at).ravel()
         found = B.range_hashes(sig.ravel(), SHINGLE_BASE, start, start + rows).reshape(b - a, bands) + at.astype(np.uint64)
         out += [found[i].view(np.int64) if has[i] else np.zeros(0, np.int64) for i in range(b - a)]
-        marks += [row.tobytes() for row in (B.mix(sig) & np.uint64(255)).astype(np.uint8)]
-    return out, marks
+        codes += [row.tobytes() for row in (B.mix(sig) & np.uint64(255)).astype(np.uint8)]
+    return out, codes
 
 
 def agreements(marks: np.ndarray) -> np.ndarray:
@@ -252,7 +255,7 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int,
             texts = B.texts_of(batch.column(1))
             keys = [_words_key(t) for t in texts]
             distinct = dict(zip(keys, texts, strict=True))  # copies in a batch are signed once
-            signed = dict(zip(distinct, zip(*band_keys(list(distinct.values()), words, bands, rows), strict=True), strict=True))
+            signed = dict(zip(distinct, zip(*band_keys(list(distinct.values()), words, bands, rows, MARKS), strict=True), strict=True))
             out, marks = [signed[k][0] for k in keys], [signed[k][1] for k in keys]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(keys, pa.binary()), pa.array(out, pa.list_(pa.int64())),
@@ -394,7 +397,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             blocks = blocks.join(several, "band", "left_semi")
         blocks = (blocks.groupBy("band", F.pmod(F.xxhash64("node", "band", F.lit(turn)), F.ceil(F.col("n") / BLOCK)).alias("block"))
                   .agg(F.collect_list(F.struct("node", "class", "mark", "tried")).alias("members")))  # about BLOCK
-        pairs = (_taken(blocks, threshold, bands * rows)
+        pairs = (_taken(blocks, threshold, bands * rows * MARKS)
                  .groupBy(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b"))
                  .agg(F.min_by("partner", "node").alias("partner"), F.min("node").alias("node")))
         if tried is not None:  # two members can take each other in different rounds
