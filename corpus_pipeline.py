@@ -2,7 +2,9 @@
 
 Each stage is a function of (spark, docs, sf_dir) whose result is written as
 Parquet and read again as the next stage's documents. All stages but the last
-return the columns of ``documents``.
+return the columns of ``documents``. As a stage's result has been written when
+the next one is called, the next one first deletes the tables that it staged
+(not if its input reads them still or is older: then they are left).
 
 1. toxicity: documents that the classifier rejects go.
 2. exact_dedup: of equal texts (A-Z lower-cased) the one with the smallest id stays.
@@ -14,10 +16,14 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import exact_dedup, near_dedup, packing, substring_dedup, toxicity
+from rivulet.llm import exact_dedup, near_dedup, packing, staged, substring_dedup, toxicity
 from rivulet.session import apply_runtime_conf, materialize
 from rivulet.sources.tables import read_table
 
@@ -25,27 +31,50 @@ from rivulet.sources.tables import read_table
 # stages with brute force.
 ORACLE_SQL = None
 
+_left = threading.local()  # what each stage that this thread called has staged
+
+
+def _after(before: str | None):
+    """A stage that follows the stage function ``before``."""
+    def deco(fn: Callable) -> Callable:
+        @wraps(fn)
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            paths = _left.__dict__.pop(before, [])
+            if paths:
+                staged.drop(spark, staged.written_after(docs, paths))
+            with staged.noted() as paths:
+                out = fn(spark, docs, sf_dir)
+            _left.__dict__[fn.__name__] = paths
+            return out
+        return run_stage
+    return deco
+
 
+@_after(None)
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below 0.3."""
     return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
+@_after("drop_toxic")
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return exact_dedup.drop_exact_duplicates(docs, keep="smallest")
 
 
+@_after("drop_copies")
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
     return near_dedup.drop_near_duplicates(docs)
 
 
+@_after("drop_near_copies")
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that also stand earlier."""
     return substring_dedup.drop_repeats(docs)
 
 
+@_after("drop_repeated_passages")
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences: doc_id, start, length, doc_tokens, sequence_id,
     offset and the ids (array<int>)."""

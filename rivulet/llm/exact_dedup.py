@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.llm.blocks import small_batches
-from rivulet.session import materialize
+from rivulet.llm.staged import drop, stage
 
 ROWS_PER_SALT = 20_000
 LEAST_SALTS = 64
@@ -93,15 +93,16 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         .withColumn("kept", (F.col("rn") == 1) & (F.col("salt") == F.col("keep_salt")))
         .drop("rn", "keep_salt")
     )
-    found = materialize(joined, "exact_groups")
+    found, _ = stage(joined, "exact_groups")
 
     several = found.where("size > 1")
     stays = several.where("kept").select("h", F.col("t").alias("kept_text"))
     per_salt = several.select("h", "salt").distinct().join(stays, "h")
-    clashes = materialize(
+    clashes, path = stage(
         several.join(per_salt, ["h", "salt"]).where(~_same("t", "kept_text")).select("h").distinct(), "exact_clashes")
     out = ["id", "keep_id", "size", "kept", "sha", *[f"x_{c}" for c in carry]]
     if clashes.isEmpty():
+        drop(docs.sparkSession, [path])
         result = found.select(*out)
     else:
         exact = Window.partitionBy("h", "f")

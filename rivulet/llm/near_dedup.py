@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.llm import blocks as B
-from rivulet.session import materialize
+from rivulet.llm.staged import drop, noted, stage
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -226,6 +226,10 @@ def _cached(text: bytes, words: int) -> Counter:
     return shingles_of(text, words)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    return stage(df, name)[0]
+
+
 def _salt(salts: int, *cols: str) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(salts))
 
@@ -352,7 +356,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     class that has another id. One row of a class is kept: its smallest id,
     once if that id repeats. An empty table gives an empty table.
     """
-    B.small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    B.small_batches(spark)
+    with noted() as made:
+        result, path = stage(_classes(docs, id_col, text_col, words, threshold, bands, rows), "near_result")
+    drop(spark, [x for x in made if x != path])
+    return result
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, threshold: float, bands: int, rows: int) -> DataFrame:
+    """The result of near_duplicates, read from many staged tables."""
     salts = max(LEAST_SALTS, -(-docs.count() // ROWS_PER_SALT))
     # The row number is fixed once the table is written.
     signed = materialize(_signed(docs, id_col, text_col, words, bands, rows).withColumn("salt", _salt(salts, "id"))

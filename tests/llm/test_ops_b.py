@@ -435,3 +435,21 @@ def test_pipeline_of_nothing(spark, none, sf_small):
     for _, stage in corpus_pipeline.STAGES:
         df = stage(spark, df, sf_small)
     assert df.count() == 0
+
+
+def test_stages_drop_what_is_no_longer_read(spark, odd, sf_small, tmp_path):
+    """Tables of the stage before go only if the input was written after them."""
+    from rivulet.llm import staged
+
+    with staged.noted() as paths:
+        lazy = corpus_pipeline.drop_copies(spark, odd, sf_small)
+    assert paths
+    old = spark.read.parquet(f"{sf_small}/documents.parquet")
+    assert staged.written_after(lazy, paths) == staged.written_after(old, paths) == staged.written_after(odd, paths) == []
+    n = lazy.count()
+    lazy.write.parquet(str(tmp_path / "kept"))
+    again = spark.read.parquet(str(tmp_path / "kept"))
+    there = staged.written_after(again, paths)
+    assert [p for p in paths if "exact_groups" in p] == there
+    staged.drop(spark, there + there)
+    assert again.count() == n
