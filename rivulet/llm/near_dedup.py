@@ -192,6 +192,7 @@ def _taken(blocks: DataFrame, threshold: float, registers: int) -> DataFrame:
                 a = z
             pairs = np.concatenate(got, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["node", "partner"])
+        B.release()
 
     return blocks.select("members").mapInArrow(take, "node long, partner long")
 
@@ -264,6 +265,7 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int,
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(keys, pa.binary()), pa.array(out, pa.list_(pa.int64())),
                  pa.array(marks, pa.binary())], ["id", "key", "bands", "mark"])
+        B.release()
 
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
             .mapInArrow(sign, "id long, key binary, bands array<long>, mark binary"))
@@ -297,6 +299,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float)
             ok = [probability_jaccard(_cached(x, words), _cached(y, words)) >= threshold
                   for x, y in zip(B.texts_of(batch.column(2)), B.texts_of(batch.column(3)), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        _cached.cache_clear()
+        B.release()
 
     return both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long")
 

@@ -91,6 +91,7 @@ def _hot_cells(docs: DataFrame, k: int, m: int, n_buckets: int) -> np.ndarray:
         cells = np.flatnonzero(total * share * 4 > mine)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(cells, -1)), pa.array(np.append(total[cells], mine))], ["cell", "n"])
+        B.release()
 
     table = (docs.select("text").mapInArrow(count, "cell long, n long")
              .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())  # n_cells + 1 rows at most
