@@ -190,7 +190,8 @@ def _taken(blocks: DataFrame, threshold: float, registers: int) -> DataFrame:
                     x, y = partners(node[a:z], label[a:z], marks[a:z], tried[a:z], least)
                     got.append(np.stack([node[a + x], node[a + y]]))
                 a = z
-            pairs = np.concatenate(got, axis=1)
+            pairs = np.concatenate(got, axis=1)  # a pair taken in several blocks of the batch is sent once
+            pairs = pairs[:, np.unique(np.sort(pairs, axis=0), axis=1, return_index=True)[1]]
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["node", "partner"])
         B.release()
 
