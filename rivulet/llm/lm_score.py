@@ -4,16 +4,16 @@ Word and word-pair counts are quantised on a logarithmic scale, and an n-gram
 of level q is in the filter q times: as (n-gram, 1) up to (n-gram, q). A count
 is read back by probing for level 1, 2, ... until the first miss, so an error
 can only raise a count, and the less likely the further. The filter is built
-in segments, one per range of hashes, and broadcast; its size is BITS_PER_ITEM
-a member up to MAX_BYTES, beyond which it gets more false positives rather
-than losing n-grams.
+in segments, one per range of hashes, of BITS_PER_ITEM a member. A segment never
+leaves the task that builds it: the keys of all blocks travel to their range,
+where they are probed, and their levels travel back.
 
 A word's probability interpolates the pair's frequency with the word's own:
 L c(vw) / c(v) + (1 - L) (c(w) + 1) / (N + V + 1), all counts being probes. The
 weight L depends on the level of c(v) and is learnt by deleted interpolation:
 it makes the training tokens, each taken out of the counts, likeliest. Texts are turned once into blocks of word numbers with the block's own
-vocabulary; only the vocabularies and pair counts of blocks are shuffled, never
-a row per word.
+vocabulary; only the vocabularies and distinct pairs of blocks and their levels
+are shuffled, never a row per word.
 """
 
 from __future__ import annotations
@@ -28,11 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm import blocks as B
-from rivulet.session import materialize
+from rivulet.llm.staged import drop, stage
 
 LOG_BASE = 1.5             # of the count levels
 BITS_PER_ITEM = 12
-MAX_BYTES = 96 << 20      # of the broadcast filter
 PROBES = 6
 GRID = (0.0, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.65, 0.8, 0.95)  # weights to choose from
 BLOCK_BYTES = 6 << 20      # text of a block
@@ -91,6 +90,17 @@ def _pack(values: np.ndarray, counts: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(np.int64(len(values)).tobytes() + b"".join(planes))
 
 
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """Integers of ``width`` bytes, compressed by byte planes."""
+    return zstandard.ZstdCompressor(level=1).compress(values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes())
+
+
+def _from_planes(parts: list[bytes], width: int) -> np.ndarray:
+    """The integers of all parts, one part after another."""
+    raw = [np.frombuffer(zstandard.ZstdDecompressor().decompress(p), np.uint8).reshape(width, -1).T for p in parts]
+    return np.ascontiguousarray(np.concatenate(raw)).view(f"<u{width}").ravel().astype(np.int64)
+
+
 def _unpack(value: bytes) -> tuple[np.ndarray, np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(value)
     n = int(np.frombuffer(raw, "<i8", 1)[0])
@@ -100,10 +110,10 @@ def _unpack(value: bytes) -> tuple[np.ndarray, np.ndarray]:
             np.ascontiguousarray(c).view("<u4").ravel().astype(np.int64))
 
 
-def encoded_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column) -> DataFrame:
+def encoded_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column) -> tuple[DataFrame, str]:
     """Blocks of documents as word numbers: block, ids, train, first (each
     document's first token), vocabulary (sorted hashes), words (compressed
-    numbers), written to the shared folder."""
+    numbers), written to the shared folder; and the table's path."""
 
     def encode(batches):
         part, number = TaskContext.get().partitionId(), 0
@@ -131,7 +141,7 @@ def encoded_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column) -
         if held:
             yield block()
 
-    return materialize(
+    return stage(
         docs.select(F.col(id_col).cast("long").alias("id"), train.alias("train"), F.col(text_col).alias("t"))
         .mapInArrow(encode, "block long, ids array<long>, train array<boolean>, first array<long>, vocabulary binary, words binary"),
         "lm_blocks")
@@ -149,44 +159,57 @@ class Block:
         self.tokens = self.vocabulary[self.words]
         self.learnt = np.repeat(self.train, np.diff(self.first))
 
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted distinct pairs, and each token's place among them."""
+        return np.unique(pair_keys(self.tokens, self.first), return_inverse=True)
 
-def _counts(blocks: DataFrame, ranges: int) -> DataFrame:
-    """Per range of hashes: the counts of its words, for every block that has
-    them (kind 0: block, packed), the range's segment of the filter (kind 1),
-    and its sums (tokens, distinct words)."""
+
+def _counts(blocks: DataFrame, ranges: int) -> tuple[DataFrame, str]:
+    """Per range of hashes and block that has words or pairs in it: the exact
+    training counts of the block's words in the range, and the levels that the
+    range's segment of the filter gives its words and pairs (each in the order
+    of the hashes). The first row of a range has its sums (tokens, distinct
+    words). Also the staged table's path."""
 
     def send(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 b = Block(row["ids"], row["train"], row["first"], row["vocabulary"], row["words"])
                 n = np.bincount(b.words[b.learnt], minlength=len(b.vocabulary))
-                pairs, m = np.unique(pair_keys(b.tokens, b.first)[b.learnt], return_counts=True)
+                pairs, place = b.pairs()
+                m = np.bincount(place[b.learnt], minlength=len(pairs))
                 word_range = (b.vocabulary >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
                 pair_range = (pairs >> np.uint64(16)) * np.uint64(ranges) >> np.uint64(32)
                 we = np.searchsorted(word_range, np.arange(ranges + 1, dtype=np.uint64))
                 pe = np.searchsorted(pair_range, np.arange(ranges + 1, dtype=np.uint64))
                 out = [(r, row["block"], _pack(b.vocabulary[we[r]:we[r + 1]], n[we[r]:we[r + 1]]),
-                        _pack(pairs[pe[r]:pe[r + 1]], m[pe[r]:pe[r + 1]])) for r in range(ranges)]
+                        _pack(pairs[pe[r]:pe[r + 1]], m[pe[r]:pe[r + 1]])) for r in range(ranges)
+                       if we[r] < we[r + 1] or pe[r] < pe[r + 1]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
                     ["range", "block", "words", "pairs"])
 
     def merge(table: pa.Table) -> pa.Table:
-        r = table["range"][0].as_py()
         words = [_unpack(v) for v in table["words"].to_pylist()]
         values, total = _summed(words)
-        pairs, pair_total = _summed([_unpack(v) for v in table["pairs"].to_pylist()])
-        known = total > 0
-        segment = build_segment([(word_items(values[known]), total[known]), (pairs, pair_total)], ranges)
-        rows = [(0, b, _pack(v, total[np.searchsorted(values, v)]), 0, 0)
-                for b, (v, _) in zip(table["block"].to_pylist(), words, strict=True)]
-        rows.append((1, r, segment.tobytes(), int(total.sum()), int(known.sum())))
-        types = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
-        return pa.table([pa.array([x[i] for x in rows], t) for i, t in enumerate(types)], ["kind", "block", "packed", "tokens", "distinct"])
-
-    return materialize(
-        blocks.mapInArrow(send, "range int, block long, words binary, pairs binary")
-        .groupBy("range").applyInArrow(merge, "kind int, block long, packed binary, tokens long, distinct long"), "lm_counts")
+        pairs = [_unpack(v) for v in table["pairs"].to_pylist()]
+        keys, pair_total = _summed(pairs)
+        known, learnt = total > 0, pair_total > 0
+        segment = Filter([build_segment([(word_items(values[known]), total[known]), (keys[learnt], pair_total[learnt])]).tobytes()])
+        word_level, pair_level = segment.levels(word_items(values)), segment.levels(keys)
+        out: list[list] = [[], [], []]
+        for (v, _), (k, _) in zip(words, pairs, strict=True):
+            at = np.searchsorted(values, v)
+            for o, x in zip(out, (_planes(total[at], 8), _planes(word_level[at], 1), _planes(pair_level[np.searchsorted(keys, k)], 1)), strict=True):
+                o.append(x)
+        sums = [[int(x), *[0] * (len(words) - 1)] for x in (total.sum(), known.sum())]
+        return pa.table([table["range"], table["block"], *[pa.array(o, pa.binary()) for o in out], *[pa.array(x, pa.int64()) for x in sums]],
+                        ["range", "block", "exact", "word_levels", "pair_levels", "tokens", "distinct"])
+
+    return stage(
+        blocks.mapInArrow(send, "range int, block long, words binary, pairs binary").groupBy("range")
+        .applyInArrow(merge, "range int, block long, exact binary, word_levels binary, pair_levels binary, tokens long, distinct long"),
+        "lm_counts")
 
 
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -209,11 +232,12 @@ def _bits(items: np.ndarray, level, size: np.ndarray | int, probe: int) -> np.nd
     return ((h >> np.uint64(32)) * np.asarray(size).astype(np.uint64)) >> np.uint64(32)
 
 
-def build_segment(groups: list[tuple[np.ndarray, np.ndarray]], ranges: int) -> np.ndarray:
-    """One range's segment of the filter, as bytes."""
+def build_segment(groups: list[tuple[np.ndarray, np.ndarray]], ranges: int = 1) -> np.ndarray:
+    """One range's segment of the filter, as bytes: BITS_PER_ITEM a member,
+    however many ``ranges`` there are."""
     items = np.concatenate([g[0] for g in groups])
     level = levels(np.concatenate([g[1] for g in groups]))
-    size = min(-(-int(level.sum()) * BITS_PER_ITEM // 8) + 8, MAX_BYTES // ranges)
+    size = -(-int(level.sum()) * BITS_PER_ITEM // 8) + 8
     bits = np.zeros(size * 8, bool)
     for q in range(1, int(level.max(initial=0)) + 1):
         mine = items[level >= q]
@@ -223,7 +247,7 @@ def build_segment(groups: list[tuple[np.ndarray, np.ndarray]], ranges: int) -> n
 
 
 class Filter:
-    """The whole filter: segments one after another."""
+    """Segments of the filter one after another."""
 
     def __init__(self, segments: list[bytes]):
         self.data = b"".join(segments)
@@ -232,7 +256,11 @@ class Filter:
         self._array = None
 
     def counts(self, items: np.ndarray) -> np.ndarray:
-        """Counts of 48-bit items: levels probed one by one until a miss."""
+        """Counts of 48-bit items."""
+        return MIDDLE[self.levels(items)]
+
+    def levels(self, items: np.ndarray) -> np.ndarray:
+        """Levels of 48-bit items, probed one by one until a miss."""
         if self._array is None:
             self._array = np.frombuffer(self.data, np.uint8)
         where = ((items >> np.uint64(16)) * np.uint64(self.ranges) >> np.uint64(32)).astype(np.int64)
@@ -245,24 +273,45 @@ class Filter:
                 live = live[(self._array[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
             level[live] = q
             q += 1
-        return MIDDLE[level]
-
-    def __getstate__(self):
-        return {**self.__dict__, "_array": None}
-
-
-def probes(block: Block, filt: Filter) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts of every token, of the one before it, and of the pair."""
-    own = filt.counts(word_items(block.vocabulary))
-    keys, place = np.unique(pair_keys(block.tokens, block.first), return_inverse=True)
-    word = own[block.words]
+        return level
+
+
+def probed_blocks(blocks: DataFrame, counts: DataFrame, n: int, v: int) -> tuple[DataFrame, str]:
+    """Blocks without their words: ids, train, first, known and base (known
+    tokens and base score of each document), and the levels of every token and
+    of its pair; and the staged table's path."""
+
+    def join(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.sort_by("range")  # of the hashes, so the block's own order
+        exact, own, pair = (_from_planes(right[c].to_pylist(), w) for c, w in (("exact", 8), ("word_levels", 1), ("pair_levels", 1)))
+        row = left.to_pylist()[0]
+        b = Block(row["ids"], row["train"], row["first"], row["vocabulary"], row["words"])
+        _, place = b.pairs()
+        word = own[b.words]
+        # a pair is not more frequent than its words
+        pair = np.minimum(pair[place], np.minimum(levels_before(word, b.first), word))
+        count = exact[b.words]
+        known = np.add.reduceat((count > 0).astype(np.int64), b.first[:-1])
+        base = np.add.reduceat(np.log10((count + 1.0) / (n + v + 1.0)), b.first[:-1])
+        types = (pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.binary(), pa.binary())
+        out = (row["ids"], row["train"], row["first"], known, base, _planes(word, 1), _planes(pair, 1))
+        return pa.table([pa.array([x], t) for x, t in zip(out, types, strict=True)], ["ids", "train", "first", "known", "base", "word", "pair"])
+
+    return stage(
+        blocks.groupBy("block").cogroup(counts.select("block", "range", "exact", "word_levels", "pair_levels").groupBy("block"))
+        .applyInArrow(join, "ids array<long>, train array<boolean>, first array<long>, known array<long>, base array<double>, word binary, pair binary"),
+        "lm_probed")
+
+
+def levels_before(word: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Level of the token before each token; before a text stands the end,
+    which is each text's last token."""
     before = np.concatenate([word[:1], word[:-1]])
-    before[block.first[:-1]] = own[np.searchsorted(block.vocabulary, END)]
-    # a pair is not more frequent than its words
-    return word, before, np.minimum(filt.counts(keys)[place], np.minimum(before, word))
+    before[first[:-1]] = word[first[1] - 1]
+    return before
 
 
-def weights(blocks: DataFrame, shared, n: int, v: int) -> np.ndarray:
+def weights(probed: DataFrame, n: int, v: int) -> np.ndarray:
     """Weight of the pair estimate by level of the count before: the one of
     GRID under which the training tokens, each taken out of the counts, are
     likeliest."""
@@ -271,16 +320,21 @@ def weights(blocks: DataFrame, shared, n: int, v: int) -> np.ndarray:
         total = np.zeros((len(GRID), len(MIDDLE)))
         for batch in batches:
             for row in batch.to_pylist():
-                b = Block(row["ids"], row["train"], row["first"], row["vocabulary"], row["words"])
-                word, before, pair = (np.maximum(x[b.learnt] - 1, 0) for x in probes(b, shared.value))
+                word, pair = (_from_planes([row[c]], 1) for c in ("word", "pair"))
+                first = np.array(row["first"], np.int64)
+                learnt = np.repeat(np.array(row["train"], bool), np.diff(first))
+                # tokens with the same three levels have the same fit
+                same = np.bincount(((levels_before(word, first) << 16) + (word << 8) + pair)[learnt])
+                code = np.flatnonzero(same)
+                before, word, pair = (np.maximum(MIDDLE[x] - 1, 0) for x in (code >> 16, code >> 8 & 255, code & 255))
                 at = levels(before)
                 two, one = pair / np.maximum(before, 1), (word + 1.0) / (n + v + 1.0)
                 for i, share in enumerate(GRID):
-                    total[i] += np.bincount(at, np.log(share * two + (1 - share) * one), len(MIDDLE))
+                    total[i] += np.bincount(at, same[code] * np.log(share * two + (1 - share) * one), len(MIDDLE))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(MIDDLE))), pa.array(list(total.T), pa.list_(pa.float64()))], ["level", "fit"])
 
-    table = (blocks.mapInArrow(vote, "level long, fit array<double>")
+    table = (probed.select("train", "first", "word", "pair").mapInArrow(vote, "level long, fit array<double>")
              .select("level", F.posexplode("fit").alias("i", "fit"))
              .groupBy("level", "i").agg(F.sum("fit").alias("fit")).toArrow())  # levels x GRID rows
     fit = np.zeros((len(MIDDLE), len(GRID)))
@@ -288,17 +342,13 @@ def weights(blocks: DataFrame, shared, n: int, v: int) -> np.ndarray:
     return np.array(GRID)[fit.argmax(1)]
 
 
-def scored(block: Block, counts: np.ndarray, filt: Filter, lam: np.ndarray, n: int, v: int) -> tuple[np.ndarray, ...]:
-    """Per document: tokens, known tokens, base score, model score. ``counts``
-    has the exact training count of every word of the block's vocabulary."""
-    first = block.first
-    exact = counts[block.words]
-    base = np.log10((exact + 1.0) / (n + v + 1.0))
-    word, before, pair = probes(block, filt)
+def scored(first: np.ndarray, word: np.ndarray, pair: np.ndarray, lam: np.ndarray, n: int, v: int) -> np.ndarray:
+    """Model score of each document of a block, from the levels of its tokens
+    and of their pairs."""
+    before, word, pair = MIDDLE[levels_before(word, first)], MIDDLE[word], MIDDLE[pair]
     share = np.where(before > 0, lam[levels(before)], 0.0)
     model = np.log10(share * pair / np.maximum(before, 1) + (1 - share) * (word + 1.0) / (n + v + 1.0))
-    return (np.diff(first), np.add.reduceat((exact > 0).astype(np.int64), first[:-1]),
-            np.add.reduceat(base, first[:-1]), np.add.reduceat(model, first[:-1]))
+    return np.add.reduceat(model, first[:-1])
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train: Column | None = None) -> DataFrame:
@@ -313,33 +363,26 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     B.small_batches(spark)
     size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     ranges = max(8, -(-size // RANGE_BYTES))
-    blocks = encoded_blocks(docs, id_col, text_col, in_training(id_col) if train is None else train)
-    counts = _counts(blocks, ranges)
+    blocks, blocks_path = encoded_blocks(docs, id_col, text_col, in_training(id_col) if train is None else train)
+    counts, counts_path = _counts(blocks, ranges)
     sums = counts.agg(F.sum("tokens"), F.sum("distinct")).first()
     n, v = sums[0] or 0, sums[1] or 0
-    got = {r["block"]: bytes(r["packed"]) for r in counts.where("kind = 1").select("block", "packed").toLocalIterator()}
-    shared = spark.sparkContext.broadcast(Filter([got.get(r, bytes(8)) for r in range(ranges)]))  # MAX_BYTES at most
-    del got
-    lam = weights(blocks, shared, n, v)
-
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], [], [], [], []]
-        words = [_unpack(p) for p in right["packed"].to_pylist()]
-        hashes, exact = (np.concatenate([w[i] for w in words]) for i in (0, 1)) if words else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        order = np.argsort(hashes)
-        for row in left.to_pylist():
-            b = Block(row["ids"], row["train"], row["first"], row["vocabulary"], row["words"])
-            got = scored(b, exact[order], shared.value, lam, n, v)
-            for o, x in zip(out, (b.ids, (~b.train).tolist(), *got), strict=True):
-                o.extend(x)
+    probed, _ = probed_blocks(blocks, counts, n, v)
+    drop(spark, [blocks_path, counts_path])
+    lam = weights(probed, n, v)
+
+    def score(batches):
         types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        return pa.table([pa.array(o, t) for o, t in zip(out, types, strict=True)],
-                        ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+        for batch in batches:
+            for row in batch.to_pylist():
+                first = np.array(row["first"], np.int64)
+                got = scored(first, *(_from_planes([row[c]], 1) for c in ("word", "pair")), lam, n, v)
+                out = (row["ids"], [not t for t in row["train"]], np.diff(first), row["known"], row["base"], got)
+                yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types, strict=True)],
+                                                 ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     return (
-        blocks.groupBy("block").cogroup(counts.where("kind = 0").select("block", "packed").groupBy("block"))
-        .applyInArrow(score, "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        probed.mapInArrow(score, "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
         .withColumn("train_tokens", F.lit(n).cast("long"))
         .withColumnRenamed("id", id_col)
     )
-

@@ -87,6 +87,25 @@ def test_filter_counts_never_fall_short():
     assert (f.counts(np.setdiff1d(other, items)) > 0).mean() < 0.02
 
 
+def test_filter_grows_with_its_items():
+    rng = np.random.default_rng(2)
+    items, other = (np.unique(rng.integers(0, 1 << 48, 20000, dtype=np.uint64)) for _ in range(2))
+    segment = lm_score.build_segment([(items, np.ones(len(items), np.int64))], 1 << 16)  # of 1.6 TB of text
+    assert len(segment) * 8 >= lm_score.BITS_PER_ITEM * len(items)
+    assert (lm_score.Filter([segment.tobytes()]).counts(np.setdiff1d(other, items)) > 0).mean() < 0.02
+
+
+def test_lm_scores_are_the_same_in_any_number_of_ranges(docs, monkeypatch):
+    few = {r.doc_id: r for r in lm_score.lm_scores(docs).collect()}
+    monkeypatch.setattr(lm_score, "RANGE_BYTES", 1 << 12)
+    many = lm_score.lm_scores(docs).collect()
+    assert len(many) == len(few)
+    for r in many:
+        f = few[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (f.n_tokens, f.n_known, f.train_tokens)
+        assert r.base_score == pytest.approx(f.base_score) and r.score == pytest.approx(f.score, rel=0.05)
+
+
 def test_lm_of_nothing(none, spark):
     assert lm_score.lm_scores(none).count() == 0
     one = spark.createDataFrame([(None, "a b", "en", "s", 3)], SCHEMA)  # no training row
