@@ -11,13 +11,16 @@ a time that fills all registers, which takes about K log K arrivals however
 long the text is.
 
 Registers are banded; documents that agree in all registers of a band share a
-bucket. Not all pairs of a bucket are taken: in a round each member takes the
-two members of other classes whose signatures agree with its own most, unless
-they estimate a similarity well below the threshold, and the pairs taken are
-compared exactly (both shingle multisets). A round at least halves the classes
-that are linked; pairs once taken are not taken again, and rounds go on until
-one finds no link. Members meet inside blocks of a bounded size, which a
-large bucket is dealt into anew in each round.
+bucket. In a round each member takes the two members of other classes whose
+signatures agree with its own most, unless they estimate a similarity well
+below the threshold, and the pairs taken are compared exactly (both shingle
+multisets). A round at least halves the classes that are linked; pairs once
+taken are not taken again. Members meet inside blocks of a bounded size, which
+a large bucket is dealt into anew in each round.
+Rounds that find no link are followed by a sweep, which takes every pair that
+is left: a large bucket is dealt into groups for good, and by a fixed schedule
+each two groups meet once. At the end two members of a bucket are in one class,
+or have been compared, or are not plausible by their signatures.
 Copies of one text are one document from the start.
 """
 
@@ -45,6 +48,7 @@ BLOCK_BYTES = 1 << 20
 ROUNDS = 2      # at least
 BLOCK = 512     # members of a bucket that meet in a round, about
 PARTNERS = 2    # that a member takes in a block
+STEPS = 8       # of the sweep's schedule in one round
 WIDE = 32       # members from which a block is compared register by register
 ROWS_PER_FILE = 50_000  # of the small tables of links and labels
 NULL_NODES = 1 << 62
@@ -198,6 +202,73 @@ def _taken(blocks: DataFrame, threshold: float, registers: int) -> DataFrame:
     return blocks.select("members").mapInArrow(take, "node long, partner long")
 
 
+def remaining(node: np.ndarray, label: np.ndarray, marks: np.ndarray, bands: np.ndarray, side: np.ndarray,
+              tried: list, band: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs between the two groups of a meeting (side 0 and 1;
+    2: one group with itself) that have different classes, agree in ``least``
+    registers or more and are not in ``tried``. Pairs are taken in the first
+    band that they share only, so a sweep takes none twice."""
+    low, high = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    agree = np.zeros((len(low), len(high)), np.int32)
+    for a, b in zip(np.ascontiguousarray(marks[low].T), np.ascontiguousarray(marks[high].T), strict=True):
+        agree += a[:, None] == b
+    good = (agree >= max(least, 0)) & (label[low][:, None] != label[high])
+    good &= (side[low][:, None] != 2) | (node[low][:, None] < node[high])
+    order = np.argsort(node)
+    done = np.zeros((len(node), len(node)), bool)
+    for i, others in enumerate(tried):
+        if others is not None:
+            at = np.minimum(np.searchsorted(node[order], others), len(node) - 1)
+            done[i, order[at[node[order[at]] == others]]] = True
+    good &= ~(done | done.T)[np.ix_(low, high)]
+    x, y = np.nonzero(good)
+    x, y = low[x], high[y]
+    mine = np.zeros(len(x), bool)
+    for a in range(0, len(x), 1 << 14):
+        i, j = x[a:a + (1 << 14)], y[a:a + (1 << 14)]
+        same = bands[i] == bands[j]
+        mine[a:a + (1 << 14)] = same[np.arange(len(i)), same.argmax(1)] & (bands[i, same.argmax(1)] == band)
+    return x[mine], y[mine]
+
+
+def _remaining(meetings: DataFrame, threshold: float, registers: int) -> DataFrame:
+    """(node, partner) of the pairs that meetings (band, members: array of
+    node, class, mark, tried, bands, side) leave to take."""
+    least = registers * (threshold - 4 * (threshold * (1 - threshold) / registers) ** 0.5)
+
+    def take(batches):
+        for batch in batches:
+            members = batch.column(1)
+            flat, ends = members.flatten(), np.cumsum(members.value_lengths().to_numpy(zero_copy_only=False))
+            node, label, side = (flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 1, 5))
+            marks = np.frombuffer(b"".join(flat.field(2).to_pylist()), np.uint8).reshape(-1, registers)
+            bands = flat.field(4).flatten().to_numpy(zero_copy_only=False).reshape(len(node), -1)
+            tried, a = flat.field(3).to_pylist(), 0
+            for band, z in zip(batch.column(0).to_pylist(), ends.tolist(), strict=True):
+                if (label[a:z] != label[a]).any():
+                    x, y = remaining(node[a:z], label[a:z], marks[a:z], bands[a:z], side[a:z], tried[a:z], band, least)
+                    yield pa.RecordBatch.from_arrays([pa.array(node[a + x]), pa.array(node[a + y])], ["node", "partner"])
+                a = z
+        B.release()
+
+    return meetings.select("band", "members").mapInArrow(take, "node long, partner long")
+
+
+def _meetings(held: DataFrame, step: int) -> DataFrame:
+    """Meetings of the sweep's steps from ``step`` on (STEPS of them). In step
+    t of a bucket of g groups, group i meets group t - i (mod g): in steps 0 to
+    g - 1 each two groups meet once, and each group meets itself once."""
+    groups = F.ceil(F.col("n") / BLOCK)
+    other = F.pmod(F.col("step") - F.col("group"), F.col("groups"))
+    return (held.withColumn("groups", groups).where(F.col("groups") > step)
+            .withColumn("group", F.pmod(F.xxhash64("node", "band"), F.col("groups")))
+            .withColumn("step", F.explode(F.sequence(F.lit(step).cast("long"), F.least(F.lit(step + STEPS), F.col("groups")) - 1)))
+            .withColumn("cell", F.least(F.col("group"), other))
+            .withColumn("side", F.when(F.col("group") == other, 2).when(F.col("group") == F.col("cell"), 0).otherwise(1))
+            .groupBy("band", "step", "cell")
+            .agg(F.collect_list(F.struct("node", "class", "mark", "tried", "bands", "side")).alias("members")))  # about 2 BLOCK
+
+
 def probability_jaccard(a: Counter, b: Counter) -> float:
     """Sum over common shingles d of 1 / sum over all e of
     max(a_e / a_d, b_e / b_d)."""
@@ -355,7 +426,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Words are split at ASCII white space and lower-cased in A-Z. A class is a
     set of texts linked by similarity (probability Jaccard of five-word
-    shingles) of ``threshold`` or more; class_id is its smallest id. Null and
+    shingles) of ``threshold`` or more (see above for the pairs compared); class_id is its smallest id. Null and
     empty texts have no shingles and are copies of each other. Texts that occur
     with null ids only are numbered from 2**62 on, so a null id never names a
     class that has another id. One row of a class is kept: its smallest id,
@@ -386,16 +457,16 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, threshold:
 
     # The buckets of two texts or more that each text is in (BANDS at most).
     members = reps.select("node", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    nodes = materialize(members.join(materialize(shared, "near_shared"), "band").groupBy("node")
+    shared = materialize(members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near_shared")
+    nodes = materialize(members.join(shared, "band").groupBy("node")
                         .agg(F.collect_list(F.struct("band", "n")).alias("buckets"))
-                        .join(reps.select("node", "mark"), "node"), "near_nodes")
+                        .join(reps.select("node", "mark", "bands"), "node"), "near_nodes")
     files = 1 + nodes.count() // ROWS_PER_FILE
     texts = materialize(
         _documents_of(docs, id_col, text_col, reps.select("id", "key", "node").join(nodes.select("node"), "node"), ()).select("node", "text"), "near_candidates")
 
     links = tried = label = None
-    turn = 0
+    turn, step = 0, None  # step: of the sweep, when it has begun
     while True:
         if label is None:
             held = nodes.withColumn("class", F.col("node"))
@@ -407,12 +478,24 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, threshold:
             held = held.join(tried.groupBy("node").agg(F.collect_list("partner").alias("tried")), "node", "left")
         if label is not None:  # buckets of one class are done with
             held = materialize(held.coalesce(files), "near_held")
-            several = (held.select("class", F.explode("buckets.band").alias("band")).groupBy("band")
-                       .agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("band"))
+            several = (held.select("class", F.inline("buckets")).groupBy("band")
+                       .agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.max("n").alias("most")).where("lo != hi").select("band", "most"))
             several = materialize(several.coalesce(files), "near_several")
-        blocks = held.select("node", "class", "mark", "tried", F.inline("buckets"))
+        blocks = held.select("node", "class", "mark", "tried", "bands", F.inline("buckets"))
         if label is not None:
             blocks = blocks.join(several, "band", "left_semi")
+        if step is not None:
+            most = (several.agg(F.max("most")) if label is not None else shared.agg(F.max("n"))).first()[0] or 0
+            if most <= step * BLOCK:  # all groups of every bucket have met
+                break
+            pairs = (_remaining(_meetings(blocks, step), threshold, bands * rows * MARKS)
+                     .select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")))
+            found = materialize(_verified(materialize(pairs, "near_pairs"), texts, words, threshold), "near_links")
+            step += STEPS
+            if not found.isEmpty():
+                links = found if links is None else links.unionByName(found)
+                label = _merged(label, nodes, found, files)
+            continue
         blocks = (blocks.groupBy("band", F.pmod(F.xxhash64("node", "band", F.lit(turn)), F.ceil(F.col("n") / BLOCK)).alias("block"))
                   .agg(F.collect_list(F.struct("node", "class", "mark", "tried")).alias("members")))  # about BLOCK
         pairs = (_taken(blocks, threshold, bands * rows * MARKS)
@@ -428,7 +511,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, threshold:
             links = found if links is None else links.unionByName(found)
             label = _merged(label, nodes, found, files)
         elif turn >= ROUNDS:
-            break
+            step = 0
 
     if links is None:
         classes = reps.select("key", "uid", "node", F.col("node").alias("class"), F.lit(0).cast("long").alias("n_links"))

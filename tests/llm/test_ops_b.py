@@ -315,6 +315,15 @@ def test_near_against_brute_force(docs, odd, spark):
         assert got.where("kept and doc_id is not null and doc_id != class_id").count() == 0
 
 
+@pytest.mark.parametrize("block", [7, 512])
+def test_near_sweep_takes_all_that_rounds_leave(spark, monkeypatch, block):
+    """Rounds that take nothing leave every pair to the sweep."""
+    monkeypatch.setattr(near_dedup, "PARTNERS", 0)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    df = spark.createDataFrame(near_rows(), SCHEMA)
+    assert grouped(near_dedup.near_duplicates(df)) == brute_classes([(r.doc_id, r.text) for r in df.collect()])
+
+
 def test_signature_estimates_probability_jaccard():
     texts = [prose(1, 400).encode(), (prose(1, 400) + " " + prose(2, 150)).encode(), b"", b"one two"]
     keys, text, weights = near_dedup.weighted(*near_dedup.shingle_hashes(texts, 1))
