@@ -430,7 +430,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty texts have no shingles and are copies of each other. Texts that occur
     with null ids only are numbered from 2**62 on, so a null id never names a
     class that has another id. One row of a class is kept: its smallest id,
-    once if that id repeats. An empty table gives an empty table.
+    once if that id repeats. An id with several texts can name several classes. An empty table gives an empty table.
     """
     spark = docs.sparkSession
     B.small_batches(spark)
@@ -452,8 +452,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, threshold:
     reps = materialize(
         signed.groupBy("key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("rep"),
                                   F.first("bands").alias("bands"), F.first("mark").alias("mark"))
-        .select("rep.id", "key", "rep.uid", "bands", "mark")
-        .withColumn("node", F.coalesce("id", F.lit(NULL_NODES) + F.pmod(F.xxhash64("key"), F.lit(NULL_NODES)))), "near_signatures")
+        .select("rep.id", "key", "rep.uid", F.col("rep.uid").alias("node"), "bands", "mark")  # an id can have several texts
+        .withColumn("name", F.coalesce("id", F.lit(NULL_NODES) + F.pmod(F.xxhash64("key"), F.lit(NULL_NODES)))), "near_signatures")
 
     # The buckets of two texts or more that each text is in (BANDS at most).
     members = reps.select("node", F.explode("bands").alias("band"))
@@ -514,18 +514,20 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, threshold:
             step = 0
 
     if links is None:
-        classes = reps.select("key", "uid", "node", F.col("node").alias("class"), F.lit(0).cast("long").alias("n_links"))
+        classes = reps.select("key", "uid", "name", F.col("node").alias("class"), F.lit(0).cast("long").alias("n_links"))
     else:
         degree = (links.select(F.col("a").alias("node"), F.col("b").alias("other"))
                   .unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("other")))
                   .groupBy("node").agg(F.count_distinct("other").alias("n_links")))
         classes = (reps.join(label, "node", "left").join(degree, "node", "left")
-                   .select("key", "uid", "node", F.coalesce("class", F.col("node")).alias("class"),
+                   .select("key", "uid", "name", F.coalesce("class", F.col("node")).alias("class"),
                            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+    smallest = classes.groupBy("class").agg(F.min(F.struct("name", "uid")).alias("first"))
+    classes = _one_per_key(classes.withColumn("salt", _salt(salts, "uid")), smallest, "class").drop("salt")
     return (
         _one_per_key(signed.select("id", "key", "salt", F.col("uid").alias("row")), classes, "key")
-        .select(F.col("id").alias(id_col), F.col("class").alias("class_id"), "n_links",
-                ((F.col("row") == F.col("uid")) & (F.col("node") == F.col("class"))).alias("kept"), F.hex("key").alias("text_key"))
+        .select(F.col("id").alias(id_col), F.col("first.name").alias("class_id"), "n_links",
+                (F.col("row") == F.col("first.uid")).alias("kept"), F.hex("key").alias("text_key"))
     )
 
 

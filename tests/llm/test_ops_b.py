@@ -324,6 +324,16 @@ def test_near_sweep_takes_all_that_rounds_leave(spark, monkeypatch, block):
     assert grouped(near_dedup.near_duplicates(df)) == brute_classes([(r.doc_id, r.text) for r in df.collect()])
 
 
+def test_near_texts_of_one_id_are_told_apart(spark):
+    a, b, c = (prose(i, 120) for i in (1, 2, 3))
+    rows = [(5, a), (5, b), (2, a + " end"), (7, c), (7, c + " end")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    got = near_dedup.near_duplicates(df).collect()
+    assert sorted((r.doc_id, r.class_id, r.kept) for r in got) == [(2, 2, True), (5, 2, False), (5, 5, True), (7, 7, False), (7, 7, True)]
+    stay = [r.text for r in near_dedup.drop_near_duplicates(df).collect()]
+    assert len(stay) == 3 and a + " end" in stay and b in stay
+
+
 def test_signature_estimates_probability_jaccard():
     texts = [prose(1, 400).encode(), (prose(1, 400) + " " + prose(2, 150)).encode(), b"", b"one two"]
     keys, text, weights = near_dedup.weighted(*near_dedup.shingle_hashes(texts, 1))
