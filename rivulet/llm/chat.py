@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from rivulet.operators.sequences import next_ids
+
 ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)        # role r begins: 2 r; goes on: 2 r + 1
 BLOCK_TURNS = 256              # fragments in a block
@@ -176,7 +178,8 @@ def parse_transcripts(fragments: DataFrame, key_col: str, order_col: str, text_c
     order are its canonical form; one of up to 256 fragments is a single row.
 
     Fragments are ordered by ``order_col`` (an integer; null comes first as
-    -1, ties by text) and blocked by its value. A null text has no line; null
+    -1, ties by text) and blocked by position; those before 0 share no block
+    with the others. A null text has no line; null
     keys are one transcript. An empty table gives an empty table.
     """
     tasks = int(fragments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -184,7 +187,8 @@ def parse_transcripts(fragments: DataFrame, key_col: str, order_col: str, text_c
         F.when(F.col(key_col).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(key_col).cast("string"))).alias("key"),
         F.col(key_col).alias("given"), F.coalesce(F.col(order_col).cast("long"), F.lit(-1)).alias("at"),
         F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    base = base.withColumn("block", F.floor(F.col("at") / BLOCK_TURNS).cast("long"))
+    base = next_ids(base, "key", ["at", "t"], id_col="pos")
+    base = base.withColumn("block", F.floor((F.col("pos") - 1) / BLOCK_TURNS).cast("long") - (F.col("at") < 0).cast("long"))
 
     def summed(rows):
         obs = symbols(lines_of([r["t"] for r in rows]))

@@ -237,6 +237,15 @@ def test_long_conversation_in_blocks(spark):
     assert [x for r in got for x in r.roles] == [r[2] for r in rows]
 
 
+def test_conversation_of_equal_turns_in_blocks(spark):
+    """Blocks go by position: turns that repeat or are null are split."""
+    rows = [(k, [None, t % 3][k], ["user", "assistant"][t % 2], prose(t, 5)) for k in (0, 1) for t in range(600)]
+    got = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r.conv_id, r.block) for r in got) == [(0, -1), (0, 0), (0, 1), (1, 0), (1, 1), (1, 2)]
+    assert max(r.n_lines for r in got) <= 2 * chat.BLOCK_TURNS
+    assert Counter(r for g in got for r in g.roles) == Counter(r[2] for r in rows)
+
+
 def test_markers_are_told_from_text(spark):
     lines = "Human: hello\nNote: this is text\n\nmore of it\nAI: **Answer**: 42\nlast\n[USER] thanks"
     out = chat.parse_transcripts(spark.createDataFrame([(1, 0, lines)], "k long, o long, t string"), "k", "o", "t").first()
