@@ -71,9 +71,11 @@ def entropies(buf: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, np.clip(np.floor(whole * (SCALE / 6.0)), 0, SCALE).astype(np.int64)
 
 
-def selected(buf: np.ndarray, first: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def selected(buf: np.ndarray, first: np.ndarray, rank: np.ndarray, always: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, place, hash) of the selected features of a block of texts. A
-    text below one window is one feature, all of it; an empty one has none."""
+    text below one window is one feature, all of it; an empty one has none.
+    ``always``: a text without a window of VOTES votes has the one with the
+    most (of equals the lowest rank, the leftmost)."""
     at, entropy = entropies(buf, first)
     text = np.searchsorted(first, at, side="right") - 1
     if len(at):
@@ -82,13 +84,12 @@ def selected(buf: np.ndarray, first: np.ndarray, rank: np.ndarray) -> tuple[np.n
         best = B.sliding_min(place, WINDOW) if len(at) >= WINDOW else np.zeros(0, np.int64)
         inside = text[: len(best)] == text[len(text) - len(best):]
         votes = np.bincount(best[inside] & ((1 << 40) - 1), minlength=len(at))
-        # A text of less than 64 windows is one run of its own.
         n = np.bincount(text, minlength=len(first) - 1)
-        few = np.flatnonzero((n > 0) & (n < WINDOW))
-        begin = np.concatenate([[0], np.cumsum(n)])
-        if len(few):
-            low = np.minimum.reduceat(place, begin[:-1][n > 0])[np.searchsorted(np.flatnonzero(n > 0), few)]
-            votes[low & ((1 << 40) - 1)] = WINDOW
+        begin, n = (np.cumsum(n) - n)[n > 0], n[n > 0]
+        most = np.maximum.reduceat(votes, begin)
+        few = (most < VOTES) & (always | (n < WINDOW))  # less than 64 windows are one run of their own
+        top = np.where(votes == np.repeat(most, n), place, np.iinfo(np.int64).max)
+        votes[np.minimum.reduceat(top, begin)[few] & ((1 << 40) - 1)] = VOTES
         chosen = np.flatnonzero(votes >= VOTES)
     else:
         chosen = np.zeros(0, np.int64)
@@ -165,7 +166,7 @@ def fingerprints(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
     """Digests of whole texts."""
     out = []
     for a, b in B.text_blocks(texts, BLOCK_BYTES):
-        owner, _, hashes = selected(*_ended(texts[a:b]), rank)
+        owner, _, hashes = selected(*_ended(texts[a:b]), rank, always=True)
         edge = np.searchsorted(owner, np.arange(b - a + 1))
         out += [digest(hashes[x:y]) for x, y in zip(edge[:-1], edge[1:], strict=True)]
     return out
@@ -238,7 +239,7 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     edited_fingerprint, near_edited, near_next.
 
     Whole texts, null is empty. Equal texts have equal fingerprints. Texts of
-    less than 64 bytes have one feature; empty ones none (their digest is
+    less than 128 bytes have one feature, longer ones one at least; empty ones none (their digest is
     "0:", like each other's only). A single document is its own next one. An
     empty table gives an empty table.
     """

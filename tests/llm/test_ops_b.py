@@ -148,6 +148,15 @@ def test_selected_features_against_loops():
         base += len(t)
 
 
+def test_texts_of_any_size_have_a_feature():
+    rank = np.random.default_rng(5).permutation(1001)
+    texts = [prose(n, 200).encode()[:n] for n in range(300)]
+    prints = fingerprint.fingerprints(texts, rank)
+    assert [n for n, x in enumerate(prints) if not len(x)] == [0]
+    assert all(np.array_equal(fingerprint.fingerprints([t], rank)[0], x) for t, x in zip(texts, prints, strict=True))
+    assert fingerprint.likeness(prints[130], prints[131]) < 0.5
+
+
 def test_fingerprints_of_documents(docs, odd):
     for df in (docs, odd.where("doc_id is not null").dropDuplicates(["doc_id"])):
         rows = sorted(((r.doc_id, r.text or "") for r in df.collect()), reverse=True)
