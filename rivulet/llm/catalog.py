@@ -7,7 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import bpe, chat, exact_dedup, fingerprint, lm_score, near_dedup, packing, sharding, substring_dedup, toxicity
+from rivulet.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    fingerprint,
+    license_scan,
+    lm_score,
+    near_dedup,
+    packing,
+    repair,
+    sharding,
+    spelling,
+    substring_dedup,
+    toxicity,
+)
 from rivulet.session import apply_runtime_conf
 from rivulet.sources.tables import read_table
 
@@ -106,3 +120,21 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """Toxicity score of every document."""
     return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@register("op11_spelling_variants")
+def op11(spark, sf_dir):
+    """Form and root of every word of the documents."""
+    return spelling.spelling_forms(read_table(spark, sf_dir, "documents"))
+
+
+@register("op12_license_scan", license_scan.oracle_sql())
+def op12(spark, sf_dir):
+    """License notices of every document."""
+    return license_scan.license_scan(read_table(spark, sf_dir, "documents"))
+
+
+@register("op13_conversation_repair")
+def op13(spark, sf_dir):
+    """The cheapest repair of every damaged conversation."""
+    return repair.repaired_digests(read_table(spark, sf_dir, "conversations"))
