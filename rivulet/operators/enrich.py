@@ -9,6 +9,10 @@ once however many lookups follow each other. AQE splits a hot key on the
 record side. A hot key on the lookup side (one customer holding a third of the
 orders) is split by ``hot_rows``: keys with more lookup rows than that are
 dealt into so many pieces, and their records meet each piece.
+
+A lookup by range alone (``lo <= value < hi``, no equality) is a keyed join too
+(``enrich_between``): each interval lies in the cells of a grid as coarse as the
+interval is long, and a value meets the cells that hold it, one per length class.
 """
 
 from __future__ import annotations
@@ -17,9 +21,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.functions.json import row_json
 
+HOT_ROWS = 100_000   # lookup rows of one key that are not split
+
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -59,25 +66,32 @@ def enrich(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str =
     side = lookup.select(*keys, *[(F.col(f"`{c}`").cast("string") if as_strings else F.col(f"`{c}`")).alias(c)
                                   for c in vals])
     side = _overwriting(rename_case(side, case, skip=keys), keys, df.columns).withColumn("_hit", F.lit(True))
-    by = list(keys)
+    records, by = df, keys
     if hot_rows:
-        # At most |lookup| / hot_rows keys; their records always match, so a
-        # piece without a row of its own must not count as "no match".
-        hot = (lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-               .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces")))
-        value = [F.col(f"`{c}`") for c in side.columns if c not in ("_hit", *keys)]
-        side = (side.join(hot, keys, "left")
-                .withColumn("_piece", F.pmod(F.xxhash64(*value), F.coalesce("_pieces", F.lit(1))).cast("int")).drop("_pieces"))
-        df = (df.join(hot, keys, "left")
-              .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))))
-        by.append("_piece")
-    joined = df.join(side, by, how)
+        # their records always match, so a piece without a row of its own must
+        # not count as "no match"
+        records, side, by = _dealt(df, side, keys, hot_rows)
+    joined = records.join(side, by, how)
     if hot_rows:
         joined = joined.where(F.col("_hit").isNotNull() | F.col("_pieces").isNull()).drop("_pieces", "_piece")
-        df = df.drop("_pieces", "_piece")
     return _result(joined, df.columns, [c for c in side.columns if c not in by], empty_marker if how == "left" else None, marker_value)
 
 
+def _dealt(df: DataFrame, side: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both frames with ``_piece``: rows of ``side`` under a key that has over
+    ``hot_rows`` of them are dealt into pieces, and the key's rows of ``df``
+    repeated for each; and the columns to join by. At most |side| / hot_rows
+    keys are hot."""
+    hot = (side.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+           .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces")))
+    value = [F.col(f"`{c}`") for c in side.columns if c not in ("_hit", *keys)]
+    side = (side.join(hot, list(keys), "left")
+            .withColumn("_piece", F.pmod(F.xxhash64(*value), F.coalesce("_pieces", F.lit(1))).cast("int")).drop("_pieces"))
+    df = (df.join(hot, list(keys), "left")
+          .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))))
+    return df, side, [*keys, "_piece"]
+
+
 def _overwriting(side: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Lookup columns named like record columns travel as ``_lk_<name>``."""
     return side.toDF(*[f"_lk_{c}" if c not in keys and c in columns else c for c in side.columns])
@@ -100,7 +114,8 @@ def enrich_where(df: DataFrame, lookup: DataFrame, predicate: Column, how: str =
     and the record's, these written ``F.col(name).outer()``. Spark takes the
     lateral join apart into a join on the predicate, so with an equality in it
     the rest (ranges, inequalities) is a condition of a keyed join; without
-    any equality every record meets every lookup row, as the SELECT would."""
+    any equality every record meets every lookup row, as the SELECT would (a
+    range alone: ``enrich_between``)."""
     # one select: the outer names resolve in the join only, so nothing may ask
     # this frame for its columns before
     named = {c: {"lower": c.lower(), "upper": c.upper()}.get(case, c) for c in lookup.columns}
@@ -112,6 +127,74 @@ def enrich_where(df: DataFrame, lookup: DataFrame, predicate: Column, how: str =
     return _result(joined, df.columns, [*named.values(), "_hit"], empty_marker if how == "left" else None, marker_value)
 
 
+def _axis(c: Column, kind: T.DataType) -> Column:
+    """A column as a point on the real line. Rounding to double keeps the order
+    (never strictly), which is all that the cells need; the join's residual
+    condition compares the values themselves."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, T.NumericType):
+        return c.cast("double")
+    raise ValueError(f"a range lookup needs numbers, dates or timestamps, not {kind.simpleString()}")
+
+
+_UNBOUNDED = 5000   # length class of intervals that no double can measure
+
+
+def _cell(x: Column, level: Column) -> Column:
+    return F.when(level == _UNBOUNDED, F.lit(0.0)).otherwise(F.floor(x / F.pow(F.lit(2.0), level)).cast("double"))
+
+
+def interval_index(lookup: DataFrame, lo: str, hi: str, closed: bool = False) -> DataFrame:
+    """``lookup`` with ``_level`` and ``_cell``: an interval is as long as its
+    level's cells at most (2**level), so it lies in two or three of them and is
+    repeated so often. Empty intervals and null ends match nothing and go."""
+    a, b = (_axis(F.col(f"`{c}`"), lookup.schema[c].dataType) for c in (lo, hi))
+    holds = F.col(f"`{lo}`") <= F.col(f"`{hi}`") if closed else F.col(f"`{lo}`") < F.col(f"`{hi}`")
+    # a measured length of 0 (a closed point, or less than doubles tell apart) has the least class
+    level = (F.when(F.isnan(b - a) | (b - a == float("inf")), F.lit(_UNBOUNDED)).when(b - a <= 0, F.lit(-1022))
+             .otherwise(F.greatest(F.ceil(F.log2(b - a)), F.lit(-1022))).cast("int"))
+    out = lookup.where(holds).withColumns({"_a": a, "_b": b, "_level": level})
+    first, last = _cell(F.col("_a"), F.col("_level")), _cell(F.col("_b"), F.col("_level"))
+    cells = F.array_distinct(F.array(first, F.least(first + 1, last), last))
+    return out.withColumn("_cell", F.explode(cells)).drop("_a", "_b")
+
+
+def enrich_between(df: DataFrame, lookup: DataFrame, value: str, lo: str, hi: str, on: str | Sequence[str] = (),
+                   closed: bool = False, how: str = "left", empty_marker: str | None = None, marker_value: str = "true",
+                   case: str | None = None, as_strings: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """O13/O14 by range: the lookup rows with ``lo <= value < hi`` (``closed``:
+    ``<= hi``), and equal ``on`` columns if any are given. Numbers, dates or
+    timestamps.
+
+    The distinct values meet the interval index by (length class, cell), with the
+    range itself as the residual condition; the records then meet the rows found
+    by value, as in ``enrich``. Which length classes exist is asked first: a class
+    is an exponent of a double, so at most some 2,100 numbers reach the driver (a
+    table of like intervals has a handful), and a value is repeated once per
+    class. Cells and values with over ``hot_rows`` lookup rows are split.
+    """
+    keys = _keys(on)
+    taken = {value, *keys}
+    clash = [c for c in lookup.columns if c in taken and c not in keys]
+    if clash:
+        raise ValueError(f"the lookup has a column named like the value: {clash}")
+    index = interval_index(lookup, lo, hi, closed)
+    levels = [r["_level"] for r in index.select("_level").distinct().collect()]
+    kind = df.schema[value].dataType
+    point = _axis(F.col(f"`{value}`"), kind)
+    values = df.select(*keys, F.col(f"`{value}`").alias(value)).where(F.col(f"`{value}`").isNotNull()).distinct()
+    all_levels = F.array(*[F.lit(x) for x in levels]) if levels else F.array().cast("array<int>")
+    values = values.withColumn("_level", F.explode(all_levels)).withColumn("_cell", _cell(point, F.col("_level")))
+    values, index, by = _dealt(values, index, [*keys, "_level", "_cell"], hot_rows)
+    x, a, b = (F.col(f"`{c}`") for c in (value, lo, hi))
+    found = values.drop("_pieces").join(index, by, "inner").where((a <= x) & ((x <= b) if closed else (x < b)))
+    found = found.select(*keys, value, *[F.col(f"`{c}`") for c in lookup.columns if c not in keys])
+    return enrich(df, found, [*keys, value], how, empty_marker, marker_value, case, as_strings, hot_rows)
+
+
 def enrich_json(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], json_col: str = "content",
                 default: str = "{}", hot_rows: int | None = None) -> DataFrame:
     """O14 content form: one JSON object per matching lookup row (values as

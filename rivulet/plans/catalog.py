@@ -96,7 +96,7 @@ def q_enrich_customer_orders(spark, sf_dir):
     customer = t(spark, sf_dir, "customer").select("c_custkey", "c_name")
     orders = t(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    return en.enrich(customer, orders, "c_custkey", empty_marker="no_result")
+    return en.enrich(customer, orders, "c_custkey", empty_marker="no_result", hot_rows=en.HOT_ROWS)
 
 
 @register("enrich_json_nation_suppliers", """
@@ -151,6 +151,24 @@ def q_enrich_range(spark, sf_dir):
     return out.select("c_custkey", "c_name", "o_orderkey", "o_custkey", "o_orderpriority", "no_result")
 
 
+@register("enrich_between_suppliers", """
+SELECT c.c_custkey, c.c_name, c.c_acctbal >= 0 AS in_credit, CAST(s.s_suppkey AS VARCHAR) AS s_suppkey, s.s_name,
+       CASE WHEN s.s_suppkey IS NULL THEN 'true' END AS no_result
+FROM customer c LEFT JOIN (
+  SELECT s_suppkey, s_name, s_acctbal AS lo, s_acctbal + CASE WHEN s_suppkey % 50 = 0 THEN 2000 ELSE 10.0 * (s_suppkey % 7) END AS hi
+  FROM supplier) s ON s.lo <= c.c_acctbal AND c.c_acctbal < s.hi
+""")
+def q_enrich_between_suppliers(spark, sf_dir):
+    """O13 + O14 by range alone: the suppliers in whose band (from empty to
+    very wide) a customer's balance lies; a keyed join over an interval index."""
+    customer = t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    k = F.col("s_suppkey")
+    width = F.when(k % 50 == 0, F.lit(2000.0)).otherwise(F.lit(10.0) * (k % 7))
+    bands = t(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.col("s_acctbal").alias("lo"), (F.col("s_acctbal") + width).alias("hi"))
+    out = en.enrich_between(customer, bands, "c_acctbal", "lo", "hi", empty_marker="no_result")
+    return out.select("c_custkey", "c_name", (F.col("c_acctbal") >= 0).alias("in_credit"), "s_suppkey", "s_name", "no_result")
+
+
 # ======================================================= O12: templates
 
 LOOKUP_TEMPLATE = ("select * from lineitem where l_orderkey = ${o_orderkey} "
