@@ -29,7 +29,7 @@ from rivulet.operators.records import put_attributes, to_records
 from rivulet.plans import sqltext as X
 from rivulet.plans.compose import compose
 from rivulet.session import apply_runtime_conf, scratch_path
-from rivulet.sinks.atomic import append_lines, atomic_append, read_committed
+from rivulet.sinks.atomic import append_lines, append_routes, atomic_append, read_committed, read_routed
 from rivulet.sinks.logs import attribute_log
 from rivulet.sources.tables import read_table, register_views, select_rows
 from rivulet.streaming.streams import allocate_stream, append_stream, run_available_now, table_stream
@@ -840,6 +840,33 @@ def q_atomic_append_orders(spark, sf_dir):
             .select("target", "o_orderkey", "o_orderstatus", "o_custkey"))
 
 
+_BANDS = {f"band{i}": (i * 50_000, (i + 1) * 50_000) for i in range(6)}
+
+
+@register("append_routes_orders", "\nUNION ALL\n".join(
+    [f"SELECT '{name}' AS target, o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_totalprice >= {a} AND o_totalprice < {b}"
+     for name, (a, b) in _BANDS.items()]
+    + ["SELECT 'urgent' AS target, o_orderkey, NULL AS o_custkey, o_orderstatus FROM orders WHERE o_orderpriority = '1-URGENT'",
+       f"""SELECT 'unmatched' AS target, o_orderkey, o_custkey, o_orderstatus FROM orders
+WHERE NOT coalesce(o_totalprice >= 0 AND o_totalprice < {6 * 50_000}, false) AND NOT coalesce(o_orderpriority = '1-URGENT', false)"""]))
+def q_append_routes_orders(spark, sf_dir):
+    """O7 + O3 in one pass: orders to seven targets and the unmatched, one scan
+    and one commit; a batch that fails stays invisible; one target with fewer
+    columns."""
+    orders = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    price = F.col("o_totalprice")
+    routes = {name: (price >= a) & (price < b) for name, (a, b) in _BANDS.items()}
+    routes["urgent"] = F.col("o_orderpriority") == "1-URGENT"
+    columns = {"urgent": ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]}
+    root = scratch_path(spark, "routed_orders")
+    broken = orders.withColumn("o_custkey", F.raise_error(F.lit("refused")).cast("long"))
+    append_routes(spark, broken, routes, root, 1, columns=columns)
+    res = append_routes(spark, orders, routes, root, 2, columns=columns)
+    if not res["success"]:
+        raise RuntimeError(f"append failed: {res['error_code']} {res['error_message']}")
+    return read_routed(spark, root).select("target", "o_orderkey", "o_custkey", "o_orderstatus")
+
+
 @register("append_lines_documents", _LINES_CTE + """
 SELECT CASE WHEN length(line) < 40 THEN 'short' ELSE 'long' END AS target, doc_id, count(*) AS n_lines
 FROM (SELECT doc_id, unnest(ls) AS line FROM l) GROUP BY 1, 2

@@ -13,13 +13,13 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable, Mapping
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators.sequences import allocate
-from rivulet.sinks.atomic import ATTEMPT_COL, BATCH_COL, atomic_append, committed_attempts, ensure_manifest
+from rivulet.session import materialize
+from rivulet.sinks.atomic import ATTEMPT_COL, BATCH_COL, append_routes, atomic_append, committed_attempts, ensure_root
 from rivulet.sources.tables import stream_source
 
 
@@ -53,7 +53,7 @@ def _start(stream: DataFrame, each: Callable[[DataFrame, int, str], None], check
 
 
 def _append(spark: SparkSession, targets: Mapping[str, DataFrame], root: str, stream_id: str, number: int) -> dict:
-    return atomic_append(spark, targets, root, f"{stream_id[:13]}-{number}", stream=stream_id, seq=number)
+    return atomic_append(spark, targets, root, f"{stream_id}-{number}", stream=stream_id, seq=number)
 
 
 def append_stream(stream: DataFrame, split: Callable[[DataFrame], Mapping[str, DataFrame]], root: str,
@@ -66,21 +66,30 @@ def append_stream(stream: DataFrame, split: Callable[[DataFrame], Mapping[str, D
 
     def each(batch: DataFrame, number: int, stream_id: str) -> None:
         targets = split(batch)
-        # several targets read the same micro-batch: compute it once
-        cached = len(targets) > 1
-        if cached:
-            batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            res = _append(spark, targets, root, stream_id, number)
-        finally:
-            if cached:
-                batch.unpersist()
+        if len(targets) > 1:
+            # several targets read the same micro-batch: compute it once
+            targets = split(materialize(batch, "micro_batch"))
+        res = _append(spark, targets, root, stream_id, number)
         if on_result:
             on_result(res)
         if not res["success"]:
             raise RuntimeError(f"batch {number} failed: {res['error_code']} {res['error_message']}")
 
-    ensure_manifest(spark, root)
+    ensure_root(spark, root)
+    return _start(stream, each, checkpoint, processing_time)
+
+
+def append_routes_stream(stream: DataFrame, routes: Mapping[str, Column], root: str, checkpoint: str,
+                         processing_time: str | None = None, **kw) -> StreamingQuery:
+    """``append_routes`` per micro-batch: one scan of it for all targets."""
+    spark = stream.sparkSession
+
+    def each(batch: DataFrame, number: int, stream_id: str) -> None:
+        res = append_routes(spark, batch, routes, root, f"{stream_id}-{number}", stream=stream_id, seq=number, **kw)
+        if not res["success"]:
+            raise RuntimeError(f"batch {number} failed: {res['error_code']} {res['error_message']}")
+
+    ensure_root(spark, root)
     return _start(stream, each, checkpoint, processing_time)
 
 
@@ -94,12 +103,12 @@ def run_available_now(query: StreamingQuery, timeout_s: float | None = None) ->
 def latest_committed(spark: SparkSession, root: str, name: str, stream_id: str | None = None, before: int | None = None):
     """The newest committed batch of ``name``, or None; of the stream
     ``stream_id`` only batches under number ``before`` count. The batch comes
-    from the manifest (one row per batch; one row reaches the driver), and
+    from the log (one row per batch; one row reaches the driver), and
     only that attempt's folder is read."""
     rows = committed_attempts(spark, root).where(F.map_contains_key("rows", F.lit(name)))
     if before is not None:
         rows = rows.where(~F.col("stream").eqNullSafe(F.lit(stream_id)) | (F.col("seq") < before))
-    last = rows.orderBy(F.col("committed_at").desc()).select("batch_id_value", "attempt_value").first()
+    last = rows.orderBy(F.col("version").desc()).select("batch_id_value", "attempt_value").first()
     if last is None:
         return None
     return spark.read.parquet(f"{root.rstrip('/')}/{name}/{BATCH_COL}={last[0]}/{ATTEMPT_COL}={last[1]}")
@@ -125,5 +134,5 @@ def allocate_stream(stream: DataFrame, keys, order_by, root: str, checkpoint: st
         if not res["success"]:
             raise RuntimeError(f"batch {number} failed: {res['error_code']} {res['error_message']}")
 
-    ensure_manifest(spark, root)
+    ensure_root(spark, root)
     return _start(stream, each, checkpoint, processing_time)

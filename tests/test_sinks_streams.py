@@ -19,8 +19,8 @@ def test_atomic_append_retry_and_failure(spark):
     bad = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).alias("id"))
     r2 = atomic_append(spark, {"a": spark.range(100, 105), "b": bad}, root, 2)
     assert not r2["success"] and r2["error_code"]
-    assert read_committed(spark, root, "a").count() == 10  # batch 2 invisible: staged but not published
-    assert os.path.isdir(f"{root}/a/batch_id=2")
+    assert read_committed(spark, root, "a").count() == 10  # batch 2 invisible
+    assert not os.listdir(f"{root}/a/batch_id=2")          # the failed attempt's folder is gone
     assert sorted(r[0] for r in committed_batches(spark, root).collect()) == ["1"]
 
 
