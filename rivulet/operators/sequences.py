@@ -136,11 +136,14 @@ def _with_ids(tagged: DataFrame, columns: list[str], id_col: str) -> DataFrame:
 
 def _merge_counters(used: DataFrame, ks: list[str], counters: DataFrame | None, counter_col: str) -> DataFrame:
     """``used`` = (keys, _n) rows allocated now → the new counter table. One
-    grouping, in which null is a key like any other."""
+    grouping, in which null is a key like any other. Of repeated stored counters
+    the largest counts, as it does for the ids."""
+    zero = F.lit(0).cast("long")
+    used = used.select(*ks, "_n", zero.alias("_old"))
     if counters is not None:
-        old = F.greatest(F.coalesce(F.col(counter_col).cast("long"), F.lit(0)), F.lit(0))
-        used = used.select(*ks, "_n").unionByName(counters.select(*ks, old.alias("_n")))
-    return used.groupBy(*ks).agg(F.sum("_n").cast("long").alias(counter_col))
+        old = F.greatest(F.coalesce(F.col(counter_col).cast("long"), zero), zero)
+        used = used.unionByName(counters.select(*ks, zero.alias("_n"), old.alias("_old")))
+    return used.groupBy(*ks).agg((F.sum("_n") + F.max("_old")).cast("long").alias(counter_col))
 
 
 def next_ids(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str],

@@ -31,7 +31,7 @@ from rivulet.plans.compose import compose
 from rivulet.session import apply_runtime_conf, scratch_path
 from rivulet.sinks.atomic import append_lines, append_routes, atomic_append, read_committed, read_routed
 from rivulet.sinks.logs import attribute_log
-from rivulet.sources.tables import read_table, register_views, select_rows
+from rivulet.sources.tables import read_table, register_views, select_rows, stream_source
 from rivulet.streaming.streams import allocate_stream, append_stream, run_available_now, table_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -928,15 +928,20 @@ SELECT o.o_orderkey, o.o_custkey,
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 """)
 def q_stream_next_ids_orders(spark, sf_dir):
-    """O18 on a stream: orders arriving as a stream get per-customer ids that
-    continue the stored counters; ids and counters are published together
-    per micro-batch."""
-    stream = table_stream(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    """O18 on a stream: orders arriving in three micro-batches, by date, get
+    per-customer ids that continue the stored counters; the counters are keyed
+    state."""
+    orders = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     counters = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"),
                                                    F.col("c_nationkey").alias("counter"))
+    day = F.unix_date(F.col("o_orderdate").cast("date"))
+    first, last = orders.agg(F.min(day), F.max(day)).first()
+    third = F.least(F.floor((day - first) * 3 / F.lit(max(last - first, 1))), F.lit(2))
     root = scratch_path(spark, "stream_ids")
-    q = allocate_stream(stream, "o_custkey", ["o_orderdate", "o_orderkey"], root, f"{root}/_checkpoint",
-                        initial_counters=counters)
+    for i in range(3):   # one after another: the source takes files by age
+        orders.where(third == i).coalesce(1).write.parquet(f"{root}/_source/{i}")
+    stream = stream_source(spark, f"{root}/_source/*", orders.schema, max_files_per_trigger=1)
+    q = allocate_stream(stream, "o_custkey", ["o_orderdate", "o_orderkey"], root, f"{root}/_checkpoint", initial_counters=counters)
     run_available_now(q)
     return read_committed(spark, root, "ids").select("o_orderkey", "o_custkey", "next_id")
 

@@ -10,16 +10,19 @@ new checkpoint (or another stream on the same root) has batches of its own.
 
 from __future__ import annotations
 
+import json
 import threading
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from rivulet.operators.sequences import allocate
+from rivulet.operators.sequences import next_ids
 from rivulet.session import materialize
 from rivulet.sinks.atomic import ATTEMPT_COL, BATCH_COL, append_routes, atomic_append, committed_attempts, ensure_root
+from rivulet.sinks.txlog import files_of
 from rivulet.sources.tables import stream_source
 
 
@@ -100,39 +103,102 @@ def run_available_now(query: StreamingQuery, timeout_s: float | None = None) ->
         raise query.exception()
 
 
-def latest_committed(spark: SparkSession, root: str, name: str, stream_id: str | None = None, before: int | None = None):
-    """The newest committed batch of ``name``, or None; of the stream
-    ``stream_id`` only batches under number ``before`` count. The batch comes
-    from the log (one row per batch; one row reaches the driver), and
-    only that attempt's folder is read."""
-    rows = committed_attempts(spark, root).where(F.map_contains_key("rows", F.lit(name)))
-    if before is not None:
-        rows = rows.where(~F.col("stream").eqNullSafe(F.lit(stream_id)) | (F.col("seq") < before))
-    last = rows.orderBy(F.col("version").desc()).select("batch_id_value", "attempt_value").first()
-    if last is None:
+# Keyed state lives in RocksDB; a micro-batch writes the changes of its own keys.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+class _Counter(StatefulProcessor):
+    """One counter per key: the rows claimed so far."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._n = handle.getValueState("n", "n long")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
+        self._n.update((initialState["n"],))
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        before = self._n.get()[0] if self._n.exists() else 0
+        self._n.update((before + sum(r["n"] for r in rows),))
+        yield Row(key=key[0], before=before)
+
+    def close(self) -> None:
+        pass
+
+
+def _claims(batches):
+    """Keys to (key, n), counted per Arrow batch: a key with a third of the rows
+    sends one row per batch to its counter."""
+    for batch in batches:
+        counts = batch.column("key").value_counts()
+        yield pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts").cast(pa.int64())], ["key", "n"])
+
+
+def _own_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id in a checkpoint; None if the stream has not run yet."""
+    files = files_of(spark, checkpoint)
+    return json.loads(files.read("metadata"))["id"] if files.exists("metadata") else None
+
+
+def stream_counters(spark: SparkSession, root: str, keys, initial: DataFrame | None = None, counter_col: str = "counter",
+                    id_col: str = "next_id", without: str | None = None) -> DataFrame:
+    """The counter table of a root: per key the largest id that was committed
+    (by streams other than ``without``) or the initial counter."""
+    ks = [keys] if isinstance(keys, str) else list(keys)
+    found = []
+    if initial is not None:
+        found.append(initial.select(*ks, F.coalesce(F.col(counter_col).cast("long"), F.lit(0)).alias(counter_col)))
+    done = committed_attempts(spark, root).where(F.map_contains_key("rows", F.lit("ids")))
+    if without is not None:
+        done = done.where(~F.col("stream").eqNullSafe(F.lit(without)))
+    if not done.isEmpty():
+        ids = spark.read.parquet(f"{root.rstrip('/')}/ids")
+        on = (ids[BATCH_COL] == done["batch_id_value"]) & (ids[ATTEMPT_COL] == done["attempt_value"])
+        found.append(ids.join(done, on, "left_semi").select(*ks, F.col(id_col).alias(counter_col)))
+    if not found:
         return None
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}/{BATCH_COL}={last[0]}/{ATTEMPT_COL}={last[1]}")
+    both = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    return both.groupBy(*ks).agg(F.max(counter_col).alias(counter_col))
 
 
 def allocate_stream(stream: DataFrame, keys, order_by, root: str, checkpoint: str,
                     initial_counters: DataFrame | None = None, counter_col: str = "counter",
                     id_col: str = "next_id", processing_time: str | None = None) -> StreamingQuery:
-    """O18 on a stream: every micro-batch continues the counters committed by
-    the batches before it, and publishes its ids (target ``ids``) and the new
-    counter snapshot (target ``counters``) all-or-nothing under its batch id.
-    A stream with a new checkpoint goes on from the newest snapshot on the
-    root, so no id is given twice."""
+    """O18 on a stream: every micro-batch continues the counters of the batches
+    before it (target ``ids``).
+
+    The counters are keyed state (``transformWithState``): a micro-batch reads and
+    writes those of its own keys, and nothing is rewritten. Only counts reach a
+    key's counter; the rows go past it and are numbered by ``next_ids``, which
+    splits a hot key. The micro-batch is written once and read from there, so the
+    state moves once. A stream with a new checkpoint begins with ``initial_counters``
+    and the largest ids that other streams committed on the root, so no id is
+    given twice."""
     spark = stream.sparkSession
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
+    ks = [keys] if isinstance(keys, str) else list(keys)
+    key = F.to_json(F.struct(*[F.col(f"`{k}`").cast("string").alias(f"k{i}") for i, k in enumerate(ks)]))
+    ensure_root(spark, root)
+    known = stream_counters(spark, root, ks, initial_counters, counter_col, id_col, without=_own_id(spark, checkpoint))
+    start = None
+    if known is not None:
+        n = F.greatest(F.col(counter_col), F.lit(0))
+        start = known.select(key.alias("key"), n.alias("n")).groupBy("key").agg(F.max("n").alias("n")).groupBy("key")
+    claims = stream.select(key.alias("key")).mapInArrow(_claims, "key string, n long")
+    counted = claims.groupBy("key").transformWithState(_Counter(), "key string, before long", "append", "none", start)
+    row = F.struct(*[F.col(f"`{c}`") for c in stream.columns])
+    rows = stream.select(key.alias("key"), F.lit(None).cast("long").alias("before"), row.alias("row"))
+    both = rows.unionByName(counted, allowMissingColumns=True)
 
     def each(batch: DataFrame, number: int, stream_id: str) -> None:
-        prev = latest_committed(spark, root, "counters", stream_id, before=number)
-        if prev is None:
-            prev = initial_counters
-        # allocate reads the batch once (ids and counters come from its tags)
-        ids, counters = allocate(batch, keys, order_by, prev, counter_col, id_col)
-        res = _append(spark, {"ids": ids, "counters": counters}, root, stream_id, number)
+        both = materialize(batch, "claimed")
+        got = both.where("before is null").select("key", "row.*")
+        ids = next_ids(got, "key", order_by, both.where("before is not null").select("key", "before"), "before", id_col)
+        res = _append(spark, {"ids": ids.drop("key")}, root, stream_id, number)
         if not res["success"]:
             raise RuntimeError(f"batch {number} failed: {res['error_code']} {res['error_message']}")
 
-    ensure_root(spark, root)
-    return _start(stream, each, checkpoint, processing_time)
+    return _start(both, each, checkpoint, processing_time)
