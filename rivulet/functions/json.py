@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +46,36 @@ def is_json(c: Column | str) -> Column:
     return F.coalesce(in_array & in_object, F.lit(False))
 
 
-def json_string_literal(c: Column | str) -> Column:
-    """A text value as a JSON string literal (quoted and escaped)."""
-    return F.regexp_extract(F.to_json(F.array(col_of(c))), r"^\[(.*)\]$", 1)
+_TOKEN = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"|[\[{\]}:,]|[^\s"\[\]{}:,]+', re.S)
+
+
+def member_text(text: str, name: str) -> str | None:
+    """The text of a member's value in a JSON object, exactly as it stands there
+    (numbers and escapes are not read); of repeated members the last one's.
+    ``text`` must be a valid JSON object."""
+    depth, key, start, end, found = 0, None, None, 0, None
+    for m in _TOKEN.finditer(text):
+        t = m.group()
+        if depth == 1 and start is not None and t in ",}":
+            if key == name:
+                found = text[start:end]
+            key = start = None
+        elif depth == 1 and start is None and t == ":":
+            start = -1
+            continue
+        elif depth == 1 and start is None and t[0] == '"':
+            key = json.loads(t)
+        if start == -1:
+            start = m.start()
+        end = m.end()
+        depth += (t in "[{") - (t in "]}")
+    return found
+
+
+def json_member_text(c: Column | str, name: str) -> Column:
+    """``member_text`` of a column of valid JSON objects (null stays null), in
+    Arrow batches."""
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda x: None if x is None else member_text(x, name))
+
+    return F.pandas_udf(cut, "string")(col_of(c))

@@ -1,12 +1,14 @@
 """HMAC-SHA2 and base64url as Column expressions built from ``sha2``,
 ``concat`` and ``base64`` only: the key pads are made once on the driver
-from the secret (a parameter, not data), the per-row work stays in the JVM."""
+from the secret, the per-row work stays in the JVM. The pads reach the rows as
+the value of a one-row relation (a scalar subquery), so neither secret nor pads are
+in a plan, a log or the history of a query."""
 
 from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import col_of
@@ -27,13 +29,19 @@ def key_pads(secret: str | bytes, bits: int) -> tuple[bytes, bytes]:
     return bytes(b ^ IPAD for b in key), bytes(b ^ OPAD for b in key)
 
 
+def pad_columns(secret: str | bytes, bits: int) -> tuple[Column, Column]:
+    """The key pads as scalar subqueries."""
+    spark = SparkSession.active()
+    pads = spark.createDataFrame([key_pads(secret, bits)], "ipad binary, opad binary")
+    return pads.select("ipad").scalar(), pads.select("opad").scalar()
+
+
 def hmac_sha2(message: Column | str, secret: str | bytes, bits: int = 256) -> Column:
     """HMAC-SHA2 of a STRING (UTF-8) or BINARY column → BINARY digest."""
-    ipad, opad = key_pads(secret, bits)
-    msg = col_of(message)
-    msg_bin = msg.cast("binary")
-    inner = F.unhex(F.sha2(F.concat(F.lit(ipad), msg_bin), bits))
-    return F.unhex(F.sha2(F.concat(F.lit(opad), inner), bits))
+    ipad, opad = pad_columns(secret, bits)
+    msg_bin = col_of(message).cast("binary")
+    inner = F.unhex(F.sha2(F.concat(ipad, msg_bin), bits))
+    return F.unhex(F.sha2(F.concat(opad, inner), bits))
 
 
 def b64url(binary: Column) -> Column:

@@ -1,6 +1,8 @@
-"""Records ↔ JSON. All per-row expressions (``to_json``,
-``from_json``, ``get_json_object``, map higher-order functions); the nested
-layout of O26 is decided at plan time from the list of names."""
+"""Records ↔ JSON. All per-row expressions (``to_json``, ``from_json``,
+map higher-order functions); the nested layout of O26 is decided at plan time from
+the list of names. JSON that is passed through keeps its text: Spark's readers
+print numbers anew (``1.00`` as ``1.0``, ``1e400`` as ``"Infinity"``), so content is
+embedded and cut out as text."""
 
 from __future__ import annotations
 
@@ -9,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.json import is_json, json_string_literal, map_json
+from rivulet.functions.json import is_json, json_member_text, map_json
 from rivulet.functions.text import col_of
 from rivulet.operators.records import MAP_TYPE, last_win, put_attribute, put_attributes, staged
 
@@ -68,15 +70,14 @@ def attributes_to_json(df: DataFrame, names: str | Sequence[str] | None = None,
     raise ValueError("destination must be 'content' or 'attribute'")
 
 
-def minify_json(c: Column | str) -> Column:
-    """Compact JSON text with key order kept: objects and arrays are
-    re-printed by ``get_json_object(c, '$')`` (numbers as the JSON writer
-    prints them, e.g. ``2.50`` → ``2.5``); scalars are trimmed. Null when the
-    text is not JSON."""
+JSON_SPACE = " \t\n\r"
+
+
+def json_text(c: Column | str) -> Column:
+    """The text of one JSON value without outer white space; null when the text
+    is not JSON."""
     c = col_of(c)
-    t = F.trim(c)
-    first = F.substring(t, 1, 1)
-    return F.when(is_json(c), F.when(first.isin("{", "["), F.get_json_object(c, "$")).otherwise(t))
+    return F.when(is_json(c), F.btrim(c, F.lit(JSON_SPACE)))
 
 
 def pack_envelope(df: DataFrame, content: str = "content", attributes: str = "attributes",
@@ -85,13 +86,14 @@ def pack_envelope(df: DataFrame, content: str = "content", attributes: str = "at
 
     Empty content → no ``content`` member, and attribute ``marker`` = true on
     the record (not inside the envelope). Empty attributes → no
-    ``attribute`` member. Content that is not JSON is flagged in
-    ``valid_col`` (false) and stays as it is.
+    ``attribute`` member. Content keeps its text (but outer white space);
+    content that is not JSON is flagged in ``valid_col`` (false) and stays as it
+    is.
     """
     df = last_win(df)
     c, a = F.col(content), F.col(attributes)
     has_c = _nonempty(c)
-    df, inner = staged(df, "_inner", minify_json(c))
+    df, inner = staged(df, "_inner", json_text(c))
     has_a = F.coalesce(F.size(a) > 0, F.lit(False))
     members = F.concat_ws(",",
                           F.when(has_c, F.concat(F.lit('"content":'), inner)),
@@ -110,33 +112,32 @@ def pack_envelope(df: DataFrame, content: str = "content", attributes: str = "at
 def unpack_envelope(df: DataFrame, content: str = "content", attributes: str = "attributes",
                     marker: str = NO_ATTRIBUTE) -> DataFrame:
     """The envelope's attributes are merged over the record's (envelope
-    wins); content becomes the inner JSON (an envelope without a content
-    member gives empty content). Empty content → marker."""
+    wins); content becomes the inner JSON, its text unchanged (an envelope
+    without a content member gives empty content). Empty content → marker.
+
+    An envelope as ``pack_envelope`` makes it is cut by string functions; any
+    other layout goes through a scanner in Arrow batches."""
     df = last_win(df)
     c, a = F.col(content), F.col(attributes)
     has_c = _nonempty(c)
-    # one parse: a string-typed field receives an object/array member as its
-    # JSON text, and the attributes as a map
     df, env = staged(df, "_env", F.when(has_c, F.from_json(c, ENVELOPE_SCHEMA)))
-    inner = env["content"]
-    # get_json_object gives a JSON string member unquoted, so string content
-    # must be re-quoted. With "content" as the first member (as packed) the
-    # next character tells; other layouts ask the parsed variant.
-    first = r'^\s*\{\s*"content"\s*:'
-    is_text = F.when(c.rlike(first), c.rlike(first + r'\s*"')).otherwise(
-        F.schema_of_variant(F.try_variant_get(F.try_parse_json(c), "$.content", "variant")) == F.lit("STRING"))
-    inner = F.when(is_text, json_string_literal(inner)).otherwise(inner)
-    # a JSON null member comes back as the text null; no member (empty
-    # content was packed) comes back as empty content
-    inner = (F.when(inner.isNotNull(), inner)
-             .when(F.array_contains(F.json_object_keys(c), F.lit("content")), F.lit("null"))
-             .otherwise(F.lit("")))
+    df, keys = staged(df, "_keys", F.when(has_c, F.json_object_keys(c)))
+    # as packed: content first, then the attributes as to_json prints them
+    head, tail = F.lit('{"content":'), F.concat(F.lit(',"attribute":'), F.to_json(env["attribute"]), F.lit("}"))
+    tail = F.when(F.size(keys) == 1, F.lit("}")).otherwise(tail)
+    packed = F.coalesce(F.startswith(c, head) & F.endswith(c, tail) & (F.size(keys) <= 2)
+                        & ((F.size(keys) == 1) | (F.get(keys, 1) == "attribute")), F.lit(False))
+    n = F.length(head)
+    cut = F.btrim(F.substring(c, n + 1, F.length(c) - n - F.length(tail)), F.lit(JSON_SPACE))
+    there = F.array_contains(keys, F.lit("content"))
+    df, scanned = staged(df, "_scanned", json_member_text(F.when(there & ~packed, c), "content"))
+    inner = F.coalesce(F.when(packed, cut), scanned, F.lit(""))
     env_attrs = env["attribute"]
     out = df.withColumns({
         content: F.when(has_c, inner).otherwise(c),
         attributes: F.when(has_c, put_attributes(a, env_attrs)).otherwise(put_attribute(a, marker, F.lit("true"))),
     })
-    return out.drop("_env")
+    return out.drop("_env", "_keys", "_scanned")
 
 
 def content_to_attribute(df: DataFrame, name: str, if_empty: str | None = None, content: str = "content",

@@ -1,5 +1,6 @@
 """Routing, conditional update, failure split, size guard and
-the bounded loop, all as projections and filters (no driver loop)."""
+the bounded loop, all as projections and filters; a loop whose step is a rule is a
+recursive query."""
 
 from __future__ import annotations
 
@@ -140,3 +141,37 @@ def loop_end(df: DataFrame, value: str, limit: str | Column, route_col: str = "r
         route_col: F.when(runs, F.lit("endloop")).otherwise(F.lit(UNMATCHED)),
         value: F.when(runs, lim).otherwise(v),
     })
+
+
+def loop_rounds(df: DataFrame, step: Mapping[str, str], loop_when: str, end_when: str, max_rounds: int, trace: bool = True,
+                step_col: str = "step", route_col: str = "route") -> DataFrame:
+    """O7 + O8 + O42 for any rule: a record for which ``loop_when`` holds is routed
+    to ``loop``, its columns are updated by ``step`` (column -> SQL expression, all
+    over the values before) and it is routed again; else it leaves as ``endloop`` if
+    ``end_when`` holds, or ``unmatched``. A null condition does not hold. One row
+    per visit with its number (``trace=False``: only the visits that leave).
+
+    A recursive query: each round is one pass over the records that still loop,
+    so the work is the number of visits. More than ``max_rounds`` rounds are an
+    error (``RECURSION_LEVEL_LIMIT_EXCEEDED``), never a cut result. The limit on
+    rows that Spark has for recursive queries is lifted on the session."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+    missing = [c for c in step if c not in df.columns]
+    if missing:
+        raise ValueError(f"no such columns: {missing}")
+    if step_col in df.columns or route_col in df.columns:
+        raise ValueError(f"columns named {step_col} or {route_col}")
+    kind = {f.name: f.dataType.simpleString() for f in df.schema}
+    names = ", ".join(f"`{c}`" for c in df.columns)
+    updated = ", ".join(f"CAST({step[c]} AS {kind[c]}) AS `{c}`" if c in step else f"`{c}`" for c in df.columns)
+    visits = spark.sql(f"""
+        WITH RECURSIVE visits ({names}, `{step_col}`) MAX RECURSION LEVEL {int(max_rounds) + 1} AS (
+          SELECT {names}, CAST(0 AS BIGINT) FROM {{records}}
+          UNION ALL
+          SELECT {updated}, `{step_col}` + 1 FROM visits WHERE {loop_when})
+        SELECT * FROM visits""", records=df)
+    loops, ends = (F.coalesce(F.expr(c), F.lit(False)) for c in (loop_when, end_when))
+    if not trace:
+        visits = visits.where(~loops)
+    return visits.withColumn(route_col, F.when(loops, "loop").when(ends, "endloop").otherwise(UNMATCHED))

@@ -3,6 +3,7 @@ iteration of a SELECT."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,13 +11,14 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.text import col_of
 from rivulet.operators.sequences import next_ids
+from rivulet.session import scratch_path
 
 # Fixed text pieces of one script line: head(c1,c2) values (v1,v2);
 SCRIPT_SEP = ","
 SCRIPT_VALUES = " values "
 SCRIPT_END = ";"
 SCRIPT_NEWLINE = "\n"
-MAX_SQL_COPIES = 200   # plan branches that iterate_sql makes at most
+SQL_COPIES = 200   # plan branches that iterate_sql makes at once
 
 
 def insert_line(df: DataFrame, head: str | Column, cols: Sequence[str] | None = None, quote: bool = False) -> Column:
@@ -92,30 +94,62 @@ def iterate_union(df: DataFrame, select: Callable[[DataFrame], DataFrame], n: in
     duplicates kept, as there is no UNION). n < 1 counts as 1; a non-number
     is an error. One scan: each row is repeated by ``explode(sequence(1, n))``
     (no join, no n plan branches); ``distinct`` is partial-aggregated."""
-    try:
-        count = int(n)
-    except (TypeError, ValueError) as e:
-        raise ValueError(f"iteration count is not a number: {n!r}") from e
-    count = max(count, 1)
+    count = _count(n)
     if count == 1:  # a single SELECT: no UNION, so duplicates stay
         return select(df.withColumn(token, F.lit(1)))
     expanded = df.withColumn(token, F.explode(F.sequence(F.lit(1), F.lit(count))))
     return select(expanded).distinct()
 
 
+def _count(n: int | str) -> int:
+    try:
+        return max(int(n), 1)
+    except (TypeError, ValueError) as e:
+        raise ValueError(f"iteration count is not a number: {n!r}") from e
+
+
 def iterate_sql(spark, sql: str, n: int | str, token: str = "#{iterate}",
                 args: dict | None = None) -> DataFrame:
     """O19 when the token names a table (or otherwise cannot be a column):
     the SELECT text is repeated for i = 1..n with the token replaced and the
     copies are glued with ``UNION`` (distinct), as the reference does. Each
     copy is its own plan branch, so prefer ``iterate_union`` whenever the
-    token is a value; more than MAX_SQL_COPIES copies are refused. n < 1
-    counts as 1; a non-number is an error."""
-    try:
-        count = max(int(n), 1)
-    except (TypeError, ValueError) as e:
-        raise ValueError(f"iteration count is not a number: {n!r}") from e
-    if count > MAX_SQL_COPIES:
-        raise ValueError(f"{count} copies of a SELECT; at most {MAX_SQL_COPIES} (use iterate_union)")
-    text = " UNION ".join(f"({sql.replace(token, str(i))})" for i in range(1, count + 1))
-    return spark.sql(text, args=args)
+    token is a value, and ``iterate_paths`` where the tables are folders. Over
+    SQL_COPIES copies are run so many at a time, each lot's distinct rows
+    written, and the lots read in one scan. n < 1 counts as 1; a non-number is
+    an error."""
+    count = _count(n)
+
+    def copies(first: int, last: int) -> DataFrame:
+        return spark.sql(" UNION ".join(f"({sql.replace(token, str(i))})" for i in range(first, last + 1)), args=args)
+
+    if count <= SQL_COPIES:
+        return copies(1, count)
+    root = scratch_path(spark, "iterate")
+    lots = range(1, count + 1, SQL_COPIES)
+    for first in lots:
+        copies(first, min(first + SQL_COPIES - 1, count)).write.parquet(f"{root}/{first}")
+    return spark.read.parquet(*[f"{root}/{first}" for first in lots]).distinct()
+
+
+def iterate_paths(spark, path: str, n: int | str, select: Callable[[DataFrame], DataFrame], token: str = "#{iterate}",
+                  iteration: str = "i", fmt: str = "parquet", schema=None) -> DataFrame:
+    """O19 over many tables that are folders or files: ``path`` names table i
+    through ``token``. One scan of all n paths, in which column ``iteration`` is
+    read off each file's path; ``select`` is run over it, and the rows of all
+    iterations are UNIONed (distinct; one iteration is the plain SELECT). A table
+    that is missing is an error."""
+    count = _count(n)
+    before, found, after = path.rpartition(token)
+    if not found or token in before:
+        raise ValueError(f"{path!r} must hold {token!r} once")
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    df = reader.load([path.replace(token, str(i)) for i in range(1, count + 1)])
+    # the path's own segment, and the one before it, around the number
+    lead = "/".join(before.split("/")[-2:])
+    where = re.escape(lead) + r"([0-9]+)" + re.escape(after.rstrip("/")) + r"(?:/|$)"
+    at = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    out = select(df.withColumn(iteration, F.regexp_extract(at, where, 1).cast("int")))
+    return out if count == 1 else out.distinct()

@@ -262,6 +262,26 @@ def q_loop_end_lineitem(spark, sf_dir):
     return spark.read.schema(log.schema).json(path)
 
 
+EUCLID_ROUNDS = 64   # of numbers under 2**43 (each two rounds halve the larger one)
+
+
+@register("loop_gcd_orders", """
+WITH RECURSIVE r AS (
+  SELECT o_orderkey, o_custkey AS a, o_orderkey % 100000 AS b, 0 AS step FROM orders
+  UNION ALL
+  SELECT o_orderkey, b, a % b, step + 1 FROM r WHERE b > 0
+)
+SELECT o_orderkey, CAST(a AS BIGINT) AS gcd, CAST(step AS BIGINT) AS rounds, CASE WHEN b = 0 THEN 'endloop' ELSE 'unmatched' END AS route
+FROM r WHERE NOT coalesce(b > 0, false)
+""")
+def q_loop_gcd_orders(spark, sf_dir):
+    """O7 + O8 + O42 with a step that depends on the data: each order loops
+    until its remainder is 0 (Euclid's rule), as a recursive query."""
+    orders = t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("a"), (F.col("o_orderkey") % 100000).alias("b"))
+    end = R.loop_rounds(orders, {"a": "b", "b": "a % b"}, "b > 0", "b = 0", max_rounds=EUCLID_ROUNDS, trace=False)
+    return end.select("o_orderkey", F.col("a").alias("gcd"), F.col("step").alias("rounds"), "route")
+
+
 # ======================================================= O9, O10: failure routes
 
 MAX_DOC_BYTES = 20_000
@@ -292,15 +312,25 @@ WITH e AS (SELECT event_id, event_type, user_id, props FROM events
 """
 
 
-def _events_records(spark, sf_dir, bad_every: int | None = None, empty_every: int | None = None) -> DataFrame:
+# Numbers that a parser would print anew, a repeated name, an escape, outer space.
+_ODD_JSON = (' {"a": 1.00, "b":1e3,"c":123456789012345678901234567890.5, "a":"\\u0041", "d":1.0E400, "k":', '.50, "e": [ 1.10 ]}\n')
+
+
+def _events_records(spark, sf_dir, bad_every: int | None = None, empty_every: int | None = None,
+                    odd_every: int | None = None) -> DataFrame:
     """All events as records; damaged copies of some (a cut or an emptied
-    content, under ids of their own) stand beside the whole ones."""
+    content, or JSON that is easily changed, under ids of their own) stand beside
+    the whole ones."""
     ev = t(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "props")
     out = ev
     for every, props in ((bad_every, F.substring("props", 1, 5)), (empty_every, F.lit(""))):
         if every:
             out = out.unionByName(ev.where(F.col("event_id") % every == 0)
                                   .withColumns({"event_id": -1 - F.col("event_id"), "props": props}))
+    if odd_every:
+        odd = F.concat(F.lit(_ODD_JSON[0]), F.col("event_id").cast("string"), F.lit(_ODD_JSON[1]))
+        out = out.unionByName(ev.where(F.col("event_id") % odd_every == 0)
+                              .withColumns({"event_id": -1_000_000_000_000 - F.col("event_id"), "props": odd}))
     return to_records(out, "event_id", ["event_type", "user_id"], content="props")
 
 
@@ -331,7 +361,7 @@ WITH e AS ({events})
 SELECT event_id,
        CASE WHEN props = '' THEN '{{"attribute":' || {_ENV_ATTRS} || '}}'
             WHEN NOT json_valid(props) THEN props
-            ELSE '{{"content":' || CAST(json(props) AS VARCHAR) || ',"attribute":' || {_ENV_ATTRS} || '}}' END
+            ELSE '{{"content":' || trim(props, ' ' || chr(10)) || ',"attribute":' || {_ENV_ATTRS} || '}}' END
          AS envelope,
        CAST(CASE WHEN props = ''
             THEN json_object('event_type', event_type, 'no.attribute', 'true', 'user_id', CAST(user_id AS VARCHAR))
@@ -343,6 +373,8 @@ FROM e
 
 _EVENTS_SQL = "SELECT event_id, event_type, user_id, props FROM events"
 _EMPTIED_SQL = "SELECT -1 - event_id AS event_id, event_type, user_id, '' AS props FROM events WHERE event_id % 17 = 0"
+_ODD_SQL = ("SELECT -1000000000000 - event_id AS event_id, event_type, user_id, "
+            f"'{_ODD_JSON[0]}' || CAST(event_id AS VARCHAR) || '{_ODD_JSON[1]}' AS props FROM events WHERE event_id % 19 = 0")
 _CUT_SQL = "SELECT -1 - event_id AS event_id, event_type, user_id, substr(props, 1, 5) AS props FROM events WHERE event_id % 13 = 0"
 
 
@@ -352,17 +384,17 @@ def _pack_events(rec: DataFrame) -> DataFrame:
                     map_json("attributes").alias("attributes_json"), "content_valid")
 
 
-@register("pack_envelope_events", _envelope_sql(f"{_EVENTS_SQL} UNION ALL {_CUT_SQL} UNION ALL {_EMPTIED_SQL}"))
+@register("pack_envelope_events", _envelope_sql(f"{_EVENTS_SQL} UNION ALL {_CUT_SQL} UNION ALL {_EMPTIED_SQL} UNION ALL {_ODD_SQL}"))
 def q_pack_envelope_events(spark, sf_dir):
     """Content + attributes → one envelope; empty content → marker; text
-    that is not JSON is flagged and stays."""
-    return _pack_events(_events_records(spark, sf_dir, bad_every=13, empty_every=17))
+    that is not JSON is flagged and stays; JSON keeps its text."""
+    return _pack_events(_events_records(spark, sf_dir, bad_every=13, empty_every=17, odd_every=19))
 
 
 @register("unpack_envelope_events", f"""
-WITH e AS ({_EVENTS_SQL} UNION ALL {_EMPTIED_SQL})
+WITH e AS ({_EVENTS_SQL} UNION ALL {_EMPTIED_SQL} UNION ALL {_ODD_SQL})
 SELECT event_id,
-       CASE WHEN props = '' THEN '' ELSE CAST(json(props) AS VARCHAR) END AS content,
+       trim(props, ' ' || chr(10)) AS content,
        CAST(CASE WHEN props = ''
             THEN json_object('event_type', event_type, 'no.attribute', 'true', 'stage', 'packed',
                              'user_id', CAST(user_id AS VARCHAR))
@@ -372,8 +404,9 @@ FROM e
 """)
 def q_unpack_envelope_events(spark, sf_dir):
     """Pack, change the record's attributes, unpack: the envelope's
-    attributes win, other record attributes stay, content comes back."""
-    p = J.pack_envelope(_events_records(spark, sf_dir, empty_every=17), valid_col=None)
+    attributes win, other record attributes stay, content comes back as it
+    was."""
+    p = J.pack_envelope(_events_records(spark, sf_dir, empty_every=17, odd_every=19), valid_col=None)
     p = p.withColumn("attributes", put_attributes(
         F.col("attributes"), F.create_map(F.lit("user_id"), F.lit("x"), F.lit("stage"), F.lit("packed"))))
     u = J.unpack_envelope(p)
@@ -600,6 +633,23 @@ def q_iterate_part_sizes(spark, sf_dir):
                            ITERATIONS)
 
 
+TABLES_N = 250
+
+
+@register("iterate_tables_orders", f"""
+SELECT DISTINCT o_orderpriority, o_orderstatus, CAST(o_orderkey % {TABLES_N} + 1 AS BIGINT) AS i FROM orders
+""")
+def q_iterate_tables_orders(spark, sf_dir):
+    """O19 over many tables: orders kept in 250 tables, the SELECT over all of
+    them as one scan."""
+    orders = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    root = scratch_path(spark, "many_tables")
+    (orders.withColumn("t", (F.col("o_orderkey") % TABLES_N + 1).cast("int")).repartition("t")
+     .write.partitionBy("t").parquet(root))
+    out = S.iterate_paths(spark, f"{root}/t=#{{iterate}}", TABLES_N, lambda d: d.select("o_orderpriority", "o_orderstatus", "i"))
+    return out.select("o_orderpriority", "o_orderstatus", F.col("i").cast("long").alias("i"))
+
+
 SCRIPT_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"]
 SCRIPT_HEAD = "insert into lineitem_copy"
 

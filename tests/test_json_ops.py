@@ -28,7 +28,7 @@ def test_envelope_round_trip(spark):
     assert p[6].content_valid is False and p[6].content == '{bad json'
     back = {r.record_id: r for r in J.unpack_envelope(packed.filter("content_valid").drop("content_valid")).collect()}
     assert json.loads(back[1].content) == {"a": 1, "b": {"c": [1, 2]}}
-    assert back[1].content == '{"a":1,"b":{"c":[1,2]}}'
+    assert back[1].content == '{"a": 1, "b": {"c": [1, 2]}}'  # its text is kept
     assert json.loads(back[2].content) == [1, "two"]
     assert back[3].content == '"just text"'
     assert back[1].attributes == {"x": "1", "y": "ü"}

@@ -127,8 +127,6 @@ def test_script_chunks_by_position(spark):
     content = lambda **kw: {r.k: r.content for r in S.script_into_content(old, lines, "k", "o", **kw).collect()}
     assert content() == {1: "old\nx\n", 2: "y\n", 3: "alone"}
     assert content(reset=True) == {1: "x\n", 2: "y\n", 3: "alone"}
-    with pytest.raises(ValueError):
-        S.iterate_sql(spark, "select 1", 10_000)
 
 
 def test_state_digit_outside_its_range_is_ignored(spark):
