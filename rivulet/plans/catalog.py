@@ -31,6 +31,7 @@ from rivulet.plans.compose import compose
 from rivulet.session import apply_runtime_conf, scratch_path
 from rivulet.sinks.atomic import append_lines, append_routes, atomic_append, read_committed, read_routed
 from rivulet.sinks.logs import attribute_log
+from rivulet.sources.periodic import read_periodic
 from rivulet.sources.tables import read_table, register_views, select_rows, stream_source
 from rivulet.streaming.streams import allocate_stream, append_stream, run_available_now, table_stream
 
@@ -551,6 +552,26 @@ def q_url_param_stats_pages(spark, sf_dir):
     return U.url_param_stats(pages, "url", "page_id")
 
 
+PARTS = 7
+
+
+@register("url_param_sketches_pages", _KV_CTE + """
+SELECT key, count(*) AS n_occurrences, count(DISTINCT page_id) AS n_urls, count(DISTINCT value) AS n_values,
+       CAST((SELECT max(n) FROM (SELECT count(*) AS n FROM kv k2 WHERE k2.key = kv.key GROUP BY k2.value)) AS BIGINT) AS n_top
+FROM kv GROUP BY key
+""")
+def q_url_param_sketches_pages(spark, sf_dir):
+    """O32 from stored sketches: pages in seven parts, each sketched once and
+    appended; the report merges the sketches."""
+    pages = t(spark, sf_dir, "pages").select("url", (F.col("page_id") % PARTS).alias("part"))
+    root = scratch_path(spark, "url_sketches")
+    res = atomic_append(spark, {"sketches": U.url_param_sketches(pages, "url", "part")}, root, 1)
+    if not res["success"]:
+        raise RuntimeError(f"append failed: {res['error_code']} {res['error_message']}")
+    out = U.url_param_report(read_committed(spark, root, "sketches"))
+    return out.select("key", "n_occurrences", "n_urls", "n_values", F.get(F.col("top"), 0)["count"].alias("n_top"))
+
+
 # ======================================================= O17: lines
 
 _LINES_CTE = r"""
@@ -996,6 +1017,26 @@ def q_stream_next_ids_orders(spark, sf_dir):
     return read_committed(spark, root, "ids").select("o_orderkey", "o_custkey", "next_id")
 
 
+TICKS = 50
+
+
+@register("stream_periodic_orders", f"""
+SELECT i AS tick, 10 AS loop_limit, CAST(o.o_orderkey AS VARCHAR) AS o_orderkey, o.o_orderstatus,
+       CASE WHEN o.o_orderkey IS NULL THEN 'true' END AS no_result
+FROM range({TICKS}) r(i) LEFT JOIN orders o ON o.o_orderkey % {TICKS} = i
+""")
+def q_stream_periodic_orders(spark, sf_dir):
+    """O2 + O44 as the loop flow starts: a timer makes a record with fixed
+    attributes per period, and each looks up its share of the orders."""
+    stream = read_periodic(spark, fixed={"loop_limit": 10}, first_tick=0, ticks=TICKS).select("tick", "loop_limit")
+    orders = t(spark, sf_dir, "orders").select((F.col("o_orderkey") % TICKS).alias("tick"), "o_orderkey", "o_orderstatus")
+    enriched = en.enrich(stream, orders, "tick", empty_marker="no_result")
+    root = scratch_path(spark, "stream_periodic")
+    q = append_stream(enriched, lambda b: {"orders": b}, root, checkpoint=f"{root}/_checkpoint")
+    run_available_now(q)
+    return read_committed(spark, root, "orders").select("tick", "loop_limit", "o_orderkey", "o_orderstatus", "no_result")
+
+
 @register("stream_enrich_events", """
 SELECT e.event_id, e.user_id, c.c_name, c.c_mktsegment, 'events' AS source,
        CASE WHEN c.c_custkey IS NULL THEN 'true' END AS no_result
