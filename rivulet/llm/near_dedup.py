@@ -415,7 +415,7 @@ def _merged(label: DataFrame | None, nodes: DataFrame, found: DataFrame, files:
         known = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "near") \
             .select(F.col("node").alias("class"), F.col("class").alias("new"))
         out = label.join(known, "class", "left").select("node", F.coalesce("new", "class").alias("class"))
-    return materialize(out.select("node", "class").coalesce(files), "near_classes")
+    return materialize(out.select("node", "class").repartition(files), "near_classes")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE,
@@ -476,13 +476,13 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, threshold:
             held = held.withColumn("tried", F.lit(None).cast("array<long>"))
         else:  # a member takes at most BANDS * PARTNERS others a round
             held = held.join(tried.groupBy("node").agg(F.collect_list("partner").alias("tried")), "node", "left")
-        if label is not None:  # buckets of one class are done with
-            held = materialize(held.coalesce(files), "near_held")
+        if label is not None:
+            held = materialize(held.repartition(files), "near_held")
+        blocks = held.select("node", "class", "mark", "tried", "bands", F.inline("buckets"))
+        if label is not None and step is not None:  # the sweep: buckets of one class are done with
             several = (held.select("class", F.inline("buckets")).groupBy("band")
                        .agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.max("n").alias("most")).where("lo != hi").select("band", "most"))
-            several = materialize(several.coalesce(files), "near_several")
-        blocks = held.select("node", "class", "mark", "tried", "bands", F.inline("buckets"))
-        if label is not None:
+            several = materialize(several, "near_several")
             blocks = blocks.join(several, "band", "left_semi")
         if step is not None:
             most = (several.agg(F.max("most")) if label is not None else shared.agg(F.max("n"))).first()[0] or 0
@@ -497,7 +497,9 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, threshold:
                 label = _merged(label, nodes, found, files)
             continue
         blocks = (blocks.groupBy("band", F.pmod(F.xxhash64("node", "band", F.lit(turn)), F.ceil(F.col("n") / BLOCK)).alias("block"))
-                  .agg(F.collect_list(F.struct("node", "class", "mark", "tried")).alias("members")))  # about BLOCK
+                  .agg(F.collect_list(F.struct("node", "class", "mark", "tried")).alias("members"),  # about BLOCK
+                       F.min("class").alias("lo"), F.max("class").alias("hi"))
+                  .where("lo != hi"))  # a block of one class has no pair to take
         pairs = (_taken(blocks, threshold, bands * rows * MARKS)
                  .groupBy(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b"))
                  .agg(F.min_by("partner", "node").alias("partner"), F.min("node").alias("node")))
