@@ -4,7 +4,8 @@ A window is ``k`` consecutive words of one document. Its minimiser is the
 smallest hash among its m-word grams, and consecutive windows with the same
 minimiser form a super-k-mer: one packed string of their words that travels
 to the minimiser's bucket. Equal windows have equal minimisers, so all their
-occurrences meet in one bucket, where the windows are sorted by hash, compared
+occurrences meet in one part of one bucket (its parts are packed apart and
+worked off one after another, so a task unpacks one at a time), where the windows are sorted by hash, compared
 word for word, and all but the first occurrence (smallest document id, then
 smallest start) are repeats.
 
@@ -32,7 +33,8 @@ from rivulet.llm import blocks as B
 
 K = 20                        # words in a window
 M = 3                         # words in a gram
-BUCKET_BYTES = 12 << 20       # packed text that one bucket gets
+BUCKET_BYTES = 40 << 20       # packed text that one bucket gets (compressed while it waits)
+SUBS = 8                      # parts of a bucket, by minimiser too, that are worked off one after another
 DOC_BUCKET_BYTES = 12 << 20   # text of the documents that are put together again at once
 BLOCK_BYTES = 3 << 20         # text whose super-k-mers are merged and sent at once
 LEVEL = 3                     # of zstd
@@ -134,7 +136,8 @@ def _unpacked(value: bytes) -> tuple[bytes, list[np.ndarray]]:
 
 
 def _send(batches, k: int, m: int, hot_cells: np.ndarray, n_buckets: int):
-    """Super-k-mers of a partition, packed by bucket: (bucket, packed)."""
+    """Super-k-mers of a partition, packed by bucket: (bucket, subs, packed), a
+    packed value for each part of the bucket that has any."""
     def flush(texts, ids, ties):
         w = Windows(texts, k, m)
         first, last, mini = _runs(w)
@@ -146,7 +149,7 @@ def _send(batches, k: int, m: int, hot_cells: np.ndarray, n_buckets: int):
         a = np.concatenate([first[~hot], single])
         z = np.concatenate([last[~hot], single])
         key = np.concatenate([mini[~hot], B.range_hashes(w.hash, WINDOW_BASE, single, single + k)])
-        bucket = B.mix(key ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(n_buckets)
+        bucket = B.mix(key ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(n_buckets * SUBS)
         doc = np.searchsorted(w.first_word, a, side="right") - 1
         start = a - w.first_word[doc]
         order = np.lexsort((start, ties[doc], ids[doc], bucket))
@@ -162,9 +165,14 @@ def _send(batches, k: int, m: int, hot_cells: np.ndarray, n_buckets: int):
             yield int(bucket[x]), _packed(list(seen), ids[doc[at]], ties[doc[at]], start[at])
 
     def flushed(texts, ids, ties):
-        rows = list(flush(texts, np.array(ids, np.int64), np.array(ties, np.int64)))
+        rows: dict[int, tuple[list, list]] = {}
+        for part, value in flush(texts, np.array(ids, np.int64), np.array(ties, np.int64)):
+            subs, packed = rows.setdefault(part // SUBS, ([], []))
+            subs.append(part % SUBS)
+            packed.append(value)
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "packed"])
+            [pa.array(list(rows), pa.int64()), pa.array([r[0] for r in rows.values()], pa.list_(pa.int32())),
+             pa.array([r[1] for r in rows.values()], pa.list_(pa.binary()))], ["bucket", "subs", "packed"])
 
     texts, ids, ties, size = [], [], [], 0
     for batch in batches:
@@ -276,8 +284,13 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         yield from _send(batches, k, m, shared.value, n_buckets)
 
     def first(table: pa.Table) -> pa.Table:
-        B.release()
-        found = _first_occurrences(table["packed"].to_pylist(), k, m)
+        subs = np.concatenate([c.flatten().to_numpy() for c in table["subs"].chunks])
+        packed = pa.concat_arrays([c.flatten() for c in table["packed"].chunks])
+        parts = []
+        for sub in range(SUBS):  # what a part unpacks to is gone before the next
+            B.release()
+            parts.append(_first_occurrences(packed.take(pa.array(np.flatnonzero(subs == sub))).to_pylist(), k, m))
+        found = tuple(np.concatenate(c) for c in zip(*parts, strict=True))
         home = _home(found[0], found[1], n_docs)
         order = np.lexsort((found[2], found[1], found[0], home))
         home, found = home[order], [x[order] for x in found]
@@ -287,7 +300,7 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table({"home": pa.array([o[0] for o in out], pa.int64()), "runs": pa.array([o[1] for o in out], pa.binary())})
 
     runs = (
-        rows.select("id", "tie", "text").mapInArrow(send, "bucket long, packed binary")
+        rows.select("id", "tie", "text").mapInArrow(send, "bucket long, subs array<int>, packed array<binary>")
         .groupBy("bucket").applyInArrow(first, "home long, runs binary")
     )
 
