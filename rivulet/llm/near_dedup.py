@@ -46,6 +46,7 @@ ROWS = 7        # a pair at 0.8 shares no band with probability (1 - 0.8 ** 7) *
 MARKS = 2       # registers are so many times what the bands take; the others serve the estimate alone
 BLOCK_BYTES = 1 << 20
 ROUNDS = 2      # at least
+FIRST = 8       # the first round takes one bucket of so many
 BLOCK = 512     # members of a bucket that meet in a round, about
 PARTNERS = 2    # that a member takes in a block
 STEPS = 8       # of the sweep's schedule in one round
@@ -484,6 +485,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, threshold:
                        .agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.max("n").alias("most")).where("lo != hi").select("band", "most"))
             several = materialize(several, "near_several")
             blocks = blocks.join(several, "band", "left_semi")
+        if turn == 0:  # an eighth of the buckets joins most of a large family; later rounds take what is left in all
+            blocks = blocks.where(F.pmod(F.xxhash64("band"), F.lit(FIRST)) == 0)
         if step is not None:
             most = (several.agg(F.max("most")) if label is not None else shared.agg(F.max("n"))).first()[0] or 0
             if most <= step * BLOCK:  # all groups of every bucket have met
