@@ -1,17 +1,26 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Word and word-pair counts are quantised on a logarithmic scale, and an n-gram
-of level q is in the filter q times: as (n-gram, 1) up to (n-gram, q). A count
-is read back by probing for level 1, 2, ... until the first miss, so an error
-can only raise a count, and the less likely the further. The filter is built
-in segments, one per range of hashes, of BITS_PER_ITEM a member. A segment never
-leaves the task that builds it: the keys of all blocks travel to their range,
-where they are probed, and their levels travel back.
+Counts of word pairs are quantised on a logarithmic scale, and a pair of level q
+is in the filter q times: as (pair, 1) up to (pair, q). A count is read back by
+probing for level 1, 2, ... until the first miss, so an error can only raise a
+count, and the less likely the further. The filter is built in segments, one
+per range of hashes. A segment never leaves the task that builds it: the pairs
+of all blocks travel to their range, where they are probed, and their levels
+travel back. Counts of single words travel as they are, the base needs them.
 
 A word's probability interpolates the pair's frequency with the word's own:
-L c(vw) / c(v) + (1 - L) (c(w) + 1) / (N + V + 1), all counts being probes. The
-weight L depends on the level of c(v) and is learnt by deleted interpolation:
-it makes the training tokens, each taken out of the counts, likeliest. Texts are turned once into blocks of word numbers with the block's own
+L c(vw) / c(v) + (1 - L) (c(w) + 1) / (N + V + 1). The weight L depends on c(v)
+(its power of CLASS_BASE) and is learnt by deleted interpolation: it makes the
+training tokens, each taken out of the counts, likeliest.
+
+Over all V words and an unknown one these probabilities add up to 1, but for
+two errors with bounds. A level's width is 1 / FINE of its count (up to FINE
+counts are exact), so the pairs of a context add up to c(v) within 1 / (2 FINE).
+An unseen pair is taken for a seen one so rarely that a context has FALSE_HITS of
+them on average: the first level is probed log2(V / FALSE_HITS) times, for an upper
+bound of V, and the segments have room for that many probes.
+
+Texts are turned once into blocks of word numbers with the block's own
 vocabulary; only the vocabularies and distinct pairs of blocks and their levels
 are shuffled, never a row per word.
 """
@@ -30,9 +39,10 @@ from pyspark.sql import functions as F
 from rivulet.llm import blocks as B
 from rivulet.llm.staged import drop, stage
 
-LOG_BASE = 1.5             # of the count levels
-BITS_PER_ITEM = 12
-PROBES = 6
+FINE = 64                  # counts up to here have a level each, larger ones a level per 1 / FINE
+FALSE_HITS = 0.004         # unseen words that a context seems to have had after it, on average
+PROBES = 10                # of the second and later levels
+CLASS_BASE = 1.5           # of the classes of c(v) that have a weight each
 GRID = (0.0, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.65, 0.8, 0.95)  # weights to choose from
 BLOCK_BYTES = 6 << 20      # text of a block
 RANGE_BYTES = 24 << 20     # text whose counts one range of hashes holds
@@ -69,18 +79,36 @@ def pair_keys(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
     return B.mix(before * PAIR + tokens) & LOW48
 
 
+def _edges() -> np.ndarray:
+    """The smallest count of each level."""
+    edge = [1]
+    while edge[-1] < 1 << 62:
+        edge.append(edge[-1] + max(1, edge[-1] // FINE))
+    return np.array(edge, np.int64)
+
+
+EDGES = _edges()
+# The count that a level stands for: the middle of those that it covers (level 0: none).
+MIDDLE = np.concatenate([[0.0], (EDGES[:-1] - 1.0 + EDGES[1:]) / 2])
+
+
 def levels(counts: np.ndarray) -> np.ndarray:
-    """1 + floor(log(count)), in LOG_BASE."""
-    return 1 + np.floor(np.log(np.maximum(counts, 1)) / math.log(LOG_BASE) + 1e-9).astype(np.int64)
+    """Levels of counts from 1 on."""
+    return np.searchsorted(EDGES[:-1], counts, "right")
+
 
+def classes(counts: np.ndarray) -> np.ndarray:
+    """0 for a count of 0, else 1 + floor(log(count)), in CLASS_BASE."""
+    got = 1 + np.floor(np.log(np.maximum(counts, 1)) / math.log(CLASS_BASE) + 1e-9).astype(np.int64)
+    return np.where(np.asarray(counts) > 0, got, 0)
 
-def _middle() -> np.ndarray:
-    """The count that a level stands for: the mean of the counts it covers."""
-    edge = np.ceil(LOG_BASE ** np.arange(0, 130.0) - 1e-9)
-    return np.concatenate([[0.0], np.maximum(edge[:-1], (edge[:-1] + edge[1:] - 1) / 2)])
 
+CLASSES = 128  # over the class of 2**62
 
-MIDDLE = _middle()
+
+def first_probes(words: int) -> int:
+    """Probes of the first level for at most ``words`` distinct words."""
+    return max(PROBES, math.ceil(math.log2(max(words, 1) / FALSE_HITS)))
 
 
 def _pack(values: np.ndarray, counts: np.ndarray) -> bytes:
@@ -113,7 +141,8 @@ def _unpack(value: bytes) -> tuple[np.ndarray, np.ndarray]:
 def encoded_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column) -> tuple[DataFrame, str]:
     """Blocks of documents as word numbers: block, ids, train, first (each
     document's first token), vocabulary (sorted hashes), words (compressed
-    numbers), written to the shared folder; and the table's path."""
+    numbers), distinct (number of words), written to the shared folder; and the
+    table's path."""
 
     def encode(batches):
         part, number = TaskContext.get().partitionId(), 0
@@ -128,8 +157,8 @@ def encoded_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column) -
                 pa.array([[h[1] for h in held]], pa.list_(pa.bool_())), pa.array([first], pa.list_(pa.int64())),
                 pa.array([vocabulary.tobytes()], pa.binary()),
                 pa.array([zstandard.ZstdCompressor(level=1).compress(
-                    words.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())], pa.binary())],
-                ["block", "ids", "train", "first", "vocabulary", "words"])
+                    words.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())], pa.binary()), pa.array([len(vocabulary)], pa.int64())],
+                ["block", "ids", "train", "first", "vocabulary", "words", "distinct"])
 
         for batch in batches:
             for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), B.texts_of(batch.column(2)), strict=True):
@@ -143,7 +172,7 @@ def encoded_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column) -
 
     return stage(
         docs.select(F.col(id_col).cast("long").alias("id"), train.alias("train"), F.col(text_col).alias("t"))
-        .mapInArrow(encode, "block long, ids array<long>, train array<boolean>, first array<long>, vocabulary binary, words binary"),
+        .mapInArrow(encode, "block long, ids array<long>, train array<boolean>, first array<long>, vocabulary binary, words binary, distinct long"),
         "lm_blocks")
 
 
@@ -164,11 +193,11 @@ class Block:
         return np.unique(pair_keys(self.tokens, self.first), return_inverse=True)
 
 
-def _counts(blocks: DataFrame, ranges: int) -> tuple[DataFrame, str]:
+def _counts(blocks: DataFrame, ranges: int, probes: int) -> tuple[DataFrame, str]:
     """Per range of hashes and block that has words or pairs in it: the exact
     training counts of the block's words in the range, and the levels that the
-    range's segment of the filter gives its words and pairs (each in the order
-    of the hashes). The first row of a range has its sums (tokens, distinct
+    range's segment of the filter gives its pairs (each in the order of the
+    hashes). The first row of a range has its sums (tokens, distinct
     words). Also the staged table's path."""
 
     def send(batches):
@@ -194,21 +223,20 @@ def _counts(blocks: DataFrame, ranges: int) -> tuple[DataFrame, str]:
         values, total = _summed(words)
         pairs = [_unpack(v) for v in table["pairs"].to_pylist()]
         keys, pair_total = _summed(pairs)
-        known, learnt = total > 0, pair_total > 0
-        segment = Filter([build_segment([(word_items(values[known]), total[known]), (keys[learnt], pair_total[learnt])]).tobytes()])
-        word_level, pair_level = segment.levels(word_items(values)), segment.levels(keys)
-        out: list[list] = [[], [], []]
+        learnt = pair_total > 0
+        segment = Filter([build_segment(keys[learnt], pair_total[learnt], probes).tobytes()], probes)
+        level = segment.levels(keys)
+        out: list[list] = [[], []]
         for (v, _), (k, _) in zip(words, pairs, strict=True):
-            at = np.searchsorted(values, v)
-            for o, x in zip(out, (_planes(total[at], 8), _planes(word_level[at], 1), _planes(pair_level[np.searchsorted(keys, k)], 1)), strict=True):
-                o.append(x)
-        sums = [[int(x), *[0] * (len(words) - 1)] for x in (total.sum(), known.sum())]
+            out[0].append(_planes(total[np.searchsorted(values, v)], 8))
+            out[1].append(_planes(level[np.searchsorted(keys, k)], 2))
+        sums = [[int(x), *[0] * (len(words) - 1)] for x in (total.sum(), (total > 0).sum())]
         return pa.table([table["range"], table["block"], *[pa.array(o, pa.binary()) for o in out], *[pa.array(x, pa.int64()) for x in sums]],
-                        ["range", "block", "exact", "word_levels", "pair_levels", "tokens", "distinct"])
+                        ["range", "block", "exact", "pair_levels", "tokens", "distinct"])
 
     return stage(
         blocks.mapInArrow(send, "range int, block long, words binary, pairs binary").groupBy("range")
-        .applyInArrow(merge, "range int, block long, exact binary, word_levels binary, pair_levels binary, tokens long, distinct long"),
+        .applyInArrow(merge, "range int, block long, exact binary, pair_levels binary, tokens long, distinct long"),
         "lm_counts")
 
 
@@ -221,38 +249,45 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return values[new], np.add.reduceat(counts, new) if len(new) else counts
 
 
-def word_items(hashes: np.ndarray) -> np.ndarray:
-    """A word's key in the filter: 48 bits, in the same range as its hash."""
-    return hashes >> np.uint64(16)
-
-
-def _bits(items: np.ndarray, level, size: np.ndarray | int, probe: int) -> np.ndarray:
-    """Place of (item, level) in a segment of ``size`` bits."""
-    h = B.mix(items + (np.asarray(level).astype(np.uint64) << np.uint64(50)) + np.uint64(probe * 0x9FB21C651E98DF25 % (1 << 64)))
-    return ((h >> np.uint64(32)) * np.asarray(size).astype(np.uint64)) >> np.uint64(32)
-
-
-def build_segment(groups: list[tuple[np.ndarray, np.ndarray]], ranges: int = 1) -> np.ndarray:
-    """One range's segment of the filter, as bytes: BITS_PER_ITEM a member,
-    however many ``ranges`` there are."""
-    items = np.concatenate([g[0] for g in groups])
-    level = levels(np.concatenate([g[1] for g in groups]))
-    size = -(-int(level.sum()) * BITS_PER_ITEM // 8) + 8
+def _bits(items: np.ndarray, level: int, size, probes: int):
+    """Places of (item, level) in a segment of ``size`` bits (a number or one
+    for each item), one array per probe; item i's go on while the caller sends
+    the items that are left."""
+    h = B.mix(items + np.uint64(level * 0x9FB21C651E98DF25 % (1 << 64)))
+    at, step = h >> np.uint64(32), h | np.uint64(1)
+    size, low = np.asarray(size).astype(np.uint64), np.uint64(0xFFFFFFFF)
+    for _ in range(probes):
+        keep = yield (at & low) * size >> np.uint64(32)
+        if keep is not None:
+            at, step = at[keep], step[keep]
+            size = size[keep] if size.ndim else size
+        at = at + step
+
+
+def build_segment(items: np.ndarray, counts: np.ndarray, probes: int) -> np.ndarray:
+    """One range's segment of the filter, as bytes. Half of its bits get set:
+    each probe of a member has 1 / log(2) bits."""
+    level = levels(counts)
+    inserts = len(items) * probes + int((level - 1).sum()) * PROBES
+    size = math.ceil(inserts / math.log(2) / 8) + 8
     bits = np.zeros(size * 8, bool)
-    for q in range(1, int(level.max(initial=0)) + 1):
-        mine = items[level >= q]
-        for p in range(PROBES):
-            bits[_bits(mine, q, size * 8, p)] = True
+    order = np.argsort(-level, kind="stable")
+    items, level = items[order], level[order]
+    members = np.searchsorted(-level, -np.arange(1, int(level.max(initial=0)) + 1), "right")  # of each level
+    for q, n in enumerate(members.tolist(), 1):
+        for place in _bits(items[:n], q, size * 8, probes if q == 1 else PROBES):
+            bits[place] = True
     return np.packbits(bits, bitorder="little")
 
 
 class Filter:
-    """Segments of the filter one after another."""
+    """Segments of the filter one after another; ``probes`` are those of the
+    first level."""
 
-    def __init__(self, segments: list[bytes]):
+    def __init__(self, segments: list[bytes], probes: int):
         self.data = b"".join(segments)
         self.start = np.cumsum([0, *map(len, segments)])
-        self.ranges = len(segments)
+        self.ranges, self.probes = len(segments), probes
         self._array = None
 
     def counts(self, items: np.ndarray) -> np.ndarray:
@@ -268,9 +303,16 @@ class Filter:
         level = np.zeros(len(items), np.int64)
         live, q = np.arange(len(items)), 1
         while len(live) and q < len(MIDDLE):
-            for p in range(PROBES):
-                at = base[live] + _bits(items[live], q, size[live], p).astype(np.int64)
-                live = live[(self._array[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+            places = _bits(items[live], q, size[live], self.probes if q == 1 else PROBES)
+            place = next(places)
+            while place is not None:
+                at = base[live] + place.astype(np.int64)
+                hit = (self._array[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                live = live[hit]
+                try:
+                    place = places.send(hit)
+                except StopIteration:
+                    place = None
             level[live] = q
             q += 1
         return level
@@ -278,77 +320,76 @@ class Filter:
 
 def probed_blocks(blocks: DataFrame, counts: DataFrame, n: int, v: int) -> tuple[DataFrame, str]:
     """Blocks without their words: ids, train, first, known and base (known
-    tokens and base score of each document), and the levels of every token and
-    of its pair; and the staged table's path."""
+    tokens and base score of each document), every token's count and its pair's
+    level; and the staged table's path."""
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("range")  # of the hashes, so the block's own order
-        exact, own, pair = (_from_planes(right[c].to_pylist(), w) for c, w in (("exact", 8), ("word_levels", 1), ("pair_levels", 1)))
+        exact, pair = (_from_planes(right[c].to_pylist(), w) for c, w in (("exact", 8), ("pair_levels", 2)))
         row = left.to_pylist()[0]
         b = Block(row["ids"], row["train"], row["first"], row["vocabulary"], row["words"])
         _, place = b.pairs()
-        word = own[b.words]
-        # a pair is not more frequent than its words
-        pair = np.minimum(pair[place], np.minimum(levels_before(word, b.first), word))
         count = exact[b.words]
         known = np.add.reduceat((count > 0).astype(np.int64), b.first[:-1])
         base = np.add.reduceat(np.log10((count + 1.0) / (n + v + 1.0)), b.first[:-1])
         types = (pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.binary(), pa.binary())
-        out = (row["ids"], row["train"], row["first"], known, base, _planes(word, 1), _planes(pair, 1))
-        return pa.table([pa.array([x], t) for x, t in zip(out, types, strict=True)], ["ids", "train", "first", "known", "base", "word", "pair"])
+        out = (row["ids"], row["train"], row["first"], known, base, _planes(count, 8), _planes(pair[place], 2))
+        return pa.table([pa.array([x], t) for x, t in zip(out, types, strict=True)], ["ids", "train", "first", "known", "base", "count", "pair"])
 
     return stage(
-        blocks.groupBy("block").cogroup(counts.select("block", "range", "exact", "word_levels", "pair_levels").groupBy("block"))
-        .applyInArrow(join, "ids array<long>, train array<boolean>, first array<long>, known array<long>, base array<double>, word binary, pair binary"),
+        blocks.groupBy("block").cogroup(counts.select("block", "range", "exact", "pair_levels").groupBy("block"))
+        .applyInArrow(join, "ids array<long>, train array<boolean>, first array<long>, known array<long>, base array<double>, count binary, pair binary"),
         "lm_probed")
 
 
-def levels_before(word: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Level of the token before each token; before a text stands the end,
+def before(count: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Count of the token before each token; before a text stands the end,
     which is each text's last token."""
-    before = np.concatenate([word[:1], word[:-1]])
-    before[first[:-1]] = word[first[1] - 1]
-    return before
+    got = np.concatenate([count[:1], count[:-1]])
+    got[first[:-1]] = count[first[1] - 1]
+    return got
 
 
 def weights(probed: DataFrame, n: int, v: int) -> np.ndarray:
-    """Weight of the pair estimate by level of the count before: the one of
+    """Weight of the pair estimate by class of the count before: the one of
     GRID under which the training tokens, each taken out of the counts, are
-    likeliest."""
+    likeliest. Counts of one class have the class's middle here."""
+    edge = np.ceil(CLASS_BASE ** np.arange(0, CLASSES + 0.0) - 1e-9)
+    middle = np.concatenate([[0.0], np.maximum(edge[:-1], (edge[:-1] + edge[1:] - 1) / 2)])
 
     def vote(batches):
-        total = np.zeros((len(GRID), len(MIDDLE)))
+        total = np.zeros((len(GRID), CLASSES))
         for batch in batches:
             for row in batch.to_pylist():
-                word, pair = (_from_planes([row[c]], 1) for c in ("word", "pair"))
+                count, pair = _from_planes([row["count"]], 8), _from_planes([row["pair"]], 2)
                 first = np.array(row["first"], np.int64)
                 learnt = np.repeat(np.array(row["train"], bool), np.diff(first))
-                # tokens with the same three levels have the same fit
-                same = np.bincount(((levels_before(word, first) << 16) + (word << 8) + pair)[learnt])
+                word = classes(count)
+                # tokens with the same three classes have the same fit
+                same = np.bincount(((before(word, first) << 16) + (word << 8) + classes(MIDDLE)[pair])[learnt])
                 code = np.flatnonzero(same)
-                before, word, pair = (np.maximum(MIDDLE[x] - 1, 0) for x in (code >> 16, code >> 8 & 255, code & 255))
-                at = levels(before)
-                two, one = pair / np.maximum(before, 1), (word + 1.0) / (n + v + 1.0)
+                context, word, pair = (np.maximum(middle[x] - 1, 0) for x in (code >> 16, code >> 8 & 255, code & 255))
+                two, one = np.minimum(pair / np.maximum(context, 1), 1), (word + 1.0) / (n + v + 1.0)
                 for i, share in enumerate(GRID):
-                    total[i] += np.bincount(at, same[code] * np.log(share * two + (1 - share) * one), len(MIDDLE))
+                    total[i] += np.bincount(code >> 16, same[code] * np.log(share * two + (1 - share) * one), CLASSES)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(MIDDLE))), pa.array(list(total.T), pa.list_(pa.float64()))], ["level", "fit"])
+            [pa.array(np.arange(CLASSES)), pa.array(list(total.T), pa.list_(pa.float64()))], ["class", "fit"])
 
-    table = (probed.select("train", "first", "word", "pair").mapInArrow(vote, "level long, fit array<double>")
-             .select("level", F.posexplode("fit").alias("i", "fit"))
-             .groupBy("level", "i").agg(F.sum("fit").alias("fit")).toArrow())  # levels x GRID rows
-    fit = np.zeros((len(MIDDLE), len(GRID)))
-    fit[table["level"].to_numpy(), table["i"].to_numpy()] = table["fit"].to_numpy()
+    table = (probed.select("train", "first", "count", "pair").mapInArrow(vote, "class long, fit array<double>")
+             .select("class", F.posexplode("fit").alias("i", "fit"))
+             .groupBy("class", "i").agg(F.sum("fit").alias("fit")).toArrow())  # CLASSES x GRID rows
+    fit = np.zeros((CLASSES, len(GRID)))
+    fit[table["class"].to_numpy(), table["i"].to_numpy()] = table["fit"].to_numpy()
     return np.array(GRID)[fit.argmax(1)]
 
 
-def scored(first: np.ndarray, word: np.ndarray, pair: np.ndarray, lam: np.ndarray, n: int, v: int) -> np.ndarray:
-    """Model score of each document of a block, from the levels of its tokens
-    and of their pairs."""
-    before, word, pair = MIDDLE[levels_before(word, first)], MIDDLE[word], MIDDLE[pair]
-    share = np.where(before > 0, lam[levels(before)], 0.0)
-    model = np.log10(share * pair / np.maximum(before, 1) + (1 - share) * (word + 1.0) / (n + v + 1.0))
-    return np.add.reduceat(model, first[:-1])
+def probabilities(context: np.ndarray, word: np.ndarray, pair: np.ndarray, lam: np.ndarray, n: int, v: int) -> np.ndarray:
+    """Probability of each word, from its count, its context's count and the
+    level of the pair. A pair is not more frequent than its words; after a context
+    that was never seen stands any word as often as anywhere."""
+    share = np.where(context > 0, lam[classes(context)], 0.0)
+    both = np.minimum(MIDDLE[pair], np.minimum(context, word))
+    return share * both / np.maximum(context, 1) + (1 - share) * (word + 1.0) / (n + v + 1.0)
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train: Column | None = None) -> DataFrame:
@@ -364,7 +405,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     ranges = max(8, -(-size // RANGE_BYTES))
     blocks, blocks_path = encoded_blocks(docs, id_col, text_col, in_training(id_col) if train is None else train)
-    counts, counts_path = _counts(blocks, ranges)
+    words = blocks.agg(F.sum("distinct")).first()[0] or 0  # words of several blocks count in each: an upper bound of V
+    counts, counts_path = _counts(blocks, ranges, first_probes(words))
     sums = counts.agg(F.sum("tokens"), F.sum("distinct")).first()
     n, v = sums[0] or 0, sums[1] or 0
     probed, _ = probed_blocks(blocks, counts, n, v)
@@ -376,7 +418,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
         for batch in batches:
             for row in batch.to_pylist():
                 first = np.array(row["first"], np.int64)
-                got = scored(first, *(_from_planes([row[c]], 1) for c in ("word", "pair")), lam, n, v)
+                count, pair = _from_planes([row["count"]], 8), _from_planes([row["pair"]], 2)
+                got = np.add.reduceat(np.log10(probabilities(before(count, first), count, pair, lam, n, v)), first[:-1])
                 out = (row["ids"], [not t for t in row["train"]], np.diff(first), row["known"], row["base"], got)
                 yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types, strict=True)],
                                                  ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
