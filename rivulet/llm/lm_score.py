@@ -249,19 +249,12 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return values[new], np.add.reduceat(counts, new) if len(new) else counts
 
 
-def _bits(items: np.ndarray, level: int, size, probes: int):
-    """Places of (item, level) in a segment of ``size`` bits (a number or one
-    for each item), one array per probe; item i's go on while the caller sends
-    the items that are left."""
+def _places(items: np.ndarray, level: int, size: int, probes: range):
+    """Place of each (item, level) in a segment of ``size`` bits, probe by probe."""
     h = B.mix(items + np.uint64(level * 0x9FB21C651E98DF25 % (1 << 64)))
-    at, step = h >> np.uint64(32), h | np.uint64(1)
-    size, low = np.asarray(size).astype(np.uint64), np.uint64(0xFFFFFFFF)
-    for _ in range(probes):
-        keep = yield (at & low) * size >> np.uint64(32)
-        if keep is not None:
-            at, step = at[keep], step[keep]
-            size = size[keep] if size.ndim else size
-        at = at + step
+    step, h, low = h | np.uint64(1), h >> np.uint64(32), np.uint64(0xFFFFFFFF)
+    for p in probes:
+        yield ((h + np.uint64(p) * step & low) * np.uint64(size) >> np.uint64(32)).view(np.int64)
 
 
 def build_segment(items: np.ndarray, counts: np.ndarray, probes: int) -> np.ndarray:
@@ -275,7 +268,7 @@ def build_segment(items: np.ndarray, counts: np.ndarray, probes: int) -> np.ndar
     items, level = items[order], level[order]
     members = np.searchsorted(-level, -np.arange(1, int(level.max(initial=0)) + 1), "right")  # of each level
     for q, n in enumerate(members.tolist(), 1):
-        for place in _bits(items[:n], q, size * 8, probes if q == 1 else PROBES):
+        for place in _places(items[:n], q, size * 8, range(probes if q == 1 else PROBES)):
             bits[place] = True
     return np.packbits(bits, bitorder="little")
 
@@ -298,23 +291,23 @@ class Filter:
         """Levels of 48-bit items, probed one by one until a miss."""
         if self._array is None:
             self._array = np.frombuffer(self.data, np.uint8)
-        where = ((items >> np.uint64(16)) * np.uint64(self.ranges) >> np.uint64(32)).astype(np.int64)
-        base, size = self.start[where] * 8, (self.start[where + 1] - self.start[where]) * 8
+        where = (items >> np.uint64(16)) * np.uint64(self.ranges) >> np.uint64(32)
         level = np.zeros(len(items), np.int64)
-        live, q = np.arange(len(items)), 1
-        while len(live) and q < len(MIDDLE):
-            places = _bits(items[live], q, size[live], self.probes if q == 1 else PROBES)
-            place = next(places)
-            while place is not None:
-                at = base[live] + place.astype(np.int64)
-                hit = (self._array[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-                live = live[hit]
-                try:
-                    place = places.send(hit)
-                except StopIteration:
-                    place = None
-            level[live] = q
-            q += 1
+        for r in range(self.ranges):
+            bits, size = self._array[self.start[r]:self.start[r + 1]], int(self.start[r + 1] - self.start[r]) * 8
+            live, q = np.flatnonzero(where == r), 1
+            left = items[live]
+            while len(live) and q < len(MIDDLE):
+                # most items that are not there go after a few probes
+                for probes in (range(3), range(3, self.probes if q == 1 else PROBES)):
+                    hit = np.ones(len(live), np.uint8)
+                    for at in _places(left, q, size, probes):
+                        hit &= bits[at >> 3] >> (at & 7).astype(np.uint8)
+                    hit = (hit & 1).view(bool)
+                    if not hit.all():
+                        live, left = live[hit], left[hit]
+                level[live] = q
+                q += 1
         return level
 
 
