@@ -443,6 +443,95 @@ def toxic_table(spark, n=400):
     return spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
+TOXIC_TEXTS = [b"one two three four five six", b"alone", b"", b"grubbel is a word grubbel", b"a b", "ünder the brücke 12 house".encode()]
+
+
+def looped_features(tables, filters, bias, model, texts):
+    """Every text's filter maxima, one window and one product at a time."""
+    out = []
+    for text in texts:
+        keys, _ = toxicity.word_keys([text])
+        words = [np.concatenate([sum(tables[side][r] for r in rows) for side, rows in enumerate(pair)])
+                 for pair in zip(*model.rows(keys).tolist(), strict=True)] if len(keys) else []
+        feats = []
+        for w in toxicity.WIDTHS:
+            for f in range(toxicity.FILTERS):
+                seen = [sum(float(words[i + j][e]) * float(filters[w][j, e, f]) for j in range(w) for e in range(2 * toxicity.DIM))
+                        for i in range(len(words) - w + 1)]
+                feats.append(max(max(seen) + float(bias[w][f]), 0.0) if seen else 0.0)
+        out.append(feats)
+    return np.array(out)
+
+
+def test_convolution_against_loops():
+    model = toxicity.Model(5)
+    for i, w in enumerate(toxicity.WIDTHS):
+        model.bias[w] += np.float32(0.01 * (i + 1))
+    want = looped_features(model.tables, model.filters, model.bias, model, TOXIC_TEXTS)
+    keys, first = toxicity.word_keys(TOXIC_TEXTS)
+    got, _ = model.features(model.embed(model.rows(keys)), first)
+    assert got == pytest.approx(want, abs=1e-5)
+    assert not got[2].any() and not got[1, toxicity.FILTERS:].any()  # empty; one word only
+    logits = want @ model.out + model.out_bias
+    assert model.logits(TOXIC_TEXTS) == pytest.approx(logits, abs=1e-5)
+    assert model.scores(TOXIC_TEXTS) == pytest.approx(1 / (1 + np.exp(-logits)), abs=1e-5)
+
+
+def test_gradients_against_differences():
+    """A step's gradients (its first moments) against differences of the
+    weighted log loss that loops compute."""
+    model = toxicity.Model(6)
+    labels, weights = np.array([0, 1, 0, 1, 1, 0.0]), np.array([1, 2, 1, 2, 1, 0.5])
+    tables = model.tables.astype(float)
+    filters = {w: f.astype(float) for w, f in model.filters.items()}
+    bias = {w: b.astype(float) for w, b in model.bias.items()}
+    out, shift = model.out.astype(float), [float(model.out_bias)]
+    ids = toxicity.Model(6)
+
+    def loss():
+        z = looped_features(tables, filters, bias, ids, TOXIC_TEXTS) @ out + shift[0]
+        return float(np.mean(weights * (np.log1p(np.exp(z)) - labels * z)))
+
+    def slope(x, at, eps=1e-5):
+        old, ends = x[at], []
+        for sign in (1, -1):
+            x[at] = old + sign * eps
+            ends.append(loss())
+        x[at] = old
+        return (ends[0] - ends[1]) / (2 * eps)
+
+    state = {}
+    model.step(TOXIC_TEXTS, labels, weights, state, 1)
+    first = {name: 10 * state[name][0] for name in state if name[0] != "e"}
+    assert first["out_bias"] == pytest.approx(slope(shift, 0), abs=1e-5)
+    rng = random.Random(4)
+    for i in rng.sample(range(len(out)), 4):
+        assert first["out"][i] == pytest.approx(slope(out, i), abs=1e-5)
+    for w in toxicity.WIDTHS:
+        for _ in range(3):
+            at = (rng.randrange(w), rng.randrange(2 * toxicity.DIM), rng.randrange(toxicity.FILTERS))
+            assert first[f"f{w}"][at] == pytest.approx(slope(filters[w], at), abs=1e-5)
+        f = rng.randrange(toxicity.FILTERS)
+        assert first[f"b{w}"][f] == pytest.approx(slope(bias[w], f), abs=1e-5)
+    for side in (0, 1):
+        row = int(ids.rows(toxicity.word_keys([b"grubbel"])[0])[side, 0, 0])
+        for e in rng.sample(range(toxicity.DIM), 2):
+            g = slope(tables[side], (row, e))
+            assert math.sqrt(state[f"e{side}"][row, e]) == pytest.approx(abs(g), abs=1e-5)
+            moved = model.tables[side][row, e] - ids.tables[side][row, e]
+            assert abs(g) < 1e-5 or moved * g < 0
+
+
+def test_sample_is_bounded_after_the_join(spark, monkeypatch):
+    """Labels without a document take no place in the sample."""
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 5)
+    docs = spark.createDataFrame([(i, f"text {i}", "en", "s", 1) for i in range(0, 4000, 200)], SCHEMA)
+    labels = spark.createDataFrame([(i, 1, i // 200 % 2) for i in range(4000)], "doc_id long, quality int, toxic int")
+    got = toxicity.training_sample(docs, labels, F.lit(True))
+    assert Counter(toxic for _, toxic, _ in got) == {0: 5, 1: 5}
+    assert len({text for text, _, _ in got}) == 10
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = toxic_table(spark, 900)
     got = toxicity.toxicity_scores(docs, labels).join(labels, "doc_id").collect()
