@@ -76,7 +76,7 @@ def op4(spark, sf_dir):
 @register("op5_chat_formatting")
 def op5(spark, sf_dir):
     """Turns recovered from the raw transcript of every conversation."""
-    return chat.formatted(read_table(spark, sf_dir, "conversations"))
+    return chat.formatted_learnt(read_table(spark, sf_dir, "conversations"))
 
 
 @register("op6_packing")

@@ -308,6 +308,104 @@ def test_chat_odd_rows(spark):
     assert chat.formatted(spark.createDataFrame([], schema)).count() == 0
 
 
+def plain_roles(lines):
+    """Roles by markers alone: the last marker's; before any, the user's."""
+    out, now = [], "user"
+    for line, _ in lines:
+        m = chat.MARKER.match(line)
+        word = next((g for g in m.groups() if g), "").lower() if m else ""
+        now = chat.ROLES[chat.MARKERS[word]] if word in chat.MARKERS else now
+        out.append(now)
+    return out
+
+
+def rough_turns(conv):
+    given = defaultdict(list)
+    for r in chat.transcripts(conv, rough=True).collect():
+        given[r.conv_id].append((r.turn, r.text, r.role))
+    return {k: sorted(v) for k, v in given.items()}
+
+
+def held_out(conv_id):
+    return zlib.crc32(str(conv_id).encode()) % 4 == 2
+
+
+def test_counts_of_the_model(spark, sf_small):
+    """Every step and observation of the training conversations, by loops."""
+    conv = spark.read.parquet(f"{sf_small}/conversations.parquet")
+    got = chat.fit(chat.transcripts(conv, rough=True), "conv_id", "turn", "text", "role")
+    start, trans, emit = np.zeros(chat.STATES), np.zeros((chat.STATES, chat.STATES)), np.zeros((chat.STATES, chat.SYMBOLS))
+    for turns in rough_turns(conv).values():
+        before = None
+        for _, text, role in turns:
+            for i, line in enumerate(chat.lines_of([text])):
+                s = 2 * chat.ROLES.index(role) + (i > 0)
+                emit[s, chat.symbols([line])[0]] += 1
+                if before is None:
+                    start[s] += 1
+                else:
+                    trans[before, s] += 1
+                before = s
+    want = chat.model_of(start, trans, emit)
+    assert np.allclose(got.first, want.first) and np.allclose(got.emit, want.emit)
+    assert np.allclose(np.exp(got.first).sum(1), 1) and np.allclose(np.exp(got.emit).sum(1), 1)
+    none = chat.fit(chat.transcripts(conv.where("false"), rough=True), "conv_id", "turn", "text", "role")
+    assert np.allclose(none.first, chat.PRIOR.first) and np.allclose(none.emit, chat.PRIOR.emit)
+
+
+def test_learnt_model_finds_unmarked_turns(spark, sf_small):
+    """Held-out conversations: more lines with the right role than by markers
+    alone; every result equals Viterbi in one piece."""
+    conv = spark.read.parquet(sf_small.replace("sf0.001", "sf0.01") + "/conversations.parquet")
+    turns = rough_turns(conv)
+    got = chat.formatted_learnt(conv).collect()
+    assert sorted(r.conv_id for r in got) == sorted(turns) and all(r.held_out == held_out(r.conv_id) for r in got)
+    lines = right = plain = 0
+    for r in got:
+        if r.held_out:
+            mine = [(x, role) for _, text, role in turns[r.conv_id] for x in chat.lines_of([text])]
+            assert r.n_lines == len(mine)
+            lines, right = lines + len(mine), right + r.n_right
+            plain += sum(a == role for a, (_, role) in zip(plain_roles([x for x, _ in mine]), mine, strict=True))
+    assert right / lines > plain / lines + 0.02, (lines, right, plain)
+
+
+def test_tree_of_blocks_equals_one_piece(spark, monkeypatch):
+    monkeypatch.setattr(chat, "FAN", 3)
+    monkeypatch.setattr(chat, "BLOCK_TURNS", 4)
+    rows = [(1, t, ["user", "assistant"][t % 2], prose(t, 5)) for t in range(150)] + [(2, t, "user", "") for t in range(20)]
+    rows += [(2, 20, "assistant", "end."), (None, None, None, None)]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    raw = chat.transcripts(conv, rough=True)
+    got = sorted((r.block, r.text) for r in chat.parse_transcripts(raw, "conv_id", "turn", "text").collect() if r.conv_id == 1)
+    lines = [x for _, text, _ in rough_turns(conv)[1] for x in chat.lines_of([text])]
+    states = np.array(brute_viterbi(chat.symbols(lines))[0])
+    assert "\n".join(t for _, t in got if t) == chat.render(lines, states)[0]
+
+
+def test_matrix_products_in_any_order():
+    rng = np.random.default_rng(7)
+    ms = [None if rng.random() < 0.2 else chat.block_matrix(rng.integers(0, chat.SYMBOLS, rng.integers(1, 9))) for _ in range(30)]
+    whole = chat.product(ms)
+    for cut in (1, 7, 29):
+        assert np.allclose(chat.product([chat.product(ms[:cut]), chat.product(ms[cut:])]), whole)
+    assert chat.product([None, None]) is None and chat.chain([None, None], 3, 3) == [(3, 3), (3, 3)]
+
+
+def test_learnt_odd_rows(spark):
+    """Unknown and null roles, clashing extra columns, repeated rows, a very
+    long text, an empty table."""
+    schema = "conv_id long, turn long, role string, text string, block long, key string, n_right long"
+    rows = [(1, 0, "tool", "a", 7, "k", 1), (1, 0, "tool", "a", 7, "k", 1), (None, None, None, None, None, None, None),
+            (2, 0, "user", "x.\n" * 30000, 1, None, 2), (2, 1, "assistant", "", 1, "", 3)]
+    got = chat.formatted_learnt(spark.createDataFrame(rows, schema)).collect()
+    assert Counter(r.conv_id for r in got) == Counter([1, 2, None])
+    by = {r.conv_id: r for r in got}
+    assert by[2].n_lines >= 30000 and by[1].n_right == 0
+    assert set(got[0].asDict()) == {"conv_id", "block", "n_lines", "n_turns", "roles", "text", "n_right", "held_out"}
+    assert chat.formatted_learnt(spark.createDataFrame([], schema)).count() == 0
+
+
 # 8. near dedup
 
 def brute_classes(rows):
