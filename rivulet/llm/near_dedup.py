@@ -383,9 +383,22 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     linked with. Each round points every node at the smallest label around it
     and then at that label's own label, so the way a label has come doubles;
     rounds go on until no label changes (labels only fall, so their sum tells).
+
+    The rounds walk over a thinner graph with the same components: each node
+    linked with its smallest neighbour, and an edge between two such neighbours
+    once, however many of their nodes are linked.
     """
-    links = edges.where("a != b")
-    links = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), f"{name}_links")
+    def both_ways(pairs: DataFrame) -> DataFrame:
+        return pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+    links = materialize(both_ways(edges.where("a != b")), f"{name}_edges")
+    nearest = links.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to")).withColumnRenamed("a", "node")
+    nearest = materialize(nearest, f"{name}_nearest")
+    bridges = (links.where("a < b").join(nearest.select(F.col("node").alias("a"), F.col("to").alias("x")), "a")
+               .join(nearest.select(F.col("node").alias("b"), F.col("to").alias("y")), "b").where("x != y")
+               .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    thin = bridges.unionByName(nearest.where("node != to").select(F.col("to").alias("a"), F.col("node").alias("b"))).distinct()
+    links = materialize(both_ways(thin), f"{name}_links")
     files = 1 + links.count() // ROWS_PER_FILE
 
     def written(df: DataFrame, part: str) -> DataFrame:  # few links need few tasks and files
@@ -413,7 +426,7 @@ def _merged(label: DataFrame | None, nodes: DataFrame, found: DataFrame, files:
     else:
         ends = (found.join(label.select(F.col("node").alias("a"), F.col("class").alias("ca")), "a")
                 .join(label.select(F.col("node").alias("b"), F.col("class").alias("cb")), "b"))
-        known = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "near") \
+        known = components(ends.where("ca != cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "near") \
             .select(F.col("node").alias("class"), F.col("class").alias("new"))
         out = label.join(known, "class", "left").select("node", F.coalesce("new", "class").alias("class"))
     return materialize(out.select("node", "class").repartition(files), "near_classes")

@@ -518,6 +518,30 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 1 for i in range(1, 201)}, 300: 300, 301: 300, 500: 300}
 
 
+def test_components_of_dense_and_loose_graphs(spark):
+    """Against depth-first search: families, stars with large and small hubs,
+    loops, repeated edges in both directions, an empty table."""
+    rng = random.Random(3)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(400)] + [(rng.randrange(100, 400), rng.randrange(100, 400)) for _ in range(130)]
+    edges += [(999, 500 + i) for i in range(30)] + [(600, 601 + i) for i in range(30)] + [(700, 700), (702, 701), (701, 702), (701, 702)]
+    around = defaultdict(set)
+    for a, b in edges:
+        if a != b:
+            around[a].add(b)
+            around[b].add(a)
+    want = {}
+    for n in sorted(around):
+        todo = [] if n in want else [n]
+        while todo:
+            x = todo.pop()
+            if x not in want:
+                want[x] = n
+                todo += around[x]
+    got = near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(got) == len(want) and {r.node: r["class"] for r in got} == want
+    assert near_dedup.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_near_drop(odd, none):
     out = near_dedup.drop_near_duplicates(odd)
     assert out.columns == odd.columns
