@@ -318,12 +318,12 @@ _ODD_JSON = (' {"a": 1.00, "b":1e3,"c":123456789012345678901234567890.5, "a":"\\
 
 
 def _events_records(spark, sf_dir, bad_every: int | None = None, empty_every: int | None = None,
-                    odd_every: int | None = None) -> DataFrame:
+                    odd_every: int | None = None, stream: bool = False) -> DataFrame:
     """All events as records; damaged copies of some (a cut or an emptied
     content, or JSON that is easily changed, under ids of their own) stand beside
-    the whole ones."""
-    ev = t(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "props")
-    out = ev
+    the whole ones. ``stream``: the table read as a stream."""
+    ev = table_stream(spark, sf_dir, "events") if stream else t(spark, sf_dir, "events")
+    out = ev = ev.select("event_id", "event_type", "user_id", "props")
     for every, props in ((bad_every, F.substring("props", 1, 5)), (empty_every, F.lit(""))):
         if every:
             out = out.unionByName(ev.where(F.col("event_id") % every == 0)
@@ -377,6 +377,7 @@ _EMPTIED_SQL = "SELECT -1 - event_id AS event_id, event_type, user_id, '' AS pro
 _ODD_SQL = ("SELECT -1000000000000 - event_id AS event_id, event_type, user_id, "
             f"'{_ODD_JSON[0]}' || CAST(event_id AS VARCHAR) || '{_ODD_JSON[1]}' AS props FROM events WHERE event_id % 19 = 0")
 _CUT_SQL = "SELECT -1 - event_id AS event_id, event_type, user_id, substr(props, 1, 5) AS props FROM events WHERE event_id % 13 = 0"
+_ALL_EVENTS_SQL = f"{_EVENTS_SQL} UNION ALL {_CUT_SQL} UNION ALL {_EMPTIED_SQL} UNION ALL {_ODD_SQL}"
 
 
 def _pack_events(rec: DataFrame) -> DataFrame:
@@ -385,7 +386,7 @@ def _pack_events(rec: DataFrame) -> DataFrame:
                     map_json("attributes").alias("attributes_json"), "content_valid")
 
 
-@register("pack_envelope_events", _envelope_sql(f"{_EVENTS_SQL} UNION ALL {_CUT_SQL} UNION ALL {_EMPTIED_SQL} UNION ALL {_ODD_SQL}"))
+@register("pack_envelope_events", _envelope_sql(_ALL_EVENTS_SQL))
 def q_pack_envelope_events(spark, sf_dir):
     """Content + attributes → one envelope; empty content → marker; text
     that is not JSON is flagged and stays; JSON keeps its text."""
@@ -960,13 +961,12 @@ def q_append_lines_documents(spark, sf_dir):
 
 # ======================================================= O2, O43, O44: streams
 
-@register("stream_pack_envelope_events", _envelope_sql(_EVENTS_SQL))
+@register("stream_pack_envelope_events", _envelope_sql(_ALL_EVENTS_SQL))
 def q_stream_pack_envelope_events(spark, sf_dir):
     """O2 + O43: the events table read as a stream, packed per micro-batch
-    (the same operator as the batch query), appended through foreachBatch."""
-    stream = table_stream(spark, sf_dir, "events")
-    rec = to_records(stream, "event_id", ["event_type", "user_id"], content="props")
-    packed = _pack_events(rec)
+    (the same operator and the same records as the batch query: whole, cut,
+    emptied and odd contents), appended through foreachBatch."""
+    packed = _pack_events(_events_records(spark, sf_dir, bad_every=13, empty_every=17, odd_every=19, stream=True))
     root = scratch_path(spark, "stream_envelopes")
     q = append_stream(packed, lambda b: {"envelopes": b}, root, checkpoint=f"{root}/_checkpoint")
     run_available_now(q)

@@ -151,3 +151,17 @@ def test_processing_time_trigger(spark, sf_small):
     n = spark.read.parquet(f"{sf_small}/events.parquet").count()
     assert got.count() == n
     assert got.where("loop_value = 3 AND iterations = 3 AND route = 'endloop'").count() == n
+
+
+def test_stream_packs_what_the_batch_query_packs(spark, sf_small):
+    """Whole, cut, emptied and odd contents: every way an envelope can go."""
+    from rivulet.plans.catalog import ORACLE, QUERIES
+
+    got = QUERIES["stream_pack_envelope_events"](spark, sf_small)
+    want = QUERIES["pack_envelope_events"](spark, sf_small)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    events = spark.read.parquet(f"{sf_small}/events.parquet")
+    assert got.where("event_id >= 0").count() == events.count()
+    assert got.where("attributes_json like '%no.attribute%'").count() == events.where("event_id % 17 = 0").count()
+    assert got.where("not content_valid").count() == events.where("event_id % 13 = 0").count()
+    assert ORACLE["stream_pack_envelope_events"] == ORACLE["pack_envelope_events"]
