@@ -14,10 +14,9 @@ import json
 import threading
 from collections.abc import Callable, Mapping
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators.sequences import next_ids
 from rivulet.session import materialize
@@ -35,7 +34,7 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trig
 
 
 def _start(stream: DataFrame, each: Callable[[DataFrame, int, str], None], checkpoint: str,
-           processing_time: str | None) -> StreamingQuery:
+           processing_time: str | None, mode: str = "append") -> StreamingQuery:
     """Start ``each(batch, number, stream id)`` per micro-batch. The id is the
     one in the checkpoint: it outlives restarts, and a new checkpoint has
     another."""
@@ -47,7 +46,7 @@ def _start(stream: DataFrame, each: Callable[[DataFrame, int, str], None], check
             raise RuntimeError("the stream's id is not known")
         each(batch, number, known["id"])
 
-    w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    w = stream.writeStream.outputMode(mode).foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
     query = w.start()
     known["id"] = str(query.id)
@@ -103,39 +102,13 @@ def run_available_now(query: StreamingQuery, timeout_s: float | None = None) ->
         raise query.exception()
 
 
-# Keyed state lives in RocksDB; a micro-batch writes the changes of its own keys.
+# Keyed state lives in RocksDB, inside the JVM; a micro-batch writes the changes of its own keys.
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
-class _Counter(StatefulProcessor):
-    """One counter per key: the rows claimed so far."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._n = handle.getValueState("n", "n long")
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
-        self._n.update((initialState["n"],))
-
-    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
-        before = self._n.get()[0] if self._n.exists() else 0
-        self._n.update((before + sum(r["n"] for r in rows),))
-        yield Row(key=key[0], before=before)
-
-    def close(self) -> None:
-        pass
-
-
-def _claims(batches):
-    """Keys to (key, n), counted per Arrow batch: a key with a third of the rows
-    sends one row per batch to its counter."""
-    for batch in batches:
-        counts = batch.column("key").value_counts()
-        yield pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts").cast(pa.int64())], ["key", "n"])
-
-
 def _own_id(spark: SparkSession, checkpoint: str) -> str | None:
     """The id in a checkpoint; None if the stream has not run yet."""
     files = files_of(spark, checkpoint)
@@ -169,36 +142,45 @@ def allocate_stream(stream: DataFrame, keys, order_by, root: str, checkpoint: st
     """O18 on a stream: every micro-batch continues the counters of the batches
     before it (target ``ids``).
 
-    The counters are keyed state (``transformWithState``): a micro-batch reads and
-    writes those of its own keys, and nothing is rewritten. Only counts reach a
-    key's counter; the rows go past it and are numbered by ``next_ids``, which
-    splits a hot key. The micro-batch is written once and read from there, so the
-    state moves once. A stream with a new checkpoint begins with ``initial_counters``
-    and the largest ids that other streams committed on the root, so no id is
-    given twice."""
+    The counters are keyed state (a running sum per key, in update mode): a
+    micro-batch reads and writes those of its own keys, and nothing is rewritten.
+    Rows are counted before they reach a key's counter (partial aggregation), and
+    go past it to ``next_ids``, which splits a hot key. The micro-batch is written
+    once and read from there, so the state moves once. A stream with a new
+    checkpoint begins with ``initial_counters`` and the largest ids that other
+    streams committed on the root, so no id is given twice: these are written
+    beside its checkpoint before it starts and are a source of the sum, read by
+    its first micro-batch."""
     spark = stream.sparkSession
     for k, v in STATE_CONF.items():
         spark.conf.set(k, v)
     ks = [keys] if isinstance(keys, str) else list(keys)
     key = F.to_json(F.struct(*[F.col(f"`{k}`").cast("string").alias(f"k{i}") for i, k in enumerate(ks)]))
     ensure_root(spark, root)
-    known = stream_counters(spark, root, ks, initial_counters, counter_col, id_col, without=_own_id(spark, checkpoint))
-    start = None
-    if known is not None:
-        n = F.greatest(F.col(counter_col), F.lit(0))
-        start = known.select(key.alias("key"), n.alias("n")).groupBy("key").agg(F.max("n").alias("n")).groupBy("key")
-    claims = stream.select(key.alias("key")).mapInArrow(_claims, "key string, n long")
-    counted = claims.groupBy("key").transformWithState(_Counter(), "key string, before long", "append", "none", start)
+    start = f"{checkpoint.rstrip('/')}/start"
+    if _own_id(spark, checkpoint) is None:
+        known = stream_counters(spark, root, ks, initial_counters, counter_col, id_col)
+        if known is not None:
+            n = F.greatest(F.col(counter_col), F.lit(0))
+            known.select(key.alias("key"), n.alias("n")).groupBy("key").agg(F.max("n").alias("n")).write.mode("overwrite").parquet(start)
+    claims = stream.select(key.alias("key"), F.lit(1).cast("long").alias("n"))
+    if files_of(spark, checkpoint).exists("start/_SUCCESS"):
+        claims = claims.unionByName(stream_source(spark, start, "key string, n long"))
+    counted = claims.groupBy("key").agg(F.sum("n").alias("upto"))
     row = F.struct(*[F.col(f"`{c}`") for c in stream.columns])
-    rows = stream.select(key.alias("key"), F.lit(None).cast("long").alias("before"), row.alias("row"))
+    rows = stream.select(key.alias("key"), F.lit(None).cast("long").alias("upto"), row.alias("row"))
     both = rows.unionByName(counted, allowMissingColumns=True)
 
     def each(batch: DataFrame, number: int, stream_id: str) -> None:
         both = materialize(batch, "claimed")
-        got = both.where("before is null").select("key", "row.*")
-        ids = next_ids(got, "key", order_by, both.where("before is not null").select("key", "before"), "before", id_col)
+        got = both.where("upto is null").select("key", "row.*")
+        # (the sum is that after this micro-batch; of keys without a row in it nothing is asked)
+        own = F.count_if(F.col("upto").isNull())
+        before = (both.groupBy("key").agg((F.max("upto") - own).alias("before"), own.alias("own"))
+                  .where("own > 0").select("key", "before"))
+        ids = next_ids(got, "key", order_by, before, "before", id_col)
         res = _append(spark, {"ids": ids.drop("key")}, root, stream_id, number)
         if not res["success"]:
             raise RuntimeError(f"batch {number} failed: {res['error_code']} {res['error_message']}")
 
-    return _start(both, each, checkpoint, processing_time)
+    return _start(both, each, checkpoint, processing_time, "update")

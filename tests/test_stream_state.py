@@ -108,3 +108,19 @@ def test_repeated_counters_count_once(spark):
     assert sorted(r.next_id for r in ids.collect()) == [8, 9, 10]
     assert [(r.k, r.counter) for r in after.collect()] == [("a", 10)]
     assert [r.counter for r in Q.updated_counters(df, "k", counters).collect()] == [10]
+
+
+def test_counters_are_summed_without_a_call_per_key(spark):
+    """No worker is asked key by key: the state is Spark's own running sum. The
+    counters that a stream begins with are read once, even before any row."""
+    root = scratch_path(spark, "t_sum")
+    initial = spark.createDataFrame([("a", 5), ("a", 9), ("idle", 70)], "store string, counter long")
+    put(spark, root, 0, [])
+    q = allocate_stream(files_stream(spark, root), "store", "ts", root, f"{root}/_checkpoint", initial_counters=initial)
+    run_available_now(q)
+    used = [o["operatorName"] for p in q.recentProgress for o in p["stateOperators"]]
+    assert used and set(used) == {"stateStoreSave"}
+    rows = [("a", 1), ("b", 2), ("a", 3)]
+    put(spark, root, 1, rows)
+    run(spark, root, spark.createDataFrame([("a", 500)], "store string, counter long"))   # (too late for other counters)
+    check(spark, root, rows, {"a": 9})
