@@ -169,13 +169,17 @@ def enrich_between(df: DataFrame, lookup: DataFrame, value: str, lo: str, hi: st
     ``<= hi``), and equal ``on`` columns if any are given. Numbers, dates or
     timestamps.
 
-    The distinct values meet the interval index by (length class, cell), with the
-    range itself as the residual condition; the records then meet the rows found
-    by value, as in ``enrich``. Which length classes exist is asked first: a class
-    is an exponent of a double, so at most some 2,100 numbers reach the driver (a
-    table of like intervals has a handful), and a value is repeated once per
-    class. Cells and values with over ``hot_rows`` lookup rows are split.
+    The distinct values are asked first in which length classes they have a match
+    at all (a semi-join with the interval index by class and cell, the range itself
+    as the residual condition). Each record then meets the index once per such
+    class, or none and comes out as having no match; what is found is not moved
+    again, so only the inputs are shuffled, however many rows match. Which classes
+    exist is asked before: a class is an exponent of a double, so at most some 2,100
+    numbers reach the driver (a table of like intervals has a handful). Cells with
+    over ``hot_rows`` lookup rows or records are split on that side.
     """
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
     keys = _keys(on)
     taken = {value, *keys}
     clash = [c for c in lookup.columns if c in taken and c not in keys]
@@ -183,16 +187,52 @@ def enrich_between(df: DataFrame, lookup: DataFrame, value: str, lo: str, hi: st
         raise ValueError(f"the lookup has a column named like the value: {clash}")
     index = interval_index(lookup, lo, hi, closed)
     levels = [r["_level"] for r in index.select("_level").distinct().collect()]
-    kind = df.schema[value].dataType
-    point = _axis(F.col(f"`{value}`"), kind)
-    values = df.select(*keys, F.col(f"`{value}`").alias(value)).where(F.col(f"`{value}`").isNotNull()).distinct()
+    point = _axis(F.col(f"`{value}`"), df.schema[value].dataType)
     all_levels = F.array(*[F.lit(x) for x in levels]) if levels else F.array().cast("array<int>")
-    values = values.withColumn("_level", F.explode(all_levels)).withColumn("_cell", _cell(point, F.col("_level")))
-    values, index, by = _dealt(values, index, [*keys, "_level", "_cell"], hot_rows)
-    x, a, b = (F.col(f"`{c}`") for c in (value, lo, hi))
-    found = values.drop("_pieces").join(index, by, "inner").where((a <= x) & ((x <= b) if closed else (x < b)))
-    found = found.select(*keys, value, *[F.col(f"`{c}`") for c in lookup.columns if c not in keys])
-    return enrich(df, found, [*keys, value], how, empty_marker, marker_value, case, as_strings, hot_rows)
+    cells = [*keys, "_level", "_cell"]
+    values = (df.where(F.col(f"`{value}`").isNotNull()).groupBy(*keys, F.col(f"`{value}`").alias(value)).agg(F.count(F.lit(1)).alias("_m"))
+              .withColumn("_level", F.explode(all_levels)).withColumn("_cell", _cell(point, F.col("_level"))))
+
+    named = {c: {"lower": c.lower(), "upper": c.upper()}.get(case, c) for c in lookup.columns if c not in keys}
+    named = {c: f"_lk_{n}" if n in df.columns else n for c, n in named.items()}
+    plain = [n for c, n in named.items() if as_strings or "map<" not in lookup.schema[c].dataType.simpleString()]
+    shown = [(F.col(f"`{c}`").cast("string") if as_strings else F.col(f"`{c}`")).alias(n) for c, n in named.items()]
+    ends = [F.col(f"`{lo}`").alias("_lo"), F.col(f"`{hi}`").alias("_hi")]
+    index = index.select(*[F.col(f"`{c}`").alias(f"_by_{c}") for c in cells], *ends, *shown, F.lit(True).alias("_hit"))
+    x = F.col(f"`{value}`")
+    holds = (F.col("_lo") <= x) & ((x <= F.col("_hi")) if closed else (x < F.col("_hi")))
+
+    def meets(columns):
+        out = holds
+        for c in columns:
+            out = (F.col(f"`{c}`") == F.col(f"`_by_{c}`")) & out
+        return out
+
+    found = (values.join(index.select(*[f"`_by_{c}`" for c in cells], "_lo", "_hi"), meets(cells), "left_semi")
+             .groupBy(*keys, value).agg(F.collect_set("_level").alias("_levels")))
+    explode = F.explode_outer if how == "left" else F.explode
+    records = (df.join(found, [*keys, value], how).select(*[F.col(f"`{c}`") for c in df.columns], explode("_levels").alias("_level"))
+               .withColumn("_cell", _cell(point, F.col("_level"))))
+    hot = (index.groupBy(*[f"_by_{c}" for c in cells]).agg(F.count(F.lit(1)).alias("_n"))
+           .join(values.select(*[F.col(f"`{c}`").alias(f"_by_{c}") for c in cells], "_m").groupBy(*[f"_by_{c}" for c in cells])
+                 .agg(F.sum("_m").alias("_m")), [f"_by_{c}" for c in cells])
+           .where((F.col("_n") > hot_rows) | (F.col("_m") > hot_rows))
+           .select(*[F.col(f"`_by_{c}`") for c in cells], F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces"),
+                   F.ceil(F.col("_m") / hot_rows).cast("int").alias("_parts")))
+    hot = F.broadcast(hot)   # at most (|df| + |lookup|) / hot_rows rows a length class
+    pieces, parts = F.coalesce("_pieces", F.lit(1)), F.coalesce("_parts", F.lit(1))
+    mine = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()])
+    records = (records.join(hot.select(*[F.col(f"`_by_{c}`").alias(c) for c in cells], "_pieces", "_parts"), cells, "left")
+               # (records without a match meet nothing: they are spread)
+               .withColumn("_part", F.when(F.col("_level").isNull(), F.pmod(mine, F.lit(1 << 16))).otherwise(F.pmod(mine, parts)).cast("int"))
+               .withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("_pieces", "_parts"))
+    index = (index.join(hot, [f"_by_{c}" for c in cells], "left")
+             .withColumn("_by__piece", F.pmod(F.xxhash64("_lo", "_hi", *[F.col(f"`{n}`") for n in plain]), pieces).cast("int"))
+             .withColumn("_by__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_pieces", "_parts"))
+    # the rows that come out follow the cells and not the inputs' bytes, so cells are dealt over tasks
+    joined = records.join(index.hint("merge"), meets([*cells, "_piece", "_part"]), how)
+    joined = joined.where(F.col("_hit").isNotNull() | F.col("_level").isNull())
+    return _result(joined, df.columns, [*named.values(), "_hit"], empty_marker if how == "left" else None, marker_value)
 
 
 def enrich_json(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], json_col: str = "content",

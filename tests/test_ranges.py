@@ -95,3 +95,15 @@ def test_plan_is_a_keyed_join(spark, no_broadcast):  # noqa: F811
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Window" not in plan
     want = df.hint("broadcast").join(look, (F.col("lo") <= F.col("x")) & (F.col("x") < F.col("hi"))).count()
     assert got.first()[0] == want
+
+
+def test_what_is_found_is_not_shuffled(spark):
+    """Every value lies in every interval: the rows that meet are out of the last
+    join, with no exchange above it. Columns that cannot be hashed go along."""
+    df = spark.range(300).select("id", (F.col("id") % 7 + 0.5).alias("x"), F.create_map(F.lit("a"), F.lit("b")).alias("attributes"))
+    look = spark.range(200).select(F.col("id").alias("j"), (F.col("id") / 1000).alias("lo"), (F.col("id") / 1000 + 9).alias("hi"))
+    got = en.enrich_between(df, look, "x", "lo", "hi", hot_rows=50)
+    assert len(got.collect()) == 300 * 200
+    lines = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(lines) if "Join" in line and "_lo" in line)
+    assert not any("Exchange" in line for line in lines[:join])
