@@ -663,6 +663,30 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for r in got)
 
 
+def test_every_labelled_row_is_learnt_from(spark, monkeypatch):
+    """A toxic word that stands only in texts which the sample leaves out, and
+    thresholds from rows beyond it."""
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 300)
+    monkeypatch.setattr(toxicity, "LEARNER_ROWS", 1500)
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(4000):
+        long, bad = i % 2, rng.random() < 0.3
+        words = prose(i + 9000, rng.randrange(60, 90) if long else rng.randrange(5, 25)).split()
+        words = words if long else " ".join(words)[:250].split()
+        if bad:
+            words.insert(rng.randrange(len(words) + 1), "schnorpel" if long else "grubbel")
+        text = " ".join(words)
+        rows.append((i, text + " " * (301 - len(text)) if long else text, "en", "s", 1))
+        labels.append((i, 1, int(bad)))
+    docs, labels = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = toxicity.toxicity_scores(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    for long in (0, 1):
+        assert np.mean([r.predicted == r.toxic for r in got if r.doc_id % 2 == long]) > 0.95
+    again = toxicity.toxicity_scores(docs.repartition(3), labels)
+    assert {r.doc_id: r.score for r in again.where("held_out").collect()} == pytest.approx({r.doc_id: r.score for r in got}, rel=1e-4)
+
+
 def test_scores_depend_on_the_text_alone(spark):
     docs, labels = toxic_table(spark)
     model = toxicity.fitted(docs, labels)
