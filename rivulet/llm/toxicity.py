@@ -39,6 +39,7 @@ SAMPLE_BYTES = 1 << 16    # longer texts are not in that sample (all rows are le
 LEARNER_ROWS = 4096       # rows that a learner goes over, about
 LEARNER_BYTES = 1 << 18   # of a step's texts (or one longer text)
 FINE = 1 << 24            # changes are summed in whole steps of 1 / FINE, in any order the same
+ID_BITS = 1 << 25         # of the set that texts without a label are told by before the join (4 MB)
 BINS = 4096               # of scores, when thresholds are counted
 EPOCHS = 6                # or as many as make STEPS, for small samples
 STEPS = 600
@@ -307,7 +308,15 @@ def labelled(docs: DataFrame, labels: DataFrame, train_rows: Column) -> DataFram
     """The labelled documents that ``train_rows`` admits, whole: doc_id, text,
     lang, toxic."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.select("doc_id", "text", "lang").join(known.where(train_rows), "doc_id")
+    known = known.where(train_rows)
+    # a bit per hashed id, of fixed size: most texts without a label stay where they are
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS))
+    bucket, at = F.floor(bit / 32768), bit % 32768
+    bits = known.groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(at).alias("_bits"))
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_at div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    some = (docs.select("doc_id", "text", "lang", bucket.alias("_bucket"), at.alias("_at")).join(F.broadcast(bits), "_bucket")
+            .where(byte.bitwiseAND(F.expr("shiftleft(1, cast(_at % 8 as int))")) != 0))
+    return some.select("doc_id", "text", "lang").join(known, "doc_id")
 
 
 def learn(rows: DataFrame, model: Model, share: float, learners: int) -> Model:

@@ -663,6 +663,18 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for r in got)
 
 
+def test_labelled_documents_are_all_found(spark, monkeypatch):
+    """Also when the set of ids is nearly full; unlabelled texts are not kept."""
+    docs = spark.range(-500, 3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"), F.lit("en").alias("lang"))
+    docs = docs.unionByName(docs.where("doc_id = 6")).unionByName(docs.where("doc_id = 7").withColumn("doc_id", F.lit(None).cast("long")))
+    labels = spark.range(-900, 3500, 3).select(F.col("id").alias("doc_id"), (F.col("id") % 2 == 0).cast("int").alias("toxic"))
+    want = docs.join(labels, "doc_id").select("doc_id", "text", "lang", "toxic")
+    for bits in (1 << 25, 1 << 16):
+        monkeypatch.setattr(toxicity, "ID_BITS", bits)
+        got = toxicity.labelled(docs, labels, F.lit(True)).select(want.columns)
+        assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
 def test_every_labelled_row_is_learnt_from(spark, monkeypatch):
     """A toxic word that stands only in texts which the sample leaves out, and
     thresholds from rows beyond it."""
