@@ -6,7 +6,7 @@ inflected forms meet and a collision under one function is told apart by the
 other. Filters of widths 1, 2 and 3 run over the word sequence; each filter's
 maximum over the whole text goes into a logistic output. Texts are read whole.
 
-The fit starts on a sample and then goes over every labelled row once, in Spark:
+The fit starts on a sample and then goes over every labelled row in Spark, once if they are many:
 learners of some thousand rows each go on from the same model, and what they
 changed is averaged, an embedding row over the learners that touched it. (If the
 sample is all there is, it is the fit.)
@@ -218,9 +218,9 @@ def _best_cut(scores: np.ndarray, labels: np.ndarray) -> tuple[float, float] | N
     return float((s[i] + low) / 2), float(f1[i])
 
 
-def train(rows: list[tuple[bytes, int, str]], seed: int = SEED) -> Model:
+def train(rows: list[tuple[bytes, int, str]], seed: int = SEED, hold: bool = True) -> Model:
     """Fit on labelled (text, toxic, language) rows; a fifth of them
-    calibrates. Without rows of both classes the model scores by its initial
+    calibrates (``hold``; else they are all fitted, and nothing is calibrated). Without rows of both classes the model scores by its initial
     bias alone, below the cut."""
     model = Model(seed)
     labels = np.array([r[1] for r in rows], np.float32)
@@ -229,7 +229,7 @@ def train(rows: list[tuple[bytes, int, str]], seed: int = SEED) -> Model:
         return model
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(rows))
-    held, fit = order[: len(rows) // 5], order[len(rows) // 5:]
+    held, fit = np.split(order, [len(rows) // 5 if hold else 0])
     share = np.clip(labels[fit].mean(), 0.01, 0.99)
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
     state, t = model.state, 0
@@ -238,6 +238,8 @@ def train(rows: list[tuple[bytes, int, str]], seed: int = SEED) -> Model:
             t += 1
             model.step([rows[i][0] for i in at], labels[at], weight[at], state, t)
     model.steps = t
+    if not hold:
+        return model
     found = model.scores([rows[i][0] for i in held])
     best = _best_cut(found, labels[held])
     if best:
@@ -416,9 +418,10 @@ def _fitted(rows: DataFrame, labels: DataFrame) -> Model:
     if most <= SAMPLE_ROWS and (longest or 0) <= SAMPLE_BYTES or hits in (0, n):
         # the sample is every row, or there is nothing to tell apart
         return train(training_sample(rows, labels, ~held_out()))
-    model = train(training_sample(rows, labels, ~held_out() & ~calibrates()))
+    model = train(training_sample(rows, labels, ~held_out() & ~calibrates()), hold=False)
     fit = rows.where(~calibrates())
-    model = learn(fit, model, float(np.clip(hits / n, 0.01, 0.99)), max(1, -(-n // LEARNER_ROWS)))
+    for _ in range(max(1, 2 * SAMPLE_ROWS * EPOCHS // n)):   # few rows are gone over as often as the sample
+        model = learn(fit, model, float(np.clip(hits / n, 0.01, 0.99)), max(1, -(-n // LEARNER_ROWS)))
     calibrate(rows.where(calibrates()), model)
     return model
 
