@@ -23,6 +23,8 @@ windows to other buckets but never changes the result.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -37,6 +39,7 @@ BUCKET_BYTES = 40 << 20       # packed text that one bucket gets (compressed whi
 SUBS = 8                      # parts of a bucket, by minimiser too, that are worked off one after another
 DOC_BUCKET_BYTES = 12 << 20   # text of the documents that are put together again at once
 BLOCK_BYTES = 3 << 20         # text whose super-k-mers are merged and sent at once
+COMPARED = 1 << 14            # windows that are compared word for word at once
 LEVEL = 3                     # of zstd
 LEAST_CELLS = 1 << 16         # counters of frequent minimisers; 16 a bucket if that is more
 NULL_ID = -(1 << 63)          # a null id sorts before all others
@@ -53,21 +56,24 @@ class Windows:
         space = B.SPACE[raw]
         keep = ~(space & np.concatenate([[True], space[:-1]]))  # one space between words
         self.buf = np.where(space, np.uint8(32), raw)[keep]
-        place = np.concatenate([[0], np.cumsum(keep)])
+        place = np.zeros(len(first), np.int64)  # of each text's first byte among the kept ones
+        if len(texts):
+            np.cumsum(np.add.reduceat(keep, first[:-1], dtype=np.int64), out=place[1:])
+        del raw, space, keep
         self.text = self.buf.tobytes()
         self.start, self.end = B.word_spans(self.buf)
-        self.first_word = np.searchsorted(self.start, place[first])  # of each text
+        self.first_word = np.searchsorted(self.start, place)  # of each text
         self.hash = B.range_hashes(self.buf, B.BYTE_BASE, self.start, self.end)
         self.windows(k, m)
 
     def windows(self, k: int, m: int) -> None:
         n = len(self.start)
-        doc = np.repeat(np.arange(len(self.first_word) - 1), np.diff(self.first_word))
         grams = np.arange(max(0, n - m + 1))
         minima = B.sliding_min(B.range_hashes(self.hash, GRAM_BASE, grams, grams + m), k - m + 1) if n >= k else np.zeros(0, np.uint64)
+        del grams
+        doc = np.repeat(np.arange(len(self.first_word) - 1, dtype=np.int32), np.diff(self.first_word))
         at = np.flatnonzero(doc[: max(0, n - k + 1)] == doc[k - 1:]) if n >= k else np.zeros(0, np.int64)
         self.at = at                      # first words of the windows
-        self.doc = doc[at]
         self.minimiser = minima[at]
 
 
@@ -198,19 +204,19 @@ class _Packed(Windows):
         self.hash = B.range_hashes(self.buf, B.BYTE_BASE, self.start, self.end)
         self.first_word = np.searchsorted(self.start, np.concatenate([[0], np.flatnonzero(self.buf == 10) + 1]))
         n = len(self.start)
-        item = np.repeat(np.arange(len(self.first_word) - 1), np.diff(self.first_word))
+        item = np.repeat(np.arange(len(self.first_word) - 1, dtype=np.int32), np.diff(self.first_word))
         self.at = np.flatnonzero(item[: max(0, n - k + 1)] == item[k - 1:]) if n >= k else np.zeros(0, np.int64)
         self.item = item[self.at]
         self.window_hash = B.range_hashes(self.hash, WINDOW_BASE, self.at, self.at + k)
 
 
-def _first_occurrences(packed: list[bytes], k: int, m: int):
+def _first_occurrences(packed: Iterable[bytes], k: int, m: int):
     """Runs of windows that occur for the first time: (id, tie, start, length)
     arrays, from all super-k-mers of one bucket."""
     seen: dict[bytes, int] = {}
     cols = [[], [], []]
     parts: list[bytes] = []
-    for value in packed:
+    for value in packed:  # (any iterable)
         body, got = _unpacked(value)
         parts += body.split(b"\n")
         for c, g in zip(cols, got, strict=True):
@@ -221,23 +227,29 @@ def _first_occurrences(packed: list[bytes], k: int, m: int):
         seen.setdefault(parts[i], i)
     at = np.fromiter(seen.values(), np.int64, len(seen))
     ids, ties, starts = ids[at], ties[at], starts[at]
-    w = _Packed(list(seen), k, m)
+    parts = list(seen)
+    del seen, cols, order
+    w = _Packed(parts, k, m)
+    del parts
     hashes = w.window_hash
     if not len(hashes):
         return tuple(np.zeros(0, np.int64) for _ in range(4))
     rank = np.argsort(hashes, kind="stable")
-    new = np.concatenate([[True], hashes[rank][1:] != hashes[rank][:-1]])
-    leader = rank[np.flatnonzero(new)][np.cumsum(new) - 1]  # the earliest of each hash
+    new = np.ones(len(hashes), bool)
+    ranked = hashes[rank]
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    del ranked
     fresh = np.zeros(len(hashes), bool)
     fresh[rank[new]] = True
     later = np.flatnonzero(~new)
-    if len(later):  # compare word for word; different words under one hash stay apart
-        text, lo, hi = w.text, w.start[w.at].tolist(), w.end[w.at + k - 1].tolist()
-        mine, lead = rank[later].tolist(), leader[later].tolist()
-        others: dict[bytes, int] = {}
-        for i, j in zip(mine, lead, strict=True):
-            s = text[lo[i]:hi[i]]
-            if s != text[lo[j]:hi[j]] and others.setdefault(s, i) == i:
+    leader = rank[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))[later]]  # the earliest of each hash
+    others: dict[bytes, int] = {}
+    for x in range(0, len(later), COMPARED):  # word for word; different words under one hash stay apart
+        mine, lead = rank[later[x:x + COMPARED]], leader[x:x + COMPARED]
+        text, spans = w.text, [a.tolist() for i in (mine, lead) for a in (w.start[w.at[i]], w.end[w.at[i] + k - 1])]
+        for i, a, z, b, y in zip(mine.tolist(), *spans, strict=True):
+            s = text[a:z]
+            if s != text[b:y] and others.setdefault(s, i) == i:
                 fresh[i] = True
     item, offset = w.item, w.at - w.first_word[w.item]
     got = np.flatnonzero(fresh)
@@ -250,16 +262,34 @@ def _first_occurrences(packed: list[bytes], k: int, m: int):
     return ids[i], ties[i], starts[i] + offset[got[a]], length
 
 
+def _part(table: pa.Table, sub: int) -> Iterable[bytes]:
+    """The packed values of one part of a bucket, one at a time (nothing of the
+    other parts is copied)."""
+    for subs, packed in zip(table["subs"].chunks, table["packed"].chunks, strict=True):
+        values = packed.flatten()
+        for i in np.flatnonzero(subs.flatten().to_numpy() == sub).tolist():
+            yield values[i].as_py()
+
+
+def _bucket_runs(table: pa.Table, k: int, m: int) -> tuple[np.ndarray, ...]:
+    """The runs of first occurrences of all parts of a bucket."""
+    parts = []
+    for sub in range(SUBS):  # what a part unpacks to is gone before the next
+        parts.append(_first_occurrences(_part(table, sub), k, m))
+        B.release()
+    return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
+
+
 def _home(ids: np.ndarray, ties: np.ndarray, n: int) -> np.ndarray:
     """The bucket in which a document is put together again."""
     return (B.mix(ids.view(np.uint64) ^ B.mix(ties.view(np.uint64))) % np.uint64(n)).astype(np.int64)
 
 
 def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, m: int = M,
-                   carry: tuple[str, ...] = ()) -> DataFrame:
+                   carry: tuple[str, ...] = (), as_is: bool = False) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_removed, kept_text (the
-    words that stay, joined by one space) and the ``carry`` columns, prefixed
-    ``x_``.
+    words that stay, joined by one space; with ``as_is`` the text itself, null
+    too, where no word goes) and the ``carry`` columns, prefixed ``x_``.
 
     A word is removed when a window over it also starts earlier: in a smaller
     id, or earlier in the same document. Windows are judged on the input. Null
@@ -273,7 +303,7 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tie"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.col(text_col).alias("text"),
         *[F.col(f"`{c}`").alias(f"x_{c}") for c in carry])
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n_buckets = max(16, -(-size * 3 // BUCKET_BYTES))
@@ -284,13 +314,7 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         yield from _send(batches, k, m, shared.value, n_buckets)
 
     def first(table: pa.Table) -> pa.Table:
-        subs = np.concatenate([c.flatten().to_numpy() for c in table["subs"].chunks])
-        packed = pa.concat_arrays([c.flatten() for c in table["packed"].chunks])
-        parts = []
-        for sub in range(SUBS):  # what a part unpacks to is gone before the next
-            B.release()
-            parts.append(_first_occurrences(packed.take(pa.array(np.flatnonzero(subs == sub))).to_pylist(), k, m))
-        found = tuple(np.concatenate(c) for c in zip(*parts, strict=True))
+        found = _bucket_runs(table, k, m)
         home = _home(found[0], found[1], n_docs)
         order = np.lexsort((found[2], found[1], found[0], home))
         home, found = home[order], [x[order] for x in found]
@@ -311,7 +335,7 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     @F.arrow_udf("binary")
     def packed_text(texts: pa.Array) -> pa.Array:
         pack = zstandard.ZstdCompressor(level=LEVEL).compress
-        return pa.array([pack(t) for t in B.texts_of(texts)], pa.binary())
+        return pa.array([None if t is None else pack(t) for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
 
     extra = [f for f in rows.schema.fields if f.name.startswith("x_")]
     schema = "id long, n_words long, n_removed long, kept_text string" + "".join(
@@ -327,17 +351,24 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         lo, hi = np.searchsorted(ids, want), np.searchsorted(ids, want, side="right")
         n_words, n_removed, kept = [], [], []
         for i, (t, tie) in enumerate(zip(left["packed"].to_pylist(), left["tie"].to_pylist(), strict=True)):
-            t = zstandard.ZstdDecompressor().decompress(t)
+            whole = None if t is None else zstandard.ZstdDecompressor().decompress(t)
+            t = whole or b""
             own = ties[lo[i]:hi[i]] == tie
             spans = starts[lo[i]:hi[i]][own], length[lo[i]:hi[i]][own]
             words, stay = _stay(t, *spans, k)
             n_words.append(len(words))
             n_removed.append(len(words) - len(stay))
-            kept.append(b" ".join([t[x:y] for x, y in words[stay].tolist()]))
-        return pa.table([
+            if as_is and len(words) == len(stay):
+                kept.append(whole)
+            else:
+                kept.append(b" ".join([t[x:y] for x, y in words[stay].tolist()]))
+        out = pa.table([
             left["id"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
             pa.array(kept, pa.binary()).cast(pa.string()), *[left[f.name] for f in extra],
         ], ["id", "n_words", "n_removed", "kept_text", *[f.name for f in extra]])
+        del kept
+        B.release()
+        return out
 
     return (
         rows.withColumn("home", home_of("id", "tie")).withColumn("packed", packed_text("text")).drop("text").groupBy("home")
@@ -375,9 +406,9 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     its kept words joined by one space (n_chars follows); every other row is
     unchanged."""
     cols = docs.columns
-    found = repeated_words(docs, carry=tuple(cols))
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("x_text"))
+    # a text travels once, packed, and comes back as it is or without its repeats
+    found = repeated_words(docs, carry=tuple(c for c in cols if c != "text"), as_is=True)
     chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("x_n_chars"))
-    new = {"text": text, "n_chars": chars}
+    new = {"text": F.col("kept_text"), "n_chars": chars}
     return found.select(*[new.get(c, F.col(f"x_{c}")).alias(c) for c in cols])
 

@@ -1,7 +1,9 @@
 """Sharding, exact dedup, packing, BPE and substring dedup against brute force."""
 
 import hashlib
+import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -290,6 +292,38 @@ def test_substring_with_colliding_hashes(docs, monkeypatch):
     assert flat(plain) == flat(coarse)
 
 
+def test_substring_text_travels_once(docs, odd):
+    """Packed, and not as a carried column too; texts that lose no word come back as they are."""
+    out = substring_dedup.drop_repeats(docs)
+    assert "x_text" not in out._jdf.queryExecution().optimizedPlan().toString()
+    rows = [(i, t) for i, t in enumerate(["", None, " a\tb ", "x\n\ny", "ä" * 50, " ".join(map(str, range(50))) + "  "])]
+    few = docs.sparkSession.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
+    assert {(r.doc_id, r.text) for r in substring_dedup.drop_repeats(few).collect()} == set(rows)
+
+
+def test_substring_memory_of_a_block_and_a_bucket():
+    """What a worker holds at once, by the bytes of text that it works on."""
+    rng = random.Random(8)
+    lines = [" ".join(f"{rng.randrange(1 << 20):x}" for _ in range(60)) for _ in range(3000)]
+    texts = ["\n".join(rng.sample(lines, 10)).encode() for _ in range(600)]
+    size = sum(map(len, texts))
+
+    def peak(fn) -> float:
+        tracemalloc.start()
+        try:
+            fn()
+            return tracemalloc.get_traced_memory()[1] / size
+        finally:
+            tracemalloc.stop()
+
+    w = substring_dedup.Windows(texts[:2], 20, 3)  # (tables of powers are there)
+    assert peak(lambda: substring_dedup.Windows(texts, 20, 3)) < 30
+    n = np.arange(len(texts))
+    packed = [substring_dedup._packed([t.replace(b"\n", b" ")], n[i:i + 1], 0 * n[:1], 0 * n[:1]) for i, t in enumerate(texts)]
+    substring_dedup._first_occurrences(packed[:2], 20, 3)
+    assert len(w.at) and peak(lambda: substring_dedup._first_occurrences(packed, 20, 3)) < 30
+
+
 def test_substring_drop(odd, none):
     assert substring_dedup.drop_repeats(none).count() == 0
     out = substring_dedup.drop_repeats(odd)
