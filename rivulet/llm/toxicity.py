@@ -20,10 +20,11 @@ thresholds only; a score depends on the text alone.
 from __future__ import annotations
 
 import copy
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.llm import blocks as B
@@ -306,9 +307,9 @@ def calibrates() -> Column:
     return F.pmod(F.xxhash64("doc_id", F.lit("calibrates")), F.lit(5)) == 0
 
 
-def labelled(docs: DataFrame, labels: DataFrame, train_rows: Column) -> DataFrame:
-    """The labelled documents that ``train_rows`` admits, whole: doc_id, text,
-    lang, toxic."""
+def _candidates(docs: DataFrame, labels: DataFrame, train_rows: Column) -> tuple[DataFrame, DataFrame]:
+    """The documents that may have a label which ``train_rows`` admits, and
+    those labels, one for an id."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where(train_rows)
     # a bit per hashed id, of fixed size: most texts without a label stay where they are
@@ -318,40 +319,76 @@ def labelled(docs: DataFrame, labels: DataFrame, train_rows: Column) -> DataFram
     byte = F.conv(F.hex(F.expr("substring(_bits, cast(_at div 8 as int) + 1, 1)")), 16, 10).cast("int")
     some = (docs.select("doc_id", "text", "lang", bucket.alias("_bucket"), at.alias("_at")).join(F.broadcast(bits), "_bucket")
             .where(byte.bitwiseAND(F.expr("shiftleft(1, cast(_at % 8 as int))")) != 0))
-    return some.select("doc_id", "text", "lang").join(known, "doc_id")
+    return some.select("doc_id", "text", "lang"), known
 
 
-def learn(rows: DataFrame, model: Model, share: float, learners: int) -> Model:
-    """``model`` after one pass over all ``rows`` (doc_id, text, toxic), dealt by
-    id over learners."""
+def labelled(docs: DataFrame, labels: DataFrame, train_rows: Column) -> DataFrame:
+    """The labelled documents that ``train_rows`` admits, whole: doc_id, text,
+    lang, toxic."""
+    some, known = _candidates(docs, labels, train_rows)
+    return some.join(known, "doc_id")
+
+
+def dealt(docs: DataFrame, labels: DataFrame, train_rows: Column, learners: int) -> DataFrame:
+    """``labelled``, dealt by id over learners (column ``learner``), of which each
+    stands in one partition, in order. Labels meet their documents where both are
+    dealt to, so a text is shuffled once."""
+    some, known = _candidates(docs, labels, train_rows)
+    both = (some.withColumn("toxic", F.lit(None).cast(known.schema["toxic"].dataType)).withColumn("_label", F.lit(False))
+            .unionByName(known.withColumn("_label", F.lit(True)), allowMissingColumns=True)
+            .withColumn("_hash", F.xxhash64("doc_id")).withColumn("learner", F.pmod("_hash", F.lit(learners)).cast("int"))
+            .repartition(learners, "learner"))
+    of_id = Window.partitionBy("learner", "_hash", "doc_id").orderBy("text").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (both.withColumn("toxic", F.max("toxic").over(of_id)).where(~F.col("_label") & F.col("toxic").isNotNull())
+            .sortWithinPartitions("learner", "_hash", "doc_id", "text").select("doc_id", "text", "lang", "toxic", "learner"))
+
+
+def _steps(batches):
+    """(learner, texts, labels) of BATCH rows or fewer, LEARNER_BYTES or one
+    longer text, however the rows come in batches and files."""
+    who, texts, labels, size = None, [], [], 0
+    for batch in batches:
+        got = zip(batch.column("learner").to_pylist(), B.texts_of(batch.column("text")), batch.column("toxic").to_pylist(), strict=True)
+        for learner, text, toxic in got:
+            if texts and (learner != who or len(texts) == BATCH or size + len(text) > LEARNER_BYTES):
+                yield who, texts, np.array(labels)
+                texts, labels, size = [], [], 0
+            who = learner
+            texts.append(text)
+            labels.append(toxic)
+            size += len(text) + 1
+    if texts:
+        yield who, texts, np.array(labels)
+
+
+def learn(rows: DataFrame, model: Model, share: float) -> Model:
+    """``model`` after one pass over all ``rows`` (learner, text, toxic), of which
+    a learner's stand together and in order."""
     B.small_batches(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(model)   # fixed size, about 8 MB
     weight = np.array([0.5 / (1 - share), 0.5 / share], np.float32)
 
     def pass_over(batches):
-        mine, n, before = None, 0, None
-        for batch in batches:
-            if mine is None:
-                mine = copy.deepcopy(shared.value)
-                before = mine.parameters()
-            texts, labels = B.texts_of(batch.column("text")), batch.column("toxic").to_numpy(zero_copy_only=False)
-            for a, b in B.text_blocks(texts, LEARNER_BYTES):
-                for i in range(a, b, BATCH):
-                    at = slice(i, min(i + BATCH, b))
-                    mine.steps += 1
-                    mine.step(texts[at], labels[at].astype(np.float32), weight[labels[at]], mine.state, mine.steps)
-            n += len(texts)
-        if n:
-            change = np.rint((mine.parameters() - before).astype(np.float64) * FINE).astype(np.int64) * n
-            at = np.flatnonzero(change.any(1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at.astype(np.int32)), pa.array(np.full(len(at), n)), *[pa.array(change[at, j]) for j in range(DIM)]],
-                ["at", "n", *[f"d{j}" for j in range(DIM)]])
+        # of all learners of a task: whole steps, weighted by a learner's rows, and those rows
+        total = np.zeros((len(shared.value.parameters()), DIM), np.int64)
+        rows_of = np.zeros(len(total), np.int64)
+        for _, steps in groupby(_steps(batches), key=lambda x: x[0]):
+            mine, n = copy.deepcopy(shared.value), 0
+            for _, texts, labels in steps:
+                mine.steps += 1
+                mine.step(texts, labels.astype(np.float32), weight[labels], mine.state, mine.steps)
+                n += len(texts)
+            change = np.rint((mine.parameters() - shared.value.parameters()).astype(np.float64) * FINE).astype(np.int64) * n
+            total += change
+            rows_of[change.any(1)] += n
+        at = np.flatnonzero(rows_of)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at.astype(np.int32)), pa.array(rows_of[at]), *[pa.array(total[at, j]) for j in range(DIM)]],
+            ["at", "n", *[f"d{j}" for j in range(DIM)]])
         B.release()
 
-    dealt = (rows.select("doc_id", "text", "toxic").repartition(learners, "doc_id")
-             .sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "text").select("text", F.col("toxic").cast("int")))
-    changes = dealt.mapInArrow(pass_over, "at int, n long, " + ", ".join(f"d{j} long" for j in range(DIM)))
+    changes = rows.select("learner", "text", F.col("toxic").cast("int")).mapInArrow(
+        pass_over, "at int, n long, " + ", ".join(f"d{j} long" for j in range(DIM)))
     # a row per parameter row at most: a model's size
     total = changes.groupBy("at").agg(F.sum("n").alias("n"), *[F.sum(f"d{j}").alias(f"d{j}") for j in range(DIM)]).toArrow()
     out = copy.deepcopy(model)
@@ -403,7 +440,8 @@ def calibrate(rows: DataFrame, model: Model) -> None:
 
 def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     """The model learnt from every labelled document that is not held out."""
-    rows, path = staged.stage(labelled(docs, labels, ~held_out()), "toxicity_labelled")
+    n = labelled(docs, labels, ~held_out()).count()   # (of ids, no text is read)
+    rows, path = staged.stage(dealt(docs, labels, ~held_out(), max(1, -(-n // LEARNER_ROWS))), "toxicity_labelled")
     model = _fitted(rows, labels)
     staged.drop(docs.sparkSession, [path])
     model.state = {}   # (of the fit only)
@@ -421,7 +459,7 @@ def _fitted(rows: DataFrame, labels: DataFrame) -> Model:
     model = train(training_sample(rows, labels, ~held_out() & ~calibrates()), hold=False)
     fit = rows.where(~calibrates())
     for _ in range(max(1, 2 * SAMPLE_ROWS * EPOCHS // n)):   # few rows are gone over as often as the sample
-        model = learn(fit, model, float(np.clip(hits / n, 0.01, 0.99)), max(1, -(-n // LEARNER_ROWS)))
+        model = learn(fit, model, float(np.clip(hits / n, 0.01, 0.99)))
     calibrate(rows.where(calibrates()), model)
     return model
 

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -675,6 +676,43 @@ def test_labelled_documents_are_all_found(spark, monkeypatch):
         assert got.count() == want.count() and got.exceptAll(want).isEmpty()
 
 
+def test_labelled_texts_are_shuffled_once(spark, tmp_path):
+    """Also where labels are too many to broadcast; a learner's rows stand together, in order."""
+    docs, labels = toxic_table(spark, 900)
+    docs = docs.unionByName(docs.where("doc_id < 9")).unionByName(docs.where("doc_id = 9").withColumn("doc_id", F.lit(None).cast("long")))
+    labels = labels.unionByName(labels.where("doc_id < 20"))
+    docs.write.parquet(f"{tmp_path}/d")
+    labels.write.parquet(f"{tmp_path}/l")
+    docs, labels = spark.read.parquet(f"{tmp_path}/d"), spark.read.parquet(f"{tmp_path}/l")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = toxicity.dealt(docs, labels, ~toxicity.held_out(), 5)
+        lines = got._jdf.queryExecution().executedPlan().toString().splitlines()
+        scan = next(i for i, x in enumerate(lines) if "FileScan" in x and "text#" in x)
+        depth = [next((j for j, c in enumerate(x) if c.isalnum()), 0) for x in lines]
+        above = [x for i, x in enumerate(lines[:scan]) if depth[i] < min(depth[i:scan + 1][1:])]
+        assert sum("Exchange" in x for x in above) == 1
+        rows = got.withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    want = toxicity.labelled(docs, labels, ~toxicity.held_out())
+    cols = ["doc_id", "text", "lang", "toxic"]
+    assert Counter(tuple(r[c] for c in cols) for r in rows) == Counter(tuple(r[c] for c in cols) for r in want.collect())
+    assert len({r.learner for r in rows}) == 5 == len({(r.learner, r.part) for r in rows})
+
+
+def test_learners_steps_do_not_depend_on_batches(monkeypatch):
+    monkeypatch.setattr(toxicity, "LEARNER_BYTES", 90)
+    rng = random.Random(3)
+    rows = [(i // 70, "x" * rng.choice([0, 1, 2, 40, 200]), i % 2) for i in range(300)]
+    table = pa.table({"learner": [r[0] for r in rows], "text": [r[1] for r in rows], "toxic": [r[2] for r in rows]})
+    seen = [[(a, b, c.tolist()) for a, b, c in toxicity._steps(table.to_batches(max_chunksize=n))] for n in (1, 7, 64, 300)]
+    assert seen.count(seen[0]) == len(seen)
+    assert [(a, t.decode(), y) for a, b, c in seen[0] for t, y in zip(b, c, strict=True)] == rows
+    assert all(len(b) <= toxicity.BATCH and (len(b) == 1 or sum(map(len, b)) <= 90) for _, b, _ in seen[0])
+
+
 def test_every_labelled_row_is_learnt_from(spark, monkeypatch):
     """A toxic word that stands only in texts which the sample leaves out, and
     thresholds from rows beyond it."""
